@@ -181,7 +181,8 @@ def parse_logs(
 def rejects(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Lines with neither a known format nor an address."""
     found = _addressed(lines, "auto", "line", strict)
-    return found.filter(F.col("_ip").isNull()).select(*lines.columns)
+    none = F.when(F.col("_ip").isNull(), F.array(F.lit(True)))
+    return found.select(*lines.columns, F.explode(none).alias("_none")).drop("_none")
 
 
 def failed_logins(entries: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,13 +85,11 @@ def flow_aggregates() -> list[Column]:
 
     The set of flag combinations is a bitmap (the five named flags make at most 32),
     and the earliest packet of each direction is one number: its time in
-    microseconds, then its id to break ties.
+    microseconds, then its id (below 10^18) to break ties.
     """
     micros = (epoch_seconds(F.col("ts")) * 1000000).cast("decimal(19,0)")
-    order = (micros * F.lit(10**19).cast("decimal(20,0)")).cast("decimal(38,0)") + F.col(
-        "packet_id"
-    ).cast("decimal(19,0)")
-    order = order.cast("decimal(38,0)")
+    shifted = (micros * F.lit(Decimal(10**18))).cast("decimal(38,0)")
+    order = (shifted + F.col("packet_id")).cast("decimal(38,0)")
     bits = F.col("flag_bits").bitwiseAND(_NAMED_FLAGS)
     seen = F.when(bits > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), bits))
     return [
