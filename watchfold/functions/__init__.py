@@ -1,6 +1,6 @@
 """Column -> Column helpers shared by batch and streaming queries."""
 
-from watchfold.functions.net import extract_ip, in_cidr, ip_number, is_private
+from watchfold.functions.net import extract_ip, in_cidr, is_private
 from watchfold.functions.rules import (
     flag_names,
     flag_text,
@@ -21,7 +21,6 @@ __all__ = [
     "flag_names",
     "flag_text",
     "in_cidr",
-    "ip_number",
     "is_private",
     "keyword_hit",
     "risk_tier",

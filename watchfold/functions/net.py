@@ -44,24 +44,24 @@ def extract_ip(text: Column, strict: bool = False) -> Column:
     return F.nullif(F.regexp_extract(text, STRICT_IP if strict else IP, 0), F.lit(""))
 
 
-def ip_number(ip: Column) -> Column:
-    """Dotted quad as a number, NULL for anything else (IPv6 included)."""
-    octets = [F.split_part(ip, F.lit("."), F.lit(i + 1)).try_cast("bigint") for i in range(4)]
-    value = sum((o * (1 << 8 * (3 - i)) for i, o in enumerate(octets)), F.lit(0).cast("bigint"))
-    return F.when(ip.rlike(rf"^{IPV4}$"), value)
+def _cidr_pattern(cidr: str) -> str:
+    """Dotted quads of a network: fixed octets, the values of a partial one, any octets."""
+    network, bits = cidr.split("/")
+    octets, whole, rest = network.split("."), int(bits) // 8, int(bits) % 8
+    parts = octets[:whole]
+    if rest:
+        low = int(octets[whole])
+        values = range(low, low + (1 << 8 - rest))
+        parts = [*parts, f"(?:{'|'.join(map(str, values))})"]
+    return r"\.".join(parts + [OCTET] * (4 - len(parts)))
 
 
-def in_cidr(ip: Column, cidr: str) -> Column:
-    """Whether a dotted quad lies in a network; FALSE if it is no dotted quad."""
-    network, bits = cidr.split("/")
-    size = 1 << (32 - int(bits))
-    base = sum(int(o) << 8 * (3 - i) for i, o in enumerate(network.split(".")))
-    return F.coalesce(ip_number(ip).between(base, base + size - 1), F.lit(False))
+def in_cidr(ip: Column, *cidrs: str) -> Column:
+    """Whether a dotted quad lies in one of the networks; FALSE if it is no dotted quad."""
+    pattern = "|".join(_cidr_pattern(c) for c in cidrs)
+    return F.coalesce(ip.rlike(f"^(?:{pattern})$"), F.lit(False))
 
 
 def is_private(ip: Column) -> Column:
     """Whether an address is private or loopback; unparsable ones are not."""
-    hit = F.lit(False)
-    for cidr in PRIVATE_RANGES:
-        hit = hit | in_cidr(ip, cidr)
-    return hit
+    return in_cidr(ip, *PRIVATE_RANGES)

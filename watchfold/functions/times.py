@@ -5,37 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+MONTHS = "jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
 
 
-def _month(name: Column) -> Column:
-    numbers = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for x in (m, str(i + 1))])
-    return F.try_element_at(numbers, F.lower(name))
+def year_text(year: int | Column | None = None) -> Column:
+    """A year as text; the current one by default."""
+    if year is None:
+        year = F.year(F.current_date())
+    elif not isinstance(year, Column):
+        year = F.lit(year)
+    return F.lpad(year.cast("string"), 4, "0")
 
 
-def web_time(stamp: Column) -> Column:
-    """``10/Jan/2024:13:55:36 +0000`` without its zone; NULL if it does not parse.
+def stamp_time(year: Column, month: Column, day_time: Column) -> Column:
+    """Time from a year, an English month name and ``d h:m:s``; NULL if there is no such time.
 
-    The text is rearranged to ISO order and cast, which needs no session time
-    zone and no date formatter object per row.
+    The parts become ISO text and are cast, which needs no session time zone and
+    no formatter per row.
     """
-    token = F.split_part(F.regexp_replace(stamp, r"\s+", " "), F.lit(" "), F.lit(1))
-    part = F.split(token, "[/:]")
-    iso = F.concat_ws("-", part[2], _month(part[1]), part[0])
-    clock = F.concat_ws(":", part[3], part[4], part[5])
-    shape = r"^\d{1,2}/[A-Za-z]{3}/\d{4}:\d{1,2}:\d{1,2}:\d{1,2}$"
-    return F.when(token.rlike(shape), F.concat_ws(" ", iso, clock).try_cast("timestamp_ntz"))
+    place = F.instr(F.lit(MONTHS), F.lower(month))
+    number = F.when((F.length(month) == 3) & (place > 0), F.shiftright(place + 3, 2))
+    return F.concat(year, F.lit("-"), number.cast("string"), F.lit("-"), day_time).try_cast(
+        "timestamp_ntz"
+    )
+
+
+def web_time(stamp: Column) -> Column:
+    """``10/Jan/2024:13:55:36 +0000`` without its zone; NULL if it does not parse."""
+    shape = r"^(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})(?:\s.*)?$"
+    part = F.split(F.regexp_replace(stamp, shape, "\n$3\n$2\n$1 $4"), "\n")
+    return stamp_time(F.get(part, F.lit(1)), F.get(part, F.lit(2)), F.get(part, F.lit(3)))
 
 
 def ssh_time(stamp: Column, year: int | Column | None = None) -> Column:
     """``Jan  5 13:55:36`` in an assumed year (the current one by default)."""
-    if year is None:
-        year = F.year(F.current_date())
-    elif not isinstance(year, Column):
-        year = F.lit(year)
-    part = F.split(stamp, r"\s+")
-    iso = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), _month(part[0]), part[1])
-    return F.concat_ws(" ", iso, part[2]).try_cast("timestamp_ntz")
+    part = F.split(F.regexp_replace(stamp, r"^(\S+)\s+(\S+)\s+(\S+)$", "\n$1\n$2 $3"), "\n")
+    return stamp_time(year_text(year), F.get(part, F.lit(1)), F.get(part, F.lit(2)))
 
 
 def epoch_seconds(ts: Column) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfold.functions.net import IP, extract_ip
 from watchfold.functions.text import strip
-from watchfold.functions.times import ssh_time, web_time
+from watchfold.functions.times import stamp_time, year_text
 
 # User-facing names of the formats.
 ALIASES = {
@@ -25,76 +27,101 @@ ALIASES = {
     "auto": "auto",
 }
 
-# One pass of one pattern covers the four web formats: they share everything up to
-# the size, and the two possible tails are optional look-aheads.
-# Groups: 1 ip, 2-3 identity, 4 time, 5 method, 6 path, 7 status, 8 size,
-# 9 referrer-and-agent tail, 10 its agent, 11 upstream tail, 12 its agent.
+# One pass of one pattern covers all formats. The web formats share everything up to
+# the size, and their two possible tails are optional look-aheads.
 _WEB = (
-    rf'^({IP})\s+(\S+)\s+(\S+)\s+\[([^\]]+)\]\s+"(\S+)\s+(\S+)\s+\S+"\s+(\d{{3}})\s+(\d+|-)'
-    r'(?=(\s+"[^"]*"\s+"([^"]*)")?)(?=(\s+\S+\s+\S+\s+"([^"]*)")?).*$'
+    rf"(?<ip>{IP})\s+(?=(?<anonymous>-\s+-\s+\[)?)\S+\s+\S+\s+"
+    r"\[(?=(?:(?<day>\d{1,2})/(?<month>[A-Za-z]{3})/(?<year>\d{4}):(?<clock>\d{1,2}:\d{1,2}:\d{1,2})[\s\]])?)"
+    r"(?<stamp>[^\]]+)\]\s+"
+    r'"(?<method>\S+)\s+(?<path>\S+)\s+\S+"\s+(?<status>\d{3})\s+(?<size>\d+|-)'
+    r'(?=(?:\s+"[^"]*"\s+(?<combined>")(?<agent>[^"]*)")?)'
+    r'(?=(?:\s+\S+\s+\S+\s+(?<upstream>")(?<agent2>[^"]*)")?)'
 )
-# Groups: 1 time, 2 "Failed" or empty, 3 user, 4 ip.
 _SSH = (
-    r"^([A-Z][a-z]{2}\s+\d+\s+\d+:\d+:\d+)\s+\S+\s+sshd\[\d+\]:\s+"
-    r"(?:(Failed)\s+password\s+for\s+(?:invalid\s+(?:user\s+)?)?"
-    r"|Accepted\s+(?:publickey|password)\s+for\s+)"
-    rf"(\S+)\s+from\s+({IP}).*$"
+    r"(?<stamp2>(?<month2>[A-Z][a-z]{2})\s+(?<day2>\d+)\s+(?<clock2>\d+:\d+:\d+))\s+\S+\s+sshd\[\d+\]:\s+"
+    r"(?:(?<failed>Failed)\s+password\s+for\s+(?:invalid\s+(?:user\s+)?)?"
+    r"|(?<accepted>Accepted)\s+(?:publickey|password)\s+for\s+)"
+    rf"(?<user>\S+)\s+from\s+(?<ip2>{IP})"
 )
+_LINE = rf"^(?:{_WEB}|{_SSH}).*$"
+
+# What a match is rearranged to. Groups that took no part are empty, so that two
+# groups side by side give whichever matched.
+_FIELDS = {
+    "ip": "${ip}${ip2}",
+    "stamp": "${stamp}${stamp2}",
+    "year": "${year}",
+    "month": "${month}${month2}",
+    "day_time": "${day}${day2} ${clock}${clock2}",
+    "login": "${failed}${accepted}",
+    "anonymous": "${anonymous}",
+    "combined": "${combined}",
+    "agent": "${agent}",
+    "upstream": "${upstream}",
+    "agent2": "${agent2}",
+    "user": "${user}",
+    "method": "${method}",
+    "path": "${path}",
+    "status": "${status}",
+    "size": "${size}",
+}
+_INDEX = {name: i + 1 for i, name in enumerate(_FIELDS)}
 
+# Every group is named, so its number is its place. Java looks numbers up faster.
+_GROUPS = {name: str(i + 1) for i, name in enumerate(re.findall(r"\(\?<([a-z]\w*)>", _LINE))}
+_PACKED = "".join(
+    "\n" + re.sub(r"\{(\w+)\}", lambda m: _GROUPS[m[1]], field) for field in _FIELDS.values()
+)
 
-def _groups(line: Column, pattern: str, count: int) -> Column:
-    """All groups of one match as an array, index 0 unused.
-
-    A line holds no line feed, so one that shows up marks a match and separates
-    the groups; a line that does not match comes back as an array of one.
-    """
-    packed = "".join(f"\n${i}" for i in range(1, count + 1))
-    return F.split(F.regexp_replace(line, pattern, packed), "\n")
+# Detection order: the first format that matches names the line.
+_ORDER = (
+    "apache_combined",
+    "nginx_default",
+    "nginx_upstream",
+    "apache_common",
+    "ssh_failed",
+    "ssh_accepted",
+)
 
 
-def _matched(lines: DataFrame) -> DataFrame:
-    """Adds the line's matches (``_w`` web, ``_s`` ssh) and its own ``_format``."""
-    line = F.translate("raw", "\r\n", "  ")
-    has_ssh = line.contains("sshd[")
-    staged = (
-        lines.withColumn("_line", line)
-        .withColumn("_s", F.when(has_ssh, _groups(F.col("_line"), _SSH, 4)))
-        .withColumn("_w", F.when(~has_ssh | (F.size("_s") != 5), _groups(F.col("_line"), _WEB, 12)))
-    )
-    return staged.withColumn("_format", F.coalesce(*[F.when(_is(f), F.lit(f)) for f in _ORDER]))
+def _field(name: str, fields: str = "_fields") -> Column:
+    """One field of the match: NULL if the line did not match, empty if it had none."""
+    return F.get(fields, F.lit(_INDEX[name]))
 
 
 def _is(fmt: str) -> Column:
-    """Whether the line matches one format, from the groups at hand."""
-    web, ssh = F.size("_w") == 13, F.size("_s") == 5
-    w, s = F.col("_w"), F.col("_s")
+    """Whether the line matches one format; NULL or FALSE if not."""
+    web = _field("status") != ""
     return {
-        "apache_combined": web & (w[9] != ""),
-        "nginx_default": web & (w[2] == "-") & (w[3] == "-"),
-        "nginx_upstream": web & (w[11] != ""),
+        "apache_combined": _field("combined") != "",
+        "nginx_default": web & (_field("anonymous") != ""),
+        "nginx_upstream": _field("upstream") != "",
         "apache_common": web,
-        "ssh_failed": ssh & (s[2] != ""),
-        "ssh_accepted": ssh & (s[2] == ""),
-        "generic": F.lit(True),
+        "ssh_failed": _field("login") == "Failed",
+        "ssh_accepted": _field("login") == "Accepted",
+        "generic": F.lit(False),
     }[fmt]
 
 
-# Detection order: the first format that matches names the line.
-_ORDER = (
-    "apache_combined",
-    "nginx_default",
-    "nginx_upstream",
-    "apache_common",
-    "ssh_failed",
-    "ssh_accepted",
-    "generic",
-)
+def _matched(lines: DataFrame) -> DataFrame:
+    """Adds the line's ``_fields``, an array of one if no format matches.
+
+    A line holds no line feed, so one that shows up marks a match and separates
+    the fields.
+    """
+    raw = F.col("raw")
+    broken = raw.contains("\n") | raw.contains("\r")
+    line = F.when(broken, F.translate(raw, "\r\n", "  ")).otherwise(raw)
+    return lines.withColumn("_fields", F.split(F.regexp_replace(line, _LINE, _PACKED), "\n"))
+
+
+def _detected() -> Column:
+    return F.coalesce(*[F.when(_is(f), F.lit(f)) for f in _ORDER], F.lit("generic"))
 
 
 def detect_format(lines: DataFrame) -> DataFrame:
     """Adds ``format``: the first format in detection order that a line matches."""
-    helpers = ("_line", "_s", "_w", "_format")
-    return _matched(lines).withColumn("format", F.col("_format")).drop(*helpers)
+    return _matched(lines).withColumn("format", _detected()).drop("_fields")
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
@@ -103,12 +130,8 @@ def file_formats(lines: DataFrame) -> DataFrame:
     return detect_format(first).select("file_path", F.col("format").alias("file_format"))
 
 
-_WEB_FORMATS = ("apache_combined", "apache_common", "nginx_default", "nginx_upstream")
-_SSH_FORMATS = ("ssh_failed", "ssh_accepted")
-
-
 def _addressed(lines: DataFrame, fmt: str, detect: str, strict: bool) -> DataFrame:
-    """Lines with their matches, the format that counts and the address ``_ip``."""
+    """Lines with the format that counts, its fields and the address ``_ip``."""
     if fmt not in ALIASES:
         raise ValueError(f"unknown log format {fmt!r}, expected one of {sorted(ALIASES)}")
     if detect not in ("line", "file"):
@@ -116,41 +139,48 @@ def _addressed(lines: DataFrame, fmt: str, detect: str, strict: bool) -> DataFra
     fmt = ALIASES[fmt]
     matched = _matched(lines)
     if fmt != "auto":
-        matched = matched.withColumn("_format", F.when(_is(fmt), fmt).otherwise("generic"))
+        chosen = F.when(_is(fmt), fmt).otherwise("generic")
     elif detect == "file":
         # One row per file on the right; no hint, so its size decides the join.
         matched = matched.join(file_formats(lines), "file_path", "left")
-        chosen = [F.when((F.col("file_format") == f) & _is(f), F.lit(f)) for f in _ORDER]
-        matched = matched.withColumn("_format", F.coalesce(*chosen, F.lit("generic")))
-
-    kind, w, s = F.col("_format"), F.col("_w"), F.col("_s")
-    web, ssh = kind.isin(*_WEB_FORMATS), kind.isin(*_SSH_FORMATS)
-    address = F.when(web, w[1]).when(ssh, s[4]).otherwise(extract_ip(F.col("raw"), strict))
+        options = [F.when((F.col("file_format") == f) & _is(f), F.lit(f)) for f in _ORDER]
+        chosen = F.coalesce(*options, F.lit("generic"))
+    else:
+        chosen = _detected()
+    matched = matched.withColumn("_format", chosen)
+    named = F.col("_format") != "generic"
     if strict:
         # an address cut out of a longer run of digits does not count
-        address = F.when(web | ssh, extract_ip(address, True)).otherwise(address)
+        address = extract_ip(F.when(named, _field("ip")).otherwise(F.col("raw")), True)
+    else:
+        address = F.when(named, _field("ip")).otherwise(extract_ip(F.col("raw")))
     return matched.withColumn("_ip", address)
 
 
 def _entries(found: DataFrame, kept: list[str], year: int | Column | None) -> DataFrame:
-    kind, w, s = F.col("_e._format"), F.col("_e._w"), F.col("_e._s")
-    web, ssh = kind.isin(*_WEB_FORMATS), kind.isin(*_SSH_FORMATS)
-    agent = F.when(kind == "apache_combined", w[10]).when(kind == "nginx_upstream", w[12])
-    login = F.when(kind == "ssh_failed", "failed").when(kind == "ssh_accepted", "accepted")
+    kind = F.col("_e._format")
+
+    def field(name: str) -> Column:
+        return F.nullif(_field(name, "_e._fields"), F.lit(""))
+
+    agent = F.when(kind == "apache_combined", _field("agent", "_e._fields"))
+    agent = agent.when(kind == "nginx_upstream", _field("agent2", "_e._fields"))
     return found.select(
         *kept,
         strip(F.col("raw")).alias("raw"),
         kind.alias("format"),
-        F.when(web, web_time(w[4])).when(ssh, ssh_time(s[1], year)).alias("event_time"),
-        F.when(web, w[4]).when(ssh, s[1]).alias("timestamp_raw"),
+        stamp_time(F.coalesce(field("year"), year_text(year)), field("month"), field("day_time")).alias(
+            "event_time"
+        ),
+        field("stamp").alias("timestamp_raw"),
         F.col("_e._ip").alias("ip_address"),
-        F.when(web, w[7]).try_cast("int").alias("status_code"),
-        F.when(web, w[8]).try_cast("bigint").alias("response_size"),
+        field("status").try_cast("int").alias("status_code"),
+        field("size").try_cast("bigint").alias("response_size"),
         agent.alias("user_agent"),
-        F.when(ssh, s[3]).alias("username"),
-        login.alias("login_status"),
-        F.when(web, w[5]).alias("http_method"),
-        F.when(web, w[6]).alias("request_path"),
+        field("user").alias("username"),
+        F.lower(field("login")).alias("login_status"),
+        field("method").alias("http_method"),
+        field("path").alias("request_path"),
     )
 
 
@@ -173,7 +203,8 @@ def parse_logs(
     kept = [c for c in lines.columns if c != "raw"]
     # The generator drops lines without an address. A filter would be pushed below
     # the projections and so run every pattern a second time.
-    entry = F.struct("_format", "_ip", "_w", "_s")
+    fields = F.when(F.col("_format") != "generic", F.col("_fields")).alias("_fields")
+    entry = F.struct("_format", "_ip", fields)
     one = F.when(F.col("_ip").isNotNull(), F.array(entry))
     return _entries(found.select(*kept, "raw", F.explode(one).alias("_e")), kept, year)
 
