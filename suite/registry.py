@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from suite.fixtures import Inputs, oracle
+from watchfold.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,6 +18,7 @@ def query(name: str, recipes: str = "", sql: str | None = None, stream: bool = F
 
     def register(build: Callable[[Inputs], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark, "watchfold", "suite")
             return build(Inputs(spark, sf_dir, stream))
 
         QUERIES[name] = run

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,3 +49,15 @@ def epoch_seconds(ts: Column) -> Column:
     """Seconds since 1970 as ``decimal(18,6)``, exact to the microsecond and zone-free."""
     since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return since.cast("interval second").cast("decimal(18,6)")
+
+
+def as_instant(ts: Column) -> Column:
+    """A zone-less time as the instant that shows it in UTC; watermarks need instants."""
+    return F.timestamp_micros((epoch_seconds(ts) * 1000000).cast("bigint"))
+
+
+def as_local(instant: Column) -> Column:
+    """The zone-less UTC time of an instant, whatever the session's zone."""
+    seconds = (F.unix_micros(instant) / F.lit(Decimal(1000000))).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds)

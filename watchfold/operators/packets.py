@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from watchfold.functions.text import clean_utf8
 
@@ -43,56 +44,68 @@ def _ipv6_text(data: Column, offset: int) -> Column:
     return F.regexp_replace(text, r"^:(?!:)", "")
 
 
-def _network(frames: DataFrame) -> DataFrame:
-    """IPv4 and IPv6 frames with addresses, protocol number and transport bytes."""
+def _headers(frames: DataFrame) -> DataFrame:
+    """IPv4 and IPv6 frames with ``_v4``, the protocol ``_number`` and the transport's offset ``_at``.
+
+    The generator drops other frames. Its output stands for itself in later steps,
+    where a projection's expressions would be copied into each use.
+    """
     f = F.col("frame")
     kind = _uint(f, 12, 2)
-    v4 = F.col("_kind") == IPV4_TYPE
-    header = _uint(f, 14, 1).bitwiseAND(15) * 4
-    body = F.when(v4, F.lit(14) + header).otherwise(F.lit(54))
-    return (
-        frames.withColumn("_kind", kind)
-        .filter(F.col("_kind").isin(IPV4_TYPE, IPV6_TYPE))
-        .filter(F.length(f) >= F.when(v4, 34).otherwise(54))
-        .select(
-            "capture",
-            "packet_id",
-            "ts",
-            F.length(f).alias("length"),
-            F.when(v4, _ipv4_text(f, 26)).otherwise(_ipv6_text(f, 22)).alias("src_ip"),
-            F.when(v4, _ipv4_text(f, 30)).otherwise(_ipv6_text(f, 38)).alias("dst_ip"),
-            F.when(v4, _uint(f, 23, 1)).otherwise(_uint(f, 20, 1)).alias("_number"),
-            F.substring(f, body + 1, F.length(f)).alias("_body"),
-        )
+    size = F.length(f)
+    v4 = F.struct(
+        F.lit(True).alias("_v4"),
+        _uint(f, 23, 1).alias("_number"),
+        (_uint(f, 14, 1).bitwiseAND(15) * 4 + 14).alias("_at"),
+    )
+    v6 = F.struct(
+        F.lit(False).alias("_v4"), _uint(f, 20, 1).alias("_number"), F.lit(54).alias("_at")
+    )
+    found = F.when((kind == IPV4_TYPE) & (size >= 34), F.array(v4)).when(
+        (kind == IPV6_TYPE) & (size >= 54), F.array(v6)
     )
+    return frames.select("capture", "packet_id", "ts", "frame", F.inline(found))
 
 
-def _transport(network: DataFrame) -> DataFrame:
-    """Ports, flag bits and payload. Headers that are cut off give port 0 and no payload.
+def _transport(headers: DataFrame) -> DataFrame:
+    """Adds ports, flag bits and payload.
 
-    Only TCP and UDP have ports; the payload of other protocols starts after the
-    eight bytes that their headers share.
+    Headers that are cut off give port 0 and no payload. Only TCP and UDP have
+    ports; the payload of other protocols starts after the eight bytes that their
+    headers share.
     """
-    b = F.col("_body")
+    f, at, number = F.col("frame"), F.col("_at"), F.col("_number")
+    left = F.length(f) - at
+    ports = ((number == 6) & (left >= 20)) | ((number == 17) & (left >= 8))
+    tcp = (number == 6) & (left >= 20)
+    skip = F.when(tcp, F.shiftright(_uint(f, at + 12, 1), 4) * 4).when(
+        (number != 6) & (left >= 8), F.lit(8)
+    )
+    parts = F.struct(
+        F.when(ports, _uint(f, at, 2)).otherwise(0).alias("src_port"),
+        F.when(ports, _uint(f, at + 2, 2)).otherwise(0).alias("dst_port"),
+        F.when(tcp, _uint(f, at + 13, 1)).alias("flag_bits"),
+        F.coalesce(F.substring(f, at + skip + 1, F.length(f)), F.lit(b"")).alias("payload"),
+    )
+    return headers.select("*", F.inline(F.array(parts)))
+
+
+def _packets(headers: DataFrame) -> DataFrame:
+    f, v4 = F.col("frame"), F.col("_v4")
     names = F.create_map(*[F.lit(x) for pair in PROTOCOLS.items() for x in pair])
     protocol = F.coalesce(F.try_element_at(names, F.col("_number")), F.col("_number").cast("string"))
-    tcp = (F.col("_number") == 6) & (F.length(b) >= 20)
-    udp = (F.col("_number") == 17) & (F.length(b) >= 8)
-    other = ~F.col("_number").isin(6, 17)
-    skip = F.when(tcp, F.shiftright(_uint(b, 12, 1), 4) * 4).when(udp | other, F.lit(8))
-    rest = F.substring(b, skip + 1, F.length(b))
-    return network.select(
+    return _transport(headers).select(
         "capture",
         "packet_id",
         "ts",
-        "src_ip",
-        "dst_ip",
-        F.when(tcp | udp, _uint(b, 0, 2)).otherwise(0).alias("src_port"),
-        F.when(tcp | udp, _uint(b, 2, 2)).otherwise(0).alias("dst_port"),
+        F.when(v4, _ipv4_text(f, 26)).otherwise(_ipv6_text(f, 22)).alias("src_ip"),
+        F.when(v4, _ipv4_text(f, 30)).otherwise(_ipv6_text(f, 38)).alias("dst_ip"),
+        "src_port",
+        "dst_port",
         protocol.alias("protocol"),
-        "length",
-        F.coalesce(rest, F.lit(b"")).alias("payload"),
-        F.when(tcp, _uint(b, 13, 1)).alias("flag_bits"),
+        F.length(f).alias("length"),
+        "payload",
+        "flag_bits",
     )
 
 
@@ -101,11 +114,9 @@ def _either_port(number: int) -> Column:
 
 
 def _header(text: Column, name: str) -> Column:
-    """Value of an HTTP header; the last of several wins."""
+    """Value of an HTTP header, NULL if absent or empty; the last of several wins."""
     pattern = rf"(?is)^.*\r\n[ \t]*{name}[ \t]*:[ \t]*([^\r\n]*)"
-    return F.when(
-        text.rlike(rf"(?i)\r\n[ \t]*{name}[ \t]*:"), F.rtrim(F.regexp_extract(text, pattern, 1))
-    )
+    return F.nullif(F.rtrim(F.regexp_extract(text, pattern, 1)), F.lit(""))
 
 
 def parse_http(packets: DataFrame, methods: tuple[str, ...] = HTTP_METHODS) -> DataFrame:
@@ -179,7 +190,7 @@ def _dns_message(message: bytes) -> tuple[str | None, str | None]:
     return query, address
 
 
-@F.arrow_udf("struct<query: string, response: string>")
+@F.arrow_udf(T.StructType([T.StructField(n, T.StringType()) for n in ("query", "response")]))
 def _dns(payload: pa.Array) -> pa.Array:
     pairs = [(None, None) if m is None else _dns_message(m) for m in payload.to_pylist()]
     query = pa.array([q for q, _ in pairs], pa.string())
@@ -212,7 +223,7 @@ def decode(
     ``payload_bytes`` after HTTP and DNS have seen all of it. Write the result as
     a table when several operators are to read it.
     """
-    packets = _transport(_network(frames))
+    packets = _packets(_headers(frames))
     if transports is not None:
         packets = packets.filter(F.col("protocol").isin(*transports))
     return parse_dns(parse_http(packets, http_methods)).withColumn(

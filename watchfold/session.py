@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +24,27 @@ def session(app: str = "watchfold", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Sends source packages to the Python workers, once per application.
+
+    A job submitted with ``--py-files`` does not need this.
+    """
+    names = [p for p in packages if f"{spark.sparkContext.applicationId}/{p}" not in _shipped]
+    if not names:
+        return
+    target = Path(tempfile.mkdtemp(prefix="watchfold-ship-")) / f"{'-'.join(names)}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for name in names:
+            root = Path(importlib.import_module(name).__file__).parent
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+            _shipped.add(f"{spark.sparkContext.applicationId}/{name}")
+    spark.sparkContext.addPyFile(str(target))
+
+
 _local_root: str | None = None
 
 

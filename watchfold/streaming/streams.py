@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.rules import syn_only
+from watchfold.functions.times import as_instant, as_local
 from watchfold.operators.detect import FAILURES, PORTS, SYN_FLOOD
 from watchfold.operators.logs import failed_logins, parse_logs
 from watchfold.operators.packets import decode
@@ -83,6 +84,16 @@ def latest_indicators(spark: SparkSession, path: str, samples: int = 5) -> DataF
     )
 
 
+def _timed(rows: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Adds the instant ``_at`` of a zone-less time, with a watermark on it."""
+    return rows.withColumn("_at", as_instant(F.col(ts))).withWatermark("_at", delay)
+
+
+def _bounds() -> list[Column]:
+    """Start and end of the window ``w`` as zone-less times."""
+    return [as_local(F.col(f"w.{side}")).alias(f"window_{side}") for side in ("start", "end")]
+
+
 def login_alerts(
     entries: DataFrame,
     window: str = "10 minutes",
@@ -92,17 +103,11 @@ def login_alerts(
 ) -> DataFrame:
     """Addresses with at least ``n`` failed logins per tumbling or sliding window."""
     return (
-        failed_logins(entries)
-        .withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", window, slide).alias("w"), "ip_address")
+        _timed(failed_logins(entries), "event_time", delay)
+        .groupBy(F.window("_at", window, slide).alias("w"), "ip_address")
         .agg(F.count("*").alias("failures"))
         .filter(F.col("failures") >= n)
-        .select(
-            "ip_address",
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "failures",
-        )
+        .select("ip_address", *_bounds(), "failures")
     )
 
 
@@ -115,21 +120,15 @@ def scan_alerts(
     a distinct count is not allowed on streams, and spread a busy pair over tasks.
     """
     by_port = (
-        packets.withWatermark("ts", delay)
-        .groupBy(F.window("ts", window).alias("w"), "src_ip", "dst_ip", "dst_port")
+        _timed(packets, "ts", delay)
+        .groupBy(F.window("_at", window).alias("w"), "src_ip", "dst_ip", "dst_port")
         .agg(F.count("*").alias("packets"))
     )
     return (
         by_port.groupBy("w", "src_ip", "dst_ip")
         .agg(F.count("*").alias("ports"))
         .filter(F.col("ports") >= ports)
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "src_ip",
-            "dst_ip",
-            "ports",
-        )
+        .select(*_bounds(), "src_ip", "dst_ip", "ports")
     )
 
 
@@ -137,18 +136,13 @@ def flood_alerts(
     packets: DataFrame, window: str = "10 minutes", n: int = SYN_FLOOD, delay: str = "10 minutes"
 ) -> DataFrame:
     """Destinations with more than ``n`` connection attempts per window."""
+    opening = packets.filter(syn_only(F.col("flag_bits"), F.col("protocol")))
     return (
-        packets.filter(syn_only(F.col("flag_bits"), F.col("protocol")))
-        .withWatermark("ts", delay)
-        .groupBy(F.window("ts", window).alias("w"), "dst_ip")
+        _timed(opening, "ts", delay)
+        .groupBy(F.window("_at", window).alias("w"), "dst_ip")
         .agg(F.count("*").alias("attempts"))
         .filter(F.col("attempts") > n)
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "dst_ip",
-            "attempts",
-        )
+        .select(*_bounds(), "dst_ip", "attempts")
     )
 
 
@@ -161,8 +155,8 @@ def flow_sessions(
     that each task merges a busy flow's packets before the shuffle.
     """
     grouped = (
-        endpoint_pair(packets.withWatermark("ts", delay))
-        .groupBy(F.session_window("ts", gap).alias("session"), *PAIR)
+        endpoint_pair(_timed(packets, "ts", delay))
+        .groupBy(F.session_window("_at", gap).alias("session"), *PAIR)
         .agg(*flow_aggregates())
     )
     return flow_columns(grouped)
@@ -174,4 +168,4 @@ def dedup_alerts(
     keys: tuple[str, ...] = ("category", "source_ip", "destination_ip", "description"),
 ) -> DataFrame:
     """Lets the first of equal alerts within the delay through."""
-    return alerts.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    return _timed(alerts, "ts", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_at")
