@@ -10,38 +10,46 @@ from pyspark.sql import types as T
 from watchfold.functions.text import clean_utf8
 
 # Numbers and words of the protocols.
-IPV4_TYPE, IPV6_TYPE = 0x0800, 0x86DD
+IPV4_TYPE, IPV6_TYPE = "0800", "86DD"
 PROTOCOLS = {6: "TCP", 17: "UDP", 1: "ICMP", 58: "ICMPv6"}
 HTTP_METHODS = ("GET", "POST", "PUT", "DELETE", "HEAD", "OPTIONS")
 HTTP_PORT, DNS_PORT = 80, 53
 
 
-def _uint(data: Column, offset: Column | int, size: int) -> Column:
-    """Big-endian unsigned number at a byte offset; NULL beyond the end."""
+def _hex(data: Column, offset: Column | int, size: int) -> Column:
     at = (F.lit(offset) if isinstance(offset, int) else offset) + 1
-    piece = F.hex(F.substring(data, at, F.lit(size)))
-    return F.conv(F.nullif(piece, F.lit("")), 16, 10).cast("int")
+    return F.hex(F.substring(data, at, F.lit(size)))
 
 
-def _ipv4_text(data: Column, offset: int) -> Column:
-    return F.concat_ws(".", *[_uint(data, offset + i, 1).cast("string") for i in range(4)])
+def _uint(data: Column, offset: Column | int, size: int) -> Column:
+    """Big-endian unsigned number at a byte offset, as ``bigint``."""
+    return F.conv(_hex(data, offset, size), 16, 10).cast("bigint")
 
 
-def _ipv6_text(data: Column, offset: int) -> Column:
-    """Canonical text: the longest run of two or more zero groups becomes ``::``."""
-    groups = [F.lower(F.hex(_uint(data, offset + 2 * i, 2).cast("bigint"))) for i in range(8)]
-    full = F.concat(*[F.concat(F.lit(":"), g) for g in groups])
-    shortened = [
-        F.when(
-            full.rlike(rf"(?::0){{{n}}}(?=:|$)"),
-            F.regexp_replace(full, rf"^(.*?)(?::0){{{n}}}(?=:|$)(.*)$", "$1:$2"),
-        )
-        for n in range(8, 1, -1)
-    ]
-    text = F.coalesce(*shortened, full)
-    # Every group carries its leading colon; only a leading or trailing `::` keeps it.
-    text = F.when(F.substring(text, -1, 1) == ":", F.concat(text, F.lit(":"))).otherwise(text)
-    return F.regexp_replace(text, r"^:(?!:)", "")
+def _ipv4_text(word: Column) -> Column:
+    octets = [F.shiftright(word, s).bitwiseAND(255).cast("string") for s in (24, 16, 8, 0)]
+    return F.concat_ws(".", *octets)
+
+
+def _zero_run() -> str:
+    """Matches one address around its longest run of zero groups, the first if several."""
+    forms = (rf"([^|]*?)(?::0){{{n}}}(?=[:|]|$)([^|]*)" for n in range(8, 1, -1))
+    return rf"(?<![^|])(?:{'|'.join(forms)})"
+
+
+def _ipv6_texts(data: Column) -> Column:
+    """Both addresses of an IPv6 header in canonical text, joined by a bar.
+
+    Groups lose their leading zeros and the longest run of zero groups becomes
+    ``::``. One chain of patterns treats both.
+    """
+    text = F.concat_ws("|", _hex(data, 22, 16), _hex(data, 38, 16))
+    text = F.regexp_replace(F.lower(text), "([0-9a-f]{4})", ":$1")
+    text = F.regexp_replace(text, ":0{1,3}", ":")
+    before, after = ("".join(f"${i}" for i in range(first, 15, 2)) for first in (1, 2))
+    text = F.regexp_replace(text, _zero_run(), f"{before}:{after}")
+    # Every group has its leading colon; only `::` keeps one at either end.
+    return F.regexp_replace(F.regexp_replace(text, ":(?=[|]|$)", "::"), "(?<![^|]):(?!:)", "")
 
 
 def _headers(frames: DataFrame) -> DataFrame:
@@ -51,15 +59,20 @@ def _headers(frames: DataFrame) -> DataFrame:
     where a projection's expressions would be copied into each use.
     """
     f = F.col("frame")
-    kind = _uint(f, 12, 2)
-    size = F.length(f)
+    kind, size = _hex(f, 12, 2), F.length(f)
     v4 = F.struct(
         F.lit(True).alias("_v4"),
-        _uint(f, 23, 1).alias("_number"),
-        (_uint(f, 14, 1).bitwiseAND(15) * 4 + 14).alias("_at"),
+        _uint(f, 26, 4).alias("_src"),
+        _uint(f, 30, 4).alias("_dst"),
+        _uint(f, 23, 1).cast("int").alias("_number"),
+        (_uint(f, 14, 1).bitwiseAND(15) * 4 + 14).cast("int").alias("_at"),
     )
     v6 = F.struct(
-        F.lit(False).alias("_v4"), _uint(f, 20, 1).alias("_number"), F.lit(54).alias("_at")
+        F.lit(False).alias("_v4"),
+        F.lit(0).cast("bigint").alias("_src"),
+        F.lit(0).cast("bigint").alias("_dst"),
+        _uint(f, 20, 1).cast("int").alias("_number"),
+        F.lit(54).alias("_at"),
     )
     found = F.when((kind == IPV4_TYPE) & (size >= 34), F.array(v4)).when(
         (kind == IPV6_TYPE) & (size >= 54), F.array(v6)
@@ -78,28 +91,43 @@ def _transport(headers: DataFrame) -> DataFrame:
     left = F.length(f) - at
     ports = ((number == 6) & (left >= 20)) | ((number == 17) & (left >= 8))
     tcp = (number == 6) & (left >= 20)
-    skip = F.when(tcp, F.shiftright(_uint(f, at + 12, 1), 4) * 4).when(
+    # The high half-byte of the first of these two bytes counts words, the second holds flags.
+    control = F.when(tcp, _uint(f, at + 12, 2).cast("int"))
+    skip = F.when(tcp, F.shiftright(F.col("_control"), 12) * 4).when(
         (number != 6) & (left >= 8), F.lit(8)
     )
+    rest = F.coalesce(F.substring(f, at + skip + 1, F.length(f)), F.lit(b""))
     parts = F.struct(
-        F.when(ports, _uint(f, at, 2)).otherwise(0).alias("src_port"),
-        F.when(ports, _uint(f, at + 2, 2)).otherwise(0).alias("dst_port"),
-        F.when(tcp, _uint(f, at + 13, 1)).alias("flag_bits"),
-        F.coalesce(F.substring(f, at + skip + 1, F.length(f)), F.lit(b"")).alias("payload"),
+        F.when(ports, _uint(f, at, 4)).otherwise(0).alias("_ports"),
+        control.alias("_control"),
+    )
+    words = headers.select("*", F.inline(F.array(parts)))
+    return words.select(
+        *headers.columns,
+        F.shiftright("_ports", 16).cast("int").alias("src_port"),
+        F.col("_ports").bitwiseAND(65535).cast("int").alias("dst_port"),
+        F.col("_control").bitwiseAND(255).alias("flag_bits"),
+        rest.alias("payload"),
     )
-    return headers.select("*", F.inline(F.array(parts)))
 
 
 def _packets(headers: DataFrame) -> DataFrame:
     f, v4 = F.col("frame"), F.col("_v4")
     names = F.create_map(*[F.lit(x) for pair in PROTOCOLS.items() for x in pair])
     protocol = F.coalesce(F.try_element_at(names, F.col("_number")), F.col("_number").cast("string"))
-    return _transport(headers).select(
+    # NULL for IPv4 frames, which skip the patterns
+    texts = _transport(headers).withColumn("_v6", F.when(~v4, _ipv6_texts(f)))
+
+    def address(word: str, place: int) -> Column:
+        v6 = F.split_part("_v6", F.lit("|"), F.lit(place))
+        return F.when(v4, _ipv4_text(F.col(word))).otherwise(v6)
+
+    return texts.select(
         "capture",
         "packet_id",
         "ts",
-        F.when(v4, _ipv4_text(f, 26)).otherwise(_ipv6_text(f, 22)).alias("src_ip"),
-        F.when(v4, _ipv4_text(f, 30)).otherwise(_ipv6_text(f, 38)).alias("dst_ip"),
+        address("_src", 1).alias("src_ip"),
+        address("_dst", 2).alias("dst_ip"),
         "src_port",
         "dst_port",
         protocol.alias("protocol"),
@@ -113,34 +141,52 @@ def _either_port(number: int) -> Column:
     return (F.col("src_port") == number) | (F.col("dst_port") == number)
 
 
-def _header(text: Column, name: str) -> Column:
-    """Value of an HTTP header, NULL if absent or empty; the last of several wins."""
-    pattern = rf"(?is)^.*\r\n[ \t]*{name}[ \t]*:[ \t]*([^\r\n]*)"
-    return F.nullif(F.rtrim(F.regexp_extract(text, pattern, 1)), F.lit(""))
+# Header names in the order of their fields.
+_HTTP_HEADERS = {
+    "http_host": "host",
+    "http_user_agent": "user-agent",
+    "http_referer": "referer",
+    "http_content_type": "content-type",
+}
+
+
+def _message_pattern(methods: tuple[str, ...]) -> str:
+    """Optional look-aheads over a whole message, so that one pass finds everything.
+
+    Groups: 1 method and 2 URI of a request, 3 mark of a response, 4 second word
+    of the first line, then the headers. The last of several equal headers wins.
+    """
+    finds = [
+        rf"({'|'.join(methods)}) ([^ \r\n]*)",
+        r"[^\r\n]*?(HTTP/)",
+        r"[^ \r\n]* ([^ \r\n]*)",
+    ]
+    finds += [rf".*\r\n[ \t]*(?i:{h})[ \t]*:[ \t]*([^\r\n]*)" for h in _HTTP_HEADERS.values()]
+    return "(?s)^" + "".join(f"(?=(?:{f})?)" for f in finds) + ".*$"
 
 
 def parse_http(packets: DataFrame, methods: tuple[str, ...] = HTTP_METHODS) -> DataFrame:
-    """Adds the HTTP columns of TCP packets from or to port 80."""
-    start = rf"^({'|'.join(methods)}) "
+    """Adds the HTTP columns of TCP packets from or to port 80; absent or empty ones are NULL."""
     web = (F.col("protocol") == "TCP") & _either_port(HTTP_PORT) & (F.length("payload") > 0)
     text = F.when(web, clean_utf8(F.col("payload").cast("string")))
-    staged = packets.withColumn("_text", text).withColumn(
-        "_line", F.split_part("_text", F.lit("\r\n"), F.lit(1))
-    )
-    line, text = F.col("_line"), F.col("_text")
-    request = line.rlike(start)
-    response = ~request & line.contains("HTTP/")
-    message = request | response
-    words = F.split(line, " ")
+    packed = "".join(f"\n${i}" for i in range(1, 5 + len(_HTTP_HEADERS)))
+    found = F.split(F.regexp_replace("_text", _message_pattern(methods), packed), "\n")
+    staged = packets.withColumn("_text", text).withColumn("_found", found)
+
+    def field(i: int) -> Column:
+        return F.get("_found", F.lit(i))
+
+    request, response = field(1) != "", (field(1) == "") & (field(3) != "")
+
+    def header(i: int) -> Column:
+        return F.when(request | response, F.nullif(F.rtrim(field(i)), F.lit("")))
+
     return staged.select(
         *packets.columns,
-        F.when(request, words[0]).alias("http_method"),
-        F.when(request, words[1]).alias("http_uri"),
-        F.when(message, _header(text, "host")).alias("http_host"),
-        F.when(message, _header(text, "user-agent")).alias("http_user_agent"),
-        F.when(message, _header(text, "referer")).alias("http_referer"),
-        F.when(message, _header(text, "content-type")).alias("http_content_type"),
-        F.when(response & line.contains(" "), words[1]).alias("http_status"),
+        F.when(request, field(1)).alias("http_method"),
+        F.when(request, field(2)).alias("http_uri"),
+        *[header(5 + i).alias(name) for i, name in enumerate(_HTTP_HEADERS)],
+        F.when(response, F.nullif(field(4), F.lit(""))).alias("http_status"),
     )
 
 
@@ -226,6 +272,7 @@ def decode(
     packets = _packets(_headers(frames))
     if transports is not None:
         packets = packets.filter(F.col("protocol").isin(*transports))
-    return parse_dns(parse_http(packets, http_methods)).withColumn(
+    # DNS first: its Python step divides the generated code into two moderate methods.
+    return parse_http(parse_dns(packets), http_methods).withColumn(
         "payload", F.substring("payload", 1, payload_bytes)
     )
