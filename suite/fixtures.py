@@ -199,7 +199,10 @@ class Inputs:
         path = f"{self.sf_dir}/{name}.parquet"
         table = self.spark.read.parquet(path)
         if not self.stream:
-            return table
+            # A table of one small file would keep one core busy; large tables have
+            # more splits than cores and stay as they are.
+            cores = self.spark.sparkContext.defaultParallelism
+            return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
         reader = self.spark.readStream.schema(table.schema)
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
 

@@ -35,19 +35,21 @@ def syn_only(flag_bits: Column, protocol: Column) -> Column:
     return (protocol == "TCP") & (flag_bits.bitwiseAND(SYN | ACK) == SYN)
 
 
+# Flag names and the bits each needs, in display order; SYN-ACK needs both.
+FLAG_NAMES = (
+    ("SYN", SYN),
+    ("SYN-ACK", SYN | ACK),
+    ("ACK", ACK),
+    ("PSH", PSH),
+    ("FIN", FIN),
+    ("RST", RST),
+)
+
+
 def flag_names(flag_bits: Column) -> Column:
-    """Names of the flags that are set, as an array; SYN-ACK needs both bits."""
-    named = (
-        ("SYN", SYN),
-        ("SYN-ACK", SYN | ACK),
-        ("ACK", ACK),
-        ("PSH", PSH),
-        ("FIN", FIN),
-        ("RST", RST),
-    )
-    return F.array_compact(
-        F.array(*[F.when(flag_bits.bitwiseAND(m) == m, name) for name, m in named])
-    )
+    """Names of the flags that are set, as an array."""
+    names = [F.when(flag_bits.bitwiseAND(m) == m, name) for name, m in FLAG_NAMES]
+    return F.array_compact(F.array(*names))
 
 
 def flag_text(flag_bits: Column) -> Column:

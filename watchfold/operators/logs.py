@@ -89,8 +89,8 @@ def _field(name: str, fields: str = "_fields") -> Column:
     return F.get(fields, F.lit(_INDEX[name]))
 
 
-def _is(fmt: str) -> Column:
-    """Whether the line matches one format; NULL or FALSE if not."""
+def _tests() -> dict[str, Column]:
+    """Whether the line matches each format; NULL or FALSE if not."""
     web = _field("status") != ""
     return {
         "apache_combined": _field("combined") != "",
@@ -100,7 +100,7 @@ def _is(fmt: str) -> Column:
         "ssh_failed": _field("login") == "Failed",
         "ssh_accepted": _field("login") == "Accepted",
         "generic": F.lit(False),
-    }[fmt]
+    }
 
 
 def _matched(lines: DataFrame) -> DataFrame:
@@ -116,7 +116,8 @@ def _matched(lines: DataFrame) -> DataFrame:
 
 
 def _detected() -> Column:
-    return F.coalesce(*[F.when(_is(f), F.lit(f)) for f in _ORDER], F.lit("generic"))
+    tests = _tests()
+    return F.coalesce(*[F.when(tests[f], F.lit(f)) for f in _ORDER], F.lit("generic"))
 
 
 def detect_format(lines: DataFrame) -> DataFrame:
@@ -139,11 +140,12 @@ def _addressed(lines: DataFrame, fmt: str, detect: str, strict: bool) -> DataFra
     fmt = ALIASES[fmt]
     matched = _matched(lines)
     if fmt != "auto":
-        chosen = F.when(_is(fmt), fmt).otherwise("generic")
+        chosen = F.when(_tests()[fmt], fmt).otherwise("generic")
     elif detect == "file":
         # One row per file on the right; no hint, so its size decides the join.
         matched = matched.join(file_formats(lines), "file_path", "left")
-        options = [F.when((F.col("file_format") == f) & _is(f), F.lit(f)) for f in _ORDER]
+        tests = _tests()
+        options = [F.when((F.col("file_format") == f) & tests[f], F.lit(f)) for f in _ORDER]
         chosen = F.coalesce(*options, F.lit("generic"))
     else:
         chosen = _detected()

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfold.functions.rules import ACK, FIN, PSH, RST, SYN, flag_text, syn_only
+from watchfold.functions.rules import ACK, FIN, FLAG_NAMES, PSH, RST, SYN, syn_only
 from watchfold.functions.times import epoch_seconds
 
 
@@ -103,6 +103,10 @@ def flow_aggregates() -> list[Column]:
     ]
 
 
+def _combination(bits: int) -> str:
+    return ",".join(name for name, mask in FLAG_NAMES if bits & mask == mask)
+
+
 def flow_columns(grouped: DataFrame) -> DataFrame:
     """Endpoints in the first packet's direction and the flag combinations as text."""
     forward = F.col("_first_backward").isNull() | (
@@ -113,8 +117,9 @@ def flow_columns(grouped: DataFrame) -> DataFrame:
     def pick(a: str, b: str) -> Column:
         return F.when(forward, F.col(a)).otherwise(F.col(b))
 
+    # The bitmap's positions are the flag combinations, whose texts are known beforehand.
     texts = [
-        F.when(F.col("_flags").bitwiseAND(1 << bits) != 0, flag_text(F.lit(bits)))
+        F.when(F.expr(f"_flags & {1 << bits}L") != 0, _combination(bits))
         for bits in range(1, _NAMED_FLAGS + 1)
     ]
     return grouped.select(
