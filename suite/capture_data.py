@@ -7,11 +7,12 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from watchfold.sources.files import open_filesystem
+
 
 def _num(value: Column | int, digits: int) -> Column:
     value = F.lit(value) if isinstance(value, int) else value
@@ -102,8 +103,7 @@ def record(micros: int, frame: bytes, order: str = "<", nanos: bool = False) ->
 
 def _write(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One capture file per task, renamed when complete so that a retry leaves no half."""
-    path = folder if "://" in folder else "file://" + folder
-    filesystem, root = pafs.FileSystem.from_uri(path)
+    filesystem, root = open_filesystem(folder)
     context = TaskContext.get()
     name = f"{root}/part-{context.partitionId():05d}.pcap"
     draft = f"{root}/_draft-{context.taskAttemptId()}"

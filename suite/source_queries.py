@@ -287,7 +287,7 @@ def _(x: Inputs) -> DataFrame:
         .groupBy("type", "value", "context", "confidence")
         .agg(F.count("*").alias("n"))
         .withColumns(
-            {"ioc_count": F.lit(header.ioc_count), "exported_at": F.lit(header.exported_at)}
+            {"ioc_count": F.lit(header.ioc_count).cast("bigint"), "exported_at": F.lit(header.exported_at)}
         )
     )
 

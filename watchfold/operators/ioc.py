@@ -96,38 +96,33 @@ def _deduplicated(iocs: DataFrame, dedup: bool) -> DataFrame:
     return merged.select(*iocs.columns)
 
 
-def domain_iocs(packets: DataFrame, dedup: bool = False) -> DataFrame:
-    """Suspicious queried domains, one row per query unless ``dedup``."""
+def _domain_ioc() -> tuple[Column, list[Column]]:
     domain = F.regexp_replace(F.col("dns_query"), r"\.+$", "")
-    rows = packets.filter(F.col("dns_query").isNotNull() & suspicious_domain(domain)).select(
-        *_ioc(
-            "domain",
-            domain,
-            F.lit("DNS query detected"),
-            F.col("ts"),
-            F.col("ts"),
-            F.lit(DOMAIN_CONFIDENCE),
-        )
+    hit = F.col("dns_query").isNotNull() & suspicious_domain(domain)
+    ts = F.col("ts")
+    return hit, _ioc(
+        "domain", domain, F.lit("DNS query detected"), ts, ts, F.lit(DOMAIN_CONFIDENCE)
     )
-    return _deduplicated(rows, dedup)
+
+
+def _url_ioc() -> tuple[Column, list[Column]]:
+    url = F.coalesce(F.concat(F.lit("http://"), "http_host", "http_uri"), F.col("http_uri"))
+    hit = F.col("http_method").isNotNull() & suspicious_uri(F.col("http_uri"))
+    context = F.concat(F.lit("HTTP "), F.col("http_method"), F.lit(" request"))
+    ts = F.col("ts")
+    return hit, _ioc("url", url, context, ts, ts, F.lit(URL_CONFIDENCE))
+
+
+def domain_iocs(packets: DataFrame, dedup: bool = False) -> DataFrame:
+    """Suspicious queried domains, one row per query unless ``dedup``."""
+    hit, row = _domain_ioc()
+    return _deduplicated(packets.filter(hit).select(*row), dedup)
 
 
 def url_iocs(packets: DataFrame, dedup: bool = False) -> DataFrame:
     """Suspicious requested URLs, one row per request unless ``dedup``."""
-    url = F.coalesce(F.concat(F.lit("http://"), "http_host", "http_uri"), "http_uri")
-    rows = packets.filter(
-        F.col("http_method").isNotNull() & suspicious_uri(F.col("http_uri"))
-    ).select(
-        *_ioc(
-            "url",
-            url,
-            F.format_string("HTTP %s request", "http_method"),
-            F.col("ts"),
-            F.col("ts"),
-            F.lit(URL_CONFIDENCE),
-        )
-    )
-    return _deduplicated(rows, dedup)
+    hit, row = _url_ioc()
+    return _deduplicated(packets.filter(hit).select(*row), dedup)
 
 
 def _tokens(texts: DataFrame, text: str, pattern: str) -> DataFrame:
@@ -169,12 +164,10 @@ def hash_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> Data
 
 
 def all_iocs(packets: DataFrame, alerts: DataFrame, dedup: bool = False) -> DataFrame:
-    """Address, domain and URL indicators in one table."""
-    return (
-        ip_iocs(packets, alerts)
-        .unionByName(domain_iocs(packets, dedup))
-        .unionByName(url_iocs(packets, dedup))
-    )
+    """Address, domain and URL indicators in one table; the latter two share a scan."""
+    found = [F.when(hit, F.struct(*row)) for hit, row in (_domain_ioc(), _url_ioc())]
+    named = packets.select(F.inline(F.array_compact(F.array(*found))))
+    return ip_iocs(packets, alerts).unionByName(_deduplicated(named, dedup))
 
 
 def above(iocs: DataFrame, confidence: int = BLOCKING) -> DataFrame:

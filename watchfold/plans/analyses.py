@@ -34,13 +34,17 @@ def analyze_logs(
     year: int | Column | None = None,
     min_confidence: int = 50,
     max_ips: int | None = None,
+    table: str | None = None,
 ) -> LogAnalysis:
-    """Parse, look up, flag and summarise log files.
+    """Parse log files once into a parquet table, then look up, flag and summarise.
 
-    ``max_ips`` limits the lookup to the busiest addresses, as a lookup against a
+    ``table`` is the folder of the entries; by default a new one below the
+    cluster's checkpoint folder. ``max_ips`` limits the lookup to the busiest addresses, as a lookup against a
     metered service would; tables need no limit.
     """
-    entries = parse_logs(read_log_lines(spark, paths), fmt, detect_by, year)
+    table = table or scratch_dir(spark, "entries")
+    parse_logs(read_log_lines(spark, paths), fmt, detect_by, year).write.parquet(table)
+    entries = spark.read.parquet(table)
     asked = entries if max_ips is None else summary.top_ips(entries, max_ips)
     enriched = intel.enrich(asked, abuse, vt)
     return LogAnalysis(
@@ -71,13 +75,16 @@ class CaptureAnalysis:
     timeline: DataFrame
 
 
-def analyze_packets(packets: DataFrame, sample: int = 100) -> CaptureAnalysis:
-    """Statistics, flows, alerts, indicators and report tables of packets.
+def analyze_packets(packets: DataFrame, table: str, sample: int = 100) -> CaptureAnalysis:
+    """Statistics, flows, alerts, indicators and report tables of stored packets.
 
-    About a dozen plans read ``packets``, so it should be a stored table.
+    Alerts and indicators, which several outputs read, are written below ``table``.
     """
-    alerts = detect.all_alerts(packets)
-    iocs = ioc.all_iocs(packets, alerts)
+    spark = packets.sparkSession
+    detect.all_alerts(packets).write.parquet(f"{table}/alerts")
+    alerts = spark.read.parquet(f"{table}/alerts")
+    ioc.all_iocs(packets, alerts).write.parquet(f"{table}/iocs")
+    iocs = spark.read.parquet(f"{table}/iocs")
     return CaptureAnalysis(
         packets=packets,
         totals=traffic.totals(packets),
@@ -104,9 +111,10 @@ def analyze_capture(
 ) -> CaptureAnalysis:
     """Decode captures once into a parquet table and analyse that.
 
-    ``table`` is the folder of the decoded packets; by default a new one below the
-    cluster's checkpoint folder.
+    ``table`` is the folder for packets, alerts and indicators; by default a new
+    one below the cluster's checkpoint folder.
     """
-    table = table or scratch_dir(spark, "packets")
-    decode(read_frames(spark, paths), transports=transports).write.parquet(table)
-    return analyze_packets(spark.read.parquet(table))
+    table = table or scratch_dir(spark, "capture")
+    frames = read_frames(spark, paths)
+    decode(frames, transports=transports).write.parquet(f"{table}/packets")
+    return analyze_packets(spark.read.parquet(f"{table}/packets"), table)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import io
 import tempfile
 import uuid
 import zipfile
@@ -10,6 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from watchfold.sources.files import open_filesystem
+
 
 def session(app: str = "watchfold", **settings: str) -> SparkSession:
     """A session with adaptive execution and UTC; cluster settings win where given."""
@@ -28,27 +31,6 @@ def session(app: str = "watchfold", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession, *packages: str) -> None:
-    """Sends source packages to the Python workers, once per application.
-
-    A job submitted with ``--py-files`` does not need this.
-    """
-    names = [p for p in packages if f"{spark.sparkContext.applicationId}/{p}" not in _shipped]
-    if not names:
-        return
-    target = Path(tempfile.mkdtemp(prefix="watchfold-ship-")) / f"{'-'.join(names)}.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for name in names:
-            root = Path(importlib.import_module(name).__file__).parent
-            for file in sorted(root.rglob("*.py")):
-                archive.write(file, file.relative_to(root.parent))
-            _shipped.add(f"{spark.sparkContext.applicationId}/{name}")
-    spark.sparkContext.addPyFile(str(target))
-
-
 _local_root: str | None = None
 
 
@@ -70,3 +52,31 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """Name of a new folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Sends source packages to the Python workers, once per application.
+
+    The archive lies in the shared checkpoint folder. A job submitted with
+    ``--py-files`` does not need this.
+    """
+    application = spark.sparkContext.applicationId
+    names = [p for p in packages if f"{application}/{p}" not in _shipped]
+    if not names:
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as target:
+        for name in names:
+            root = Path(importlib.import_module(name).__file__).parent
+            for file in sorted(root.rglob("*.py")):
+                target.write(file, file.relative_to(root.parent))
+            _shipped.add(f"{application}/{name}")
+    path = f"{scratch_dir(spark, '-'.join(names))}.zip"
+    filesystem, place = open_filesystem(path)
+    filesystem.create_dir(place.rsplit("/", 1)[0])
+    with filesystem.open_output_stream(place) as out:
+        out.write(archive.getvalue())
+    spark.sparkContext.addPyFile(path)

@@ -13,11 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold import schemas
+from watchfold.sources.files import open_filesystem
 
 # Layout of the file format.
 GLOBAL_HEADER, RECORD_HEADER = 24, 16
@@ -45,9 +45,7 @@ _ARROW_FRAMES = pa.schema(
 
 def _open(path: str) -> pa.NativeFile:
     """Random access to a file that Spark listed."""
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
-    filesystem, name = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    filesystem, name = open_filesystem(path)
     return filesystem.open_input_file(name)
 
 
