@@ -40,7 +40,13 @@ def _dns_message(query: Column, response: Column) -> Column:
     return F.when(response.isNull(), asked).otherwise(replied)
 
 
-def frames_of(packets: DataFrame) -> DataFrame:
+def _ipv6_address(ip: Column) -> Column:
+    """``2001:db8::`` with the octets of a dotted quad as the last four groups."""
+    octets = [F.split_part(ip, F.lit("."), F.lit(i)) for i in range(1, 5)]
+    return F.concat(F.lit("20010db800000000"), *[_num(o, 4) for o in octets])
+
+
+def frames_of(packets: DataFrame, version: int = 4) -> DataFrame:
     """Ethernet frames of packet rows, as the frame table of a capture named ``made``."""
     request = F.concat(
         F.col("http_method"),
@@ -70,17 +76,28 @@ def frames_of(packets: DataFrame) -> DataFrame:
     tcp_row, udp_row = F.col("protocol") == "TCP", F.col("protocol") == "UDP"
     transport = F.when(tcp_row, tcp).when(udp_row, udp).otherwise(icmp)
     number = F.when(tcp_row, F.lit("06")).when(udp_row, F.lit("11")).otherwise(F.lit("01"))
-    frame = F.concat(
-        F.lit("020000000001" + "020000000002" + "0800" + "4500"),
-        _num(F.length(transport) / 2 + size + 20, 4),
-        F.lit("0001000040"),
-        number,
-        F.lit("0000"),
-        _address(F.col("src_ip")),
-        _address(F.col("dst_ip")),
-        transport,
-        payload,
-    )
+    carried = F.length(transport) / 2 + size
+    link = F.lit("020000000001" + "020000000002")
+    if version == 4:
+        network = F.concat(
+            F.lit("08004500"),
+            _num(carried + 20, 4),
+            F.lit("0001000040"),
+            number,
+            F.lit("0000"),
+            _address(F.col("src_ip")),
+            _address(F.col("dst_ip")),
+        )
+    else:
+        network = F.concat(
+            F.lit("86dd60000000"),
+            _num(carried, 4),
+            number,
+            F.lit("40"),
+            _ipv6_address(F.col("src_ip")),
+            _ipv6_address(F.col("dst_ip")),
+        )
+    frame = F.concat(link, network, transport, payload)
     return packets.select(
         F.lit("made").alias("capture"),
         "packet_id",

@@ -5,6 +5,7 @@ Each recipe is one SQL text for both engines: placeholders hide the differences.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -207,10 +208,16 @@ class Inputs:
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
 
     def _sql(self, sql: str, **views: DataFrame) -> DataFrame:
+        # Views of their own names, so that queries of one session cannot meet.
+        names = []
         for name, df in (views or {"events": self.table("events")}).items():
-            df.createOrReplaceTempView(f"watchfold_{name}")
-            sql = sql.replace(f"FROM {name}", f"FROM watchfold_{name}")
-        return self.spark.sql(_filled(sql, _SPARK))
+            names.append(f"{name}_{uuid.uuid4().hex}")
+            df.createOrReplaceTempView(names[-1])
+            sql = sql.replace(f"FROM {name}", f"FROM {names[-1]}")
+        result = self.spark.sql(_filled(sql, _SPARK))
+        for name in names:
+            self.spark.catalog.dropTempView(name)
+        return result
 
     @cached_property
     def web_lines(self) -> DataFrame:

@@ -113,10 +113,10 @@ def _flat(packets: DataFrame) -> DataFrame:
     )
 
 
-def _frames(x: Inputs) -> DataFrame:
+def _frames(x: Inputs, version: int = 4) -> DataFrame:
     """Frames as a stored table, which is what a capture scan amounts to."""
     folder = scratch_dir(x.spark, "frames")
-    frames = frames_of(x.packets)
+    frames = frames_of(x.packets, version)
     frames.write.parquet(folder)
     return x.spark.read.schema(frames.schema).parquet(folder)
 
@@ -126,6 +126,78 @@ def decode_packets(x: Inputs) -> DataFrame:
     return _flat(decode(_frames(x))).select("packet_id", *_DECODED_COLUMNS)
 
 
+@query("k2_ipv4", P, "SELECT packet_id, src_ip, dst_ip, protocol FROM fx_packets")
+def _(x: Inputs) -> DataFrame:
+    return decode(_frames(x)).select("packet_id", "src_ip", "dst_ip", "protocol")
+
+
+def _ipv6_text(column: str) -> str:
+    """Groups are the octets in hexadecimal; a zero octet before the last joins the run."""
+    octets = [f"CAST(split_part({column}, '.', {i}) AS INTEGER)" for i in range(1, 5)]
+    groups = " || ':' || ".join(f"printf('%x', {o})" for o in octets)
+    return f"'2001:db8::' || {groups} AS {column}"
+
+
+@query(
+    "k2_ipv6",
+    P,
+    f"SELECT packet_id, {_ipv6_text('src_ip')}, {_ipv6_text('dst_ip')}, protocol, "
+    "CASE protocol WHEN 'ICMP' THEN 0 ELSE dst_port END AS dst_port FROM fx_packets",
+)
+def _(x: Inputs) -> DataFrame:
+    return decode(_frames(x, 6)).select("packet_id", "src_ip", "dst_ip", "protocol", "dst_port")
+
+
+@query(
+    "k3_tcp",
+    P,
+    """SELECT packet_id, src_port, dst_port, flag_bits,
+  CASE WHEN http_method IS NULL THEN payload_text END AS payload_text FROM fx_packets WHERE protocol = 'TCP'""",
+)
+def _(x: Inputs) -> DataFrame:
+    text = F.when(F.col("http_method").isNull(), F.col("payload").cast("string"))
+    return (
+        decode(_frames(x), transports=("TCP",))
+        .withColumn("payload_text", text)
+        .select("packet_id", "src_port", "dst_port", "flag_bits", "payload_text")
+    )
+
+
+@query(
+    "k5_udp",
+    P,
+    "SELECT packet_id, src_port, dst_port, CAST(NULL AS INTEGER) AS flag_bits FROM fx_packets WHERE protocol = 'UDP'",
+)
+def _(x: Inputs) -> DataFrame:
+    return decode(_frames(x), transports=("UDP",)).select(
+        "packet_id", "src_port", "dst_port", "flag_bits"
+    )
+
+
+@query(
+    "k6_http",
+    P,
+    """SELECT packet_id, http_method, split_part(http_uri, ' ', 1) AS http_uri, http_host,
+  'made/' || packet_id AS http_user_agent FROM fx_packets WHERE http_method IS NOT NULL""",
+)
+def _(x: Inputs) -> DataFrame:
+    return decode(_frames(x)).filter("http_method is not null").select(
+        "packet_id", "http_method", "http_uri", "http_host", "http_user_agent"
+    )
+
+
+@query(
+    "k7_dns",
+    P,
+    """SELECT packet_id, rtrim(dns_query, '.') AS dns_query, dns_response FROM fx_packets
+WHERE dns_query IS NOT NULL""",
+)
+def _(x: Inputs) -> DataFrame:
+    return decode(_frames(x)).filter("dns_query is not null").select(
+        "packet_id", "dns_query", "dns_response"
+    )
+
+
 @query(
     "k4_flag_names",
     P,
