@@ -234,6 +234,20 @@ def test_text_tokens(spark):
     ]
 
 
+def test_token_patterns_run_once(spark):
+    df = spark.createDataFrame([("x",)], "text string")
+    for tokens in (ioc.email_iocs(df), ioc.hash_iocs(df)):
+        plan = tokens._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1 and "RLIKE" not in plan
+
+
+def test_endpoint_figures(spark):
+    rows = [packet(0, "a", "b"), packet(1, "a", "c"), packet(2, "b", "c", length=5)]
+    assert tuple(traffic.endpoint_summary(frame(spark, *rows)).first()) == (3, 205, 2, 2)
+    assert tuple(traffic.unique_endpoints(frame(spark, *rows)).first()) == (2, 2)
+    assert tuple(traffic.endpoint_summary(frame(spark, *rows).filter("false")).first()) == (0, 0, 0, 0)
+
+
 def test_report_tables_survive_absent_fields(spark):
     rows = [packet(0, http_method="GET", http_uri=None), packet(1, dns_query="d" * 31, dns_response="1.2.3.4"), packet(2, dns_query="d" * 31)]
     df = frame(spark, *rows)

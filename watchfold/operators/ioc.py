@@ -126,17 +126,20 @@ def url_iocs(packets: DataFrame, dedup: bool = False) -> DataFrame:
 
 
 def _tokens(texts: DataFrame, text: str, pattern: str) -> DataFrame:
-    """Every token of a pattern in whole texts, with the row's time if it has one."""
+    """Every token of a pattern in whole texts, with the row's time if it has one.
+
+    The outer generator keeps Spark from filtering on the array first, which would
+    run the pattern a second time.
+    """
     ts = F.col("ts") if "ts" in texts.columns else F.lit(None).cast("timestamp_ntz")
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
-    return texts.filter(F.col(text).rlike(pattern)).select(
-        ts.alias("ts"), F.explode(found).alias("token")
-    )
+    tokens = texts.select(ts.alias("ts"), F.explode_outer(found).alias("token"))
+    return tokens.filter(F.col("token").isNotNull())
 
 
 def email_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> DataFrame:
     """Every address token of a text column."""
-    rows = _tokens(texts, text, EMAIL).select(
+    rows = _tokens(texts.filter(F.col(text).contains("@")), text, EMAIL).select(
         *_ioc(
             "email",
             F.col("token"),

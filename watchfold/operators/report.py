@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from watchfold.functions.net import is_private
 from watchfold.operators.intel import abuse_score, attach, vt_malicious
-from watchfold.operators.traffic import by_destination, dns_queries, http_requests
+from watchfold.operators.traffic import (
+    by_destination,
+    dns_queries,
+    endpoint_summary,
+    http_requests,
+)
 
 # Severities in report order.
 SEVERITIES = ("critical", "high", "medium", "low")
@@ -132,13 +137,9 @@ def external_destinations(packets: DataFrame, abuse: DataFrame, vt: DataFrame) -
 
 def capture_overview(packets: DataFrame, alerts: DataFrame, iocs: DataFrame) -> DataFrame:
     """One row: packets, bytes, unique ends, alerts and indicators."""
-    traffic = packets.agg(
-        F.count("*").alias("total_packets"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
-        F.count_distinct("src_ip").alias("unique_sources"),
-        F.count_distinct("dst_ip").alias("unique_destinations"),
+    parts = (
+        endpoint_summary(packets)
+        .unionByName(alerts.agg(F.count("*").alias("alerts")), allowMissingColumns=True)
+        .unionByName(iocs.agg(F.count("*").alias("iocs")), allowMissingColumns=True)
     )
-    parts = traffic.unionByName(
-        alerts.agg(F.count("*").alias("alerts")), allowMissingColumns=True
-    ).unionByName(iocs.agg(F.count("*").alias("iocs")), allowMissingColumns=True)
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])

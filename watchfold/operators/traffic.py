@@ -43,11 +43,26 @@ def top_talkers(packets: DataFrame, n: int = 10, side: str = "src_ip") -> DataFr
     return counts.orderBy(F.desc("n"), F.asc(side)).limit(n)
 
 
-def unique_endpoints(packets: DataFrame) -> DataFrame:
-    return packets.agg(
-        F.count_distinct("src_ip").alias("unique_sources"),
-        F.count_distinct("dst_ip").alias("unique_destinations"),
+def endpoint_summary(packets: DataFrame) -> DataFrame:
+    """One row: packets, bytes and the numbers of sources and destinations.
+
+    Two narrow scans, each combined per address within its tasks; two distinct
+    counts in one aggregation would triple the rows instead.
+    """
+    sources = packets.groupBy("src_ip").agg(F.count("*").alias("n"), F.sum("length").alias("b"))
+    first = sources.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_packets"),
+        F.coalesce(F.sum("b"), F.lit(0)).alias("total_bytes"),
+        F.count("src_ip").alias("unique_sources"),
     )
+    destinations = packets.select("dst_ip").distinct()
+    second = destinations.agg(F.count("dst_ip").alias("unique_destinations"))
+    parts = first.unionByName(second, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+
+
+def unique_endpoints(packets: DataFrame) -> DataFrame:
+    return endpoint_summary(packets).select("unique_sources", "unique_destinations")
 
 
 _NAMED_FLAGS = FIN | SYN | RST | PSH | ACK

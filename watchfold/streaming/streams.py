@@ -57,8 +57,13 @@ def indicator_sink(path: str, samples: int = 5) -> Callable[[DataFrame, int], No
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = _activity(batch).join(sample_lines(batch, samples), "ip_address", "left")
-        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        # Two plans read the batch; kept lines save parsing it twice, lost ones are redone.
+        kept = batch.select("ip_address", "event_time", "raw").persist()
+        try:
+            rows = _activity(kept).join(sample_lines(kept, samples), "ip_address", "left")
+            rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     return write
 
