@@ -176,15 +176,16 @@ def brute_force(
 
 
 def gap_statistics(
-    df: DataFrame, keys: list[str], ts: str = "ts", spans: tuple[int, ...] = (60, 86400)
+    df: DataFrame, keys: list[str], ts: str = "ts", spans: tuple[int, ...] = (60,)
 ) -> DataFrame:
     """Count, mean and standard deviation of the gaps between consecutive events.
 
     Exact, without putting all events of one key into one task. Events with equal
-    time are counted first (their gaps are zero), then runs of events are merged
-    in steps: all runs of a key within ``spans[0]`` seconds become one run that
-    keeps its ends and the sum of its squared gaps, these are merged over
-    ``spans[1]`` seconds, and the last step sees one row per key and day.
+    time are counted first (their gaps are zero), so that a minute of one key holds
+    at most 60 million times. Then runs of events are merged in steps: all runs of
+    a key within ``spans[0]`` seconds become one run that keeps its ends and the
+    sum of its squared gaps, and so on. The last step sees one row per key and
+    minute, half a million a year. More ``spans`` make more and smaller steps.
     """
     runs = (
         df.groupBy(*keys, ts)
