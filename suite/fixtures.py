@@ -186,10 +186,6 @@ def oracle(names: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + own
 
 
-def duck_ip() -> str:
-    return _filled("{IP}", _DUCKDB)
-
-
 class Inputs:
     """Spark inputs of the queries, batch or stream, over one scale's tables."""
 

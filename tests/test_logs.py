@@ -102,6 +102,12 @@ def test_odd_values(spark):
     assert row.event_time is None and row.timestamp_raw == "Feb 29 13:55:36"
 
 
+def test_other_line_separators_are_ordinary_characters(spark):
+    row = parsed(spark, COMBINED.replace("Mozilla/5.0", "a\u2028b\u0085c") + " tail\u2029")
+    assert (row.format, row.user_agent) == ("apache_combined", "a\u2028b\u0085c")
+    assert parsed(spark, COMBINED.replace("Mozilla/5.0", "a\nb")).user_agent == "a b"
+
+
 def test_text_of_the_line_is_trimmed_but_matched_as_it_is(spark):
     row = parsed(spark, f"  {DEFAULT}\t")
     assert row.raw == DEFAULT and row.format == "generic" and row.status_code is None

@@ -34,7 +34,7 @@ def stamp_time(year: Column, month: Column, day_time: Column) -> Column:
 
 def web_time(stamp: Column) -> Column:
     """``10/Jan/2024:13:55:36 +0000`` without its zone; NULL if it does not parse."""
-    shape = r"^(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})(?:\s.*)?$"
+    shape = r"(?s)^(\d{1,2})/([A-Za-z]{3})/(\d{4}):(\d{1,2}:\d{1,2}:\d{1,2})(?:\s.*)?$"
     part = F.split(F.regexp_replace(stamp, shape, "\n$3\n$2\n$1 $4"), "\n")
     return stamp_time(F.get(part, F.lit(1)), F.get(part, F.lit(2)), F.get(part, F.lit(3)))
 

@@ -43,7 +43,7 @@ _SSH = (
     r"|(?<accepted>Accepted)\s+(?:publickey|password)\s+for\s+)"
     rf"(?<user>\S+)\s+from\s+(?<ip2>{IP})"
 )
-_LINE = rf"^(?:{_WEB}|{_SSH}).*$"
+_LINE = rf"(?s)^(?:{_WEB}|{_SSH}).*$"
 
 # What a match is rearranged to. Groups that took no part are empty, so that two
 # groups side by side give whichever matched.
