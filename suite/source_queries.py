@@ -75,10 +75,20 @@ def _(x: Inputs) -> DataFrame:
 
 # ---- captures --------------------------------------------------------------------
 
+# The recipe counts users past 255, an answer on the wire cannot.
+_ANSWER = """'93.184.216.' || CAST(split_part(dns_response, '.', 4) AS INTEGER) % 256 AS dns_response"""
+
+
+def _carried(packets: DataFrame) -> DataFrame:
+    octet = F.split_part("dns_response", F.lit("."), F.lit(4)).cast("int") % 256
+    answer = F.concat(F.lit("93.184.216."), octet.cast("string"))
+    return packets.withColumn("dns_response", answer)
+
+
 _DECODED = """SELECT {id} ts, src_ip, dst_ip, CASE WHEN protocol = 'ICMP' THEN 0 ELSE src_port END AS src_port,
   CASE WHEN protocol = 'ICMP' THEN 0 ELSE dst_port END AS dst_port, protocol,
   CASE WHEN protocol = 'TCP' THEN flag_bits END AS flag_bits,
-  rtrim(dns_query, '.') AS dns_query, dns_response, http_method, split_part(http_uri, ' ', 1) AS http_uri, http_host,
+  rtrim(dns_query, '.') AS dns_query, {answer}, http_method, split_part(http_uri, ' ', 1) AS http_uri, http_host,
   CASE WHEN http_method IS NOT NULL THEN 'made/' || packet_id END AS http_user_agent,
   CASE WHEN http_method IS NULL AND dns_query IS NULL THEN payload_text END AS payload_text,
   CASE WHEN http_method IS NULL AND dns_query IS NULL
@@ -116,12 +126,12 @@ def _flat(packets: DataFrame) -> DataFrame:
 def _frames(x: Inputs, version: int = 4) -> DataFrame:
     """Frames as a stored table, which is what a capture scan amounts to."""
     folder = scratch_dir(x.spark, "frames")
-    frames = frames_of(x.packets, version)
+    frames = frames_of(_carried(x.packets), version)
     frames.write.parquet(folder)
     return x.spark.read.schema(frames.schema).parquet(folder)
 
 
-@query("k1_decode_packets", P, _DECODED.format(id="packet_id,"))
+@query("k1_decode_packets", P, _DECODED.format(id="packet_id,", answer=_ANSWER))
 def decode_packets(x: Inputs) -> DataFrame:
     return _flat(decode(_frames(x))).select("packet_id", *_DECODED_COLUMNS)
 
@@ -189,7 +199,7 @@ def _(x: Inputs) -> DataFrame:
 @query(
     "k7_dns",
     P,
-    """SELECT packet_id, rtrim(dns_query, '.') AS dns_query, dns_response FROM fx_packets
+    f"""SELECT packet_id, rtrim(dns_query, '.') AS dns_query, {_ANSWER} FROM fx_packets
 WHERE dns_query IS NOT NULL""",
 )
 def _(x: Inputs) -> DataFrame:
@@ -233,10 +243,10 @@ def _(x: Inputs) -> DataFrame:
     )
 
 
-@query("s3_capture_files", P, _DECODED.format(id=""))
+@query("s3_capture_files", P, _DECODED.format(id="", answer=_ANSWER))
 def _(x: Inputs) -> DataFrame:
     folder = scratch_dir(x.spark, "captures")
-    write_captures(frames_of(x.packets), folder)
+    write_captures(frames_of(_carried(x.packets)), folder)
     return _flat(decode(read_frames(x.spark, folder))).select(*_DECODED_COLUMNS)
 
 
