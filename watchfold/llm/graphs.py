@@ -25,16 +25,15 @@ def components(links: DataFrame) -> DataFrame:
     changes, so that chains take a logarithmic number of rounds. A star's centre is one
     key of the joins and takes part in map-side minima; no group is ever gathered.
     """
-    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
         better = labels.join(near.agg(F.min("component").alias("near")), "node").select(
             "node", F.col("component").alias("old"), F.least("component", "near").alias("component")
         )
-        better = stored(better, "labels")
         # the label of the label: a root's label is itself
-        root = better.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        root = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
         jumped = better.join(root, "component", "left").select(
             "node", "old", F.least("component", F.coalesce("up", "component")).alias("component")
         )
@@ -43,3 +42,11 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "component")
         if not changed:
             return labels
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that is not among ``columns``, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -9,12 +9,14 @@ are candidates.
 1. Documents of equal sets become one class; its smallest doc_id stands for it.
 2. Every class is compared with the smallest class of each of its buckets: first by the
    sketches (Jaccard estimate less the expected chance matches), then on full sets.
-3. Buckets whose members are not all connected by then are compared in blocks, pairs of
-   blocks that belong to one component left out. What passes the sketch test is compared
-   on full sets within the task, which returns a spanning forest of the true links.
+3. The other members of buckets that are not all connected by then are compared in
+   blocks, pairs of blocks that belong to one component left out, and each pair only in
+   the first band that it shares. What passes the sketch test is compared on full sets
+   within the task, which returns a spanning forest of the true links.
 
 So no group's pairs are written out, and no bucket is capped. Two documents at the
-threshold itself share no band with a chance of 5e-6; closer ones hardly ever.
+threshold itself share no band with a chance of 5e-6, and fail the sketch test with one
+of 3e-5; closer ones hardly ever.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ PER_BAND = 4
 MANTISSA = 10
 SHINGLE = 5
 #: Sketch estimates may fall short of the threshold by so many standard deviations.
-SLACK = 5.0
+SLACK = 4.0
 #: Members of a block in step 3.
 BLOCK = 128
 
@@ -89,7 +91,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matrix(sketches: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches.to_pylist()), np.uint16).reshape(len(sketches), REGISTERS)
+    """Registers of each row, from the column's bytes as they lie."""
+    if isinstance(sketches, pa.ChunkedArray):
+        sketches = sketches.combine_chunks()
+    if not len(sketches):
+        return np.empty((0, REGISTERS), np.uint16)
+    borders = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset : sketches.offset + len(sketches) + 1]
+    data = np.frombuffer(sketches.buffers()[2], np.uint8)[borders[0] : borders[-1]]
+    return data.view(np.uint16).reshape(len(sketches), REGISTERS)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +109,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, column = np.nonzero(band)
         node = batch.column("node").to_numpy()
         key = words.mix(band[row, column] + number[column])
-        yield pa.record_batch({"key": pa.array(words.signed(key)), "node": pa.array(node[row])})
+        yield pa.record_batch(
+            {
+                "key": pa.array(words.signed(key)),
+                "band": pa.array(column.astype(np.int32)),
+                "node": pa.array(node[row]),
+            }
+        )
 
 
 def chance_matches(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -165,72 +180,112 @@ def _true_pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[pa.Table]:
-    """The rows of one value of ``columns`` after another; batches are sorted by them."""
+_BLOCK_KEY = ("key", "i", "j")
+#: Block pairs of up to so many rows are compared together, row pair by row pair.
+_SMALL = 24
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole block pairs, and the borders between these; rows come sorted."""
     held: list[pa.RecordBatch] = []
-    last = None
     for batch in batches:
         if not len(batch):
             continue
-        keys = np.stack([batch.column(c).to_numpy() for c in columns])
-        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-        borders = [0, *cuts.tolist(), len(batch)]
-        for low, high in zip(borders, borders[1:], strict=False):
-            key = tuple(keys[:, low])
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(low, high - low))
-            last = key
+        held.append(batch)
+        keys = [batch.column(c).to_numpy() for c in _BLOCK_KEY]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        before = held[-2] if len(held) > 1 else None
+        if not len(cuts) and before is not None and all(before.column(c)[-1] == batch.column(c)[0] for c in _BLOCK_KEY):
+            continue  # one block pair goes on: it has two blocks at most
+        if len(cuts):
+            last = int(cuts[-1])
+            done = pa.Table.from_batches([*held[:-1], batch.slice(0, last)]).combine_chunks()
+            held = [batch.slice(last)]
+            yield done, _borders(done)
+        elif before is not None:
+            done = pa.Table.from_batches(held[:-1]).combine_chunks()
+            held = [batch]
+            yield done, _borders(done)
     if held:
-        yield pa.Table.from_batches(held)
+        done = pa.Table.from_batches(held).combine_chunks()
+        yield done, _borders(done)
 
 
-_BLOCK_KEY = ("key", "i", "j")
+def _borders(rows: pa.Table) -> np.ndarray:
+    keys = [rows.column(c).to_numpy() for c in _BLOCK_KEY]
+    cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+    return np.concatenate([[0], cuts, [len(rows)]])
 
 
-def _candidates(run: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block pair's rows in different components whose sketches fit."""
-    run = run.combine_chunks()
-    regs = _matrix(run.column("sketch").combine_chunks())
-    block, component, size = (run.column(c).to_numpy() for c in ("block", "component", "n_shingles"))
-    i, j = run.column("i")[0].as_py(), run.column("j")[0].as_py()
-    left = np.flatnonzero(block == i)
-    right = left if i == j else np.flatnonzero(block == j)
-    found_a, found_b = [], []
-    used_right = regs[right] > 0
-    for a in left:
-        other = component[right] != component[a]
-        if i == j:
-            other &= right > a
-        if not other.any():
-            continue
-        mine = regs[a] > 0
-        equal = ((regs[right] == regs[a]) & mine).sum(1)
-        used = (used_right | mine).sum(1)
-        fits = other & _likely(equal, used, size[right], np.full(len(right), size[a]), threshold)
-        b = right[fits]
-        found_a.append(np.full(len(b), a))
-        found_b.append(b)
-    if not found_a:
+def _candidates(rows: pa.Table, borders: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows in one block pair that may be linked, in the order of block pairs.
+
+    The two lie in different components, their sketches fit, and this bucket's band is
+    the first in which they agree, so that no pair is looked at in two buckets.
+    """
+    regs = _matrix(rows.column("sketch"))
+    bands = regs.view(np.uint64)
+    i, j, block, band, component, size = (
+        rows.column(c).to_numpy() for c in ("i", "j", "block", "band", "component", "n_shingles")
+    )
+
+    def kept(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        fits = component[a] != component[b]
+        same = (bands[a] == bands[b]) & (bands[a] != 0)
+        fits &= same.argmax(1) == band[a]
+        a, b = a[fits], b[fits]
+        x, y = regs[a], regs[b]
+        equal, used = ((x == y) & (x > 0)).sum(1), ((x | y) > 0).sum(1)
+        fits[fits] = _likely(equal, used, size[a], size[b], threshold)
+        return fits
+
+    found: list[np.ndarray] = []
+    sizes = np.diff(borders)
+    for n in range(2, _SMALL + 1):
+        start = borders[:-1][sizes == n]
+        a, b = np.triu_indices(n, 1)
+        for low in range(0, len(start), max(1, 20_000 // len(a))):
+            some = start[low : low + max(1, 20_000 // len(a)), None]
+            x, y = (some + a).ravel(), (some + b).ravel()
+            # of two blocks, only rows of different ones are compared
+            across = (i[x] == j[x]) | (block[x] != block[y])
+            x, y = x[across], y[across]
+            fits = kept(x, y)
+            found.append(np.stack([x[fits], y[fits]]))
+    for k in np.flatnonzero(sizes > _SMALL):
+        each = np.arange(borders[k], borders[k + 1])
+        one = i[each[0]] == j[each[0]]
+        left = each if one else each[block[each] == i[each[0]]]
+        right = each if one else each[block[each] != i[each[0]]]
+        for a in left:
+            b = right[right > a] if one else right
+            b = b[component[b] != component[a]]
+            if len(b):
+                b = b[kept(np.full(len(b), a), b)]
+                found.append(np.stack([np.full(len(b), a), b]))
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
+    pairs = np.concatenate(found, axis=1)
+    pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+    return pairs[0], pairs[1]
 
 
 def _block_members(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """The rows of each block pair that have a candidate in it."""
-    for run in _runs(batches, _BLOCK_KEY):
-        a, b = _candidates(run, threshold)
+    for rows, borders in _blocks(batches):
+        a, b = _candidates(rows, borders, threshold)
         if len(a):
-            keep = np.unique(np.concatenate([a, b]))
-            yield from run.take(pa.array(keep)).combine_chunks().to_batches()
+            yield from rows.take(pa.array(np.unique(np.concatenate([a, b])))).combine_chunks().to_batches()
 
 
 def _block_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the true links between components in each block pair."""
-    for run in _runs(batches, _BLOCK_KEY):
-        run = run.combine_chunks()
+    for rows, borders in _blocks(batches):
+        node, component = (rows.column(c).to_numpy() for c in ("node", "component"))
+        full = rows.column("shingles").combine_chunks()
+        linked_a, linked_b = [], []
         parent: dict[int, int] = {}
+        now = -1
 
         def root(x: int, parent=parent) -> int:
             while parent.setdefault(x, x) != x:
@@ -238,14 +293,16 @@ def _block_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
                 x = parent[x]
             return x
 
-        node, component, full = (run.column(c) for c in ("node", "component", "shingles"))
-        linked_a, linked_b = [], []
-        for a, b in zip(*_candidates(run, threshold), strict=True):
-            ra, rb = root(component[a].as_py()), root(component[b].as_py())
-            if ra != rb and _linked(full[a].as_buffer(), full[b].as_buffer(), threshold):
-                parent[ra] = rb
-                linked_a.append(node[a].as_py())
-                linked_b.append(node[b].as_py())
+        a, b = _candidates(rows, borders, threshold)
+        for x, y, pair in zip(a, b, np.searchsorted(borders, a, side="right"), strict=True):
+            if pair != now:
+                parent.clear()
+                now = pair
+            rx, ry = root(component[x]), root(component[y])
+            if rx != ry and _linked(full[x].as_buffer(), full[y].as_buffer(), threshold):
+                parent[rx] = ry
+                linked_a.append(node[x])
+                linked_b.append(node[y])
         if linked_a:
             yield pa.record_batch({"a": pa.array(linked_a, pa.int64()), "b": pa.array(linked_b, pa.int64())})
 
@@ -267,33 +324,27 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     nothing, has no component_id and is kept. Equal rows get equal results; texts for
     which the same doc_id stands count as linked. Other columns are not looked at.
     """
-    spark = docs.sparkSession
-    ship(spark, "watchfold")
+    ship(docs.sparkSession, "watchfold")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = stored(docs.mapInArrow(_sketches, _SKETCHED), "sketches")
     equal = ["set_a", "set_b", "n_shingles"]
-    reps = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*equal).agg(F.min("doc_id").alias("node"))
-    members = stored(sketched.drop("sketch").join(reps, equal, "left"), "members")
-    own = sketched.join(reps, equal).filter("doc_id = node")
-    classes = stored(own.select("node", "n_shingles", "sketch").dropDuplicates(["node"]), "classes")
+    classes = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*equal).agg(
+        F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")
+    )
+    classes = stored(classes, "classes")
 
-    rows = classes.select("node", "sketch").mapInArrow(_bands, "key long, node long")
+    rows = classes.select("node", "sketch").mapInArrow(_bands, "key long, band int, node long")
     shared = rows.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).filter("center < last")
-    buckets = stored(rows.join(shared.select("key", "center"), "key"), "buckets")
-
-    def with_sketches(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            pairs = pairs.join(
-                classes.select(
-                    F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
-                ),
-                side,
-            )
-        return pairs
+    buckets = stored(rows.join(shared.select("key", "center"), "key").filter("node <> center"), "buckets")
 
-    stars = buckets.filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
-    likely = with_sketches(stars).mapInArrow(partial(_likely_pairs, threshold=threshold), "a long, b long")
-    likely = stored(likely, "pairs")
+    # step 2: every class and the centres of its buckets
+    pairs = buckets.select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    for side in "ab":
+        own = classes.select(
+            F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
+        )
+        pairs = pairs.join(own, side)
+    likely = stored(pairs.mapInArrow(partial(_likely_pairs, threshold=threshold), "a long, b long"), "pairs")
     ends = likely.select(F.col("a").alias("node")).union(likely.select("b"))
     full = stored(_sets_of(docs, ends, classes), "sets")
     pairs = likely
@@ -302,15 +353,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     links = stored(pairs.mapInArrow(partial(_true_pairs, threshold=threshold), "a long, b long"), "links")
     labels = components(links)
 
-    # step 3: buckets of more than one component
-    placed = buckets.select("key", "node").join(labels, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    ordered = Window.partitionBy("key").orderBy("component", "node")
-    placed = placed.join(mixed.select("key"), "key").withColumn(
-        "block", F.floor((F.row_number().over(ordered) - 1) / F.lit(BLOCK)).cast("int")
+    # step 3: the others of a bucket, where they are of more than one component
+    placed = buckets.join(labels, "node", "left").select(
+        "key", "band", "node", F.coalesce("component", "node").alias("component")
     )
-    placed = stored(placed, "blocks")
+    whole = Window.partitionBy("key")
+    placed = placed.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole))
+    place = F.row_number().over(whole.orderBy("component", "node")) - 1
+    placed = placed.filter("low < high").withColumn("block", F.floor(place / F.lit(BLOCK)).cast("int"))
+    placed = stored(placed.drop("low", "high"), "blocks")
     span = placed.groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     left = span.select("key", F.col("block").alias("i"), F.col("low").alias("low_i"), F.col("high").alias("high_i"))
     right = span.select("key", F.col("block").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
@@ -319,7 +370,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     ).select("key", "i", "j")
     sides = block_pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     laid = sides.join(placed, ["key", "block"]).join(classes, "node")
-    laid = laid.select(*_BLOCK_KEY, "block", "node", "component", "n_shingles", "sketch")
+    laid = laid.select(*_BLOCK_KEY, "block", "band", "node", "component", "n_shingles", "sketch")
     order = [*_BLOCK_KEY, "node"]
     chosen = laid.repartition(*_BLOCK_KEY).sortWithinPartitions(*order)
     chosen = stored(chosen.mapInArrow(partial(_block_members, threshold=threshold), laid.schema), "blocks")
@@ -329,7 +380,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
         more = checked.mapInArrow(partial(_block_links, threshold=threshold), "a long, b long")
         labels = components(links.unionByName(stored(more, "links")))
 
-    found = members.join(labels, "node", "left").select(
+    found = sketched.drop("sketch").join(classes.drop("sketch"), equal, "left").join(labels, "node", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"),
