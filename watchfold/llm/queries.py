@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from watchfold.llm import near_dups
+from watchfold.llm import decontaminate, line_dedup, lm, mixing, near_dups, quality, shards, token_counts, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +55,148 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_i
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+_ALNUM = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query(
+    rf"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS ws FROM documents),
+b AS (SELECT item_id, {_ALNUM} AS ws FROM benchmark),
+pattern AS (
+  SELECT DISTINCT item_id, len(ws[i:i+9]) AS n, array_to_string(ws[i:i+9], ' ') AS p
+  FROM b, unnest(range(1, greatest(len(ws) - 8, 2))) AS t(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM pattern),
+place AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i+n-1], ' ') AS p
+  FROM d, unnest(range(1, len(ws) + 1)) AS t(i), sizes WHERE i + n - 1 <= len(ws)),
+hit AS (SELECT pl.doc_id, pl.i, pl.n, pa.item_id FROM place pl JOIN pattern pa ON pa.p = pl.p AND pa.n = pl.n),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS t(k) GROUP BY 1),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""
+)
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in passages of the benchmark."""
+    found = decontaminate.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@_query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model of the labels that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    scores = toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+    return scores.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+#: Tokenizer of op8_token_counts, by its public name.
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+
+
+@_query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@_query()
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources takes of every document."""
+    taken = mixing.mix(_table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+_LINE = r"trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+@_query(
+    rf"""
+WITH l AS (
+  SELECT doc_id, i, x, {_LINE} AS line
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM documents WHERE text IS NOT NULL)),
+w AS (
+  SELECT doc_id, i AS low, lead(i, 2) OVER p AS high, line AS a, lead(line) OVER p AS b, lead(line, 2) OVER p AS c
+  FROM l WHERE line <> '' WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+later AS (
+  SELECT doc_id, low, high FROM (
+    SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, low) AS n FROM w WHERE high IS NOT NULL)
+  WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS i FROM later),
+texts AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+    string_agg(l.x, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL) AS text
+  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY 1)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(t.text, '') END AS text
+FROM documents d LEFT JOIN texts t ON t.doc_id = d.doc_id
+"""
+)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without passages of three lines that stood earlier."""
+    return line_dedup.without_repeated_lines(_table(spark, sf_dir, "documents"))
+
+
+SHARDS = 24
+
+
+@_query()
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = shards.shard(rows, SHARDS)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document against its language's usual text."""
+    documents = _table(spark, sf_dir, "documents")
+    return quality.quality(documents, quality.references(documents))
+
+
+@_query()
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL by policy and mined rules."""
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
+@_query()
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document by a model of those not held out."""
+    scores = lm.score(_table(spark, sf_dir, "documents"), ~lm.held_out(F.col("doc_id")))
+    return scores.select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
