@@ -14,6 +14,7 @@ of one block, the usual case, is scanned in one pass.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 from itertools import repeat
@@ -81,15 +82,16 @@ class Automaton:
         return [(low, high) for low, high in ranges], items
 
 
-_built: dict[int, Automaton] = {}
+_built: dict[str, Automaton] = {}
 
 
 def _automaton(items: Broadcast, window: int) -> Automaton:
     """The block's automaton, built once per worker process."""
-    if items.id not in _built:
+    name, rows = items.value
+    if name not in _built:
         _built.clear()
-        _built[items.id] = Automaton(items.value, window)
-    return _built[items.id]
+        _built[name] = Automaton(rows, window)
+    return _built[name]
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -169,7 +171,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
     for k in range(count):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
         rows = [(r[0], r[1]) for r in block.collect()]
-        yield spark.sparkContext.broadcast(rows)
+        yield spark.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

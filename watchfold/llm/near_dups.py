@@ -41,7 +41,7 @@ SHINGLE = 5
 #: Sketch estimates may fall short of the threshold by so many standard deviations.
 SLACK = 4.0
 #: Members of a block in step 3.
-BLOCK = 128
+BLOCK = 512
 
 _REST = 64 - 7
 _SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, sketch binary"

@@ -39,15 +39,15 @@ _tokenizers: dict[str, Tokenizer] = {}
 
 
 def _tokenizer(definition: Broadcast) -> Tokenizer:
-    key = str(definition.id)
-    if key not in _tokenizers:
-        _tokenizers[key] = Tokenizer.from_str(definition.value)
-    return _tokenizers[key]
+    text = definition.value
+    if text not in _tokenizers:
+        _tokenizers[text] = Tokenizer.from_str(text)
+    return _tokenizers[text]
 
 
 def piece_counts(tokenizer: Tokenizer, pretokens: list[bytes]) -> list[int]:
     """Number of pieces of each pre-token."""
-    encoded = tokenizer.encode_batch_fast([x.decode() for x in pretokens], add_special_tokens=False)
+    encoded = tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in pretokens], add_special_tokens=False)
     return [len(x) for x in encoded]
 
 
@@ -92,6 +92,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _spread(text_hash: int, doc_id: int | None) -> int:
+    """Where a document's own row goes: copies of one text to different tasks."""
+    return _signed(xxhash.xxh3_64_intdigest(f"{text_hash} {doc_id}"))
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch], head: Broadcast) -> Iterator[pa.RecordBatch]:
     """A row per document with the pieces of its frequent pre-tokens, and a row for each
     other distinct pre-token of the document."""
@@ -118,7 +123,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], head: Broadcast) -> Iterator
                 [doc_id, *repeat(doc_id, size)],
                 [text_hash, *repeat(text_hash, size)],
                 [None, *rest],
-                [text_hash, *(_signed(xxhash.xxh3_64_intdigest(x)) for x in rest)],
+                [_spread(text_hash, doc_id), *(_signed(xxhash.xxh3_64_intdigest(x)) for x in rest)],
                 [pieces, *(counts[x] for x in rest)],
                 [len(text), *repeat(0, size)],
                 [1, *repeat(0, size)],
