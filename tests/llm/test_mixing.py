@@ -36,10 +36,9 @@ def test_points_below():
         assert got.tolist() == [int((points[:k] < x).sum()) for k in range(301)]
 
 
-def test_schedule_meets_targets(monkeypatch):
-    monkeypatch.setattr(mixing, "BLOCK_WORDS", 10)
+def test_schedule_meets_targets():
     size, target = np.array([95, 0, 300, 31]), np.array([190, 0, 150, 86])
-    plan = mixing.Schedule(size, target)
+    plan = mixing.Schedule(size, target, 10)
     source, block, take = plan.at(np.arange(plan.slots))
     assert np.bincount(source, take, 4).tolist() == target.tolist()
     for s in range(4):
@@ -79,7 +78,7 @@ def test_odd_rows(odd, none):
     assert len(rows) == 13
     assert all(r["taken"] == 0 for r in rows if r["doc_id"] in (3, 4, 5))
     null = [r for r in rows if r["source"] is None]
-    assert len(null) == 2 and all(r["target"] == null[0]["target"] for r in null)
+    assert [(r["doc_id"], r["source_size"]) for r in null] == [(2, 10)]
     assert mixing.mixed(odd).columns == odd.columns
     assert mixing.mixed(odd).count() >= 1
     assert mixing.mix(none).collect() == [] and mixing.mixed(none).collect() == []

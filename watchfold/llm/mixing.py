@@ -92,17 +92,18 @@ class Schedule:
 
     size: np.ndarray
     target: np.ndarray
+    block_words: int = BLOCK_WORDS
 
     def __post_init__(self):
         total = int(self.target.sum())
         share = np.concatenate([[0], np.cumsum(self.target)]) / max(total, 1)
         self.border = np.round(share * 2.0**_BITS).astype(np.int64)
         self.border[-1] = np.int64(1) << _BITS
-        self.regular = -(-total // BLOCK_WORDS)
-        self.blocks = -(-self.size // BLOCK_WORDS)
+        self.regular = -(-total // self.block_words)
+        self.blocks = -(-self.size // self.block_words)
         whole = self.target // np.maximum(self.size, 1)
         rest = self.target - whole * self.size
-        self.needed = whole * self.blocks + -(-rest // BLOCK_WORDS)
+        self.needed = whole * self.blocks + -(-rest // self.block_words)
         every = np.full(len(self.size), self.regular, np.int64)
         given = points_below(every, self.border[1:]) - points_below(every, self.border[:-1])
         self.given = given
@@ -121,8 +122,8 @@ class Schedule:
         source[~regular], rank[~regular] = s, self.given[s] + extra - self.missing[s]
         blocks, size = np.maximum(self.blocks[source], 1), self.size[source]
         epoch, block = rank // blocks, rank % blocks
-        before = epoch * size + block * BLOCK_WORDS
-        length = np.minimum(BLOCK_WORDS, size - block * BLOCK_WORDS)
+        before = epoch * size + block * self.block_words
+        length = np.minimum(self.block_words, size - block * self.block_words)
         return source, block, np.clip(self.target[source] - before, 0, length)
 
 
@@ -161,7 +162,7 @@ def mix(docs: DataFrame) -> DataFrame:
     size = [r["size"] for r in found]
     target = targets(size, [1 + k % 3 for k in range(len(found))])
     whole = np.minimum(np.floor(np.array(target) + 0.5).astype(np.int64), MOST_REPEATS * np.array(size, np.int64))
-    schedule = Schedule(np.array(size, np.int64), whole)
+    schedule = Schedule(np.array(size, np.int64), whole, BLOCK_WORDS)
 
     known = T.StructType.fromDDL("number long, source string, source_size long, target double")
     sources = spark.createDataFrame(

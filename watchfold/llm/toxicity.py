@@ -1,12 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the distinct words of a text (Unicode lower case; anything but letters, digits
-and non-ASCII characters separates), hashed to 2**18 features. A weight per feature and
+and non-ASCII characters separates) and their beginnings, hashed to 2**18 features. A weight per feature and
 the products of latent vectors, one per pair of features, make the score, so that two
 words may say together what neither says alone.
 
-Learning follows AdaGrad with an L1 step on the weights; only features with a weight have
-a latent vector. It uses a bounded sample of the labelled rows, in the order of a hash of
+Learning follows AdaGrad with an L1 step on the weights. Features that chance may tie to
+the labels are left out, and only features with a weight have a latent vector. It uses a bounded sample of the labelled rows, in the order of a hash of
 doc_id: at most ``MAX_ROWS`` rows and ``MAX_TERMS`` terms. Everything else, the scoring,
 covers all rows and whole texts.
 """
@@ -31,16 +31,20 @@ from watchfold.session import ship
 
 FEATURES = 1 << 18
 FACTORS = 8
+#: Bytes of a word's beginning, which is a term of its own.
+BEGINNING = 4
 #: Bounds of the labelled sample that the model is fitted on.
 MAX_ROWS = 20_000
 MAX_TERMS = 12_000_000
 
-#: Features in fewer documents of the sample get no weight.
+#: Features in fewer documents of the sample, or less surely tied to the labels (by the
+#: chi-squared statistic), get no weight.
 _LEAST_DOCUMENTS = 3
-_EPOCHS = 12
+_LEAST_TIE = 15.0
+_EPOCHS = 20
 _BATCH = 256
-_RATE = 0.1
-_L1 = 2e-4
+_RATE = 0.3
+_L1 = 1e-4
 _L2 = 1e-4
 
 
@@ -76,8 +80,10 @@ def _features(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.
     column = pc.utf8_lower(batch.column("text").cast(pa.large_string()))
     for piece in words.pieces(column):
         found = words.split(piece.data, piece.offsets, words.NOT_ALNUM)
-        feature = (words.hash_words(piece.data, found) & np.uint64(FEATURES - 1)).astype(np.int64)
-        yield piece.first, piece.last - piece.first, feature, found.row
+        starts = words.Words(found.start, np.minimum(found.end, found.start + BEGINNING), found.first)
+        hashes = [words.hash_words(piece.data, found), words.mix(words.hash_words(piece.data, starts))]
+        feature = (np.concatenate(hashes) & np.uint64(FEATURES - 1)).astype(np.int64)
+        yield piece.first, piece.last - piece.first, feature, np.tile(found.row, 2)
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,6 +134,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
     return learn(feature, border, table.column("toxic").to_numpy().astype(np.float64))
 
 
+def _tied(feature: np.ndarray, border: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Features that are common enough and surely tied to the labels."""
+    seen = np.bincount(feature, minlength=FEATURES).astype(np.float64)
+    toxic = np.bincount(feature, np.repeat(label, np.diff(border)), FEATURES)
+    share = label.mean() if len(label) else 0.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tie = (toxic - seen * share) ** 2 / (seen * share * (1 - share) * (1 - seen / len(label)))
+    return (seen >= _LEAST_DOCUMENTS) & (np.nan_to_num(tie, posinf=0.0) >= _LEAST_TIE)
+
+
 def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
     """Fits a model to rows whose features are ``feature[border[i]:border[i + 1]]``."""
     rows = len(label)
@@ -136,7 +152,7 @@ def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int
     weight, weight_sum = np.zeros(FEATURES), np.full(FEATURES, 1e-6)
     rng = np.random.default_rng(seed)
     latent, latent_sum = rng.normal(0, 0.05, (FEATURES, FACTORS)), np.full((FEATURES, FACTORS), 1e-2)
-    usable = np.bincount(feature, minlength=FEATURES) >= _LEAST_DOCUMENTS
+    usable = _tied(feature, border, label)
     bias_sum = 1e-6
     for _ in range(_EPOCHS if rows else 0):
         order = rng.permutation(rows)
