@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -37,21 +38,39 @@ _local_root: str | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Only without that setting (local tests) does a temporary folder take its place.
+    Without that setting a local master, all of whose tasks share one disk, gets a
+    temporary folder; a cluster must name one.
     """
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="watchfold-")
         spark.sparkContext.setCheckpointDir(_local_root)
     return _local_root
 
 
+_removed_at_end: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """Name of a new folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """Name of a new folder below the shared checkpoint folder.
+
+    It lies in a folder of the application, which goes when the driver ends.
+    """
+    base = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}"
+    if base not in _removed_at_end:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        filesystem.mkdirs(path)
+        filesystem.deleteOnExit(path)
+        _removed_at_end.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 _shipped: set[str] = set()

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold import schemas
+from watchfold.session import ship
 from watchfold.sources.files import open_filesystem
 
 # Layout of the file format.
@@ -27,6 +29,7 @@ MAGICS = {
     b"\x4d\x3c\xb2\xa1": ("<", 1_000_000_000),
     b"\xa1\xb2\x3c\x4d": (">", 1_000_000_000),
 }
+# What a header's record limit of 0, or one beyond a file's size, stands for at least.
 MAX_RECORD = 262_144
 
 CHUNK_BYTES = 64 << 20
@@ -58,21 +61,33 @@ class _Capture:
         if len(head) < GLOBAL_HEADER or head[:4] not in MAGICS:
             raise ValueError(f"not a classic capture file: {path}")
         self.order, self.ticks = MAGICS[head[:4]]
-        self.limit = MAX_RECORD
+        # records are at most as long as the header says, and as the file
+        named, self.link = struct.unpack(self.order + "II", head[16:24])
+        self.limit = min(max(named, MAX_RECORD), max(length, MAX_RECORD))
         self.header = struct.Struct(self.order + "IIII")
 
     def first_record(self, start: int) -> int:
         """Offset of a record boundary at or after ``start``, the file's end if none.
 
         A boundary is an offset from which plausible headers chain on for longer
-        than any single record can be, so that no payload can fake the whole chain.
+        than a usual record, so that hardly any payload can fake the whole chain; one
+        that does is found out by the walk that has to hit it. If longer records leave
+        no boundary near ``start``, more of the file is searched.
         """
         if start == 0:
             return GLOBAL_HEADER
-        if start >= self.length:
-            return self.length
-        reach = self.limit + RECORD_HEADER
-        window = self.file.read_at(min(4 * reach, self.length - start), start)
+        reach = MAX_RECORD + RECORD_HEADER
+        size = 4 * reach
+        while start < self.length:
+            found = self._boundary(start, size, reach)
+            if found is not None:
+                return found
+            size *= 4
+        return self.length
+
+    def _boundary(self, start: int, size: int, reach: int) -> int | None:
+        """The first boundary within ``size`` bytes, None if that is not enough to tell."""
+        window = self.file.read_at(min(size, self.length - start), start)
         at_end = start + len(window) == self.length
         raw = np.frombuffer(window, dtype=np.uint8).astype(np.uint32)
         places = len(window) - RECORD_HEADER + 1
@@ -92,15 +107,14 @@ class _Capture:
                 at += RECORD_HEADER + int(kept[at])
             if at - candidate > reach or (at_end and at >= len(window) - RECORD_HEADER):
                 return start + int(candidate)
-        if at_end:
-            return self.length
-        raise ValueError(f"no record boundary after byte {start} of {self.path}")
+        return self.length if at_end else None
 
-    def records(self, first: int, stop: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    def records(self, first: int, stop: int, on_damage: str = "fail") -> Iterator[tuple[int, int, int, int, bytes]]:
         """Records from offset ``first`` on: offset, seconds, ticks, length, bytes.
 
         Ends at ``stop``, which must be a boundary. A record cut off by the end of
-        the file gives the bytes that are there.
+        the file gives the bytes that are there. A length beyond the file's limit is
+        damage and fails, or ends the walk if ``on_damage`` is stop.
         """
         at, base, block = first, first, b""
         while at < stop and at + RECORD_HEADER <= self.length:
@@ -108,19 +122,19 @@ class _Capture:
                 base, block = at, self.file.read_at(_BATCH_BYTES, at)
             seconds, ticks, kept, original = self.header.unpack_from(block, at - base)
             if kept > self.limit:
-                if stop < self.length:
-                    raise ValueError(f"damaged record at byte {at} of {self.path}, use split=False")
-                return
+                if on_damage == "stop":
+                    return
+                raise ValueError(f"damaged record at byte {at} of {self.path}, see on_damage")
             body = at + RECORD_HEADER
             if body + kept > base + len(block):
                 base, block = at, self.file.read_at(max(_BATCH_BYTES, kept + RECORD_HEADER), at)
             yield at, seconds, ticks, original, block[body - base : body - base + kept]
             at = body + kept
         if at > stop and stop < self.length:
-            raise ValueError(f"byte {stop} of {self.path} is no record boundary, use split=False")
+            raise ValueError(f"byte {stop} of {self.path} is no record boundary, see on_damage")
 
 
-def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frames(batches: Iterator[pa.RecordBatch], on_damage: str = "fail") -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             capture = _Capture(row["path"], row["length"])
@@ -129,7 +143,7 @@ def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, stop = capture.first_record(row["start"]), capture.first_record(row["end"])
             columns: list[list] = [[], [], [], []]
             held = 0
-            for at, seconds, ticks, original, frame in capture.records(first, stop):
+            for at, seconds, ticks, original, frame in capture.records(first, stop, on_damage):
                 micros = seconds * 1_000_000 + ticks * 1_000_000 // capture.ticks
                 for column, value in zip(columns, (at, micros, original, frame)):
                     column.append(value)
@@ -153,47 +167,74 @@ def _batch(path: str, columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_FRAMES)
 
 
+def _skipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where the walk over each file ends for damage, and the bytes behind that."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            capture = _Capture(row["path"], row["length"])
+            at = GLOBAL_HEADER
+            for at, _, _, _, frame in capture.records(GLOBAL_HEADER, capture.length, "stop"):
+                at += RECORD_HEADER + len(frame)
+            if at + RECORD_HEADER <= capture.length:
+                yield pa.RecordBatch.from_pydict(
+                    {"capture": [row["path"]], "damaged_at": [at], "skipped_bytes": [capture.length - at]}
+                )
+
+
+def _ranges(files: DataFrame, size: Column) -> DataFrame:
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), size)
+    return files.select("path", "length", F.explode(starts).alias("start")).withColumn(
+        "end", F.least(F.col("start") + size, F.col("length"))
+    )
+
+
 def read_frames(
     spark: SparkSession,
     paths: str | list[str],
     chunk_bytes: int = CHUNK_BYTES,
-    split: bool = True,
+    on_damage: str = "fail",
 ) -> DataFrame:
     """Frames of capture files: ``capture, packet_id, ts, orig_len, frame``.
 
     ``packet_id`` is the record's byte offset: unique within a capture, rising, and
     known without counting. Ranges of a file are read in parallel; a job either
     reads every record exactly once or fails. Damaged files, which only a walk
-    from the start can judge, need ``split=False`` (one task per file, reading
-    stops at the damage). Building the plan runs one job over the file listing.
+    from the start can judge, can be read up to the damage with ``on_damage='stop'``,
+    in one task per file; ``skipped_bytes`` tells what that leaves out.
     """
+    if on_damage not in ("fail", "stop"):
+        raise ValueError(f"on_damage must be 'fail' or 'stop', not {on_damage!r}")
     if chunk_bytes < 4 * MAX_RECORD:
         raise ValueError(f"chunk_bytes must be at least {4 * MAX_RECORD}")
+    ship(spark, "watchfold")
+    files = spark.read.format("binaryFile").load(paths)
+    size = F.lit(chunk_bytes) if on_damage == "fail" else F.greatest(F.col("length"), F.lit(1))
+    # Rows are tiny but stand for much work: a number of partitions from the files' size,
+    # known from their listing, keeps adaptive execution from merging them.
+    total = int(str(files._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    ranges = _ranges(files, size).repartition(max(1, -(-total // chunk_bytes)))
+    return ranges.mapInArrow(partial(_frames, on_damage=on_damage), schemas.FRAMES)
+
+
+def skipped_bytes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``capture, damaged_at, skipped_bytes`` of files that ``on_damage='stop'`` cuts off."""
+    ship(spark, "watchfold")
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
-    size = F.lit(chunk_bytes) if split else F.greatest(F.col("length"), F.lit(1))
-    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), size)
-    ranges = files.select("path", "length", F.explode(starts).alias("start")).withColumn(
-        "end", F.least(F.col("start") + size, F.col("length"))
-    )
-    # Rows are tiny but stand for much work: an explicit number of partitions keeps
-    # adaptive execution from merging them.
-    tasks = max(1, min(ranges.count(), 100_000))
-    return ranges.repartition(tasks).mapInArrow(_frames, schemas.FRAMES)
+    return files.mapInArrow(_skipped, "capture string, damaged_at bigint, skipped_bytes bigint")
 
 
 def read_frame_stream(
-    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    folder: str,
+    max_files_per_trigger: int | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Frames of capture files that appear in a folder, one task per file."""
+    """Frames of capture files that appear in a folder, by the same ranges."""
+    ship(spark, "watchfold")
     reader = spark.readStream.format("binaryFile").schema(
         "path string, modificationTime timestamp, length bigint, content binary"
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    whole = reader.load(folder).select(
-        "path",
-        "length",
-        F.lit(0).cast("bigint").alias("start"),
-        F.col("length").alias("end"),
-    )
-    return whole.mapInArrow(_frames, schemas.FRAMES)
+    ranges = _ranges(reader.load(folder), F.lit(chunk_bytes))
+    return ranges.repartition("path", "start").mapInArrow(_frames, schemas.FRAMES)

@@ -8,9 +8,6 @@ from pyspark.sql import Window
 
 from watchfold.functions.text import clean_utf8
 
-# At some 200 bytes a row this is a table of about 200 MB, for 128 TB of text.
-MAX_BROADCAST_SPLITS = 1_000_000
-
 
 def read_log_lines(
     spark: SparkSession, paths: str | list[str], numbered: bool = True
@@ -20,9 +17,8 @@ def read_log_lines(
     The text scan stays splittable, so one huge file is read by many tasks. A
     line's number is its place within its split plus the lines of all earlier
     splits of the file. The second figure comes from a count per split, a table of
-    one row for each 128 MB or so, which is joined back: by broadcast if the scan
-    has at most ``MAX_BROADCAST_SPLITS`` splits, which is known before it runs,
-    else by whatever join Spark chooses.
+    one row for each 128 MB or so, which is joined back without a hint: Spark knows its
+    measured size when it picks the join.
 
     Both scans must see the same splits. The join key holds the split's offset
     and its task, and a line that finds no partner fails the job rather than
@@ -52,9 +48,6 @@ def read_log_lines(
         "_task",
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
     )
-    # A task holds one split per file it touches: tasks and files bound the splits.
-    if lines.rdd.getNumPartitions() + len(lines.inputFiles()) <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     number = F.coalesce(
         F.col("_id") + F.col("_offset"),
         F.raise_error(F.lit("text splits changed between two scans")).cast("bigint"),
