@@ -194,14 +194,13 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        table = self.spark.read.parquet(path)
+        table = self.spark.read.parquet(path)  # fails if there is none, as a stream would not
         if not self.stream:
-            # A table of one small file would keep one core busy; large tables have
-            # more splits than cores and stay as they are.
-            cores = self.spark.sparkContext.defaultParallelism
-            return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
-        reader = self.spark.readStream.schema(table.schema)
-        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
+            return table
+        # A pattern stands for a file or a folder of files alike; a stream refuses the plain
+        # path of a file. One file at a time.
+        reader = self.spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+        return reader.parquet(path[:-1] + "[t]")
 
     def _sql(self, sql: str, **views: DataFrame) -> DataFrame:
         # Views of their own names, so that queries of one session cannot meet.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from suite.fixtures import YEAR, Inputs
 from suite.registry import query
+from suite.traffic_queries import FLAGS
 from watchfold import streaming
 from watchfold.operators import detect, intel
 from watchfold.session import scratch_dir
@@ -173,19 +174,25 @@ def _(x: Inputs) -> DataFrame:
 
 @query(
     "w6_flow_sessions",
-    "fx_packets",
-    """WITH ordered AS (SELECT *, lag(ts) OVER w AS before FROM fx_packets
-  WINDOW w AS (PARTITION BY protocol, src_ip, src_port, dst_ip, dst_port ORDER BY ts, packet_id)),
+    "fx_packets fx_bidi",
+    f"""WITH ordered AS (SELECT *, {FLAGS} AS flag_text,
+  CASE WHEN (src_ip, src_port) <= (dst_ip, dst_port) THEN src_ip || ':' || src_port || '-' || dst_ip || ':' || dst_port
+    ELSE dst_ip || ':' || dst_port || '-' || src_ip || ':' || src_port END AS pair FROM fx_bidi),
+spaced AS (SELECT *, lag(ts) OVER (PARTITION BY protocol, pair ORDER BY ts, packet_id) AS before FROM ordered),
 numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL '6 hours' THEN 1 ELSE 0 END)
-  OVER (PARTITION BY protocol, src_ip, src_port, dst_ip, dst_port ORDER BY ts, packet_id) AS session FROM ordered)
-SELECT src_ip, dst_ip, src_port, dst_port, protocol, min(ts) AS start_time, max(ts) AS end_time,
-  count(*) AS packet_count, CAST(sum(length) AS BIGINT) AS byte_count FROM numbered GROUP BY protocol, src_ip, src_port, dst_ip, dst_port, session
+  OVER (PARTITION BY protocol, pair ORDER BY ts, packet_id) AS session FROM spaced),
+placed AS (SELECT *, row_number() OVER (PARTITION BY protocol, pair, session ORDER BY ts, packet_id) AS r FROM numbered)
+SELECT max(src_ip) FILTER (r = 1) AS src_ip, max(dst_ip) FILTER (r = 1) AS dst_ip,
+  max(src_port) FILTER (r = 1) AS src_port, max(dst_port) FILTER (r = 1) AS dst_port, protocol,
+  min(ts) AS start_time, max(ts) AS end_time, count(*) AS packet_count, CAST(sum(length) AS BIGINT) AS byte_count,
+  coalesce(string_agg(DISTINCT flag_text, '|' ORDER BY flag_text) FILTER (flag_text <> ''), '') AS flags
+FROM placed GROUP BY protocol, pair, session
 HAVING max(ts) + INTERVAL '6 hours' <= (SELECT max(ts) FROM fx_packets) - INTERVAL '1 hour'""",
     stream=True,
 )
 def _(x: Inputs) -> DataFrame:
-    sessions = streaming.flow_sessions(x.packets, "6 hours", "1 hour")
-    return appended(sessions.drop("flags"))
+    sessions = streaming.flow_sessions(x.bidi, "6 hours", "1 hour")
+    return appended(sessions.withColumn("flags", F.array_join("flags", "|")))
 
 
 @query(

@@ -73,14 +73,14 @@ def _(x: Inputs) -> DataFrame:
     return traffic.unique_endpoints(x.packets)
 
 
-_FLAGS = """concat_ws(',', CASE WHEN flag_bits & 2 = 2 THEN 'SYN' END, CASE WHEN flag_bits & 18 = 18 THEN 'SYN-ACK' END,
+FLAGS = """concat_ws(',', CASE WHEN flag_bits & 2 = 2 THEN 'SYN' END, CASE WHEN flag_bits & 18 = 18 THEN 'SYN-ACK' END,
   CASE WHEN flag_bits & 16 = 16 THEN 'ACK' END, CASE WHEN flag_bits & 8 = 8 THEN 'PSH' END)"""
 
 
 @query(
     "n8_flows",
     "fx_packets fx_bidi",
-    f"""WITH ordered AS (SELECT *, {_FLAGS} AS flag_text,
+    f"""WITH ordered AS (SELECT *, {FLAGS} AS flag_text,
   CASE WHEN (src_ip, src_port) <= (dst_ip, dst_port) THEN src_ip || ':' || src_port || '-' || dst_ip || ':' || dst_port
     ELSE dst_ip || ':' || dst_port || '-' || src_ip || ':' || src_port END AS pair FROM fx_bidi),
 placed AS (SELECT *, row_number() OVER (PARTITION BY protocol, pair ORDER BY ts, packet_id) AS r FROM ordered)
@@ -227,16 +227,16 @@ def _rounded(stats: DataFrame) -> DataFrame:
         "src_ip",
         "dst_ip",
         "gaps",
-        F.round("mean_gap", 2).alias("mean_gap"),
-        F.round("sd_gap", 2).alias("sd_gap"),
+        F.round("mean_gap", 4).alias("mean_gap"),
+        F.round("sd_gap", 4).alias("sd_gap"),
     )
 
 
 @query(
     "t8_beaconing",
     "fx_beacon",
-    f"""WITH {_GAPS.format(source="fx_beacon")} SELECT src_ip, dst_ip, gaps, round(mean_gap, 2) AS mean_gap,
-  round(sd_gap, 2) AS sd_gap FROM stats WHERE gaps >= 10 AND sd_gap <= mean_gap * 0.1""",
+    f"""WITH {_GAPS.format(source="fx_beacon")} SELECT src_ip, dst_ip, gaps, round(mean_gap, 4) AS mean_gap,
+  round(sd_gap, 4) AS sd_gap FROM stats WHERE gaps >= 10 AND sd_gap <= mean_gap * 0.1""",
 )
 def _(x: Inputs) -> DataFrame:
     return _rounded(detect.beaconing(x.beacon))
@@ -245,8 +245,8 @@ def _(x: Inputs) -> DataFrame:
 @query(
     "t8_gap_statistics",
     P,
-    f"""WITH {_GAPS.format(source="fx_packets")} SELECT src_ip, dst_ip, gaps, round(mean_gap, 2) AS mean_gap,
-  round(sd_gap, 2) AS sd_gap FROM stats WHERE gaps > 0""",
+    f"""WITH {_GAPS.format(source="fx_packets")} SELECT src_ip, dst_ip, gaps, round(mean_gap, 4) AS mean_gap,
+  round(sd_gap, 4) AS sd_gap FROM stats WHERE gaps > 0""",
 )
 def gap_statistics(x: Inputs) -> DataFrame:
     return _rounded(detect.gap_statistics(x.packets, ["src_ip", "dst_ip"]))

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from watchfold.operators import detect, intel, summary
 from watchfold.operators.logs import detect_format, parse_logs, rejects
 
-COMBINED = '192.168.1.1 - - [10/Jan/2024:13:55:36 +0000] "GET /index.html HTTP/1.1" 200 1024 "https://example.com" "Mozilla/5.0"'
-COMMON = '203.0.113.42 - bob [15/Jan/2024:10:00:05 +0000] "POST /admin.php?action=login HTTP/1.1" 401 521'
-DEFAULT = '203.0.113.42 - - [15/Jan/2024:10:00:00 +0000] "GET /admin.php HTTP/1.1" 200 4523'
-UPSTREAM = '203.0.113.42 - bob [15/Jan/2024:10:00:00 +0000] "GET / HTTP/1.1" 200 4523 0.1 0.2 "agent x"'
-FAILED = "Jan 10 13:55:36 server sshd[1234]: Failed password for root from 203.0.113.42 port 22 ssh2"
-INVALID = "Jan  5 13:55:36 server sshd[1234]: Failed password for invalid user bob from 203.0.113.9 port 22 ssh2"
-ACCEPTED = "Jan 10 13:55:36 server sshd[1234]: Accepted publickey for admin from 198.51.100.25 port 22 ssh2"
+COMBINED = '10.77.3.9 - - [28/Mar/2024:07:08:09 +0100] "PUT /cart/7 HTTP/2" 204 77 "https://shop.test/a" "probe/3.1"'
+COMMON = '198.18.5.6 - eve [02/Apr/2024:23:59:01 +0000] "DELETE /item/12 HTTP/1.0" 403 88'
+DEFAULT = '198.18.5.6 - - [02/Apr/2024:23:58:00 +0000] "HEAD /feed HTTP/1.1" 206 3141'
+UPSTREAM = '198.18.5.6 - eve [02/Apr/2024:23:58:00 +0000] "GET / HTTP/1.1" 200 4523 0.1 0.2 "agent x"'
+FAILED = "Nov 21 04:05:06 gate7 sshd[88]: Failed password for carol from 198.18.5.6 port 50022 ssh2"
+INVALID = "Nov  2 04:05:06 gate7 sshd[88]: Failed password for invalid user dave from 198.18.9.9 port 50022 ssh2"
+ACCEPTED = "Nov 21 04:05:06 gate7 sshd[88]: Accepted publickey for erin from 192.0.2.77 port 50022 ssh2"
 
 
 def lines(spark, *texts):
@@ -43,28 +43,28 @@ def test_every_format_is_detected(spark):
 
 def test_combined_line(spark):
     row = parsed(spark, COMBINED)
-    assert (row.ip_address, row.status_code, row.response_size) == ("192.168.1.1", 200, 1024)
-    assert (row.user_agent, row.http_method, row.request_path) == ("Mozilla/5.0", "GET", "/index.html")
-    assert row.event_time == datetime(2024, 1, 10, 13, 55, 36)
-    assert row.timestamp_raw == "10/Jan/2024:13:55:36 +0000"
+    assert (row.ip_address, row.status_code, row.response_size) == ("10.77.3.9", 204, 77)
+    assert (row.user_agent, row.http_method, row.request_path) == ("probe/3.1", "PUT", "/cart/7")
+    assert row.event_time == datetime(2024, 3, 28, 7, 8, 9)
+    assert row.timestamp_raw == "28/Mar/2024:07:08:09 +0100"
     assert row.username is None and row.login_status is None
 
 
 @pytest.mark.parametrize("alias", ["apache", "apache2", "apache_combined"])
 def test_aliases_extract_fields(spark, alias):
-    assert parsed(spark, COMBINED, fmt=alias).status_code == 200
+    assert parsed(spark, COMBINED, fmt=alias).status_code == 204
 
 
 def test_a_line_of_another_format_keeps_its_address_only(spark):
     row = parsed(spark, COMMON, fmt="apache")
     assert (row.format, row.ip_address, row.status_code, row.event_time) == (
         "generic",
-        "203.0.113.42",
+        "198.18.5.6",
         None,
         None,
     )
     assert parsed(spark, ACCEPTED, fmt="ssh").username is None
-    assert parsed(spark, FAILED, fmt="ssh").username == "root"
+    assert parsed(spark, FAILED, fmt="ssh").username == "carol"
 
 
 def test_unknown_names_are_refused(spark):
@@ -81,31 +81,31 @@ def test_upstream_agent(spark):
 
 def test_ssh_lines(spark):
     failed, invalid, accepted = parsed(spark, FAILED, INVALID, ACCEPTED)
-    assert (failed.username, failed.login_status, failed.ip_address) == ("root", "failed", "203.0.113.42")
-    assert (invalid.username, invalid.ip_address) == ("bob", "203.0.113.9")
-    assert invalid.event_time == datetime(2024, 1, 5, 13, 55, 36)
-    assert (accepted.username, accepted.login_status) == ("admin", "accepted")
+    assert (failed.username, failed.login_status, failed.ip_address) == ("carol", "failed", "198.18.5.6")
+    assert (invalid.username, invalid.ip_address) == ("dave", "198.18.9.9")
+    assert invalid.event_time == datetime(2024, 11, 2, 4, 5, 6)
+    assert (accepted.username, accepted.login_status) == ("erin", "accepted")
 
 
 def test_odd_values(spark):
-    row = parsed(spark, DEFAULT.replace(" 200 4523", " 000 -"))
+    row = parsed(spark, DEFAULT.replace(" 206 3141", " 000 -"))
     assert (row.status_code, row.response_size) == (0, None)
-    row = parsed(spark, DEFAULT.replace("15/Jan/2024:10:00:00 +0000", " "))
-    assert row.event_time is None and row.status_code == 200
-    row = parsed(spark, DEFAULT.replace("15/Jan/2024:10:00:00", "31/Feb/2024:10:00:00"))
+    row = parsed(spark, DEFAULT.replace("02/Apr/2024:23:58:00 +0000", " "))
+    assert row.event_time is None and row.status_code == 206
+    row = parsed(spark, DEFAULT.replace("02/Apr", "31/Feb"))
     assert row.event_time is None and row.timestamp_raw.startswith("31/Feb")
-    row = parsed(spark, DEFAULT.replace("203.0.113.42", "2001:db8::1"))
+    row = parsed(spark, DEFAULT.replace("198.18.5.6", "2001:db8::1"))
     assert (row.ip_address, row.format) == ("2001:db8::1", "nginx_default")
-    row = parsed(spark, COMBINED.replace('"Mozilla/5.0"', '""'))
+    row = parsed(spark, COMBINED.replace('"probe/3.1"', '""'))
     assert (row.format, row.user_agent) == ("apache_combined", "")
-    row = parsed(spark, FAILED.replace("Jan 10", "Feb 29"), year=2023)
-    assert row.event_time is None and row.timestamp_raw == "Feb 29 13:55:36"
+    row = parsed(spark, FAILED.replace("Nov 21", "Feb 29"), year=2023)
+    assert row.event_time is None and row.timestamp_raw == "Feb 29 04:05:06"
 
 
 def test_other_line_separators_are_ordinary_characters(spark):
-    row = parsed(spark, COMBINED.replace("Mozilla/5.0", "a\u2028b\u0085c") + " tail\u2029")
+    row = parsed(spark, COMBINED.replace("probe/3.1", "a\u2028b\u0085c") + " tail\u2029")
     assert (row.format, row.user_agent) == ("apache_combined", "a\u2028b\u0085c")
-    assert parsed(spark, COMBINED.replace("Mozilla/5.0", "a\nb")).user_agent == "a b"
+    assert parsed(spark, COMBINED.replace("probe/3.1", "a\nb")).user_agent == "a b"
 
 
 def test_text_of_the_line_is_trimmed_but_matched_as_it_is(spark):
@@ -117,7 +117,7 @@ def test_text_of_the_line_is_trimmed_but_matched_as_it_is(spark):
 def test_strict_addresses(spark):
     assert parsed(spark, "x 300.1.2.3 y").ip_address == "00.1.2.3"
     assert parsed(spark, "x 300.1.2.3 y", strict=True) is None
-    assert parsed(spark, DEFAULT, strict=True).ip_address == "203.0.113.42"
+    assert parsed(spark, DEFAULT, strict=True).ip_address == "198.18.5.6"
 
 
 def test_rejects_are_the_rest(spark):
@@ -134,14 +134,20 @@ def test_first_line_decides_for_the_file(spark):
     out = parse_logs(df, detect="file", year=2024)
     found = {(r.file_path, r.line_number): (r.format, r.username) for r in out.collect()}
     assert found == {
-        ("a", 1): ("ssh_accepted", "admin"),
+        ("a", 1): ("ssh_accepted", "erin"),
         ("a", 2): ("generic", None),
-        ("b", 1): ("ssh_failed", "root"),
+        ("b", 1): ("ssh_failed", "carol"),
         ("b", 2): ("generic", None),
         ("c", 2): ("generic", None),
     }
 
 
+def test_lines_without_numbers_have_no_first_one(spark):
+    df = lines(spark, FAILED).withColumn("line_number", F.lit(None).cast("bigint"))
+    with pytest.raises(Exception, match="numbered lines"):
+        parse_logs(df, detect="file").collect()
+
+
 def test_patterns_run_once(spark):
     plan = parse_logs(lines(spark, COMBINED))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_replace(") == 1
@@ -163,13 +169,22 @@ def test_enrichment_and_flags(spark):
     ips = spark.createDataFrame([(f"{i}.{i}.{i}.{i}",) for i in (1, 1, 2, 3, 4, 5)], "ip_address string")
     known = intel.enrich(ips, abuse, vt)
     assert {r.ip_address for r in known.collect()} == {"1.1.1.1", "2.2.2.2", "3.3.3.3", "4.4.4.4"}
-    table = intel.flagged_table(known).collect()
+    table = intel.flagged_table(known, limit=10).collect()
     assert [(r.ip_address, r.abuse_score, r.vt_malicious, r.country, r.risk_tier) for r in table] == [
         ("1.1.1.1", 90, 0, "Land", "HIGH"),
         ("2.2.2.2", 50, 0, "Unknown", "MEDIUM"),
         ("3.3.3.3", 10, 1, "Land", "LOW"),
     ]
-    assert [r.ip_address for r in intel.flagged_table(known, 70).collect()] == ["1.1.1.1", "3.3.3.3"]
+    assert {r.ip_address for r in intel.flagged_table(known, 70).collect()} == {"1.1.1.1", "3.3.3.3"}
+    assert [r.ip_address for r in intel.flagged_table(known, limit=1).collect()] == ["1.1.1.1"]
+
+
+def test_a_feed_with_two_rows_for_an_address_counts_once(spark):
+    abuse, vt = feeds(spark)
+    more = abuse.union(spark.createDataFrame([("1.1.1.1", 95, "Land", 5), ("1.1.1.1", 20, "Land", 9)], abuse.schema))
+    ips = spark.createDataFrame([("1.1.1.1",), ("1.1.1.1",)], "ip_address string")
+    rows = intel.attach(ips, more, vt.union(vt)).collect()
+    assert [r.abuse.abuse_confidence_score for r in rows] == [95, 95]
 
 
 def test_summary_of_no_entries(spark):
@@ -199,7 +214,7 @@ def test_brute_force_threshold_is_inclusive(spark):
     entries = parse_logs(lines(spark, *[FAILED] * 3, INVALID, ACCEPTED), year=2024)
     rows = detect.brute_force(entries, 3, "10 minutes").collect()
     assert [(r.ip_address, r.failures, r.window_start) for r in rows] == [
-        ("203.0.113.42", 3, datetime(2024, 1, 10, 13, 50))
+        ("198.18.5.6", 3, datetime(2024, 11, 21, 4, 0))
     ]
     assert detect.brute_force(entries, 4, "10 minutes").count() == 0
 

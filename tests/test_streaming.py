@@ -1,10 +1,13 @@
 """Streams fed file by file must agree with the batch operators."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from check import compare, connect
 from suite.capture_data import global_header, record
 from watchfold import streaming
 from watchfold.operators import summary
@@ -132,3 +135,31 @@ def test_captures_arrive_as_packets(spark, tmp_path):
     stream = streaming.packet_stream(spark, str(folder), max_files_per_trigger=1)
     rows = spark.read.parquet(finish(stream.select("dst_port", "ts"), tmp_path)).groupBy("dst_port").count().collect()
     assert sorted(map(tuple, rows)) == [(0, 4), (1, 4), (2, 4)]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [n for n in sorted(entry.queries()) if n.startswith("w") and n != "w7_dedup_alerts"],
+)
+def test_streams_read_folders_file_by_file(spark, split_events, name):
+    """The same rows in several time-ordered files, one per batch, give the same results."""
+    folder, duck = split_events
+    assert compare(spark, duck, folder, name).startswith("ok")
+
+
+@pytest.fixture(scope="module")
+def split_events(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").toPandas().sort_values(["ts", "event_id"])
+    (folder / "events.parquet").mkdir()
+    for k in range(4):
+        some = rows.iloc[len(rows) * k // 4 : len(rows) * (k + 1) // 4]
+        path = folder / "events.parquet" / f"part-{k}.parquet"
+        some.to_parquet(path, coerce_timestamps="us", index=False)
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))  # files come in the order of their age
+    return str(folder), connect(str(folder))
+
+
+def test_a_missing_table_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        entry.queries()["w1_stream_parse"](spark, str(tmp_path))

@@ -136,20 +136,21 @@ def test_port_scan(spark):
     assert detect.port_scan(frame(spark, *rows), 8).count() == 0
 
 
-def test_keywords_beyond_the_width_do_not_count(spark):
+def test_keywords_count_wherever_they_stand(spark):
     rows = [
         packet(0, payload=bytearray(b"x" * 95 + b"token")),
         packet(1, payload=bytearray(b"x" * 96 + b"token")),
         packet(2, payload=bytearray(b"PASS\xffWORD and secret")),
         packet(3, payload=bytearray(b"monkey")),
     ]
-    got = detect.sensitive_keyword(frame(spark, *rows)).orderBy("ts").collect()
+    got = detect.sensitive_keyword(frame(spark, *rows), payload_bytes=100).orderBy("ts").collect()
     assert [a.description for a in got] == [
         'Sensitive keyword "token" found in traffic',
         'Sensitive keyword "password" found in traffic',
     ]
-    assert detect.sensitive_keyword(frame(spark, *rows), payload_bytes=200).count() == 3
-    assert detect.keyword_volume(frame(spark, *rows), 3).first().hits == 3
+    assert detect.sensitive_keyword(frame(spark, *rows)).count() == 3
+    assert detect.keyword_volume(frame(spark, *rows), 3).first().hits == 4
+    assert detect.keyword_volume(frame(spark, *rows), 3, payload_bytes=100).first().hits == 3
 
 
 def test_long_queries(spark):

@@ -104,11 +104,12 @@ def _flood(counts: DataFrame, n: int, by: str | None = None) -> DataFrame:
     )
 
 
-def _payload_text(payload_bytes: int) -> Column:
-    return clean_utf8(F.substring(F.col("payload"), 1, payload_bytes).cast("string"))
+def _payload_text(payload_bytes: int | None) -> Column:
+    payload = F.col("payload") if payload_bytes is None else F.substring("payload", 1, payload_bytes)
+    return clean_utf8(payload.cast("string"))
 
 
-def _keyword_alert(payload_bytes: int) -> tuple[Column, list[Column]]:
+def _keyword_alert(payload_bytes: int | None) -> tuple[Column, list[Column]]:
     hit = keyword_hit(_payload_text(payload_bytes))
     return hit, _alert(
         "high",
@@ -133,7 +134,7 @@ def _tunnel_alert(n: int) -> tuple[Column, list[Column]]:
     )
 
 
-def sensitive_keyword(packets: DataFrame, payload_bytes: int = 100) -> DataFrame:
+def sensitive_keyword(packets: DataFrame, payload_bytes: int | None = None) -> DataFrame:
     """One alert per packet whose payload holds a sensitive keyword."""
     hit, alert = _keyword_alert(payload_bytes)
     return packets.filter(hit.isNotNull()).select(*alert)
@@ -146,7 +147,7 @@ def dns_tunnel(packets: DataFrame, n: int = LONG_QUERY) -> DataFrame:
 
 
 def keyword_volume(
-    packets: DataFrame, n: int = KEYWORD_PACKETS, payload_bytes: int = 100
+    packets: DataFrame, n: int = KEYWORD_PACKETS, payload_bytes: int | None = None
 ) -> DataFrame:
     """Pairs of hosts with at least ``n`` packets that match the keyword pattern."""
     return (
@@ -184,7 +185,7 @@ def gap_statistics(
     time are counted first (their gaps are zero), so that a minute of one key holds
     at most 60 million times. Then runs of events are merged in steps: all runs of
     a key within ``spans[0]`` seconds become one run that keeps its ends and the
-    sum of its squared gaps, and so on. The last step sees one row per key and
+    squared distances of its gaps from their mean, and so on. The last step sees one row per key and
     minute, half a million a year. More ``spans`` make more and smaller steps.
     """
     runs = (
@@ -195,31 +196,34 @@ def gap_statistics(
             epoch_seconds(F.col(ts)).alias("first"),
             epoch_seconds(F.col(ts)).alias("last"),
             "events",
-            F.lit(0.0).alias("squares"),
+            F.lit(0.0).alias("spread"),
         )
     )
+
+    def mean_gap() -> Column:
+        gaps = F.greatest(F.col("events") - 1, F.lit(1))
+        return (F.col("last") - F.col("first")).cast("double") / gaps
+
     for span in (*spans, None):
         cell = [*keys]
         if span:
             runs = runs.withColumn("cell", F.floor(F.col("first") / span))
             cell.append("cell")
-        before = F.lag("last").over(Window.partitionBy(*cell).orderBy("first"))
-        gap = F.coalesce((F.col("first") - before).cast("double"), F.lit(0.0))
-        runs = (
-            runs.withColumn("gap", gap)
-            .groupBy(*cell)
-            .agg(
-                F.min("first").alias("first"),
-                F.max("last").alias("last"),
-                F.sum("events").alias("events"),
-                F.sum(F.col("squares") + F.col("gap") * F.col("gap")).alias("squares"),
-            )
+        whole = Window.partitionBy(*cell)
+        before = F.lag("last").over(whole.orderBy("first"))
+        # the merged run's mean gap, from which its parts' spreads are taken anew: no
+        # difference of large squares, so that even gaps stay exactly even
+        events, first, last = F.sum("events"), F.min("first"), F.max("last")
+        mean = (last.over(whole) - first.over(whole)).cast("double") / F.greatest(events.over(whole) - 1, F.lit(1))
+        runs = runs.withColumn("mean", mean).withColumn("gap", (F.col("first") - before).cast("double"))
+        inner, outer = mean_gap() - F.col("mean"), F.coalesce(F.col("gap") - F.col("mean"), F.lit(0.0))
+        spread = F.col("spread") + (F.col("events") - 1) * inner * inner + outer * outer
+        runs = runs.groupBy(*cell).agg(
+            first.alias("first"), last.alias("last"), events.alias("events"), F.sum(spread).alias("spread")
         )
     gaps = F.col("events") - 1
-    mean = (F.col("last") - F.col("first")).cast("double") / gaps
-    variance = F.greatest(F.col("squares") / gaps - mean * mean, F.lit(0.0))
     return runs.filter(F.col("events") > 1).select(
-        *keys, gaps.alias("gaps"), mean.alias("mean_gap"), F.sqrt(variance).alias("sd_gap")
+        *keys, gaps.alias("gaps"), mean_gap().alias("mean_gap"), F.sqrt(F.col("spread") / gaps).alias("sd_gap")
     )
 
 
@@ -330,7 +334,7 @@ def all_alerts(
     hammering: int = HAMMERING,
     flood: int = SYN_FLOOD,
     long_query: int = LONG_QUERY,
-    payload_bytes: int = 100,
+    payload_bytes: int | None = None,
 ) -> DataFrame:
     """Alerts of the four packet detectors, duplicates kept.
 

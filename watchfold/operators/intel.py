@@ -9,14 +9,16 @@ from watchfold.functions.rules import risk_tier
 
 
 def _as_struct(feed: DataFrame, name: str) -> DataFrame:
+    """One row per address; of several the one whose fields, in order, are largest."""
     fields = [c for c in feed.columns if c != "ip_address"]
-    return feed.select("ip_address", F.struct(*fields).alias(name))
+    return feed.groupBy("ip_address").agg(F.max(F.struct(*fields)).alias(name))
 
 
 def attach(df: DataFrame, abuse: DataFrame, vt: DataFrame) -> DataFrame:
     """Left joins of both feeds as the struct columns ``abuse`` and ``vt``.
 
-    A feed must have one row per address. There is no broadcast hint: Spark
+    A feed with several rows for an address counts with the largest. There is no
+    broadcast hint: Spark
     broadcasts a feed only when its size is below the session's threshold, at
     planning time or from the measured size at run time, and shuffles otherwise
     with its skew handling on. Works with a stream on the left side.
@@ -54,9 +56,12 @@ def with_tier(enriched: DataFrame) -> DataFrame:
     return enriched.withColumn("risk_tier", risk_tier(abuse_score()))
 
 
-def flagged_table(enriched: DataFrame, min_confidence: int = 50) -> DataFrame:
-    """Flagged addresses with score, malicious count, country and reports, worst first."""
-    return (
+def flagged_table(enriched: DataFrame, min_confidence: int = 50, limit: int | None = None) -> DataFrame:
+    """Flagged addresses with score, malicious count, country and reports.
+
+    With ``limit`` the worst so many, in order; a whole table has no order.
+    """
+    rows = (
         with_tier(flag(enriched, min_confidence))
         .select(
             "ip_address",
@@ -66,8 +71,8 @@ def flagged_table(enriched: DataFrame, min_confidence: int = 50) -> DataFrame:
             F.coalesce("abuse.total_reports", F.lit(0)).alias("reports"),
             "risk_tier",
         )
-        .orderBy(F.desc("abuse_score"), F.asc("ip_address"))
     )
+    return rows if limit is None else rows.orderBy(F.desc("abuse_score"), F.asc("ip_address")).limit(limit)
 
 
 def ip_details(enriched: DataFrame) -> DataFrame:

@@ -166,11 +166,19 @@ def hash_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> Data
     return _deduplicated(rows, dedup)
 
 
-def all_iocs(packets: DataFrame, alerts: DataFrame, dedup: bool = False) -> DataFrame:
-    """Address, domain and URL indicators in one table; the latter two share a scan."""
+def all_iocs(
+    packets: DataFrame, alerts: DataFrame, dedup: bool = False, text: str | None = None
+) -> DataFrame:
+    """Address, domain and URL indicators in one table; the latter two share a scan.
+
+    With ``text``, a text column of the packets, also the mail addresses and hashes in it.
+    """
     found = [F.when(hit, F.struct(*row)) for hit, row in (_domain_ioc(), _url_ioc())]
     named = packets.select(F.inline(F.array_compact(F.array(*found))))
-    return ip_iocs(packets, alerts).unionByName(_deduplicated(named, dedup))
+    iocs = ip_iocs(packets, alerts).unionByName(_deduplicated(named, dedup))
+    if text is None:
+        return iocs
+    return iocs.unionByName(email_iocs(packets, text, dedup)).unionByName(hash_iocs(packets, text, dedup))
 
 
 def above(iocs: DataFrame, confidence: int = BLOCKING) -> DataFrame:

@@ -126,8 +126,12 @@ def detect_format(lines: DataFrame) -> DataFrame:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """``file_path, file_format``: the format of each file's first line."""
-    first = lines.filter(F.col("line_number") == 1)
+    """``file_path, file_format``: the format of each file's first line.
+
+    Lines without numbers, which have no first one, fail the job.
+    """
+    missing = F.raise_error(F.lit("detect='file' needs numbered lines")).cast("bigint")
+    first = lines.filter(F.coalesce("line_number", missing) == 1)
     return detect_format(first).select("file_path", F.col("format").alias("file_format"))
 
 

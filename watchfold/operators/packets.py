@@ -259,20 +259,21 @@ def parse_dns(packets: DataFrame) -> DataFrame:
 
 def decode(
     frames: DataFrame,
-    payload_bytes: int = 100,
+    payload_bytes: int | None = None,
     transports: tuple[str, ...] | None = None,
     http_methods: tuple[str, ...] = HTTP_METHODS,
 ) -> DataFrame:
     """Packets of frames; other link types than IP are dropped.
 
-    ``transports`` keeps only the named protocols. The stored payload is cut to
-    ``payload_bytes`` after HTTP and DNS have seen all of it. Write the result as
+    ``transports`` keeps only the named protocols. ``payload_bytes`` cuts the stored
+    payload after HTTP and DNS have seen all of it; detectors then see what is left. Write the result as
     a table when several operators are to read it.
     """
     packets = _packets(_headers(frames))
     if transports is not None:
         packets = packets.filter(F.col("protocol").isin(*transports))
     # DNS first: its Python step divides the generated code into two moderate methods.
-    return parse_http(parse_dns(packets), http_methods).withColumn(
-        "payload", F.substring("payload", 1, payload_bytes)
-    )
+    parsed = parse_http(parse_dns(packets), http_methods)
+    if payload_bytes is None:
+        return parsed
+    return parsed.withColumn("payload", F.substring("payload", 1, payload_bytes))

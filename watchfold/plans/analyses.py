@@ -75,10 +75,11 @@ class CaptureAnalysis:
     timeline: DataFrame
 
 
-def analyze_packets(packets: DataFrame, table: str, sample: int = 100) -> CaptureAnalysis:
+def analyze_packets(packets: DataFrame, table: str, sample: int | None = None) -> CaptureAnalysis:
     """Statistics, flows, alerts, indicators and report tables of stored packets.
 
     Alerts and indicators, which several outputs read, are written below ``table``.
+    ``sample`` cuts the lists of HTTP requests and DNS queries to the first so many.
     """
     spark = packets.sparkSession
     detect.all_alerts(packets).write.parquet(f"{table}/alerts")
