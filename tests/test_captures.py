@@ -249,3 +249,53 @@ def test_unused_python_steps_are_pruned(spark, tmp_path):
     write(tmp_path / "in", [ipv4(17, udp(b"x"))])
     counts = decode(read_frames(spark, str(tmp_path / "in"))).groupBy("src_ip").agg(F.count("*"))
     assert "ArrowEvalPython" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vlan_tags_and_padding(spark, tmp_path):
+    plain = ipv4(6, tcp(b"", 1025, 443, 16))
+    tagged = plain[:12] + b"\x81\x00\x00\x07" + plain[12:]
+    twice = plain[:12] + b"\x88\xa8\x00\x01\x81\x00\x00\x07" + plain[12:]
+    padded = plain + b"\0" * 6
+    other = plain[:12] + b"\x81\x00\x00\x07\x08\x06" + plain[14:]
+    rows = packets(spark, tmp_path, plain, tagged, twice, padded, other)
+    assert [(r.src_ip, r.dst_port, r.flag_bits, bytes(r.payload)) for r in rows] == [("10.0.0.1", 443, 16, b"")] * 4
+
+
+@pytest.mark.parametrize(
+    ("link", "before"),
+    [(101, b""), (228, b""), (113, b"\0" * 14 + b"\x08\x00"), (0, b"\x02\0\0\0"), (1, ETHERNET + b"\x08\x00")],
+)
+def test_link_types(spark, tmp_path, link, before):
+    data = bytearray(write(tmp_path / "in", [before + ipv4(17, udp(b"data", 7, 9))[14:]]))
+    data[20:24] = link.to_bytes(4, "little")
+    (tmp_path / "in" / "a.pcap").write_bytes(data)
+    row = decode(read_frames(spark, str(tmp_path / "in"))).first()
+    assert (row.src_ip, row.src_port, row.dst_port, bytes(row.payload)) == ("10.0.0.1", 7, 9, b"data")
+
+
+def test_unknown_link_types_fail(spark, tmp_path):
+    data = bytearray(write(tmp_path / "in", [b"x" * 60]))
+    data[20:24] = (147).to_bytes(4, "little")
+    (tmp_path / "in" / "a.pcap").write_bytes(data)
+    with pytest.raises(Exception, match="link type is not supported: 147"):
+        decode(read_frames(spark, str(tmp_path / "in"))).collect()
+
+
+def test_ipv6_extension_headers(spark, tmp_path):
+    body = tcp(b"hi", 1025, 443, 18)
+    hop = b"\x3c\x01" + b"\0" * 14  # options, 16 bytes, then destination options
+    options = b"\x2c\x00" + b"\0" * 6  # 8 bytes, then a fragment
+    fragment = b"\x06\x00" + b"\0" * 6  # then TCP
+    rows = packets(spark, tmp_path, ipv6(0, hop + options + fragment + body), ipv6(6, body), ipv6(60, b"\x06"))
+    assert [(r.protocol, r.src_port, bytes(r.payload)) for r in rows] == [
+        ("TCP", 1025, b"hi"),
+        ("TCP", 1025, b"hi"),
+        ("60", 0, b""),
+    ]
+
+
+def test_dns_over_tcp(spark, tmp_path):
+    message = struct.pack(">HHHHHH", 1, 0x0100, 1, 0, 0, 0) + name("www.example.com") + b"\0\1\0\1"
+    frames = [ipv4(6, tcp(len(message).to_bytes(2, "big") + message, 1024, 53)), ipv4(6, tcp(b"", 1024, 53))]
+    rows = packets(spark, tmp_path, *frames)
+    assert [r.dns_query for r in rows] == ["www.example.com", None]

@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from watchfold.functions.text import clean_utf8
+from watchfold.session import ship
 
 # Numbers and words of the protocols.
 IPV4_TYPE, IPV6_TYPE = "0800", "86DD"
+VLAN_TYPES = ("8100", "88A8", "9100")
+ETHERNET, COOKED = 1, 113
+RAW_LINKS, LOOPBACK_LINKS = (12, 14, 101, 228, 229), (0, 108)
+# IPv6 headers that may stand before the transport: options, routing, fragment, authentication
+HOP_OPTIONS, ROUTING, FRAGMENT, AUTHENTICATION, END_OPTIONS = 0, 43, 44, 51, 60
+EXTENSIONS = (HOP_OPTIONS, ROUTING, FRAGMENT, AUTHENTICATION, END_OPTIONS)
 PROTOCOLS = {6: "TCP", 17: "UDP", 1: "ICMP", 58: "ICMPv6"}
 HTTP_METHODS = ("GET", "POST", "PUT", "DELETE", "HEAD", "OPTIONS")
 HTTP_PORT, DNS_PORT = 80, 53
@@ -43,7 +50,8 @@ def _ipv6_texts(data: Column) -> Column:
     Groups lose their leading zeros and the longest run of zero groups becomes
     ``::``. One chain of patterns treats both.
     """
-    text = F.concat_ws("|", _hex(data, 22, 16), _hex(data, 38, 16))
+    at = F.col("_ip")
+    text = F.concat_ws("|", _hex(data, at + 8, 16), _hex(data, at + 24, 16))
     text = F.regexp_replace(F.lower(text), "([0-9a-f]{4})", ":$1")
     text = F.regexp_replace(text, ":0{1,3}", ":")
     before, after = ("".join(f"${i}" for i in range(first, 15, 2)) for first in (1, 2))
@@ -52,32 +60,85 @@ def _ipv6_texts(data: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, ":(?=[|]|$)", "::"), "(?<![^|]):(?!:)", "")
 
 
+def _links(frames: DataFrame) -> DataFrame:
+    """Adds where the network header begins (``_ip``) and its ``_kind``.
+
+    Ethernet frames may carry two VLAN tags. Frames without a ``link`` column are
+    Ethernet; a link type that is not known fails the job.
+    """
+    f = F.col("frame")
+    link = F.coalesce("link", F.lit(ETHERNET)) if "link" in frames.columns else F.lit(ETHERNET)
+    tag, second = _hex(f, 12, 2).isin(*VLAN_TYPES), _hex(f, 16, 2).isin(*VLAN_TYPES)
+    unknown = F.raise_error(F.concat(F.lit("link type is not supported: "), link.cast("string"))).cast("int")
+    at = (
+        F.when(link == ETHERNET, F.when(~tag, 14).when(~second, 18).otherwise(22))
+        .when(link == COOKED, 16)
+        .when(link.isin(*RAW_LINKS), 0)
+        .when(link.isin(*LOOPBACK_LINKS), 4)
+        .otherwise(unknown)
+    )
+    placed = frames.select("capture", "packet_id", "ts", "frame", F.inline(F.array(F.struct(at.alias("_ip"), link.alias("_link")))))
+    ip = F.col("_ip")
+    version = F.substring(_hex(f, ip, 1), 1, 1)
+    kind = F.when(F.col("_link").isin(ETHERNET, COOKED), _hex(f, ip - 2, 2)).otherwise(
+        F.when(version == "4", IPV4_TYPE).when(version == "6", IPV6_TYPE)
+    )
+    return placed.select("capture", "packet_id", "ts", "frame", "_ip", kind.alias("_kind"))
+
+
+def _behind_extensions(data: Column, number: Column, at: Column) -> Column:
+    """Protocol and offset behind an IPv6 packet's extension headers, if it has any."""
+    start = F.struct(number.alias("number"), at.alias("at"))
+
+    def step(s: Column, _: Column) -> Column:
+        here, known = s["at"], s["number"].isin(*EXTENSIONS) & (s["at"] + 8 <= F.length(data))
+        units = _uint(data, here + 1, 1).cast("int")
+        size = (
+            F.when(s["number"] == FRAGMENT, 8)
+            .when(s["number"] == AUTHENTICATION, (units + 2) * 4)
+            .otherwise((units + 1) * 8)
+        )
+        after = F.struct(_uint(data, here, 1).cast("int").alias("number"), (here + size).cast("int").alias("at"))
+        return F.when(known, after).otherwise(s)
+
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(8)), start, step)
+    return F.when(number.isin(*EXTENSIONS), walked).otherwise(start)
+
+
 def _headers(frames: DataFrame) -> DataFrame:
-    """IPv4 and IPv6 frames with ``_v4``, the protocol ``_number`` and the transport's offset ``_at``.
+    """IPv4 and IPv6 frames with ``_v4``, the protocol ``_number``, the transport's offset
+    ``_at`` and the packet's ``_end``, behind which a link may pad.
 
     The generator drops other frames. Its output stands for itself in later steps,
     where a projection's expressions would be copied into each use.
     """
-    f = F.col("frame")
-    kind, size = _hex(f, 12, 2), F.length(f)
+    f, ip, kind = F.col("frame"), F.col("_ip"), F.col("_kind")
+    size = F.length(f)
+    words = (_uint(f, ip, 1).bitwiseAND(15) * 4).cast("int")
+    total = _uint(f, ip + 2, 2).cast("int")
     v4 = F.struct(
         F.lit(True).alias("_v4"),
-        _uint(f, 26, 4).alias("_src"),
-        _uint(f, 30, 4).alias("_dst"),
-        _uint(f, 23, 1).cast("int").alias("_number"),
-        (_uint(f, 14, 1).bitwiseAND(15) * 4 + 14).cast("int").alias("_at"),
+        _uint(f, ip + 12, 4).alias("_src"),
+        _uint(f, ip + 16, 4).alias("_dst"),
+        _uint(f, ip + 9, 1).cast("int").alias("_number"),
+        (ip + words).alias("_at"),
+        # 0 where the network card cuts the packet up
+        F.when((total >= words) & (ip + total <= size), ip + total).otherwise(size).alias("_end"),
     )
+    rest = _uint(f, ip + 4, 2).cast("int")
+    behind = _behind_extensions(f, _uint(f, ip + 6, 1).cast("int"), ip + 40)
     v6 = F.struct(
         F.lit(False).alias("_v4"),
         F.lit(0).cast("bigint").alias("_src"),
         F.lit(0).cast("bigint").alias("_dst"),
-        _uint(f, 20, 1).cast("int").alias("_number"),
-        F.lit(54).alias("_at"),
+        behind["number"].alias("_number"),
+        behind["at"].alias("_at"),
+        F.when((rest > 0) & (ip + 40 + rest <= size), ip + 40 + rest).otherwise(size).alias("_end"),
     )
-    found = F.when((kind == IPV4_TYPE) & (size >= 34), F.array(v4)).when(
-        (kind == IPV6_TYPE) & (size >= 54), F.array(v6)
+    found = F.when((kind == IPV4_TYPE) & (size >= ip + 20), F.array(v4)).when(
+        (kind == IPV6_TYPE) & (size >= ip + 40), F.array(v6)
     )
-    return frames.select("capture", "packet_id", "ts", "frame", F.inline(found))
+    return _links(frames).select("capture", "packet_id", "ts", "frame", "_ip", F.inline(found))
 
 
 def _transport(headers: DataFrame) -> DataFrame:
@@ -88,7 +149,7 @@ def _transport(headers: DataFrame) -> DataFrame:
     headers share.
     """
     f, at, number = F.col("frame"), F.col("_at"), F.col("_number")
-    left = F.length(f) - at
+    left = F.col("_end") - at
     ports = ((number == 6) & (left >= 20)) | ((number == 17) & (left >= 8))
     tcp = (number == 6) & (left >= 20)
     # The high half-byte of the first of these two bytes counts words, the second holds flags.
@@ -96,7 +157,7 @@ def _transport(headers: DataFrame) -> DataFrame:
     skip = F.when(tcp, F.shiftright(F.col("_control"), 12) * 4).when(
         (number != 6) & (left >= 8), F.lit(8)
     )
-    rest = F.coalesce(F.substring(f, at + skip + 1, F.length(f)), F.lit(b""))
+    rest = F.coalesce(F.substring(f, at + skip + 1, F.greatest(left - skip, F.lit(0))), F.lit(b""))
     parts = F.struct(
         F.when(ports, _uint(f, at, 4)).otherwise(0).alias("_ports"),
         control.alias("_control"),
@@ -245,12 +306,16 @@ def _dns(payload: pa.Array) -> pa.Array:
 
 
 def parse_dns(packets: DataFrame) -> DataFrame:
-    """Adds name and answer of UDP packets from or to port 53.
+    """Adds name and answer of UDP and TCP packets from or to port 53.
 
-    Only their payloads travel to Python, everything else is NULL there.
+    Over TCP two bytes of length precede the message. Only messages travel to Python,
+    everything else is NULL there.
     """
-    named = (F.col("protocol") == "UDP") & _either_port(DNS_PORT)
-    return packets.withColumn("_dns", _dns(F.when(named, F.col("payload")))).select(
+    payload, port = F.col("payload"), _either_port(DNS_PORT)
+    message = F.when(port & (F.col("protocol") == "UDP"), payload).when(
+        port & (F.col("protocol") == "TCP") & (F.length("payload") > 2), F.substring("payload", 3, F.length("payload"))
+    )
+    return packets.withColumn("_dns", _dns(message)).select(
         *packets.columns,
         F.col("_dns.query").alias("dns_query"),
         F.col("_dns.response").alias("dns_response"),
@@ -263,12 +328,13 @@ def decode(
     transports: tuple[str, ...] | None = None,
     http_methods: tuple[str, ...] = HTTP_METHODS,
 ) -> DataFrame:
-    """Packets of frames; other link types than IP are dropped.
+    """Packets of frames; frames that carry no IP are dropped.
 
     ``transports`` keeps only the named protocols. ``payload_bytes`` cuts the stored
     payload after HTTP and DNS have seen all of it; detectors then see what is left. Write the result as
     a table when several operators are to read it.
     """
+    ship(frames.sparkSession, "watchfold")
     packets = _packets(_headers(frames))
     if transports is not None:
         packets = packets.filter(F.col("protocol").isin(*transports))

@@ -11,7 +11,7 @@ VT_BODY = """data struct<id: string, attributes: struct<
   last_analysis_stats: struct<harmless: int, malicious: int, suspicious: int, undetected: int>,
   total_votes: map<string, int>, reputation: int, last_analysis_date: string>>"""
 
-FRAMES = "capture string, packet_id bigint, ts timestamp_ntz, orig_len bigint, frame binary"
+FRAMES = "capture string, packet_id bigint, ts timestamp_ntz, orig_len bigint, frame binary, link int"
 
 ALERTS = """severity string, category string, description string, source_ip string,
   destination_ip string, evidence array<string>, ts timestamp_ntz"""

@@ -42,6 +42,7 @@ _ARROW_FRAMES = pa.schema(
         ("ts", pa.timestamp("us")),
         ("orig_len", pa.int64()),
         ("frame", pa.binary()),
+        ("link", pa.int32()),
     ]
 )
 
@@ -149,13 +150,13 @@ def _frames(batches: Iterator[pa.RecordBatch], on_damage: str = "fail") -> Itera
                     column.append(value)
                 held += len(frame) + RECORD_HEADER
                 if held >= _BATCH_BYTES:
-                    yield _batch(row["path"], columns)
+                    yield _batch(row["path"], capture.link, columns)
                     columns, held = [[], [], [], []], 0
             if columns[0]:
-                yield _batch(row["path"], columns)
+                yield _batch(row["path"], capture.link, columns)
 
 
-def _batch(path: str, columns: list[list]) -> pa.RecordBatch:
+def _batch(path: str, link: int, columns: list[list]) -> pa.RecordBatch:
     ids, micros, original, frames = columns
     arrays = [
         pa.array([path] * len(ids), pa.string()),
@@ -163,6 +164,7 @@ def _batch(path: str, columns: list[list]) -> pa.RecordBatch:
         pa.array(micros, pa.int64()).cast(pa.timestamp("us")),
         pa.array(original, pa.int64()),
         pa.array(frames, pa.binary()),
+        pa.array([link & 0xFFFF] * len(ids), pa.int32()),
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_FRAMES)
 
@@ -194,7 +196,7 @@ def read_frames(
     chunk_bytes: int = CHUNK_BYTES,
     on_damage: str = "fail",
 ) -> DataFrame:
-    """Frames of capture files: ``capture, packet_id, ts, orig_len, frame``.
+    """Frames of capture files: ``capture, packet_id, ts, orig_len, frame, link``.
 
     ``packet_id`` is the record's byte offset: unique within a capture, rising, and
     known without counting. Ranges of a file are read in parallel; a job either
