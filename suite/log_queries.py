@@ -355,7 +355,7 @@ SELECT (SELECT count(*) FROM web) AS total_entries, (SELECT count(DISTINCT ip_ad
   'abuse,vt' AS apis_queried FROM enriched""",
 )
 def _(x: Inputs) -> DataFrame:
-    row = summary.log_summary(x.web, intel.enrich(x.web, x.abuse, x.vt))
+    row = summary.summary_with_feeds(x.web, x.abuse, x.vt)
     pairs = F.transform(
         F.map_entries("status_code_distribution"),
         lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")),

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from suite.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     outcome = compare(spark, duck, SF_DIR, name)
     assert outcome.startswith("ok"), outcome
@@ -31,7 +32,7 @@ def test_every_sql_belongs_to_a_query():
 PYTHON = {"s3_capture_files", "k1_decode_packets", "k7_dns", "k9_payload_width"}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n[0] not in "sw"))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] not in "sw"))
 def test_plans_stay_in_the_jvm_and_join_on_keys(spark, name):
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from watchfold.operators.intel import abuse_score, attach, vt_malicious
+from watchfold.operators.intel import abuse_score, enrich, attach, vt_malicious
 from watchfold.functions.rules import HIGH_RISK
 
 # The report's wording per status code.
@@ -114,7 +114,33 @@ def log_summary(
     Entries are scanned once, down to one row per address and status; both figures
     over entries come from that. The one-row parts meet in a union, not a join.
     """
-    per_ip_status = entries.groupBy("ip_address", "status_code").agg(F.count("*").alias("n"))
+    return _summary(_per_ip_status(entries), enriched, min_confidence, sources)
+
+
+def summary_with_feeds(
+    entries: DataFrame,
+    abuse: DataFrame,
+    vt: DataFrame,
+    min_confidence: int = 50,
+    sources: tuple[str, ...] = ("abuse", "vt"),
+) -> DataFrame:
+    """The summary of entries whose addresses are looked up in the feeds here.
+
+    The addresses come from the same counts as the other figures, so that entries are
+    parsed once.
+    """
+    counts = _per_ip_status(entries)
+    # the filter holds always; with it both uses read the same shuffle
+    return _summary(counts, enrich(counts.filter("n > 0"), abuse, vt), min_confidence, sources)
+
+
+def _per_ip_status(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("ip_address", "status_code").agg(F.count("*").alias("n"))
+
+
+def _summary(
+    per_ip_status: DataFrame, enriched: DataFrame, min_confidence: int, sources: tuple[str, ...]
+) -> DataFrame:
     totals = per_ip_status.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_entries"),
         F.count_distinct("ip_address").alias("unique_ips"),
