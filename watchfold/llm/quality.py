@@ -3,8 +3,9 @@
 Two histograms describe a document: its characters by class, and its words by the
 language's commonest words and one bin for all others. Each is compared with that of all
 documents of the same language by the Jensen-Shannon distance (base 2, 0 to 1). A
-document is kept if neither distance is above its limit; a histogram of fewer characters
-or words than its minimum says nothing and is not compared.
+document is kept if neither distance is above its limit, which is wider for short texts
+as these scatter: a limit plus a slack over the root of the number of characters or words.
+A histogram of fewer characters or words than its minimum says nothing and is not compared.
 
 Languages with less than one in ``MOST_LANGUAGES`` of all documents share one reference,
 so that the table of references is bounded.
@@ -34,9 +35,9 @@ COMMON_WORDS = 64
 #: Fewer characters or words make no histogram.
 LEAST_CHARACTERS = 200
 LEAST_WORDS = 40
-#: Largest distances of a kept document.
-CHARACTER_LIMIT = 0.30
-WORD_LIMIT = 0.60
+#: Largest distances of a long document that is kept, and what shortness adds.
+CHARACTER_LIMIT, CHARACTER_SLACK = 0.25, 1.5
+WORD_LIMIT, WORD_SLACK = 0.30, 1.2
 #: Base rules: fewest words, and largest percentage of words in repeated windows.
 FEWEST_WORDS = 20
 REPEATED_PERCENT = 30
@@ -241,6 +242,7 @@ def measures(data: np.ndarray, offsets: np.ndarray, language: np.ndarray, known:
         "n_symbols": np.bincount(byte_row, symbols[data], rows).astype(np.int64),
         "n_dup_lines": n_dup,
         "n_repeat_words": n_repeat,
+        "n_characters": n_chars.astype(np.int64),
         "character_distance": np.where(n_chars >= LEAST_CHARACTERS, character, np.nan),
         "word_distance": np.where(n_words >= LEAST_WORDS, word, np.nan),
     }
@@ -265,8 +267,8 @@ def quality(
     """Counts, distances and verdicts for every row of ``docs`` (doc_id, text, lang).
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, character_distance and word_distance; a distance is null where the
-    text is too short for it. Null texts count as empty: no words, base_failed. A null or
+    base_failed, kept, n_characters,
+    character_distance and word_distance; a distance is null where the text is too short. Null texts count as empty: no words, base_failed. A null or
     unknown language is one like any other, or a rare one. Equal rows get equal results;
     extra columns are not looked at.
     """
@@ -278,14 +280,22 @@ def quality(
     sent = docs.sparkSession.sparkContext.broadcast(known)
     schema = (
         f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "character_distance double, word_distance double"
+        "n_characters long, character_distance double, word_distance double"
     )
     found = rows.mapInArrow(partial(_measured, known=sent), schema)
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    near = (F.coalesce("character_distance", F.lit(0.0)) <= character_limit) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= word_limit
-    )
+    near = F.lit(True)
+    for distance, size, limit, slack in (
+        ("character_distance", "n_characters", character_limit, CHARACTER_SLACK),
+        ("word_distance", "n_words", word_limit, WORD_SLACK),
+    ):
+        near &= F.coalesce(F.col(distance) <= limit + slack / F.sqrt(size), F.lit(True))
     counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select(
-        *counts, failed.alias("base_failed"), (~failed & near).alias("kept"), "character_distance", "word_distance"
+        *counts,
+        failed.alias("base_failed"),
+        (~failed & near).alias("kept"),
+        "n_characters",
+        "character_distance",
+        "word_distance",
     )
