@@ -440,6 +440,31 @@ def _(x: Inputs) -> DataFrame:
     return detect.odd_agent(x.web, 10)
 
 
+@query(
+    "t11_tool_agents",
+    "web",
+    """WITH w AS (SELECT ip_address, CASE WHEN event_id % 13 = 0 THEN 'curl/8.1' ELSE user_agent END AS user_agent FROM web)
+SELECT user_agent, count(*) AS requests, count(DISTINCT ip_address) AS sources,
+  CASE WHEN user_agent IS NULL THEN 'absent' WHEN user_agent LIKE 'curl%' THEN 'tool' ELSE 'rare' END AS reason
+FROM w GROUP BY 1 HAVING user_agent IS NULL OR user_agent LIKE 'curl%' OR count(DISTINCT ip_address) < 10""",
+)
+def _(x: Inputs) -> DataFrame:
+    agent = F.when(F.col("event_id") % 13 == 0, "curl/8.1").otherwise(F.col("user_agent"))
+    return detect.odd_agent(x.web.withColumn("user_agent", agent), 10)
+
+
+@query(
+    "l5_feed_with_repeats",
+    "web fx_abuse",
+    """SELECT event_id, w.ip_address, abuse_confidence_score + 1 AS score FROM web w
+LEFT JOIN fx_abuse b ON w.ip_address = b.ip_address""",
+)
+def _(x: Inputs) -> DataFrame:
+    worse = x.abuse.withColumn("abuse_confidence_score", (F.col("abuse_confidence_score") + 1).cast("int"))
+    known = intel.attach(x.web.select("event_id", "ip_address"), x.abuse.unionByName(worse), x.vt)
+    return known.select("event_id", "ip_address", F.col("abuse.abuse_confidence_score").alias("score"))
+
+
 @query(
     "a1_unauthorized",
     "web",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.fixtures import Inputs
 from suite.registry import query
-from watchfold.functions import is_private, suspicious_domain, uri_rule
+from watchfold.functions import flag_text, is_private, suspicious_domain, uri_rule
 from watchfold.operators import detect, ioc, report, traffic
 
 P = "fx_packets"
@@ -74,7 +74,8 @@ def _(x: Inputs) -> DataFrame:
 
 
 FLAGS = """concat_ws(',', CASE WHEN flag_bits & 2 = 2 THEN 'SYN' END, CASE WHEN flag_bits & 18 = 18 THEN 'SYN-ACK' END,
-  CASE WHEN flag_bits & 16 = 16 THEN 'ACK' END, CASE WHEN flag_bits & 8 = 8 THEN 'PSH' END)"""
+  CASE WHEN flag_bits & 16 = 16 THEN 'ACK' END, CASE WHEN flag_bits & 8 = 8 THEN 'PSH' END,
+  CASE WHEN flag_bits & 1 = 1 THEN 'FIN' END, CASE WHEN flag_bits & 4 = 4 THEN 'RST' END)"""
 
 
 @query(
@@ -341,12 +342,18 @@ def _(x: Inputs) -> DataFrame:
     )
 
 
+# Hosts of pages, some under a risky top-level domain or with a label of many digits.
+_PAGE_HOST = """CASE page_id % 5 WHEN 0 THEN regexp_replace(h, '[.][a-z]+$', '.Top')
+  WHEN 1 THEN 'x' || CAST(1000000000000000 + page_id * 7919 AS {STR}) || 'a.' || h ELSE h END"""
+
+
 @query(
     "n21_suspicious_page_hosts",
-    sql=r"""
-WITH hosts AS (SELECT page_id, regexp_extract(url, '://([^/?#:]+)', 1) AS domain FROM pages),
+    sql=rf"""
+WITH hosts AS (SELECT page_id, {_PAGE_HOST.replace("{STR}", "VARCHAR")} AS domain
+  FROM (SELECT page_id, regexp_extract(url, '://([^/?#:]+)', 1) AS h FROM pages)),
 labels AS (SELECT page_id, unnest(string_split(domain, '.')) AS label FROM hosts),
-odd AS (SELECT DISTINCT page_id FROM labels WHERE length(label) > 15 AND regexp_matches(replace(label, ' ', ''), '^[\p{L}\p{N}]+$')
+odd AS (SELECT DISTINCT page_id FROM labels WHERE length(label) > 15 AND regexp_matches(replace(label, ' ', ''), '^[\p{{L}}\p{{N}}]+$')
   AND 2 * length(regexp_replace(label, '[^0-9]', '', 'g')) > length(label))
 SELECT page_id, domain FROM hosts WHERE length(domain) > 50
   OR regexp_matches(lower(domain), '\.(xyz|top|tk|ml|ga|cf|gq)$') OR page_id IN (SELECT page_id FROM odd)""",
@@ -355,11 +362,34 @@ def _(x: Inputs) -> DataFrame:
     host = F.regexp_extract("url", "://([^/?#:]+)", 1)
     return (
         x.table("pages")
-        .select("page_id", host.alias("domain"))
+        .select("page_id", host.alias("h"))
+        .select("page_id", F.expr(_PAGE_HOST.replace("{STR}", "STRING")).alias("domain"))
         .filter(suspicious_domain(F.col("domain")))
     )
 
 
+@query(
+    "k4_flag_texts",
+    P,
+    f"SELECT packet_id, {FLAGS} AS flags FROM (SELECT packet_id, packet_id % 64 AS flag_bits FROM fx_packets)",
+)
+def _(x: Inputs) -> DataFrame:
+    bits = (F.col("packet_id") % 64).cast("int")
+    return x.packets.select("packet_id", flag_text(bits).alias("flags"))
+
+
+@query(
+    "t4_far_keywords",
+    P,
+    """SELECT src_ip AS source_ip, dst_ip AS destination_ip, count(*) AS alerts FROM fx_packets
+WHERE packet_id % 200 < 2 GROUP BY 1, 2""",
+)
+def _(x: Inputs) -> DataFrame:
+    far = F.concat(F.repeat(F.lit("x"), F.lit(150)), "payload_text").cast("binary")
+    alerts = detect.sensitive_keyword(x.packets.withColumn("payload", far))
+    return alerts.groupBy("source_ip", "destination_ip").agg(F.count("*").alias("alerts"))
+
+
 _RULE = """CASE packet_id % 10 WHEN 0 THEN 'path_traversal' WHEN 1 THEN 'sql_injection'
   WHEN 2 THEN 'command_execution' WHEN 3 THEN 'shellshock' END"""
 
