@@ -25,9 +25,8 @@ def plain():
     return lambda text: len(tokenizer.encode(text or "", add_special_tokens=False))
 
 
-@pytest.mark.parametrize("head", [token_counts.HEAD, 8])
-def test_counts_agree_with_the_library(spark, small, odd, plain, monkeypatch, head):
-    monkeypatch.setattr(token_counts, "HEAD", head)
+def test_counts_agree_with_the_library(spark, small, odd, plain, monkeypatch):
+    monkeypatch.setattr(token_counts, "HEAD", 64)  # so that most pre-tokens take the way of rare ones
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
     docs = texts.unionByName(texts).unionByName(small.select("doc_id", "text")).unionByName(odd.select("doc_id", "text"))
     got = sorted(

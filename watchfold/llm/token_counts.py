@@ -4,10 +4,9 @@ A pre-token is a run between ASCII white space: the tokenizer never joins across
 that the tokens of a text are the sum over its pre-tokens. Pieces are counted once per
 distinct pre-token and summed by the frequencies of each document; ids are not kept.
 
-Pre-tokens with at least one of ``HEAD`` of all occurrences, at most ``HEAD`` many, are
-counted first and sent to all tasks. The occurrences of the others, which are none too
-frequent each, meet their pre-token in one shuffle as (document, pre-token, frequency)
-and come back as sums.
+The most frequent pre-tokens, at most ``HEAD`` many, are counted first and sent to all
+tasks. The occurrences of the others, which are none too frequent each, meet their
+pre-token in one shuffle as (document, pre-token, frequency) and come back as sums.
 """
 
 from __future__ import annotations
@@ -25,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from watchfold.llm.graphs import stored
+from watchfold.llm.graphs import most_frequent, stored
 from watchfold.session import ship
 
 #: Most pre-tokens whose piece counts are sent to all tasks.
-HEAD = 1 << 18
+HEAD = 1 << 19
 #: A task forgets its rarest pre-tokens beyond so many while it looks for frequent ones.
 _HELD = 1 << 20
 
-_WORK = "doc_id long, text_hash long, pretoken binary, part long, n long, bytes long, copies int"
+_WORK = "doc_id long, text_hash long, pretoken binary, n long, bytes long, copies int"
 
 _tokenizers: dict[str, Tokenizer] = {}
 
@@ -57,10 +56,8 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pre-tokens that make up one of HEAD of a task's occurrences, and (null, all).
-
-    What is that frequent in the whole table is so in a task at least.
-    """
+    """Pre-tokens that may be among the most frequent: in some task they are one of four
+    times HEAD occurrences. Missing one costs time and changes no count."""
     counts: Counter[bytes] = Counter()
     total, floor = 0, 1
     for batch in batches:
@@ -71,13 +68,10 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while len(counts) > _HELD:
                 floor += 1
                 counts = Counter({k: n for k, n in counts.items() if n >= floor})
-    least = max(2, total // HEAD)
+    least = max(2, total // (4 * HEAD))
     often = [(k, n) for k, n in counts.items() if n >= least]
     yield pa.record_batch(
-        {
-            "pretoken": pa.array([None, *(k for k, _ in often)], pa.binary()),
-            "n": pa.array([total, *(n for _, n in often)], pa.int64()),
-        }
+        {"pretoken": pa.array([k for k, _ in often], pa.binary()), "n": pa.array([n for _, n in often], pa.int64())}
     )
 
 
@@ -88,25 +82,16 @@ def _pieces(batches: Iterator[pa.RecordBatch], definition: Broadcast) -> Iterato
         yield pa.record_batch({"pretoken": batch.column("pretoken"), "pieces": pa.array(counts, pa.int64())})
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def _spread(text_hash: int, doc_id: int | None) -> int:
-    """Where a document's own row goes: copies of one text to different tasks."""
-    return _signed(xxhash.xxh3_64_intdigest(f"{text_hash} {doc_id}"))
-
-
 def _frequencies(batches: Iterator[pa.RecordBatch], head: Broadcast) -> Iterator[pa.RecordBatch]:
     """A row per document with the pieces of its frequent pre-tokens, and a row for each
     other distinct pre-token of the document."""
     known = head.value
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(6)]
 
         def flush(columns=columns) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
             names = [x.split()[0] for x in _WORK.split(", ")]
             out = pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
             for c in columns:
@@ -115,15 +100,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch], head: Broadcast) -> Iterator
 
         for doc_id, text in zip(ids, _texts(batch), strict=True):
             counts = Counter(text.split())
-            rest = counts.keys() - known.keys()
-            pieces = sum(n * known[k] for k, n in counts.items() if k not in rest)
-            text_hash = _signed(xxhash.xxh3_64_intdigest(text))
+            rest = [x for x in counts if x not in known]
+            pieces = sum(n * known[x] for x, n in counts.items() if x in known)
+            text_hash = xxhash.xxh32_intdigest(text)  # tells texts of one doc_id apart
             size = len(rest)
             row = [
                 [doc_id, *repeat(doc_id, size)],
                 [text_hash, *repeat(text_hash, size)],
                 [None, *rest],
-                [_spread(text_hash, doc_id), *(_signed(xxhash.xxh3_64_intdigest(x)) for x in rest)],
                 [pieces, *(counts[x] for x in rest)],
                 [len(text), *repeat(0, size)],
                 [1, *repeat(0, size)],
@@ -143,7 +127,7 @@ def _counted(batches: Iterator[pa.RecordBatch], definition: Broadcast) -> Iterat
         pretokens = batch.column("pretoken").dictionary_encode()
         pieces = pa.array(piece_counts(tokenizer, pretokens.dictionary.to_pylist()), pa.int64())
         each = pc.fill_null(pieces.take(pretokens.indices), 1) if len(pieces) else pa.array([1] * len(batch), pa.int64())
-        out = batch.drop_columns(["pretoken", "part", "n"])
+        out = batch.drop_columns(["pretoken", "n"])
         yield out.append_column("tokens", pc.multiply(batch.column("n"), each))
 
 
@@ -161,13 +145,16 @@ def token_counts(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     with open(tokenizer_file, encoding="utf-8") as file:
         definition = spark.sparkContext.broadcast(file.read())
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stored(docs.select("text").mapInArrow(_frequent, "pretoken binary, n long").groupBy("pretoken").agg(F.sum("n").alias("n")), "pretokens")
-    total = seen.filter("pretoken is null").agg(F.sum("n")).first()[0] or 0
-    often = seen.filter(F.col("pretoken").isNotNull() & (F.col("n") >= max(2, total // HEAD))).select("pretoken")
+    seen = docs.select("text").mapInArrow(_frequent, "pretoken binary, n long")
+    seen = stored(seen.groupBy("pretoken").agg(F.sum("n").alias("n")), "pretokens")
+    often = most_frequent(seen, HEAD).select("pretoken")
     table = often.mapInArrow(partial(_pieces, definition=definition), "pretoken binary, pieces long").toArrow()
     head = spark.sparkContext.broadcast(dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True)))
     work = docs.mapInArrow(partial(_frequencies, head=head), _WORK)
-    work = work.repartition("part").sortWithinPartitions("part", "pretoken")
+    # a document's own row may go anywhere: copies of one text to different tasks
+    own = F.col("pretoken").isNull()
+    place = F.when(own, F.xxhash64("doc_id", "text_hash")).otherwise(F.xxhash64("pretoken"))
+    work = work.repartition(place).sortWithinPartitions("pretoken")
     counted = work.mapInArrow(
         partial(_counted, definition=definition), "doc_id long, text_hash long, bytes long, copies int, tokens long"
     )
