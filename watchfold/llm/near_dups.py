@@ -26,6 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +41,8 @@ MANTISSA = 10
 SHINGLE = 5
 #: Sketch estimates may fall short of the threshold by so many standard deviations.
 SLACK = 4.0
+#: Marks of the bitmap that picks documents for the comparison of full sets (16 MB).
+MARKS = 1 << 27
 #: Members of a block in step 3.
 BLOCK = 512
 
@@ -148,8 +151,12 @@ def _likely_pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterat
         yield batch.select(["a", "b"]).filter(pa.array(fits))
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full_sets(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Sets of the documents whose place is marked."""
+    marks = wanted.value
     for batch in batches:
+        place = batch.column("place").to_numpy()
+        batch = batch.filter(pa.array((marks[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
         for piece in words.pieces(batch.column("text")):
             rows = piece.last - piece.first
             shingles, first = sets(words.LOWER[piece.data], piece.offsets)
@@ -308,9 +315,22 @@ def _block_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(node, n, shingles)`` of the nodes: their full sets, from the texts once more."""
-    texts = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = texts.mapInArrow(_full_sets, "node long, n long, shingles binary")
+    """``(node, n, shingles)`` of the nodes: their full sets, from the texts once more.
+
+    Texts are not shuffled. A bitmap of fixed size marks the hashes of the nodes; what
+    shares a mark by chance comes along and finds no partner later.
+    """
+    place = F.pmod(F.xxhash64(F.col("node")), F.lit(MARKS))
+    marked = nodes.select((place + 1).alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+    marked = marked.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    marks = np.zeros(MARKS // 8, np.uint8)
+    for bucket, bits in marked.toLocalIterator():  # buckets hold 32,768 marks and count from 1
+        some = np.frombuffer(bits, np.uint8)
+        marks[(bucket - 1) * 4096 : (bucket - 1) * 4096 + len(some)] = some
+    wanted = docs.sparkSession.sparkContext.broadcast(marks)
+    place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(MARKS)).alias("place")
+    texts = docs.filter("doc_id is not null").select("doc_id", "text", place)
+    found = texts.mapInArrow(partial(_full_sets, wanted=wanted), "node long, n long, shingles binary")
     # of documents that share a doc_id, the one whose class it stands for
     return found.join(classes.select("node", F.col("n_shingles").alias("n")), ["node", "n"], "left_semi").dropDuplicates(["node"])
 
@@ -394,8 +414,8 @@ def without_near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFra
     That is the one whose doc_id names the component; of rows that share this doc_id one
     stays. Rows without doc_id and documents without words stay, too.
     """
-    kept = near_duplicates(docs, threshold).filter("kept and doc_id is not null").groupBy("doc_id").count()
-    once = docs.join(kept.filter("count = 1"), "doc_id", "left_semi")
-    often = docs.join(kept.filter("count > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    whole = once.unionByName(often).unionByName(docs.filter(F.col("doc_id").isNull()))
-    return whole.select(docs.columns)
+    found = near_duplicates(docs, threshold)
+    kept = stored(found.filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
+    # the join has put equal ids together, so that dropping repeated ones moves nothing
+    left = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
