@@ -129,15 +129,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
     column = table.column("features").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
-    feature = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    feature = column.flatten().to_numpy(zero_copy_only=False)
     border = np.concatenate([[0], np.cumsum(table.column("terms").to_numpy())]).astype(np.int64)
-    return learn(feature, border, table.column("toxic").to_numpy().astype(np.float64))
+    model = learn(feature, border, table.column("toxic").to_numpy().astype(np.float64))
+    del table, column, feature
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _tied(feature: np.ndarray, border: np.ndarray, label: np.ndarray) -> np.ndarray:
     """Features that are common enough and surely tied to the labels."""
-    seen = np.bincount(feature, minlength=FEATURES).astype(np.float64)
-    toxic = np.bincount(feature, np.repeat(label, np.diff(border)), FEATURES)
+    seen, toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+    marked = np.repeat(label > 0, np.diff(border))
+    for low in range(0, len(feature), 1 << 20):
+        some = feature[low : low + (1 << 20)]
+        seen += np.bincount(some, minlength=FEATURES)
+        toxic += np.bincount(some[marked[low : low + (1 << 20)]], minlength=FEATURES)
     share = label.mean() if len(label) else 0.0
     with np.errstate(divide="ignore", invalid="ignore"):
         tie = (toxic - seen * share) ** 2 / (seen * share * (1 - share) * (1 - seen / len(label)))
