@@ -75,10 +75,11 @@ def test_mined_rules_agree_with_brute_force(spark):
     given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("url").distinct()
     given = given.filter("url is not null")
     given = given.withColumn("verdict", urls.policy_verdict(urls.policy_rule(urls.host(F.col("url")), urls.path(F.col("url")))))
-    found = {(tuple(r["tokens"]), r["verdict"]): r for r in urls.mine(given, 0.1, 0.7).collect()}
+    found = {(tuple(r["tokens"]), r["verdict"]): r for r in urls.mine(given, 0.1, 0.7, least_urls=1).collect()}
     rows = [(set(r["t"]), r["verdict"]) for r in given.filter("verdict is not null").withColumn("t", urls.tokens(F.col("url"))).collect()]
     total = len(rows)
-    often = {x for t, _ in rows for x in t if sum(x in s for s, _ in rows) >= 0.1 * total}
+    counts = {x: sum(x in s for s, _ in rows) for t, _ in rows for x in t}
+    often = {x for x, n in counts.items() if 0.1 * total <= n < total}
     rules = {}
     for size in (1, 2, 3):
         for some in combinations(sorted(often), size):
@@ -90,7 +91,10 @@ def test_mined_rules_agree_with_brute_force(spark):
     shortest = {
         k: c
         for k, c in rules.items()
-        if not any(o[1] == k[1] and set(o[0]) < set(k[0]) and oc >= c - 1e-12 for o, oc in rules.items())
+        if not any(
+            o[1] == k[1] and set(o[0]) < set(k[0]) and len(o[0]) == len(k[0]) - 1 and oc >= c - 1e-12
+            for o, oc in rules.items()
+        )
     }
     assert {k for k in found if len(k[0]) <= 3} == set(shortest)
     for k, c in shortest.items():

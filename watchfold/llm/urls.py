@@ -12,8 +12,6 @@ Everything runs on distinct URLs; verdicts are joined back to the pages.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +28,8 @@ POLICY = (
 )
 #: A combination is mined if this part of the labelled URLs has it with its verdict.
 LEAST_SUPPORT = 0.01
+#: But by so many of them at least: less would make a rule of every URL.
+LEAST_URLS = 20
 LEAST_CONFIDENCE = 0.8
 #: Times the verdict's overall frequency that a rule's confidence must reach.
 LEAST_LIFT = 1.05
@@ -71,12 +71,13 @@ def policy_verdict(rule: Column, policy=POLICY) -> Column:
 
 
 def tokens(url: Column) -> Column:
-    """Distinct tokens of a URL: scheme, host labels by level, their parts, path segments
-    and query keys; runs of digits are one."""
+    """Distinct tokens of a URL: scheme, host labels by level, the parts of compound ones,
+    path segments and query keys; runs of digits are one."""
     digits = lambda c: F.regexp_replace(c, r"[0-9]+", "0")
     labels = F.reverse(F.filter(F.split(host(url), r"\."), lambda x: x != ""))
     named = F.transform(labels, lambda x, i: F.concat(F.lit("host"), F.least(i, F.lit(3)).cast("string"), F.lit(":"), digits(x)))
-    parts = F.transform(F.flatten(F.transform(labels, lambda x: F.split(x, r"[-_]"))), lambda x: F.concat(F.lit("part:"), digits(x)))
+    joined = F.filter(labels, lambda x: x.rlike("[-_]"))
+    parts = F.transform(F.flatten(F.transform(joined, lambda x: F.split(x, r"[-_]"))), lambda x: F.concat(F.lit("part:"), digits(x)))
     segments = F.transform(
         F.filter(F.split(path(url), "/"), lambda x: x != ""), lambda x: F.concat(F.lit("path:"), digits(F.lower(x)))
     )
@@ -94,11 +95,12 @@ def mine(
     least_support: float = LEAST_SUPPORT,
     least_confidence: float = LEAST_CONFIDENCE,
     least_lift: float = LEAST_LIFT,
+    least_urls: int = LEAST_URLS,
 ) -> DataFrame:
     """Rules (tokens, verdict, confidence, support) of ``labelled`` (url, verdict).
 
-    Of the rules that say the same, those stay that no shorter rule with at least their
-    confidence contains. Rows without url or verdict are not looked at; without labelled
+    A rule stays unless one without one of its tokens says the same with no less
+    confidence. Tokens that all labelled URLs have are left out. Rows without url or verdict are not looked at; without labelled
     rows there are no rules.
     """
     rows = labelled.filter("url is not null and verdict is not null")
@@ -107,9 +109,14 @@ def mine(
     none = items.sparkSession.createDataFrame(
         [], "tokens array<string>, verdict string, confidence double, support double"
     )
-    if items.isEmpty():
+    total = items.count()
+    if total < least_urls:
         return none
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(items)
+    counts = items.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"))
+    common = [r[0] for r in counts.filter(F.col("n") == total).collect()]  # at most one URL's tokens
+    items = items.select(F.array_except("items", F.array(*map(F.lit, common)).cast("array<string>")).alias("items"))
+    support = max(least_support, least_urls / total)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(items)
     said = F.col("consequent")[0]
     rules = model.associationRules.filter(said.startswith(_VERDICT) & (F.col("lift") >= least_lift)).select(
         F.array_sort("antecedent").alias("tokens"),
@@ -122,15 +129,14 @@ def mine(
 
 
 def _shortest(rules: DataFrame) -> DataFrame:
-    """Rules without those that a shorter one of no less confidence makes needless."""
-    one = F.explode("tokens").alias("token")
-    shorter = rules.select(F.col("tokens").alias("s"), F.col("verdict").alias("sv"), F.col("confidence").alias("sc"), "tokens")
-    shorter = shorter.select("s", "sv", "sc", F.col("tokens")[0].alias("token"))  # a shorter rule's tokens are all in the longer
-    longer = rules.select("tokens", "verdict", "confidence", one)
-    needless = longer.join(shorter, "token").filter(
-        "verdict = sv and sc >= confidence and size(s) < size(tokens) and size(array_except(s, tokens)) = 0"
-    )
-    return rules.join(needless.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
+    """Rules without those that one shorter by a token makes needless."""
+    without = F.filter("tokens", lambda x: x != F.col("token"))
+    shorter = rules.select("tokens", "verdict", "confidence", F.explode("tokens").alias("token"))
+    shorter = shorter.select(F.col("tokens").alias("longer"), "verdict", "confidence", without.alias("tokens"))
+    other = rules.select("tokens", "verdict", F.col("confidence").alias("other"))
+    needless = shorter.join(other, ["tokens", "verdict"]).filter("other >= confidence")
+    needless = needless.select(F.col("longer").alias("tokens"), "verdict").distinct()
+    return rules.join(needless, ["tokens", "verdict"], "left_anti")
 
 
 def _indexed(rules: DataFrame, urls: DataFrame) -> DataFrame:
