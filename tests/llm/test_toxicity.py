@@ -34,6 +34,24 @@ def test_pairs_of_words_count():
     assert both > 0.5 > one
 
 
+def test_rare_pairs_count_beside_unrelated_toxic_rows():
+    """Some twenty rows have both features of a pair; other toxic rows hide it from either."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(16_000):
+        some, a, b, other = set(rng.integers(100, 3100, 40).tolist()), *(rng.random(3) < (0.05, 0.02, 0.05))
+        rows.append(sorted(some | ({1} if a else set()) | ({2} if b else set()) | ({3} if other else set())))
+        labels.append(float((a and b) or other))
+    border = np.cumsum([0, *map(len, rows)])
+    model = toxicity.learn(np.concatenate(rows), border, np.array(labels))
+
+    def toxic(*features):
+        texts = [np.array(sorted({*features, *rng.integers(100, 3100, 40).tolist()})) for _ in range(50)]
+        return sum(model.scores(f, np.zeros(len(f), np.int64), 1)[0] >= 0.5 for f in texts)
+
+    assert toxic(1, 2) >= 45 and toxic(3) >= 45 and toxic(1) + toxic(2) + toxic() <= 3
+
+
 @pytest.fixture()
 def taught(spark, odd):
     labels = [(i, int(i % 4 == 0)) for i in range(100, 400)] + [(1, None), (None, 1), (100, 1), (9999, 1), (101, 0)]

@@ -6,7 +6,9 @@ the products of latent vectors, one per pair of features, make the score, so tha
 words may say together what neither says alone.
 
 Learning follows AdaGrad with an L1 step on the weights. Features that chance may tie to
-the labels are left out, and only features with a weight have a latent vector. It uses a bounded sample of the labelled rows, in the order of a hash of
+the labels are left out, and only features with a weight have a latent vector. Pairs of
+features are held against the labels on their own, whether or not their parts are tied to
+them, and those that say more than their parts have a weight like features. It uses a bounded sample of the labelled rows, in the order of a hash of
 doc_id: at most ``MAX_ROWS`` rows and ``MAX_TERMS`` terms. Everything else, the scoring,
 covers all rows and whole texts.
 """
@@ -41,6 +43,10 @@ MAX_TERMS = 12_000_000
 #: chi-squared statistic), get no weight.
 _LEAST_DOCUMENTS = 3
 _LEAST_TIE = 15.0
+#: Toxic documents of the sample that a pair must have, and how surely (as a logarithm, beyond
+#: that of the number of pairs) they are more than its parts explain.
+_LEAST_PAIR = 5
+_PAIR_MARGIN = 3.0
 _EPOCHS = 20
 _BATCH = 256
 _RATE = 0.3
@@ -58,18 +64,24 @@ def held_out(doc_id: Column) -> Column:
 
 @dataclass
 class Model:
-    """Bias, weights and latent vectors of the features."""
+    """Bias, weights and latent vectors of the features, and weights of pairs of them."""
 
     bias: float
     weight: np.ndarray
     latent: np.ndarray
+    pairs: np.ndarray
+    pair_weight: np.ndarray
 
     def scores(self, feature: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
         """Probability per row, from the (row, feature) entries of its text."""
-        active = (self.weight != 0)[feature]
+        active = self.weight != 0
+        active[self.pairs.ravel()] = True
+        active = active[feature]
         entry = np.unique(row[active].astype(np.int64) * FEATURES + feature[active])
         row, feature = entry // FEATURES, entry % FEATURES
         z = self.bias + np.bincount(row, self.weight[feature], rows)
+        both, pair = _pair_entries(row, feature, self.pairs)
+        z += np.bincount(both, self.pair_weight[pair], rows)
         for latent in self.latent.T[:, feature]:
             z += 0.5 * (np.bincount(row, latent, rows) ** 2 - np.bincount(row, latent * latent, rows))
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -131,8 +143,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
     feature = column.flatten().to_numpy(zero_copy_only=False)
     border = np.concatenate([[0], np.cumsum(table.column("terms").to_numpy())]).astype(np.int64)
-    model = learn(feature, border, table.column("toxic").to_numpy().astype(np.float64))
-    del table, column, feature
+    label = table.column("toxic").to_numpy().astype(np.float64)
+    del table, column
+    pa.default_memory_pool().release_unused()
+    model = learn(feature, border, label)
+    del feature
     pa.default_memory_pool().release_unused()
     return model
 
@@ -151,9 +166,114 @@ def _tied(feature: np.ndarray, border: np.ndarray, label: np.ndarray) -> np.ndar
     return (seen >= _LEAST_DOCUMENTS) & (np.nan_to_num(tie, posinf=0.0) >= _LEAST_TIE)
 
 
+def _joined(column: np.ndarray, border: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """``column[border[i]:border[i + 1]]`` of each i of ``some``, one after the other."""
+    size = border[some + 1] - border[some]
+    return column[np.arange(size.sum()) + np.repeat(border[some] - np.cumsum(size) + size, size)]
+
+
+def _docs_by_feature(x: np.ndarray, doc: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each feature's documents, about a million entries sorted at a time."""
+    ends = np.cumsum(np.bincount(x, minlength=size))
+    low = 0
+    while low < size:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + (1 << 20), side="right")))
+        at = np.flatnonzero((x >= low) & (x < high))
+        docs = doc[at[np.argsort(x[at], kind="stable")]]
+        for a in range(low, high):
+            yield a, docs[(ends[a - 1] if a else 0) - before : ends[a] - before]
+        low = high
+
+
+def _with(x: np.ndarray, border: np.ndarray, docs: np.ndarray, size: int) -> np.ndarray:
+    """How many of ``docs`` have each feature."""
+    out = np.zeros(size, np.int64)
+    for low in range(0, len(docs), 256):
+        out += np.bincount(_joined(x, border, docs[low : low + 256]), minlength=size)
+    return out
+
+
+def _tied_pairs(feature: np.ndarray, border: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Pairs (a < b) of features with more toxic documents than a, b or both on their own explain.
+
+    Each feature's toxic documents are counted by all other features, the documents of
+    those that may pass as well. All pairs with enough toxic documents are looked at.
+    """
+    none = np.empty((0, 2), np.int64)
+    rows, toxic = len(label), label > 0
+    if not toxic.any() or toxic.all():
+        return none
+    seen = np.bincount(feature, minlength=FEATURES)
+    of_toxic = [feature[border[i] : border[i + 1]] for i in np.flatnonzero(toxic)]
+    known = np.flatnonzero(np.bincount(np.concatenate(of_toxic), minlength=FEATURES) >= _LEAST_PAIR)
+    place = np.full(FEATURES, -1, np.int32)
+    place[known] = np.arange(len(known))
+    # large arrays: filled part by part
+    x = np.empty(seen[known].sum(), np.int32)
+    doc, end = np.empty_like(x), 0
+    for low in range(0, rows, 256):
+        borders = border[low : low + 257]
+        some = place[feature[borders[0] : borders[-1]]]
+        keep = some >= 0
+        n = int(keep.sum())
+        x[end : end + n] = some[keep]
+        doc[end : end + n] = np.repeat(np.arange(low, low + len(borders) - 1), np.diff(borders))[keep]
+        end += n
+    by_doc = np.searchsorted(doc, np.arange(rows + 1, dtype=np.int32))
+    rate = (np.bincount(place[np.concatenate(of_toxic)] + 1, minlength=len(known) + 1)[1:] + 0.5) / (seen[known] + 1)
+    share = toxic.mean()
+    logit, base = np.log(rate / (1 - rate)), np.log(share / (1 - share))
+    least = np.log(len(known) ** 2 / 2 + 1) + _PAIR_MARGIN
+    found = [none]
+    for a, mine in _docs_by_feature(x, doc, len(known)):
+        t = _with(x, by_doc, mine[toxic[mine]], len(known))
+        t[: a + 1] = 0
+        together = 1 / (1 + np.exp(base - logit[a] - logit))
+        expected = np.maximum(np.maximum(together, share), np.maximum(rate[a], rate))
+        b = np.flatnonzero((t >= _LEAST_PAIR) & (-t * np.log(expected) >= least))
+        if not len(b):
+            continue
+        n = t + _with(x, by_doc, mine[~toxic[mine]], len(known))
+        t, n, e = t[b], n[b], expected[b]
+        clean = np.where(n > t, (n - t) * np.log(np.maximum(1 - t / n, 1e-12) / (1 - e)), 0)
+        b = b[(t > n * e) & (t * np.log(t / n / e) + clean >= least)]
+        found.append(np.stack([np.full(len(b), known[a]), known[b]], axis=1))
+    return np.concatenate(found)
+
+
+def _pair_entries(row: np.ndarray, feature: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The (row, number of a pair) entries of rows that have both features of a pair; rows
+    and their distinct features are sorted, and pairs by their first."""
+    low, high = (np.searchsorted(pairs[:, 0], feature, side=s) for s in ("left", "right"))
+    entry = row.astype(np.int64) * FEATURES + feature
+    ends = np.cumsum(high - low)
+    found = [(row[:0], low[:0])]
+    begin = 0
+    while begin < len(row):  # about a million candidates at a time
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + (1 << 20), side="right")))
+        size = (high - low)[begin:end]
+        pair = np.arange(size.sum()) + np.repeat(low[begin:end] - np.cumsum(size) + size, size)
+        row_of = np.repeat(row[begin:end], size)
+        wanted = row_of.astype(np.int64) * FEATURES + pairs[pair, 1]
+        at = np.minimum(np.searchsorted(entry, wanted), len(entry) - 1)
+        there = entry[at] == wanted
+        found.append((row_of[there], pair[there]))
+        begin = end
+    return np.concatenate([r for r, _ in found]), np.concatenate([p for _, p in found])
+
+
 def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
     """Fits a model to rows whose features are ``feature[border[i]:border[i + 1]]``."""
     rows = len(label)
+    pairs = _tied_pairs(feature, border, label)
+    member = np.zeros(FEATURES, bool)
+    member[pairs.ravel()] = True
+    at = np.flatnonzero(member[feature])
+    both, pair = _pair_entries(np.searchsorted(border, at, side="right") - 1, feature[at], pairs)
+    pair_border = np.searchsorted(both, np.arange(rows + 1))
+    pair_weight, pair_sum = np.zeros(len(pairs)), np.full(len(pairs), 1e-6)
     positive = float(label.sum())
     bias = float(np.log((positive + 0.5) / (rows - positive + 10.0)))
     weight, weight_sum = np.zeros(FEATURES), np.full(FEATURES, 1e-6)
@@ -176,10 +296,19 @@ def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int
             total = np.stack([np.bincount(row, f[place], len(some)) for f in v.T], axis=1)
             square = np.bincount(row, (v * v).sum(1)[place], len(some))
             z = bias + np.bincount(row, w[place], len(some)) + 0.5 * ((total * total).sum(1) - square)
+            pair_row = np.repeat(np.arange(len(some)), pair_border[some + 1] - pair_border[some])
+            used_pair = _joined(pair, pair_border, some)
+            z += np.bincount(pair_row, pair_weight[used_pair], len(some))
             error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label[some]) / len(some)
             # the bias moves slowly: the weights explain the rows
             bias_sum += error.sum() ** 2
             bias -= 0.1 * _RATE * error.sum() / np.sqrt(bias_sum)
+            used_pair, pair_place = np.unique(used_pair, return_inverse=True)
+            slope = np.bincount(pair_place, error[pair_row], len(used_pair))
+            pair_sum[used_pair] += slope * slope
+            step = _RATE / np.sqrt(pair_sum[used_pair])
+            moved = pair_weight[used_pair] - step * slope
+            pair_weight[used_pair] = np.sign(moved) * np.maximum(np.abs(moved) - step * _L1, 0)
             slope = np.bincount(place, error[row], len(used))
             weight_sum[used] += slope * slope
             step = _RATE / np.sqrt(weight_sum[used])
@@ -191,7 +320,8 @@ def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int
                 latent_sum[used, f] += pull * pull
                 latent[used, f] -= 0.3 * _RATE * pull / np.sqrt(latent_sum[used, f])
     active = weight != 0
-    return Model(bias, weight.astype(np.float32), (latent * active[:, None]).astype(np.float32))
+    pairs, pair_weight = pairs[pair_weight != 0], pair_weight[pair_weight != 0]
+    return Model(bias, weight.astype(np.float32), (latent * active[:, None]).astype(np.float32), pairs, pair_weight)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
