@@ -124,3 +124,11 @@ def test_no_rows(spark, pages):
 def test_long_policies_are_refused(pages):
     with pytest.raises(ValueError, match="policy"):
         urls.judge(pages, policy=[("block", f"h{i}/") for i in range(1001)])
+
+
+@pytest.mark.parametrize("allowed", [0, 1])
+def test_sure_rules_stay_whatever_the_verdicts_share(spark, allowed):
+    rows = [(f"https://hot.net/a/{i}" if i % 2 else f"http://hot.net/b/{i}", "block") for i in range(60)]
+    rows += [("ftp://cold.org/c", "allow")] * allowed
+    rules = {(tuple(r["tokens"]), r["verdict"]) for r in urls.mine(spark.createDataFrame(rows, "url string, verdict string")).collect()}
+    assert {(("path:a",), "block"), (("path:b",), "block")} <= rules

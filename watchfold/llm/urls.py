@@ -31,7 +31,7 @@ LEAST_SUPPORT = 0.01
 #: But by so many of them at least: less would make a rule of every URL.
 LEAST_URLS = 20
 LEAST_CONFIDENCE = 0.8
-#: Times the verdict's overall frequency that a rule's confidence must reach.
+#: Times the verdict's overall frequency that a rule's confidence must reach, or be 1.
 LEAST_LIFT = 1.05
 #: Longest policy list; it becomes one expression.
 MOST_POLICY_RULES = 1000
@@ -113,12 +113,12 @@ def mine(
     if total < least_urls:
         return none
     counts = items.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"))
-    common = [r[0] for r in counts.filter(F.col("n") == total).collect()]  # at most one URL's tokens
+    common = [r[0] for r in counts.filter((F.col("n") == total) & ~F.col("item").startswith(_VERDICT)).collect()]  # at most one URL's tokens
     items = items.select(F.array_except("items", F.array(*map(F.lit, common)).cast("array<string>")).alias("items"))
     support = max(least_support, least_urls / total)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(items)
     said = F.col("consequent")[0]
-    rules = model.associationRules.filter(said.startswith(_VERDICT) & (F.col("lift") >= least_lift)).select(
+    rules = model.associationRules.filter(said.startswith(_VERDICT) & ((F.col("lift") >= least_lift) | (F.col("confidence") >= 1))).select(
         F.array_sort("antecedent").alias("tokens"),
         F.substring(said, len(_VERDICT) + 1, 100).alias("verdict"),
         "confidence",
