@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from watchfold.llm import decontaminate, line_dedup, lm, mixing, near_dups, quality, shards, token_counts, toxicity, urls
+from watchfold.llm import (
+    centroids,
+    decontaminate,
+    line_dedup,
+    lm,
+    mixing,
+    near_dups,
+    phrases,
+    quality,
+    shards,
+    token_counts,
+    toxicity,
+    urls,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +214,102 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+def _round(k: int) -> str:
+    """Assignment ``a{k}`` to the centroids ``c{k}`` and the next centroids."""
+    return f"""
+a{k} AS MATERIALIZED (
+  SELECT r, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+    SELECT v.r, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{k} c ON c.i = v.i GROUP BY 1, 2) GROUP BY 1),
+c{k + 1} AS MATERIALIZED (
+  SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+    SELECT a.k, v.i, (sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS x
+    FROM v JOIN a{k} a ON a.r = v.r GROUP BY 1, 2) m ON m.k = c.k AND m.i = c.i),"""
+
+
+@_query(
+    f"""
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (
+  SELECT r, vec_id, generate_subscripts(embedding, 1) AS i,
+    CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS HUGEINT) AS x FROM e),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM e
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id)) <= 8),
+c0 AS MATERIALIZED (SELECT f.k, v.i, v.x FROM first f JOIN v ON v.r = f.r),
+{"".join(_round(k) for k in range(11)).strip()}
+digest AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM c10 GROUP BY 1)
+SELECT e.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  digest.h AS centroid_sha256
+FROM e JOIN a10 a ON a.r = e.r JOIN digest ON digest.k = a.k
+"""
+)
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds of exact k-means."""
+    return centroids.cluster_report(_table(spark, sf_dir, "embeddings"))
+
+
+@_query(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY 1)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN p.page_id IS DISTINCT FROM g.first AND g.first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN p.page_id IS DISTINCT FROM g.first THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON g.html = p.html
+"""
+)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as it is read back from the archives."""
+    read = warc.read_records(warc.write_archives(_table(spark, sf_dir, "pages")))
+    return read.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+@_query(
+    rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLDED}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY 1),
+w AS (SELECT id, lang, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM p),
+runs AS (
+  SELECT lang, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY id ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, len(ws) AS size, array_to_string(ws, ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, unnest([[a], CASE WHEN b IS NOT NULL THEN [a, b] END, CASE WHEN c IS NOT NULL THEN [a, b, c] END]) AS ws
+    FROM runs) WHERE ws IS NOT NULL GROUP BY ALL),
+cand AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE a >= 10 AND size > 1),
+parts AS (
+  SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k+1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, k,
+    CAST((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM parts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp),
+scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, part, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(ws[1:2], ' ') AS part FROM cand WHERE size = 3
+    UNION ALL SELECT lang, a, array_to_string(ws[2:3], ' ') FROM cand WHERE size = 3) GROUP BY 1, 2),
+ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank,
+    s.phrase, s.a, s.l, s.r, s.score
+  FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.part = s.phrase
+  WHERE o.a IS NULL OR 100 * o.a < 50 * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words keep together most."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
