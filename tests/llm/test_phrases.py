@@ -88,26 +88,22 @@ def test_tasks_that_write_out_often_and_many_shards_change_nothing(spark, small,
     assert found(small) == brute(rows)
     data = np.frombuffer(rows[0][0].encode(), np.uint8)
     head = phrases._Head(np.empty(0, np.uint64), np.empty(0, np.int64), np.full(phrases.MARKS // 8, 255, np.uint8))
-    one = phrases._Counter(3, 4)
-    monkeypatch.setattr(phrases, "_HELD", 300)
-    monkeypatch.setattr(phrases, "_DISTINCT", 150)
-    often = phrases._Counter(3, 4)
     zero, salts = np.zeros(1, np.int64), np.zeros(1, np.uint64)
     _, keys = phrases._phrase_keys(data, np.array([0, len(data)]), salts, zero, head)
-    parts = []
-    for i in range(0, len(keys), 50):
-        one.held, one.parts = one.held, one.parts
-        parts += list(often.add(keys[i : i + 50]))
-        one.parts.append((phrases.quotient.permute(keys[i : i + 50]), np.ones(len(keys[i : i + 50]), np.int64)))
-        one.held += len(keys[i : i + 50])
-    parts.append(often.flush())
-    assert len(parts) > 2
-
-    def total(batches):
+
+    def total(held, distinct):
+        monkeypatch.setattr(phrases, "_HELD", held)
+        monkeypatch.setattr(phrases, "_DISTINCT", distinct)
+        counter, batches = phrases._Counter(3, 4), []
+        for i in range(0, len(keys), 50):
+            batches += counter.add(keys[i : i + 50])
+        batches.append(counter.flush())
         filters = [(s, x) for b in batches for s, x in zip(b.column("shard").to_pylist(), b.column("filter").to_pylist(), strict=True)]
-        return [phrases.quotient.merge([x for t, x in filters if t == s], s) for s in sorted({s for s, _ in filters})]
+        return len(batches), [phrases.quotient.merge([x for t, x in filters if t == s], s) for s in sorted({s for s, _ in filters})]
 
-    for (k, n), (k2, n2) in zip(total(parts), total([one.flush()]), strict=True):
+    (many, often), (single, once) = total(300, 150), total(1 << 20, 1 << 20)
+    assert many > 2 and single == 1
+    for (k, n), (k2, n2) in zip(often, once, strict=True):
         assert (k == k2).all() and (n == n2).all()
 
 

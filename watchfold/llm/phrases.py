@@ -37,9 +37,9 @@ MARKS = 1 << 27
 #: Entries that a shard has to hold at most if all phrases were different.
 SHARD_ENTRIES = 1 << 20
 #: Keys that a task holds before it sorts them, and distinct ones before it writes them out.
-_HELD, _DISTINCT = 1 << 22, 1 << 21
+_HELD, _DISTINCT = 1 << 20, 1 << 20
 #: Distinct words, and bytes of them, that a task holds before it writes them out.
-_WORDS, _WORD_BYTES = 1 << 19, 32 << 20
+_WORDS, _WORD_BYTES = 1 << 18, 16 << 20
 #: Longer words are hashed one by one.
 _LONG_WORD = 1024
 
@@ -216,27 +216,31 @@ class _Counter:
 
     def __init__(self, width: int, shard_bits: int):
         self.width, self.shard_bits = width, shard_bits
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.fresh: list[np.ndarray] = []
         self.held = 0
+        self.keys, self.counts = np.empty((0, width), np.uint64), np.empty(0, np.int64)
 
     def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(keys):
-            self.parts.append((quotient.permute(keys), np.ones(len(keys), np.int64)))
+            self.fresh.append(quotient.permute(keys))
             self.held += len(keys)
         if self.held >= _HELD // self.width:
             self._merge()
-            if self.held >= _DISTINCT // self.width:
+            if len(self.keys) >= _DISTINCT // self.width:
                 yield self.flush()
 
     def _merge(self) -> None:
-        self.parts = [quotient.counted(np.concatenate([k for k, _ in self.parts]), np.concatenate([n for _, n in self.parts]))]
-        self.held = len(self.parts[0][0])
+        found = quotient.distinct(np.concatenate(self.fresh))
+        self.fresh, self.held = [], 0
+        self.keys, self.counts = quotient.counted(
+            np.concatenate([self.keys, found[0]]), np.concatenate([self.counts, found[1]])
+        )
 
     def flush(self) -> pa.RecordBatch:
-        if self.parts:
+        if self.fresh:
             self._merge()
-        made = quotient.filters(*self.parts[0], self.shard_bits) if self.held else []
-        self.parts, self.held = [], 0
+        made = quotient.filters(self.keys, self.counts, self.shard_bits)
+        self.keys, self.counts = self.keys[:0], self.counts[:0]
         return pa.record_batch(
             {
                 "wide": pa.array([self.width > 1] * len(made), pa.bool_()),

@@ -78,6 +78,15 @@ def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[order], first)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows in order and how often each is there."""
+    if keys.shape[1] > 1:
+        return counted(keys, np.ones(len(keys), np.int64))
+    ordered = np.sort(keys[:, 0])
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, np.int64)
+    return ordered[first][:, None], np.diff(first, append=len(ordered))
+
+
 def pack(keys: np.ndarray, counts: np.ndarray, shard_bits: int) -> bytes:
     """The filter of distinct permuted keys of one shard, in order."""
     n, width = keys.shape
