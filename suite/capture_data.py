@@ -118,8 +118,52 @@ def record(micros: int, frame: bytes, order: str = "<", nanos: bool = False) ->
     return struct.pack(order + "IIII", seconds, ticks, len(frame), len(frame)) + frame
 
 
-def _write(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One capture file per task, renamed when complete so that a retry leaves no half."""
+def block(kind: int, body: bytes, order: str = "<") -> bytes:
+    """A pcapng block with its length at both ends."""
+    body += b"\0" * (-len(body) % 4)
+    size = struct.pack(order + "I", len(body) + 12)
+    return struct.pack(order + "I", kind) + size + body + size
+
+
+def section(order: str = "<") -> bytes:
+    return block(0x0A0D0D0A, struct.pack(order + "IHHq", 0x1A2B3C4D, 1, 0, -1), order)
+
+
+def interface(link: int = 1, limit: int = 262144, resolution: int | None = None, offset: int = 0, order: str = "<") -> bytes:
+    """An interface whose clock ticks as option 9 says and begins at ``offset`` seconds."""
+    options = b""
+    if resolution is not None:
+        options += struct.pack(order + "HHBxxx", 9, 1, resolution)
+    if offset:
+        options += struct.pack(order + "HHq", 14, 8, offset)
+    return block(1, struct.pack(order + "HHI", link, 0, limit) + options + (bytes(4) if options else b""), order)
+
+
+def packet_block(number: int, units: int, frame: bytes, order: str = "<", original: int | None = None) -> bytes:
+    size = len(frame) if original is None else original
+    body = struct.pack(order + "IIIII", number, units >> 32, units & 0xFFFFFFFF, len(frame), size) + frame
+    return block(6, body, order)
+
+
+# Two interfaces of made files: microseconds, and nanoseconds counted from a later second.
+_CLOCKS = ((1_000_000, 0), (1_000_000_000, 1_700_000_000))
+
+
+def _pcapng(micros: int, frame: bytes, order: str) -> bytes:
+    number = micros % 2
+    per_second, offset = _CLOCKS[number]
+    return packet_block(number, (micros - offset * 1_000_000) * (per_second // 1_000_000), frame, order)
+
+
+def _pcapng_head(order: str) -> bytes:
+    return section(order) + interface(order=order) + interface(resolution=9, offset=_CLOCKS[1][1], order=order)
+
+
+def _write(folder: str, blocks: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One capture file per task, renamed when complete so that a retry leaves no half.
+
+    pcapng files (``blocks``) differ in byte order and begin a section with each batch.
+    """
     filesystem, root = open_filesystem(folder)
     context = TaskContext.get()
     name = f"{root}/part-{context.partitionId():05d}.pcap"
@@ -127,19 +171,24 @@ def _write(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     filesystem.create_dir(root)
     rows = 0
     with filesystem.open_output_stream(draft) as out:
-        out.write(global_header())
+        order = "<>"[context.partitionId() % 2]
+        if not blocks:
+            out.write(global_header())
         for batch in batches:
+            if blocks:
+                out.write(_pcapng_head(order))
             stamps = batch.column(batch.schema.get_field_index("ts")).cast(pa.int64()).to_pylist()
             frames = batch.column(batch.schema.get_field_index("frame")).to_pylist()
-            out.write(b"".join(record(m, f) for m, f in zip(stamps, frames)))
+            made = (_pcapng(m, f, order) if blocks else record(m, f) for m, f in zip(stamps, frames))
+            out.write(b"".join(made))
             rows += len(frames)
     filesystem.move(draft, name)
     yield pa.RecordBatch.from_pydict({"name": [name], "rows": [rows]})
 
 
-def write_captures(frames: DataFrame, folder: str) -> int:
-    """Writes capture files from all tasks; returns the number of records."""
+def write_captures(frames: DataFrame, folder: str, blocks: bool = False) -> int:
+    """Writes capture files, pcapng if ``blocks``, from all tasks; returns the number of records."""
     written = frames.select("ts", "frame").mapInArrow(
-        partial(_write, folder), "name string, rows bigint"
+        partial(_write, folder, blocks), "name string, rows bigint"
     )
     return written.agg(F.sum("rows")).first()[0]

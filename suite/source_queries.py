@@ -18,7 +18,7 @@ from watchfold.operators.logs import parse_logs
 from watchfold.operators.packets import decode
 from watchfold.session import scratch_dir
 from watchfold.sources import sinks
-from watchfold.sources.captures import read_frames
+from watchfold.sources.captures import MAX_RECORD, read_frames
 from watchfold.sources.feeds import read_abuse, read_vt
 from watchfold.sources.log_lines import read_log_lines
 
@@ -250,6 +250,15 @@ def _(x: Inputs) -> DataFrame:
     return _flat(decode(read_frames(x.spark, folder))).select(*_DECODED_COLUMNS)
 
 
+@query("s3_pcapng_files", P, _DECODED.format(id="", answer=_ANSWER))
+def _(x: Inputs) -> DataFrame:
+    """pcapng files of both byte orders and two clocks, read in ranges of the least size."""
+    folder = scratch_dir(x.spark, "captures")
+    write_captures(frames_of(_carried(x.packets)), folder, blocks=True)
+    frames = read_frames(x.spark, folder, chunk_bytes=4 * MAX_RECORD)
+    return _flat(decode(frames)).select(*_DECODED_COLUMNS)
+
+
 # ---- reputation feeds ------------------------------------------------------------
 
 
