@@ -107,6 +107,45 @@ def frames_of(packets: DataFrame, version: int = 4) -> DataFrame:
     )
 
 
+#: Bytes of the IP payload that a made fragment holds, at most.
+FRAGMENT_BYTES = 24
+
+
+def fragments_of(frames: DataFrame) -> DataFrame:
+    """Frames of :func:`frames_of` with every second one cut into fragments.
+
+    Fragment i of packet p has the id 100 p + i. Of every tenth packet the second one is
+    lost, of every sixth the first one comes twice, and those of every fourth come last first.
+    """
+    p, f, part = F.col("packet_id"), F.col("frame"), F.col("part")
+    data = F.substring(f, F.lit(35), F.length(f))
+    parts = F.sequence(F.lit(0), F.length(data) - 1, F.lit(FRAGMENT_BYTES))
+    wanted = F.when(p % 10 == 0, F.filter(parts, lambda x: x != FRAGMENT_BYTES)).otherwise(parts)
+    wanted = F.when(p % 6 == 0, F.concat(wanted, F.array(F.lit(0)))).otherwise(wanted)
+    cut = (p % 2 == 0) & (F.length(data) > FRAGMENT_BYTES)
+    rows = frames.filter(cut).withColumn("size", F.length(data)).withColumn("part", F.explode(wanted))
+    taken = F.least(F.lit(FRAGMENT_BYTES), F.col("size") - part)
+    more = F.when(part + taken < F.col("size"), 0x2000).otherwise(0)
+    header = F.concat(
+        F.hex(F.substring(f, F.lit(1), F.lit(16))),
+        _num(taken + 20, 4),
+        _num(p % 65536, 4),
+        _num(more + (part / 8).cast("int"), 4),
+        F.hex(F.substring(f, F.lit(23), F.lit(12))),
+    )
+    frame = F.unhex(F.concat(header, F.hex(F.substring(f, part + 35, taken))))
+    number = (part / FRAGMENT_BYTES).cast("int")
+    late = F.when(p % 4 == 0, (F.col("size") / FRAGMENT_BYTES).cast("int") - number).otherwise(number)
+    pieces = rows.select(
+        "capture",
+        (p * 100 + number).alias("packet_id"),
+        (F.col("ts") + F.make_dt_interval(secs=late / 1_000_000)).alias("ts"),
+        F.length(frame).cast("bigint").alias("orig_len"),
+        frame.alias("frame"),
+    )
+    return frames.filter(~cut).withColumn("packet_id", p * 100).unionByName(pieces)
+
+
 def global_header(order: str = "<", nanos: bool = False, snaplen: int = 262144) -> bytes:
     magic = 0xA1B23C4D if nanos else 0xA1B2C3D4
     return struct.pack(order + "IHHiIII", magic, 2, 4, 0, 0, snaplen, 1)

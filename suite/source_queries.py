@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suite.capture_data import frames_of, write_captures
+from suite.capture_data import FRAGMENT_BYTES, fragments_of, frames_of, write_captures
 from suite.fixtures import YEAR, Inputs
 from suite.registry import query
 from suite.traffic_queries import _IOCS, P, iocs
 from watchfold.functions import flag_text
 from watchfold.operators import intel, summary
+from watchfold.operators.fragments import defragment
 from watchfold.operators.ioc import above
 from watchfold.operators.logs import parse_logs
 from watchfold.operators.packets import decode
@@ -158,6 +159,50 @@ def _(x: Inputs) -> DataFrame:
     return decode(_frames(x, 6)).select("packet_id", "src_ip", "dst_ip", "protocol", "dst_port")
 
 
+_CUT = f"""packet_id % 2 = 0 AND (http_method IS NOT NULL OR dns_query IS NOT NULL
+  OR (CASE protocol WHEN 'TCP' THEN 20 ELSE 8 END) + length(payload_text) > {FRAGMENT_BYTES})"""
+
+
+@query(
+    "k2_fragments",
+    P,
+    f"""WITH c AS (SELECT *, {_CUT} AS cut FROM fx_packets), w AS (SELECT *, cut AND packet_id % 10 = 0 AS hole FROM c)
+SELECT packet_id * 100 AS packet_id, src_ip, dst_ip, protocol, CASE WHEN cut THEN NOT hole END AS whole,
+  CASE WHEN protocol = 'ICMP' THEN 0 ELSE src_port END AS src_port,
+  CASE WHEN protocol = 'ICMP' THEN 0 ELSE dst_port END AS dst_port,
+  CASE WHEN protocol = 'TCP' THEN flag_bits END AS flag_bits,
+  CASE WHEN NOT hole THEN rtrim(dns_query, '.') END AS dns_query,
+  CASE WHEN NOT hole THEN split_part(http_uri, ' ', 1) END AS http_uri,
+  CASE WHEN http_method IS NULL AND dns_query IS NULL AND NOT hole THEN payload_text END AS payload_text FROM w""",
+)
+def _(x: Inputs) -> DataFrame:
+    packets = decode(defragment(fragments_of(_frames(x))))
+    plain = F.col("http_method").isNull() & F.col("dns_query").isNull()
+    return packets.withColumn("payload_text", F.when(plain, F.col("payload").cast("string"))).select(
+        "packet_id", "src_ip", "dst_ip", "protocol", "whole", "src_port", "dst_port", "flag_bits", "dns_query",
+        "http_uri", "payload_text",
+    )
+
+
+@query(
+    "k2_later_fragments",
+    P,
+    """SELECT protocol, count(*) AS packets, CAST(0 AS BIGINT) AS invented FROM fx_packets
+WHERE packet_id % 2 = 0 GROUP BY 1""",
+)
+def _(x: Inputs) -> DataFrame:
+    """Fragments as they are: only a datagram's first one has ports."""
+    packet = F.floor(F.col("packet_id") / 100)
+    later = F.col("packet_id") % 100 > 0
+    ports = (F.col("src_port") != 0) | (F.col("dst_port") != 0)
+    named = F.col("flag_bits").isNotNull() | F.col("dns_query").isNotNull() | F.col("http_method").isNotNull()
+    packets = decode(fragments_of(_frames(x))).filter(packet % 2 == 0)
+    return packets.groupBy("protocol").agg(
+        F.count_distinct(packet).alias("packets"),
+        F.sum(F.when(later & (ports | named), 1).otherwise(0)).cast("bigint").alias("invented"),
+    )
+
+
 @query(
     "k3_tcp",
     P,

@@ -60,11 +60,15 @@ def _ipv6_texts(data: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, ":(?=[|]|$)", "::"), "(?<![^|]):(?!:)", "")
 
 
-def _links(frames: DataFrame) -> DataFrame:
+def _columns(frames: DataFrame) -> list[str]:
+    return ["capture", "packet_id", "ts", "frame", *(["whole"] if "whole" in frames.columns else [])]
+
+
+def _links(frames: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Adds where the network header begins (``_ip``) and its ``_kind``.
 
     Ethernet frames may carry two VLAN tags. Frames without a ``link`` column are
-    Ethernet; a link type that is not known fails the job.
+    Ethernet; a link type that is not known fails the job. ``whole`` stays if it is there.
     """
     f = F.col("frame")
     link = F.coalesce("link", F.lit(ETHERNET)) if "link" in frames.columns else F.lit(ETHERNET)
@@ -77,28 +81,47 @@ def _links(frames: DataFrame) -> DataFrame:
         .when(link.isin(*LOOPBACK_LINKS), 4)
         .otherwise(unknown)
     )
-    placed = frames.select("capture", "packet_id", "ts", "frame", F.inline(F.array(F.struct(at.alias("_ip"), link.alias("_link")))))
+    columns = keep or _columns(frames)
+    placed = frames.select(*columns, F.inline(F.array(F.struct(at.alias("_ip"), link.alias("_link")))))
     ip = F.col("_ip")
     version = F.substring(_hex(f, ip, 1), 1, 1)
     kind = F.when(F.col("_link").isin(ETHERNET, COOKED), _hex(f, ip - 2, 2)).otherwise(
         F.when(version == "4", IPV4_TYPE).when(version == "6", IPV6_TYPE)
     )
-    return placed.select("capture", "packet_id", "ts", "frame", "_ip", kind.alias("_kind"))
+    return placed.select(*columns, "_ip", "_link", kind.alias("_kind"))
 
 
-def _behind_extensions(data: Column, number: Column, at: Column) -> Column:
-    """Protocol and offset behind an IPv6 packet's extension headers, if it has any."""
-    start = F.struct(number.alias("number"), at.alias("at"))
+def _behind_extensions(data: Column, number: Column, named: Column, at: Column) -> Column:
+    """Protocol ``number`` and offset ``at`` behind an IPv6 packet's extension headers.
+
+    ``named`` is where the protocol is named, ``later`` whether the data begins in the
+    middle of a fragmented packet, whose headers are elsewhere; ``cut`` is the offset of a
+    fragment header, if there is one, and ``cut_named`` where that one is named.
+    """
+    none = F.lit(None).cast("int")
+    start = F.struct(
+        number.alias("number"), named.cast("int").alias("named"), at.cast("int").alias("at"),
+        F.lit(False).alias("later"), none.alias("cut"), none.alias("cut_named"),
+    )
 
     def step(s: Column, _: Column) -> Column:
-        here, known = s["at"], s["number"].isin(*EXTENSIONS) & (s["at"] + 8 <= F.length(data))
+        here = s["at"]
+        known = s["number"].isin(*EXTENSIONS) & (here + 8 <= F.length(data)) & ~s["later"]
+        fragment = s["number"] == FRAGMENT
         units = _uint(data, here + 1, 1).cast("int")
         size = (
-            F.when(s["number"] == FRAGMENT, 8)
+            F.when(fragment, 8)
             .when(s["number"] == AUTHENTICATION, (units + 2) * 4)
             .otherwise((units + 1) * 8)
         )
-        after = F.struct(_uint(data, here, 1).cast("int").alias("number"), (here + size).cast("int").alias("at"))
+        after = F.struct(
+            _uint(data, here, 1).cast("int").alias("number"),
+            here.alias("named"),
+            (here + size).cast("int").alias("at"),
+            (fragment & (_uint(data, here + 2, 2) >= 8)).alias("later"),
+            F.when(fragment, here).otherwise(s["cut"]).alias("cut"),
+            F.when(fragment, s["named"]).otherwise(s["cut_named"]).alias("cut_named"),
+        )
         return F.when(known, after).otherwise(s)
 
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(8)), start, step)
@@ -107,7 +130,8 @@ def _behind_extensions(data: Column, number: Column, at: Column) -> Column:
 
 def _headers(frames: DataFrame) -> DataFrame:
     """IPv4 and IPv6 frames with ``_v4``, the protocol ``_number``, the transport's offset
-    ``_at`` and the packet's ``_end``, behind which a link may pad.
+    ``_at``, the packet's ``_end``, behind which a link may pad, and whether it is a
+    ``_later`` fragment, which begins with other bytes than a transport header.
 
     The generator drops other frames. Its output stands for itself in later steps,
     where a projection's expressions would be copied into each use.
@@ -124,9 +148,10 @@ def _headers(frames: DataFrame) -> DataFrame:
         (ip + words).alias("_at"),
         # 0 where the network card cuts the packet up
         F.when((total >= words) & (ip + total <= size), ip + total).otherwise(size).alias("_end"),
+        (_uint(f, ip + 6, 2).bitwiseAND(8191) > 0).alias("_later"),
     )
     rest = _uint(f, ip + 4, 2).cast("int")
-    behind = _behind_extensions(f, _uint(f, ip + 6, 1).cast("int"), ip + 40)
+    behind = _behind_extensions(f, _uint(f, ip + 6, 1).cast("int"), ip + 6, ip + 40)
     v6 = F.struct(
         F.lit(False).alias("_v4"),
         F.lit(0).cast("bigint").alias("_src"),
@@ -134,11 +159,12 @@ def _headers(frames: DataFrame) -> DataFrame:
         behind["number"].alias("_number"),
         behind["at"].alias("_at"),
         F.when((rest > 0) & (ip + 40 + rest <= size), ip + 40 + rest).otherwise(size).alias("_end"),
+        behind["later"].alias("_later"),
     )
     found = F.when((kind == IPV4_TYPE) & (size >= ip + 20), F.array(v4)).when(
         (kind == IPV6_TYPE) & (size >= ip + 40), F.array(v6)
     )
-    return _links(frames).select("capture", "packet_id", "ts", "frame", "_ip", F.inline(found))
+    return _links(frames).select(*_columns(frames), "_ip", F.inline(found))
 
 
 def _transport(headers: DataFrame) -> DataFrame:
@@ -146,20 +172,23 @@ def _transport(headers: DataFrame) -> DataFrame:
 
     Headers that are cut off give port 0 and no payload. Only TCP and UDP have
     ports; the payload of other protocols starts after the eight bytes that their
-    headers share.
+    headers share. Later fragments have no header: port 0, and all of it is payload.
     """
-    f, at, number = F.col("frame"), F.col("_at"), F.col("_number")
+    f, at, number, later = F.col("frame"), F.col("_at"), F.col("_number"), F.col("_later")
     left = F.col("_end") - at
-    ports = ((number == 6) & (left >= 20)) | ((number == 17) & (left >= 8))
-    tcp = (number == 6) & (left >= 20)
+    tcp = (number == 6) & (left >= 20) & ~later
+    ports = tcp | ((number == 17) & (left >= 8) & ~later)
     # The high half-byte of the first of these two bytes counts words, the second holds flags.
     control = F.when(tcp, _uint(f, at + 12, 2).cast("int"))
-    skip = F.when(tcp, F.shiftright(F.col("_control"), 12) * 4).when(
-        (number != 6) & (left >= 8), F.lit(8)
+    skip = (
+        F.when(later, F.lit(0))
+        .when(tcp, F.shiftright(F.col("_control"), 12) * 4)
+        .when((number != 6) & (left >= 8), F.lit(8))
     )
     rest = F.coalesce(F.substring(f, at + skip + 1, F.greatest(left - skip, F.lit(0))), F.lit(b""))
     parts = F.struct(
         F.when(ports, _uint(f, at, 4)).otherwise(0).alias("_ports"),
+        F.when(tcp, _uint(f, at + 4, 4)).alias("sequence"),
         control.alias("_control"),
     )
     words = headers.select("*", F.inline(F.array(parts)))
@@ -168,11 +197,12 @@ def _transport(headers: DataFrame) -> DataFrame:
         F.shiftright("_ports", 16).cast("int").alias("src_port"),
         F.col("_ports").bitwiseAND(65535).cast("int").alias("dst_port"),
         F.col("_control").bitwiseAND(255).alias("flag_bits"),
+        "sequence",
         rest.alias("payload"),
     )
 
 
-def _packets(headers: DataFrame) -> DataFrame:
+def _packets(headers: DataFrame, sequence: bool = False) -> DataFrame:
     f, v4 = F.col("frame"), F.col("_v4")
     names = F.create_map(*[F.lit(x) for pair in PROTOCOLS.items() for x in pair])
     protocol = F.coalesce(F.try_element_at(names, F.col("_number")), F.col("_number").cast("string"))
@@ -183,6 +213,7 @@ def _packets(headers: DataFrame) -> DataFrame:
         v6 = F.split_part("_v6", F.lit("|"), F.lit(place))
         return F.when(v4, _ipv4_text(F.col(word))).otherwise(v6)
 
+    payload = F.when(F.coalesce("whole", F.lit(True)), F.col("payload")) if "whole" in headers.columns else F.col("payload")
     return texts.select(
         "capture",
         "packet_id",
@@ -193,11 +224,18 @@ def _packets(headers: DataFrame) -> DataFrame:
         "dst_port",
         protocol.alias("protocol"),
         F.length(f).alias("length"),
-        "payload",
+        payload.alias("payload"),
         "flag_bits",
+        *(["whole"] if "whole" in headers.columns else []),
+        *(["sequence"] if sequence else []),
     )
 
 
+def segments(frames: DataFrame) -> DataFrame:
+    """TCP packets with their ``sequence`` number; no text is parsed."""
+    return _packets(_headers(frames), sequence=True).filter("protocol = 'TCP' and sequence is not null")
+
+
 def _either_port(number: int) -> Column:
     return (F.col("src_port") == number) | (F.col("dst_port") == number)
 
@@ -330,6 +368,8 @@ def decode(
 ) -> DataFrame:
     """Packets of frames; frames that carry no IP are dropped.
 
+    Fragments other than a datagram's first have port 0; ``fragments.defragment`` puts
+    datagrams together, and those with holes (``whole`` is false) have no payload here.
     ``transports`` keeps only the named protocols. ``payload_bytes`` cuts the stored
     payload after HTTP and DNS have seen all of it; detectors then see what is left. Write the result as
     a table when several operators are to read it.
