@@ -42,6 +42,8 @@ _HELD, _DISTINCT = 1 << 20, 1 << 20
 _WORDS, _WORD_BYTES = 1 << 18, 16 << 20
 #: Longer words are hashed one by one.
 _LONG_WORD = 1024
+#: Parts of a language whose best phrases are found side by side.
+_PARTS = 64
 
 BREAKS = words._table((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
 BLANKS = words._table((0x20, 0x20), (0x09, 0x09))
@@ -388,8 +390,12 @@ def collocations(docs: DataFrame, least: int = 10, inside: int = 50, most: int =
     scored = twos.unionByName(threes)
     # a phrase's language is that of its words
     scored = scored.join(often.select(F.col("key").alias("w1"), "lang", F.col("word").alias("t1")), "w1")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    chosen = stored(scored.withColumn("_rank", F.rank().over(best)).filter(F.col("_rank") <= most).drop("_rank"), "chosen")
+    # the best of each part of a language, then of the language
+    scored = scored.withColumn("_part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(_PARTS)))
+    for keys in (["lang", "_part"], ["lang"]):
+        best = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"))
+        scored = scored.withColumn("_rank", F.rank().over(best)).filter(F.col("_rank") <= most).drop("_rank")
+    chosen = stored(scored.drop("_part"), "chosen")
     texts = often.select("key", "word")
     named = chosen.join(texts.select(F.col("key").alias("w2"), F.col("word").alias("t2")), "w2")
     named = named.join(texts.select(F.col("key").alias("w3"), F.col("word").alias("t3")), "w3", "left")
