@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from watchfold.sources.files import open_filesystem
 
@@ -46,8 +47,10 @@ def _ipv6_address(ip: Column) -> Column:
     return F.concat(F.lit("20010db800000000"), *[_num(o, 4) for o in octets])
 
 
-def frames_of(packets: DataFrame, version: int = 4) -> DataFrame:
-    """Ethernet frames of packet rows, as the frame table of a capture named ``made``."""
+def _payload(packets: DataFrame) -> Column:
+    """A packet's bytes as hexadecimal digits: a request, a name to resolve, or its text."""
+    if "data" in packets.columns:
+        return F.hex("data")
     request = F.concat(
         F.col("http_method"),
         F.lit(" "),
@@ -58,16 +61,25 @@ def frames_of(packets: DataFrame, version: int = 4) -> DataFrame:
         F.col("packet_id").cast("string"),
         F.lit("\r\n\r\n"),
     )
-    payload = (
+    return (
         F.when(F.col("dns_query").isNotNull(), _dns_message(F.col("dns_query"), F.col("dns_response")))
         .when(F.col("http_method").isNotNull(), _chars(request))
         .otherwise(_chars(F.col("payload_text")))
     )
+
+
+def frames_of(packets: DataFrame, version: int = 4) -> DataFrame:
+    """Ethernet frames of packet rows, as the frame table of a capture named ``made``.
+
+    Columns ``data`` (bytes) and ``sequence`` count where they are there.
+    """
+    payload = _payload(packets)
     size = F.length(payload) / 2
     ports = F.concat(_num(F.col("src_port"), 4), _num(F.col("dst_port"), 4))
     tcp = F.concat(
         ports,
-        F.lit("0000000100000000" + "50"),
+        _num(F.col("sequence"), 8) if "sequence" in packets.columns else F.lit("00000001"),
+        F.lit("00000000" + "50"),
         _num(F.coalesce("flag_bits", F.lit(0)), 2),
         F.lit("200000000000"),
     )
@@ -146,6 +158,49 @@ def fragments_of(frames: DataFrame) -> DataFrame:
     return frames.filter(~cut).withColumn("packet_id", p * 100).unionByName(pieces)
 
 
+#: The number of the SYN of made streams: their numbers wrap soon.
+FIRST_NUMBER = 4_294_967_000
+#: Where packets of made streams are cut in two.
+CUT = 10
+
+
+def segments_of(packets: DataFrame) -> DataFrame:
+    """Frames of TCP streams: the bytes of all packets between two ports, one after another.
+
+    Packets longer than CUT bytes are two segments, with ids 10 p and 10 p + 1. Of those with
+    p % 10 = 3 the second one is lost, of every fourth it comes before the first, and of
+    every sixth the first one comes again at the end. A SYN opens each stream.
+    """
+    keys = ["src_ip", "src_port", "dst_ip", "dst_port"]
+    tcp = packets.filter("protocol = 'TCP'").withColumn("data", F.unhex(_payload(packets)))
+    size, p = F.length("data"), F.col("packet_id")
+    order = Window.partitionBy(*keys).orderBy("ts", "packet_id")
+    before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tcp = tcp.withColumn("before", before).withColumn("turn", F.row_number().over(order))
+    whole = F.struct(F.lit(0).alias("part"), F.lit(0).alias("at"), size.alias("size"), F.lit(0).alias("late"))
+    late = F.when(p % 4 == 0, 2).otherwise(0)
+    first = F.struct(F.lit(0).alias("part"), F.lit(0).alias("at"), F.lit(CUT).alias("size"), late.alias("late"))
+    second = F.struct(F.lit(1).alias("part"), F.lit(CUT).alias("at"), (size - CUT).alias("size"), F.lit(1).alias("late"))
+    again = F.struct(F.lit(2).alias("part"), F.lit(0).alias("at"), F.lit(CUT).alias("size"), F.lit(5).alias("late"))
+    parts = F.array_compact(F.array(first, F.when(p % 10 != 3, second), F.when(p % 6 == 0, again)))
+    syn = F.struct(F.lit(3).alias("part"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(-1).alias("late"))
+    parts = F.when(size > CUT, parts).otherwise(F.array(whole))
+    parts = F.when(F.col("turn") == 1, F.concat(F.array(syn), parts)).otherwise(parts)
+    rows = tcp.withColumn("x", F.explode(parts))
+    opening = F.col("x.part") == 3
+    number = F.when(opening, F.lit(FIRST_NUMBER)).otherwise(FIRST_NUMBER + 1 + F.col("before") + F.col("x.at"))
+    rows = rows.select(
+        *keys,
+        "protocol",
+        (p * 10 + F.col("x.part")).alias("packet_id"),
+        (F.col("ts") + F.make_dt_interval(secs=F.col("x.late") / 1_000_000)).alias("ts"),
+        F.when(opening, 2).otherwise(24).alias("flag_bits"),
+        F.substring("data", F.col("x.at") + 1, F.col("x.size")).alias("data"),
+        (number % (1 << 32)).alias("sequence"),
+    )
+    return frames_of(rows)
+
+
 def global_header(order: str = "<", nanos: bool = False, snaplen: int = 262144) -> bytes:
     magic = 0xA1B23C4D if nanos else 0xA1B2C3D4
     return struct.pack(order + "IHHiIII", magic, 2, 4, 0, 0, snaplen, 1)

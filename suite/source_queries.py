@@ -7,16 +7,17 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suite.capture_data import FRAGMENT_BYTES, fragments_of, frames_of, write_captures
+from suite.capture_data import CUT, FIRST_NUMBER, FRAGMENT_BYTES, fragments_of, frames_of, segments_of, write_captures
 from suite.fixtures import YEAR, Inputs
 from suite.registry import query
 from suite.traffic_queries import _IOCS, P, iocs
 from watchfold.functions import flag_text
-from watchfold.operators import intel, summary
+from watchfold.operators import detect, intel, summary
 from watchfold.operators.fragments import defragment
 from watchfold.operators.ioc import above
 from watchfold.operators.logs import parse_logs
-from watchfold.operators.packets import decode
+from watchfold.operators.packets import decode, segments
+from watchfold.operators.tcp_streams import gaps, reassemble, stream_keyword, stream_messages
 from watchfold.session import scratch_dir
 from watchfold.sources import sinks
 from watchfold.sources.captures import MAX_RECORD, read_frames
@@ -241,6 +242,75 @@ def _(x: Inputs) -> DataFrame:
     )
 
 
+_STREAM = "PARTITION BY src_ip, src_port, dst_ip, dst_port ORDER BY ts, packet_id"
+_BYTES = f"""b AS (SELECT *, CASE WHEN http_method IS NULL THEN payload_text ELSE http_method || ' ' || http_uri
+  || ' HTTP/1.1' || chr(13) || chr(10) || 'Accept: */*' || chr(13) || chr(10)
+  || coalesce('Host: ' || http_host || chr(13) || chr(10), '') || 'USER-AGENT:  made/' || packet_id || '1234' END AS data
+  FROM fx_packets WHERE protocol = 'TCP')"""
+
+
+def _streams(x: Inputs) -> DataFrame:
+    folder = scratch_dir(x.spark, "segments")
+    frames = segments_of(x.packets)
+    frames.write.parquet(folder)
+    return reassemble(segments(x.spark.read.schema(frames.schema).parquet(folder)))
+
+
+@query(
+    "k6_http_over_segments",
+    P,
+    f"""WITH m AS (SELECT *, packet_id % 10 = 3 AS lost, http_method || ' ' || http_uri AS line FROM fx_packets
+  WHERE http_method IS NOT NULL)
+SELECT packet_id * 10 AS packet_id, ts + CASE WHEN packet_id % 4 = 0 THEN INTERVAL 2 MICROSECOND ELSE INTERVAL 0 SECOND END AS ts,
+  src_ip, dst_ip, src_port, dst_port, http_method,
+  split_part(CASE WHEN lost THEN left(line, {CUT}) ELSE line END, ' ', 2) AS http_uri,
+  CASE WHEN NOT lost THEN http_host END AS http_host,
+  CASE WHEN NOT lost THEN 'made/' || packet_id END AS http_user_agent FROM m""",
+)
+def _(x: Inputs) -> DataFrame:
+    """Messages whose headers lie in two segments, some lost, repeated or out of order."""
+    return stream_messages(_streams(x)).filter("http_method is not null").select(
+        "packet_id", "ts", "src_ip", "dst_ip", "src_port", "dst_port", "http_method", "http_uri", "http_host",
+        "http_user_agent",
+    )
+
+
+@query(
+    "k3_stream_gaps",
+    P,
+    f"""WITH {_BYTES}, placed AS (SELECT *, length(data) AS size, lead(ts) OVER w AS next_ts,
+  coalesce(sum(length(data)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM b WINDOW w AS ({_STREAM}))
+SELECT src_ip, src_port, dst_ip, dst_port, CAST({FIRST_NUMBER} AS BIGINT) AS stream,
+  CAST(before + {CUT} AS BIGINT) AS place, CAST(size - {CUT} AS BIGINT) AS missing
+FROM placed WHERE packet_id % 10 = 3 AND size > {CUT} AND next_ts IS NOT NULL""",
+)
+def _(x: Inputs) -> DataFrame:
+    return gaps(_streams(x)).select("src_ip", "src_port", "dst_ip", "dst_port", "stream", "place", "missing")
+
+
+@query(
+    "t4_keyword_over_segments",
+    P,
+    """SELECT DISTINCT src_ip AS source_ip, dst_ip AS destination_ip, 'Payload contains: password' AS evidence
+FROM fx_packets WHERE protocol = 'TCP' AND http_method IS NULL AND packet_id % 200 = 0""",
+)
+def _(x: Inputs) -> DataFrame:
+    """The keyword's first letter ends one segment, the others begin the next."""
+    found = stream_keyword(_streams(x)).select("source_ip", "destination_ip", F.col("evidence")[0].alias("evidence"))
+    return found.filter("evidence like '%password'").distinct()
+
+
+@query(
+    "t5_keyword_volume_over_segments",
+    P,
+    """SELECT src_ip, dst_ip FROM fx_packets WHERE protocol = 'TCP' AND http_method IS NULL
+  AND packet_id % 200 IN (0, 1, 2) GROUP BY 1, 2""",
+)
+def _(x: Inputs) -> DataFrame:
+    return detect.keyword_volume(_streams(x), n=1).select("src_ip", "dst_ip")
+
+
 @query(
     "k7_dns",
     P,

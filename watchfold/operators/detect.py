@@ -109,8 +109,8 @@ def _payload_text(payload_bytes: int | None) -> Column:
     return clean_utf8(payload.cast("string"))
 
 
-def _keyword_alert(payload_bytes: int | None) -> tuple[Column, list[Column]]:
-    hit = keyword_hit(_payload_text(payload_bytes))
+def keyword_alert(hit: Column) -> tuple[Column, list[Column]]:
+    """A keyword that was hit and its alert."""
     return hit, _alert(
         "high",
         "Data Exfiltration",
@@ -136,7 +136,7 @@ def _tunnel_alert(n: int) -> tuple[Column, list[Column]]:
 
 def sensitive_keyword(packets: DataFrame, payload_bytes: int | None = None) -> DataFrame:
     """One alert per packet whose payload holds a sensitive keyword."""
-    hit, alert = _keyword_alert(payload_bytes)
+    hit, alert = keyword_alert(keyword_hit(_payload_text(payload_bytes)))
     return packets.filter(hit.isNotNull()).select(*alert)
 
 
@@ -343,7 +343,7 @@ def all_alerts(
     """
     attempts = connection_attempts(packets)
     total = attempts.agg(F.sum("attempts").alias("attempts"), F.max("last_ts").alias("last_ts"))
-    keyword, keyword_alert = _keyword_alert(payload_bytes)
+    keyword, keyword_alert = keyword_alert(keyword_hit(_payload_text(payload_bytes)))
     tunnel, tunnel_alert = _tunnel_alert(long_query)
     per_packet = packets.select(
         F.inline(
