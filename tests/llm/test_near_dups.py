@@ -113,3 +113,19 @@ def test_the_plan_has_no_product(small):
     result = near_dups.near_duplicates(small.withColumn("n", F.lit(1)))
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_dropping_keeps_one_row_of_each_component(spark, odd, none):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, base if i % 4 == 0 else f"{base} tail{i % 3}" if i % 4 == 1 else f"text number {i} stands alone here") for i in range(200)]
+    rows += [(3, rows[3][1]), (0, base), (None, base), (None, "no id"), (500, None), (501, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as bits", "1 as bucket", "2 as kept")
+    found = near_dups.near_duplicates(docs.select("doc_id", "text")).collect()
+    kept = {r["doc_id"] for r in found if r["kept"] and r["doc_id"] is not None}
+    left = near_dups.without_near_duplicates(docs).collect()
+    assert sorted(r["doc_id"] for r in left if r["doc_id"] is not None) == sorted(kept)
+    assert sum(r["doc_id"] is None for r in left) == 2
+    texts = dict(rows)
+    assert all(r["text"] == texts[r["doc_id"]] and r["bits"] == "x" for r in left if r["doc_id"] is not None)
+    assert near_dups.without_near_duplicates(none).collect() == []
+    assert len(near_dups.without_near_duplicates(odd).collect()) == len({r["doc_id"] for r in near_dups.near_duplicates(odd).collect() if r["kept"]})

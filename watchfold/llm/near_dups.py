@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from watchfold.llm import words
-from watchfold.llm.graphs import components, stored
+from watchfold.llm.graphs import components, fresh, stored
 from watchfold.session import ship
 
 REGISTERS = 128
@@ -414,8 +414,19 @@ def without_near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFra
     That is the one whose doc_id names the component; of rows that share this doc_id one
     stays. Rows without doc_id and documents without words stay, too.
     """
-    found = near_duplicates(docs, threshold)
-    kept = stored(found.filter("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    # the join has put equal ids together, so that dropping repeated ones moves nothing
-    left = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
+    found = near_duplicates(docs, threshold).filter("doc_id is not null")
+    ids = stored(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "kept")
+    # few rows go: those whose id has no mark stay without being shuffled
+    id_, bucket, bits = F.col("doc_id"), fresh(docs.columns, "bucket"), fresh(docs.columns, "bits")
+    place = F.pmod(F.xxhash64(id_.cast("long")), F.lit(MARKS)) + 1
+    marks = ids.filter("not kept or n > 1").groupBy(F.bitmap_bucket_number(place).alias(bucket))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bits))
+    # MARKS / 32768 rows of 4096 bytes at most
+    dealt = docs.withColumn(bucket, F.bitmap_bucket_number(place)).join(F.broadcast(marks), bucket, "left")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    marked = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1, F.lit(False))
+    free = dealt.filter(id_.isNull() | ~marked)
+    # the join puts equal ids together, so that dropping repeated ones moves nothing
+    held = dealt.filter(id_.isNotNull() & marked).join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi")
+    return free.select(docs.columns).unionByName(held.dropDuplicates(["doc_id"]).select(docs.columns))
