@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import YEAR, Inputs
 from suite.registry import query
 from watchfold.functions import extract_ip
-from watchfold.operators import detect, intel, summary
+from watchfold.operators import detect, intel, networks, summary
 from watchfold.operators.logs import detect_format, parse_logs, rejects
 from watchfold.functions.rules import uri_rule
 
@@ -497,6 +497,39 @@ def _(x: Inputs) -> DataFrame:
     return summary.deny(x.web.select("event_id", "ip_address"), denied)
 
 
+_IN_NETWORK = """nets AS (SELECT DISTINCT CASE WHEN abuse_confidence_score % 3 = 0
+    THEN split_part(ip_address, '.', 1) || '.0.0.0/8'
+    WHEN abuse_confidence_score % 3 = 1 THEN regexp_replace(ip_address, '[.][0-9]+$', '.0') || '/24' ELSE ip_address END AS network
+  FROM fx_abuse),
+best AS (SELECT w.ip_address, max_by(n.network, length(n.network) - CASE WHEN n.network LIKE '%/8' THEN 9 ELSE 0 END
+    + CASE WHEN n.network NOT LIKE '%/%' THEN 99 ELSE 0 END) AS network
+  FROM (SELECT DISTINCT ip_address FROM web) w JOIN nets n ON w.ip_address = n.network
+    OR (n.network LIKE '%/24' AND regexp_replace(w.ip_address, '[.][0-9]+$', '.0') || '/24' = n.network)
+    OR (n.network LIKE '%/8' AND split_part(w.ip_address, '.', 1) || '.0.0.0/8' = n.network) GROUP BY 1)"""
+
+
+def _networks(x: Inputs) -> DataFrame:
+    ip, score = F.col("ip_address"), F.col("abuse_confidence_score")
+    wide = F.concat(F.split_part(ip, F.lit("."), F.lit(1)), F.lit(".0.0.0/8"))
+    near = F.concat(F.regexp_replace(ip, "[.][0-9]+$", ".0"), F.lit("/24"))
+    return x.abuse.select(F.when(score % 3 == 0, wide).when(score % 3 == 1, near).otherwise(ip).alias("network")).distinct()
+
+
+@query("a2_networks", "web fx_abuse", f"WITH {_IN_NETWORK} SELECT event_id, ip_address, network FROM web LEFT JOIN best USING (ip_address)")
+def _(x: Inputs) -> DataFrame:
+    """The most specific of nested networks for every request."""
+    return networks.with_network(x.web.select("event_id", "ip_address"), _networks(x))
+
+
+@query(
+    "a2_deny_networks",
+    "web fx_abuse",
+    f"WITH {_IN_NETWORK} SELECT event_id, ip_address FROM web WHERE ip_address IN (SELECT ip_address FROM best)",
+)
+def _(x: Inputs) -> DataFrame:
+    return networks.deny_networks(x.web.select("event_id", "ip_address"), _networks(x))
+
+
 @query(
     "a2_update_list",
     "web fx_abuse fx_vt",

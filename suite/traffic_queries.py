@@ -279,6 +279,22 @@ def _(x: Inputs) -> DataFrame:
     return detect.bad_domain(x.packets, feed)
 
 
+@query(
+    "t10_bad_subdomain",
+    P,
+    """WITH named AS (SELECT *, rtrim(coalesce(http_host, dns_query), '.') AS domain FROM fx_packets),
+bad AS (SELECT DISTINCT split_part(domain, '.', -2) || '.' || split_part(domain, '.', -1) AS listed FROM named
+  WHERE domain LIKE '%.xyz' UNION SELECT DISTINCT domain FROM named WHERE domain = 'h3.example.com')
+SELECT domain, listed, src_ip, count(*) AS packets, min(ts) AS first_seen, max(ts) AS last_seen
+FROM named JOIN bad ON domain = listed OR domain LIKE '%.' || listed GROUP BY 1, 2, 3""",
+)
+def _(x: Inputs) -> DataFrame:
+    name = F.regexp_replace(F.coalesce("http_host", "dns_query"), r"\.+$", "")
+    names = x.packets.select(name.alias("domain"))
+    parents = names.filter("domain like '%.xyz'").select(F.substring_index("domain", ".", -2).alias("domain"))
+    return detect.bad_subdomain(x.packets, parents.unionByName(names.filter("domain = 'h3.example.com'")))
+
+
 @query(
     "t12_subdomain_stats",
     P,

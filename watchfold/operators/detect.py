@@ -277,6 +277,28 @@ def bad_domain(packets: DataFrame, feed: DataFrame) -> DataFrame:
     return seen.join(feed.select("domain").distinct(), "domain", "left_semi")
 
 
+def bad_subdomain(packets: DataFrame, feed: DataFrame) -> DataFrame:
+    """:func:`bad_domain` for names below a listed domain too, with the ``listed`` one.
+
+    A name meets the feed by its suffixes of whole labels, of as many as the feed's names
+    have; the longest listed one counts. Names are made distinct before they are taken apart.
+    """
+    name = F.lower(F.regexp_replace(F.coalesce("http_host", "dns_query"), r"\.+$", ""))
+    named = packets.select("src_ip", "ts", name.alias("domain")).filter(F.col("domain").isNotNull())
+    listed = feed.select(F.lower(F.regexp_replace("domain", r"\.+$", "")).alias("listed")).filter("listed <> ''").distinct()
+    parts = F.split("domain", r"\.")
+    size = F.size(parts)
+    longest = listed.agg(F.max(F.size(F.split("listed", r"\.")))).first()[0] or 0
+    depth = F.least(size, F.lit(max(1, longest)))
+    suffixes = F.transform(F.sequence(F.lit(1), depth), lambda n: F.array_join(F.slice(parts, size - n + 1, n), "."))
+    known = named.select("domain").distinct().withColumn("listed", F.explode(suffixes)).join(listed, "listed")
+    best = known.groupBy("domain").agg(F.max_by("listed", F.length("listed")).alias("listed"))
+    seen = named.groupBy("src_ip", "domain").agg(
+        F.count("*").alias("packets"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen")
+    )
+    return seen.join(best, "domain")
+
+
 def odd_agent(entries: DataFrame, few_sources: int = 2) -> DataFrame:
     """User agents that are absent, name a tool, or come from few addresses."""
     lowered = F.lower("user_agent")
