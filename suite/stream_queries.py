@@ -7,6 +7,11 @@ the last watermark has closed, and so does the SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +20,10 @@ from suite.registry import query
 from suite.traffic_queries import FLAGS
 from watchfold import streaming
 from watchfold.operators import detect, intel
+from watchfold.operators.logs import parse_logs
 from watchfold.session import scratch_dir
+from watchfold.sources.files import open_filesystem
+from watchfold.sources.growing import read_growing_lines
 
 
 def finished(stream: DataFrame, sink=None, mode: str = "append") -> str:
@@ -47,6 +55,47 @@ def _(x: Inputs) -> DataFrame:
     )
 
 
+def _grow(folder: str, turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each task's lines of all turns so far, in order: its file of the turn before and more.
+
+    The first task's file is renamed before the last turn and begins anew.
+    """
+    filesystem, root = open_filesystem(folder)
+    context = TaskContext.get()
+    draft = f"{root}/_draft-{context.taskAttemptId()}"
+    rows = 0
+    with filesystem.open_output_stream(draft) as out:
+        for batch in batches:
+            for line, of in zip(batch.column("raw").to_pylist(), batch.column("turn").to_pylist(), strict=True):
+                if context.partitionId() or turn < 2 or of == 2:
+                    out.write(f"{line}\n".encode())
+                    rows += 1
+    filesystem.move(draft, f"{root}/part-{context.partitionId()}.log")
+    yield pa.RecordBatch.from_pydict({"rows": [rows]})
+
+
+@query(
+    "s2_growing_files",
+    "web",
+    "SELECT format, ip_address, status_code, count(*) AS n FROM web GROUP BY 1, 2, 3",
+)
+def _(x: Inputs) -> DataFrame:
+    """Files that grow twice while a stream is stopped and restarted; one is renamed on the way."""
+    folder, state, out = (scratch_dir(x.spark, name) for name in ("growing", "state", "lines"))
+    filesystem, root = open_filesystem(folder)
+    filesystem.create_dir(root)
+    for turn in range(3):
+        lines = x.web_lines.select("event_id", "raw", (F.col("event_id") % 3).alias("turn")).filter(F.col("turn") <= turn)
+        lines = lines.repartition(4, "event_id").sortWithinPartitions("turn", "event_id")
+        lines.mapInArrow(partial(_grow, folder, turn), "rows bigint").agg(F.sum("rows")).first()
+        writer = read_growing_lines(x.spark, folder).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+        if turn == 1:
+            filesystem.move(f"{root}/part-0.log", f"{root}/part-0.log.1")
+    lines = x.spark.read.schema("file_path string, line_number bigint, raw string, place bigint").parquet(out)
+    return parse_logs(lines, year=YEAR).groupBy("format", "ip_address", "status_code").agg(F.count("*").alias("n"))
+
+
 @query(
     "s2_follow_folder",
     "web ssh",
