@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import YEAR, Inputs
 from suite.registry import query
 from watchfold.functions import extract_ip
-from watchfold.operators import detect, intel, networks, summary
+from watchfold.operators import detect, intel, networks, sketches, summary
 from watchfold.operators.logs import detect_format, parse_logs, rejects
 from watchfold.functions.rules import uri_rule
 
@@ -580,3 +580,41 @@ FROM web WHERE status_code = 401 GROUP BY 1, 2, 3 HAVING count(*) >= 5""",
 )
 def _(x: Inputs) -> DataFrame:
     return detect.brute_force(x.web, 5, "1 day")
+
+
+_HISTORY = """history AS (SELECT ip_address, date_trunc('day', event_time) + INTERVAL 7 HOUR AS valid_from,
+  CAST(count(*) % 101 AS INTEGER) AS abuse_confidence_score FROM web
+  WHERE event_id % 5 < 3 GROUP BY 1, 2)"""
+
+
+@query(
+    "w3_feed_as_of",
+    "web",
+    f"""WITH {_HISTORY} SELECT event_id, w.ip_address, event_time, h.valid_from, h.abuse_confidence_score
+FROM web w ASOF LEFT JOIN history h ON w.ip_address = h.ip_address AND w.event_time >= h.valid_from""",
+)
+def _(x: Inputs) -> DataFrame:
+    """The response that was valid when each request came."""
+    some = x.web.filter("event_id % 5 < 3")
+    history = some.groupBy(
+        "ip_address", (F.date_trunc("day", "event_time") + F.expr("INTERVAL 7 HOUR")).cast("timestamp_ntz").alias("valid_from")
+    ).agg((F.count("*") % 101).cast("int").alias("abuse_confidence_score"))
+    found = intel.attach_as_of(x.web.select("event_id", "ip_address", "event_time"), history, "abuse")
+    return found.select("event_id", "ip_address", "event_time", "abuse.valid_from", "abuse.abuse_confidence_score")
+
+
+@query(
+    "l1_sketched_addresses",
+    "web",
+    """SELECT date_trunc('day', event_time) AS day, count(*) AS rows, count(DISTINCT ip_address || '/' || event_id) AS exact,
+  true AS close FROM web GROUP BY 1""",
+)
+def _(x: Inputs) -> DataFrame:
+    """Distinct requests a day from hourly sketches, beside the exact count they come close to."""
+    value = F.concat_ws("/", "ip_address", "event_id")
+    hours = sketches.hourly_sketches(x.web, [], value, ts="event_time")
+    day = F.date_trunc("day", "bucket").cast("timestamp_ntz").alias("day")
+    found = sketches.estimated(sketches.merged(hours, day), "guess")
+    exact = x.web.groupBy(F.date_trunc("day", "event_time").cast("timestamp_ntz").alias("day")).agg(F.count_distinct(value).alias("exact"))
+    close = F.abs(F.col("guess") - F.col("exact")) <= F.greatest(4 * sketches.error_bound() * F.col("exact"), F.lit(1.0))
+    return found.join(exact, "day").select("day", "rows", "exact", close.alias("close"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import Inputs
 from suite.registry import query
 from watchfold.functions import flag_text, is_private, suspicious_domain, uri_rule
-from watchfold.operators import detect, ioc, report, traffic
+from watchfold.operators import detect, ioc, report, sketches, traffic
 
 P = "fx_packets"
 
@@ -179,6 +179,22 @@ def _(x: Inputs) -> DataFrame:
     return detect.port_scan(x.packets)
 
 
+@query(
+    "t2_port_scan_sketched",
+    P,
+    """SELECT src_ip, dst_ip, count(DISTINCT dst_port) AS exact, true AS close FROM fx_packets GROUP BY 1, 2
+HAVING count(DISTINCT dst_port) >= 20""",
+)
+def _(x: Inputs) -> DataFrame:
+    """Pairs from stored sketches of each hour's ports, with exact counts of the suspects only."""
+    hours = sketches.hourly_sketches(x.packets, ["src_ip", "dst_ip"], "dst_port")
+    suspects = sketches.scan_suspects(hours, 20)
+    pairs = x.packets.join(suspects.select("src_ip", "dst_ip"), ["src_ip", "dst_ip"], "left_semi")
+    exact = pairs.groupBy("src_ip", "dst_ip").agg(F.count_distinct("dst_port").alias("exact")).filter("exact >= 20")
+    close = F.abs(F.col("ports") - F.col("exact")) <= F.greatest(4 * sketches.error_bound() * F.col("exact"), F.lit(1.0))
+    return exact.join(suspects, ["src_ip", "dst_ip"]).select("src_ip", "dst_ip", "exact", close.alias("close"))
+
+
 @query("t3_syn_flood", P, f"WITH {_ATTEMPTS} {_T3}")
 def _(x: Inputs) -> DataFrame:
     return flat(detect.syn_flood(x.packets))

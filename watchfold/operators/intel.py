@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from watchfold.functions.rules import risk_tier
@@ -38,6 +38,46 @@ def enrich(ips: DataFrame, abuse: DataFrame, vt: DataFrame) -> DataFrame:
     )
 
 
+def attach_as_of(
+    df: DataFrame, feed: DataFrame, name: str, ts: str = "event_time", valid_from: str = "valid_from", every: str = "day"
+) -> DataFrame:
+    """Adds the struct ``name`` of the response that was valid at each row's time.
+
+    ``feed`` has a row per ``ip_address`` and ``valid_from``; a response holds until the next
+    one. Of several with one time the one whose fields are largest counts. A busy address is
+    cut into days (``every``): the last response of each day, a row per address and day,
+    is carried on to the days behind it, so that no window is longer than one of them.
+    Rows before the first response, without time or without address get NULL.
+    """
+    fields = [c for c in feed.columns if c not in ("ip_address", valid_from)]
+    held = F.struct(F.col(valid_from).alias("valid_from"), *fields)
+    dated = feed.filter(F.col("ip_address").isNotNull() & F.col(valid_from).isNotNull())
+    dated = dated.groupBy("ip_address", F.col(valid_from).alias("_time")).agg(F.max(held).alias(name))
+
+    def day(time: Column) -> Column:
+        return F.date_trunc(every, time).cast("timestamp_ntz").alias("_day")
+
+    dated = dated.select("ip_address", "_time", name, day(F.col("_time")))
+    known = dated.groupBy("ip_address", "_day").agg(F.max_by(name, "_time").alias("_last"))
+    wanted = df.filter(F.col("ip_address").isNotNull() & F.col(ts).isNotNull())
+    wanted = wanted.select("ip_address", day(F.col(ts))).distinct().withColumn("_asked", F.lit(1))
+    days = known.join(wanted, ["ip_address", "_day"], "full")
+    before = Window.partitionBy("ip_address").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.withColumn(name, F.last("_last", ignorenulls=True).over(before))
+    carried = carried.filter(F.col("_asked").isNotNull() & F.col(name).isNotNull())
+    # what is carried comes first, then responses, then the rows that ask for them
+    asking = F.struct(*df.columns)
+    rows = df.select("ip_address", F.col(ts).alias("_time"), day(F.col(ts)), F.lit(2).alias("_kind"), asking.alias("_row"))
+    states = carried.select("ip_address", F.col("_day").alias("_time"), "_day", F.lit(0).alias("_kind"), name).unionByName(
+        dated.select("ip_address", "_time", "_day", F.lit(1).alias("_kind"), name)
+    )
+    every_row = rows.unionByName(states, allowMissingColumns=True)
+    so_far = Window.partitionBy("ip_address", "_day").orderBy("_time", "_kind")
+    found = every_row.withColumn(name, F.last(name, ignorenulls=True).over(so_far)).filter("_kind = 2")
+    askable = F.col("ip_address").isNotNull() & F.col("_time").isNotNull()
+    return found.select("_row.*", F.when(askable, F.col(name)).alias(name))
+
+
 def abuse_score() -> Column:
     return F.coalesce("abuse.abuse_confidence_score", F.lit(0))
 
