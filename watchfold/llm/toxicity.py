@@ -22,6 +22,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ from pyspark.sql.window import Window
 
 from watchfold.llm import words
 from watchfold.llm.graphs import stored
-from watchfold.session import ship
+from watchfold.session import scratch_dir, ship
+from watchfold.sources.files import open_filesystem
 
 FEATURES = 1 << 18
 FACTORS = 8
@@ -137,7 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms:
     end = chosen.agg(F.min("place")).first()[0]
     if end is not None:
         rows = rows.filter(F.col("place") < end)
-    table = rows.orderBy(*order).limit(max_rows).toArrow()
+    # one sorted file, read past the JVM, whose heap would otherwise hold all of it
+    path = scratch_dir(docs.sparkSession, "chosen")
+    rows.orderBy(*order).limit(max_rows).write.parquet(path)
+    filesystem, name = open_filesystem(path)
+    table = pq.read_table(name, filesystem=filesystem, columns=["toxic", "features", "terms"])
     column = table.column("features").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
