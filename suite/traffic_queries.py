@@ -541,6 +541,16 @@ def _(x: Inputs) -> DataFrame:
     return iocs(x)
 
 
+_TOKENS = """SELECT 'email' AS type, 'u1@evil.example.com' AS value, 'Address in traffic' AS context,
+  ts AS first_seen, ts AS last_seen, 0 AS confidence FROM fx_packets WHERE packet_id % 200 = 3
+UNION ALL SELECT 'hash', '0cc175b9c0f1b6a831c399e269772661', 'md5 token', ts, ts, 0 FROM fx_packets WHERE packet_id % 200 = 4"""
+
+
+@query("i6_all_iocs_with_text", P, f"WITH {_IOCS} SELECT * FROM iocs UNION ALL {_TOKENS}")
+def _(x: Inputs) -> DataFrame:
+    return ioc.all_iocs(x.packets, detect.all_alerts(x.packets), text="payload_text")
+
+
 @query("i7_blocking_iocs", P, f"WITH {_IOCS} SELECT * FROM iocs WHERE confidence > 70")
 def _(x: Inputs) -> DataFrame:
     return ioc.above(iocs(x))

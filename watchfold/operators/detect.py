@@ -365,13 +365,13 @@ def all_alerts(
     """
     attempts = connection_attempts(packets)
     total = attempts.agg(F.sum("attempts").alias("attempts"), F.max("last_ts").alias("last_ts"))
-    keyword, keyword_alert = keyword_alert(keyword_hit(_payload_text(payload_bytes)))
+    keyword, found_alert = keyword_alert(keyword_hit(_payload_text(payload_bytes)))
     tunnel, tunnel_alert = _tunnel_alert(long_query)
     per_packet = packets.select(
         F.inline(
             F.array_compact(
                 F.array(
-                    F.when(keyword.isNotNull(), F.struct(*keyword_alert)),
+                    F.when(keyword.isNotNull(), F.struct(*found_alert)),
                     F.when(tunnel, F.struct(*tunnel_alert)),
                 )
             )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,48 +139,55 @@ def _tokens(texts: DataFrame, text: str, pattern: str) -> DataFrame:
     return tokens.filter(F.col("token").isNotNull())
 
 
+def _email_ioc(token: Column, ts: Column) -> list[Column]:
+    return _ioc("email", token, F.lit("Address in traffic"), ts, ts, F.lit(0))
+
+
+def _hash_ioc(token: Column, ts: Column) -> list[Column]:
+    kind = F.when(F.length(token) == 32, "md5").when(F.length(token) == 40, "sha1").otherwise("sha256")
+    return _ioc("hash", F.lower(token), F.concat(kind, F.lit(" token")), ts, ts, F.lit(0))
+
+
 def email_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> DataFrame:
     """Every address token of a text column."""
-    rows = _tokens(texts.filter(F.col(text).contains("@")), text, EMAIL).select(
-        *_ioc(
-            "email",
-            F.col("token"),
-            F.lit("Address in traffic"),
-            F.col("ts"),
-            F.col("ts"),
-            F.lit(0),
-        )
-    )
-    return _deduplicated(rows, dedup)
+    rows = _tokens(texts.filter(F.col(text).contains("@")), text, EMAIL)
+    return _deduplicated(rows.select(*_email_ioc(F.col("token"), F.col("ts"))), dedup)
 
 
 def hash_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> DataFrame:
     """Every md5, sha1 or sha256 token of a text column."""
-    kind = (
-        F.when(F.length("token") == 32, "md5").when(F.length("token") == 40, "sha1")
-    ).otherwise("sha256")
-    rows = _tokens(texts, text, HASH).select(
-        *_ioc(
-            "hash", F.lower("token"), F.concat(kind, F.lit(" token")), F.col("ts"), F.col("ts"),
-            F.lit(0),
-        )
-    )
-    return _deduplicated(rows, dedup)
+    rows = _tokens(texts, text, HASH)
+    return _deduplicated(rows.select(*_hash_ioc(F.col("token"), F.col("ts"))), dedup)
+
+
+def _token_iocs(text: Column) -> list[Column]:
+    """Arrays of the indicators in a text; a cheap test goes before either pattern."""
+
+    def rows(may: Column, pattern: str, ioc: Callable[[Column, Column], list[Column]]) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.struct(*ioc(x, F.col("ts"))))
+        return F.coalesce(F.when(may, found), F.array())
+
+    # 32 letters or digits in a row, however they go on
+    long = text.rlike("[0-9A-Fa-f]{32}")
+    return [rows(text.contains("@"), EMAIL, _email_ioc), rows(long, HASH, _hash_ioc)]
 
 
 def all_iocs(
-    packets: DataFrame, alerts: DataFrame, dedup: bool = False, text: str | None = None
+    packets: DataFrame, alerts: DataFrame, dedup: bool = False, text: str | Column | None = None
 ) -> DataFrame:
-    """Address, domain and URL indicators in one table; the latter two share a scan.
+    """Address, domain and URL indicators in one table.
 
-    With ``text``, a text column of the packets, also the mail addresses and hashes in it.
+    With ``text``, the text of a packet, also the mail addresses and hashes in it. All but
+    the addresses share one scan.
     """
-    found = [F.when(hit, F.struct(*row)) for hit, row in (_domain_ioc(), _url_ioc())]
-    named = packets.select(F.inline(F.array_compact(F.array(*found))))
-    iocs = ip_iocs(packets, alerts).unionByName(_deduplicated(named, dedup))
+    found = F.array_compact(F.array(*[F.when(hit, F.struct(*row)) for hit, row in (_domain_ioc(), _url_ioc())]))
     if text is None:
-        return iocs
-    return iocs.unionByName(email_iocs(packets, text, dedup)).unionByName(hash_iocs(packets, text, dedup))
+        named = packets.select(F.inline(found))
+    else:
+        staged = packets.withColumn("_text", F.col(text) if isinstance(text, str) else text)
+        # outer, or Spark would look whether there are any first, with every pattern
+        named = staged.select(F.inline_outer(F.concat(found, *_token_iocs(F.col("_text"))))).filter("type is not null")
+    return ip_iocs(packets, alerts).unionByName(_deduplicated(named, dedup))
 
 
 def above(iocs: DataFrame, confidence: int = BLOCKING) -> DataFrame:

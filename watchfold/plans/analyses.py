@@ -5,8 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from watchfold.functions.text import clean_utf8
 from watchfold.operators import detect, intel, ioc, report, summary, traffic
+from watchfold.operators.fragments import defragment
 from watchfold.operators.logs import parse_logs
 from watchfold.operators.packets import decode
 from watchfold.session import scratch_dir
@@ -84,7 +87,8 @@ def analyze_packets(packets: DataFrame, table: str, sample: int | None = None) -
     spark = packets.sparkSession
     detect.all_alerts(packets).write.parquet(f"{table}/alerts")
     alerts = spark.read.parquet(f"{table}/alerts")
-    ioc.all_iocs(packets, alerts).write.parquet(f"{table}/iocs")
+    text = clean_utf8(F.col("payload").cast("string"))
+    ioc.all_iocs(packets, alerts, text=text).write.parquet(f"{table}/iocs")
     iocs = spark.read.parquet(f"{table}/iocs")
     return CaptureAnalysis(
         packets=packets,
@@ -109,13 +113,17 @@ def analyze_capture(
     paths: str | list[str],
     table: str | None = None,
     transports: tuple[str, ...] | None = None,
+    assemble: bool = False,
 ) -> CaptureAnalysis:
     """Decode captures once into a parquet table and analyse that.
 
+    With ``assemble`` fragments are put together first, and a datagram is one packet.
     ``table`` is the folder for packets, alerts and indicators; by default a new
     one below the cluster's checkpoint folder.
     """
     table = table or scratch_dir(spark, "capture")
     frames = read_frames(spark, paths)
+    if assemble:
+        frames = defragment(frames)
     decode(frames, transports=transports).write.parquet(f"{table}/packets")
     return analyze_packets(spark.read.parquet(f"{table}/packets"), table)
