@@ -37,9 +37,11 @@ MARKS = 1 << 27
 #: Entries that a shard has to hold at most if all phrases were different.
 SHARD_ENTRIES = 1 << 20
 #: Keys that a task holds before it sorts them, and distinct ones before it writes them out.
-_HELD, _DISTINCT = 1 << 20, 1 << 20
+_HELD, _DISTINCT = 1 << 18, 1 << 19
 #: Distinct words, and bytes of them, that a task holds before it writes them out.
 _WORDS, _WORD_BYTES = 1 << 18, 16 << 20
+#: Bytes of text that are worked on at once.
+_PIECE = 1 << 18
 #: Longer words are hashed one by one.
 _LONG_WORD = 1024
 #: Parts of a language whose best phrases are found side by side.
@@ -54,7 +56,7 @@ _FILTER_ROWS = "wide boolean, shard int, filter binary"
 _PHRASE_ROWS = "w1 long, w2 long, w3 long, a long, f1 long, f2 long, f3 long"
 
 
-def segments(data: np.ndarray, low: int, high: int, size: int = words.PIECE_BYTES) -> Iterator[tuple[int, int, int]]:
+def segments(data: np.ndarray, low: int, high: int, size: int = _PIECE) -> Iterator[tuple[int, int, int]]:
     """Cuts a text at breaks, or at blanks: begin, end, and how many words are there again.
 
     A cut at a blank repeats the two words before it, so that each run of three words lies
@@ -84,8 +86,8 @@ def segments(data: np.ndarray, low: int, high: int, size: int = words.PIECE_BYTE
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Folded bytes, borders, row numbers and repeated words of texts and parts of texts."""
-    for piece in words.pieces(batch.column("text")):
-        if len(piece.data) <= 2 * words.PIECE_BYTES:
+    for piece in words.pieces(batch.column("text"), _PIECE):
+        if len(piece.data) <= 2 * _PIECE:
             rows = np.arange(piece.first, piece.last)
             yield words.LOWER[piece.data], piece.offsets, rows, np.zeros(len(rows), np.int64)
         else:  # one long text
@@ -123,47 +125,74 @@ def _languages(batch: pa.RecordBatch, seed: int) -> tuple[list[str], np.ndarray]
     return langs, np.array([known[x] for x in langs], np.uint64)
 
 
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes between borders as binary values."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at]))]
+    return pa.Array.from_buffers(pa.binary(), len(size), buffers)
+
+
+class _Vocabulary:
+    """Counts of distinct words as columns: key, lang, word, n."""
+
+    def __init__(self):
+        self.fresh: list[pa.Table] = []
+        self.held = 0
+        self.whole: pa.Table | None = None
+
+    def add(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.fresh.append(table)
+        self.held += len(table)
+        if self.held >= _WORDS // 2 or sum(x.nbytes for x in self.fresh) >= 2 * _WORD_BYTES:
+            self._merge()
+            if len(self.whole) >= _WORDS or self.whole.column("word").nbytes >= _WORD_BYTES:
+                yield from self.flush()
+
+    def _merge(self) -> None:
+        table = pa.concat_tables([*([] if self.whole is None else [self.whole]), *self.fresh])
+        self.fresh, self.held = [], 0
+        keys = table.column("key").to_numpy()
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sums = np.add.reduceat(table.column("n").to_numpy()[order], first)
+        table = table.take(pa.array(order[first]))
+        self.whole = table.set_column(3, "n", pa.array(sums)).combine_chunks()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.fresh:
+            self._merge()
+        if self.whole is not None:
+            word = self.whole.column("word").cast(pa.string())
+            yield from self.whole.set_column(2, "word", word).to_batches()
+        self.whole = None
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
     """Counts of the words of each language; a word may come several times."""
-    counts: dict[int, int] = {}
-    texts: dict[int, tuple[str, bytes]] = {}
-    held = 0
-
-    def flush() -> pa.RecordBatch:
-        nonlocal held
-        keys = np.fromiter(counts, np.uint64, len(counts))
-        out = pa.record_batch(
-            {
-                "key": pa.array(words.signed(keys)),
-                "lang": pa.array([x for x, _ in texts.values()], pa.string()),
-                "word": pa.array([x for _, x in texts.values()], pa.binary()).cast(pa.string()),
-                "n": pa.array(list(counts.values()), pa.int64()),
-            }
-        )
-        counts.clear(), texts.clear()
-        held = 0
-        return out
-
+    known = _Vocabulary()
     for batch in batches:
-        langs, salts = _languages(batch, seed)
+        _, salts = _languages(batch, seed)
         for data, offsets, rows, again in _pieces(batch):
             found = words.split(data, offsets, _SEPARATORS)
             keys = _keys(data, found, salts[rows])
             row = found.row
             new = np.arange(len(keys)) - found.first[row] >= again[row]
             at = np.flatnonzero(new)
+            if not len(at):
+                continue
             distinct, first, number = np.unique(keys[at], return_index=True, return_counts=True)
-            for key, i, n in zip(distinct.tolist(), at[first].tolist(), number.tolist(), strict=True):
-                if key in counts:
-                    counts[key] += n
-                else:
-                    word = data[found.start[i] : found.end[i]].tobytes()
-                    counts[key], texts[key] = n, (langs[rows[row[i]]], word)
-                    held += len(word)
-            if len(counts) >= _WORDS or held >= _WORD_BYTES:
-                yield flush()
-    if counts:
-        yield flush()
+            at = at[first]
+            columns = [
+                pa.array(words.signed(distinct)),
+                batch.column("lang").take(pa.array(rows[row[at]])),
+                _strings(data, found.start[at], found.end[at]),
+                pa.array(number.astype(np.int64)),
+            ]
+            yield from known.add(pa.Table.from_arrays(columns, names=["key", "lang", "word", "n"]))
+    yield from known.flush()
 
 
 class _Head:
