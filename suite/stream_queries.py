@@ -256,3 +256,38 @@ def _(x: Inputs) -> DataFrame:
     # The whole table is one file and so one batch: each alert comes through once.
     alerts = streaming.dedup_alerts(detect.sensitive_keyword(x.packets), "1 hour")
     return appended(alerts.select("category", "source_ip", "destination_ip", "description"))
+
+
+@query(
+    "w7_alert_bursts",
+    "fx_packets",
+    """WITH alerts AS (SELECT packet_id, ts, src_ip AS source_ip, dst_ip AS destination_ip,
+  'Sensitive keyword "' || CASE packet_id % 200 WHEN 0 THEN 'password' ELSE 'key=' END || '" found in traffic' AS description
+  FROM fx_packets WHERE packet_id % 200 < 2),
+spaced AS (SELECT *, lag(ts) OVER (PARTITION BY source_ip, destination_ip, description ORDER BY ts, packet_id) AS before FROM alerts),
+numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL '12 hours' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY source_ip, destination_ip, description ORDER BY ts, packet_id) AS burst FROM spaced)
+SELECT 'Data Exfiltration' AS category, source_ip, destination_ip, description, min(ts) AS first_ts, max(ts) AS last_ts,
+  count(*) AS alerts FROM numbered GROUP BY source_ip, destination_ip, description, burst
+HAVING max(ts) + INTERVAL '12 hours' <= (SELECT max(ts) FROM alerts) - INTERVAL '1 hour'""",
+    stream=True,
+)
+def _(x: Inputs) -> DataFrame:
+    return appended(streaming.alert_bursts(detect.sensitive_keyword(x.packets), "12 hours", "1 hour"))
+
+
+@query(
+    "w2_compacted_indicators",
+    "web fx_web",
+    f"{_ACTIVITY} FROM web GROUP BY 1",
+)
+def _(x: Inputs) -> DataFrame:
+    """All lines in 20 batches, merged in levels of three."""
+    entries = x.web.select("ip_address", "event_time", "raw", F.pmod(F.xxhash64("event_id"), F.lit(20)).alias("turn"))
+    turns, out = scratch_dir(x.spark, "turns"), scratch_dir(x.spark, "levels")
+    entries.write.partitionBy("turn").parquet(turns)
+    entries = x.spark.read.schema(entries.schema).parquet(turns)
+    write = streaming.indicator_sink(out, fanout=3)
+    for turn in range(20):
+        write(entries.filter(F.col("turn") == turn), turn)
+    return streaming.latest_indicators(x.spark, out).drop("raw_log_entries")

@@ -1,6 +1,8 @@
 """Structured Streaming forms of the operators."""
 
 from watchfold.streaming.streams import (
+    alert_bursts,
+    compact_indicators,
     dedup_alerts,
     entry_stream,
     flow_sessions,
@@ -14,6 +16,8 @@ from watchfold.streaming.streams import (
 )
 
 __all__ = [
+    "alert_bursts",
+    "compact_indicators",
     "dedup_alerts",
     "entry_stream",
     "flood_alerts",
