@@ -135,6 +135,16 @@ BEACON = """SELECT event_id AS packet_id,
   '10.0.5.' || CAST(event_id % 2 AS {STR}) AS src_ip, '203.0.113.7' AS dst_ip
 FROM events"""
 
+# Four pairs: every 300 s with a fifth missing and jitter, every 60 s, without any clock,
+# every 3600 s with half a beat's jitter.
+BEATS = """SELECT event_id AS packet_id, {SEC_OPEN}1704067200 + CASE event_id % 4
+    WHEN 0 THEN event_id * 75 + (event_id * 7919) % 31
+    WHEN 1 THEN (event_id - 1) * 15
+    WHEN 2 THEN (event_id * 104729) % 4000037
+    ELSE (event_id - 3) * 900 + (event_id * 7919) % 1801 END{SEC_CLOSE} AS ts,
+  '10.0.6.' || CAST(event_id % 4 AS {STR}) AS src_ip, '203.0.113.7' AS dst_ip
+FROM events WHERE NOT (event_id % 4 = 0 AND (event_id * 31) % 5 = 0)"""
+
 # What the lines say, taken from the source columns (DuckDB only).
 WEB_ENTRIES = (
     "SELECT event_id, {IP} AS ip_address, date_trunc('second', ts) AS event_time, CAST("
@@ -172,6 +182,7 @@ _CTES = {
     "fx_abuse": ABUSE,
     "fx_vt": VT,
     "fx_beacon": BEACON,
+    "fx_beats": BEATS,
     "web": WEB_ENTRIES,
     "ssh": SSH_ENTRIES,
 }
@@ -252,6 +263,10 @@ class Inputs:
     def beacon(self) -> DataFrame:
         return self._sql(BEACON)
 
+    @cached_property
+    def beats(self) -> DataFrame:
+        return self._sql(BEATS)
+
     @cached_property
     def abuse(self) -> DataFrame:
         return Inputs(self.spark, self.sf_dir)._sql(ABUSE)

@@ -269,6 +269,47 @@ def gap_statistics(x: Inputs) -> DataFrame:
     return _rounded(detect.gap_statistics(x.packets, ["src_ip", "dst_ip"]))
 
 
+_PERIODS = """seconds AS (SELECT DISTINCT src_ip, dst_ip, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM {source}),
+gaps AS (SELECT src_ip, dst_ip, s - lag(s) OVER (PARTITION BY src_ip, dst_ip, s // 86400 ORDER BY s) AS gap FROM seconds),
+counted AS (SELECT src_ip, dst_ip, gap, count(*) AS n FROM gaps WHERE gap IS NOT NULL GROUP BY 1, 2, 3),
+binned AS (SELECT src_ip, dst_ip, half, floor(ln(gap) / ln(1.1::DOUBLE) + half / 2.0::DOUBLE) AS bin, sum(n) AS n,
+  CAST(sum(n * gap) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS p
+  FROM counted, (VALUES (0), (1)) h(half) GROUP BY 1, 2, 3, 4),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY src_ip, dst_ip ORDER BY n DESC, p, half) AS r FROM binned),
+proposed AS (SELECT DISTINCT src_ip, dst_ip, p * (1 + k / 128.0::DOUBLE) AS p FROM ranked, range(-2, 3) t(k) WHERE r <= 4),
+turned AS (SELECT src_ip, dst_ip, p, s, s / p AS turns FROM seconds JOIN proposed USING (src_ip, dst_ip)),
+folds AS (SELECT src_ip, dst_ip, p, floor(turns / 32) AS fold, sum(cos(2 * pi() * (turns - floor(turns)))) AS x,
+  sum(sin(2 * pi() * (turns - floor(turns)))) AS y, CAST(count(*) AS DOUBLE) AS n, max(s) - min(s) AS long FROM turned GROUP BY 1, 2, 3, 4),
+periods AS (SELECT src_ip, dst_ip, p, CAST(sum(n) AS BIGINT) AS beats, sum(n) / sum(1 + long / p) AS share,
+  CASE WHEN sum(n * (n - 1)) > 0 THEN sum(x * x + y * y - n) / sum(n * (n - 1)) ELSE 0 END AS coherence FROM folds GROUP BY 1, 2, 3),
+best AS (SELECT *, row_number() OVER (PARTITION BY src_ip, dst_ip ORDER BY round(coherence * least(share, 1), 9) DESC, p) AS r FROM periods)"""
+
+
+def _period_columns(stats: DataFrame) -> DataFrame:
+    return stats.select("src_ip", "dst_ip", "beats", *[F.round(c, 4).alias(c) for c in ("period", "share", "coherence")])
+
+
+@query(
+    "t8_missed_beats",
+    "fx_beats",
+    f"""WITH {_PERIODS.format(source="fx_beats")} SELECT src_ip, dst_ip, beats, round(p, 4) AS period,
+  round(share, 4) AS share, round(coherence, 4) AS coherence FROM best
+WHERE r = 1 AND beats >= 10 AND share >= 0.5 AND coherence >= 0.5""",
+)
+def _(x: Inputs) -> DataFrame:
+    return _period_columns(detect.loose_beaconing(x.beats))
+
+
+@query(
+    "t8_periods",
+    P,
+    f"""WITH {_PERIODS.format(source="fx_packets")} SELECT src_ip, dst_ip, beats, round(p, 4) AS period,
+  round(share, 4) AS share, round(coherence, 4) AS coherence FROM best WHERE r = 1""",
+)
+def _(x: Inputs) -> DataFrame:
+    return _period_columns(detect.period_statistics(x.packets, ["src_ip", "dst_ip"]))
+
+
 @query(
     "t9_lateral_movement",
     P,

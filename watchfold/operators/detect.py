@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -240,6 +242,85 @@ def beaconing(
     )
 
 
+def period_statistics(
+    df: DataFrame, keys: list[str], ts: str = "ts", tries: int = 4, fold: int = 32, span: int = 86_400, ratio: float = 1.1
+) -> DataFrame:
+    """The best period of each key's events: ``keys, period, beats, share, coherence``.
+
+    Seconds with an event are folded at periods that their gaps propose. Gaps between
+    neighbouring seconds (of one ``span``) are counted in bins as wide as ``ratio``, which
+    overlap by half; the mean gaps of the ``tries`` fullest bins and four close values of
+    each are the periods. A fold covers ``fold`` periods, so that a clock that drifts stays
+    in phase. ``coherence`` is the mean cosine of the phase difference of two events of a
+    fold: 1 for a clock, about 0 for chance however many events there are. ``share`` is the
+    number of seconds with an event by that of beats between the first and the last of each
+    fold, so that long pauses between folds do not count. The period with the highest
+    coherence times share (at most 1) wins, the shorter one of equals.
+
+    No task sorts all events of a key, only those of one ``span``, at most one a second; the rest
+    are sums. Null times are left out, repeated rows count once, keys with fewer than two seconds
+    in every span have no row. Periods beyond ``span`` are not found.
+    """
+    seconds = df.filter(F.col(ts).isNotNull()).select(*keys, F.floor(epoch_seconds(F.col(ts))).alias("_s")).distinct()
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    own = [f"_k{i}" for i in range(len(keys))]
+    seconds = seconds.select(*named, "_s")
+    before = F.lag("_s").over(Window.partitionBy(*own, F.floor(F.col("_s") / span)).orderBy("_s"))
+    gaps = seconds.select(*own, (F.col("_s") - before).alias("gap")).filter("gap is not null")
+    counted = gaps.groupBy(*own, "gap").agg(F.count("*").alias("n"))
+    halves = counted.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
+    bin_ = F.floor(F.log("gap") / F.log(F.lit(ratio)) + F.col("half") / 2)
+    binned = halves.groupBy(*own, "half", bin_.alias("bin")).agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("gap")) / F.sum("n")).alias("period")
+    )
+    fullest = Window.partitionBy(*own).orderBy(F.desc("n"), "period", "half")
+    proposed = binned.withColumn("rank", F.row_number().over(fullest)).filter(F.col("rank") <= tries)
+    near = F.array(*[F.col("period") * (1 + k / (4 * fold)) for k in (-2, -1, 0, 1, 2)])
+    proposed = proposed.groupBy(*own).agg(F.array_distinct(F.flatten(F.collect_list(near))).alias("periods"))
+    same = F.lit(True)
+    for k in own:
+        same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}"))
+    met = seconds.alias("s").join(proposed.alias("p"), same).select("s.*", F.explode("periods").alias("period"))
+    turns = F.col("_s") / F.col("period")
+    angle = 2 * math.pi * (turns - F.floor(turns))
+    folds = met.groupBy(*own, "period", F.floor(turns / fold).alias("fold")).agg(
+        F.sum(F.cos(angle)).alias("x"),
+        F.sum(F.sin(angle)).alias("y"),
+        F.count("*").cast("double").alias("n"),
+        (F.max("_s") - F.min("_s")).alias("long"),
+    )
+    n = F.col("n")
+    pairs = F.sum(n * (n - 1))
+    coherence = F.when(pairs > 0, F.sum(F.col("x") * F.col("x") + F.col("y") * F.col("y") - n) / pairs).otherwise(0.0)
+    found = folds.groupBy(*own, "period").agg(
+        F.sum(n).cast("long").alias("beats"),
+        (F.sum(n) / F.sum(1 + F.col("long") / F.col("period"))).alias("share"),
+        coherence.alias("coherence"),
+    )
+    # rounded, so that sums in another order choose alike
+    score = F.round(F.col("coherence") * F.least(F.col("share"), F.lit(1.0)), 9)
+    best = F.max_by(F.struct("period", "beats", "share", "coherence"), F.struct(score, -F.col("period")))
+    back = [F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]
+    return found.groupBy(*own).agg(best.alias("best")).select(*back, "best.*")
+
+
+def loose_beaconing(
+    packets: DataFrame,
+    min_beats: int = 10,
+    min_share: float = 0.5,
+    min_coherence: float = 0.5,
+    protocol: str | None = None,
+) -> DataFrame:
+    """Pairs of hosts that talk at a steady period though beats are late, early or missing.
+
+    See :func:`period_statistics`; a pair's period must have at least ``min_share`` of its beats.
+    """
+    rows = packets if protocol is None else packets.filter(F.col("protocol") == protocol)
+    stats = period_statistics(rows.select("src_ip", "dst_ip", "ts"), ["src_ip", "dst_ip"])
+    enough = (F.col("beats") >= min_beats) & (F.col("share") >= min_share)
+    return stats.filter(enough & (F.col("coherence") >= min_coherence))
+
+
 def lateral_movement(packets: DataFrame, port: int = SMB_PORT) -> DataFrame:
     """File-sharing traffic between two internal hosts."""
     return (
