@@ -16,6 +16,8 @@ from watchfold.operators import detect, intel, summary
 from watchfold.operators.fragments import defragment
 from watchfold.operators.ioc import above
 from watchfold.operators.logs import parse_logs
+from watchfold.operators import ioc
+from watchfold.operators.carried_files import carried_files
 from watchfold.operators.packets import decode, segments
 from watchfold.operators.tcp_streams import gaps, reassemble, stream_keyword, stream_messages
 from watchfold.session import scratch_dir
@@ -311,6 +313,73 @@ def _(x: Inputs) -> DataFrame:
     return detect.keyword_volume(_streams(x), n=1).select("src_ip", "dst_ip")
 
 
+# Responses with a body each, of known length or in two chunks.
+_BODY = """repeat('event ' || event_id || ' ' || event_type || ';', CAST(1 + event_id % 40 AS INT))"""
+_FILES = f"""b AS (SELECT *, {_BODY} AS body, event_id % 2 = 0 AS sized FROM events),
+r AS (SELECT *, CAST(length(body) AS INT) AS size, CAST(length(body) / 3 AS INT) AS part FROM b),
+m AS (SELECT *, CASE WHEN sized THEN 79 - 2 + length(CAST(size AS VARCHAR)) + size
+  ELSE 87 + length(printf('%x', part)) + length(printf('%x', size - part)) + size + 13 END AS total FROM r),
+f AS (SELECT *, NOT (event_id % 13 = 0 AND total > 100) AS ok FROM m)"""
+
+
+def _carried(x: Inputs):
+    """One connection per event, its response in segments of 100 bytes, some lost or sent again."""
+    body = F.expr(_BODY)
+    rows = x.table("events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), body.alias("body"))
+    size = F.length("body")
+    part = F.round(size / 3).cast("int")
+    first, second = F.expr("left(body, cast(round(length(body) / 3) as int))"), F.expr("substring(body, cast(round(length(body) / 3) as int) + 1)")
+    head = F.lit("HTTP/1.1 200 OK\r\nContent-Type: application/octet-stream\r\n")
+    sized = F.concat(head, F.lit("Content-Length: "), size.cast("string"), F.lit("\r\n\r\n"), "body")
+    crlf = F.lit("\r\n")
+    chunked = F.concat(
+        head, F.lit("Transfer-Encoding: chunked\r\n\r\n"), F.lower(F.hex(part)), crlf, first, crlf,
+        F.lower(F.hex(size - part)), crlf, second, F.lit("\r\n0\r\n\r\n"),
+    )
+    rows = rows.withColumn("data", F.when(F.col("event_id") % 2 == 0, sized).otherwise(chunked))
+    count = F.ceil(F.length("data") / 100).cast("int")
+    rows = rows.withColumn("k", F.explode(F.flatten(F.array(F.sequence(F.lit(0), count - 1), F.array(F.lit(0))))))
+    rows = rows.filter(~((F.col("event_id") % 13 == 0) & (F.col("k") == 1)))
+    table = rows.select(
+        F.concat(F.lit("c"), F.col("event_id").cast("string")).alias("capture"),
+        (F.col("event_id") * 100 + F.col("k")).alias("packet_id"),
+        "ts",
+        F.lit("203.0.113.7").alias("src_ip"),
+        F.lit("10.0.5.1").alias("dst_ip"),
+        F.lit(80).alias("src_port"),
+        F.lit(1024).alias("dst_port"),
+        F.lit("TCP").alias("protocol"),
+        F.lit(24).alias("flag_bits"),
+        (F.col("k") * 100 + 5000).cast("bigint").alias("sequence"),
+        F.expr("substring(data, k * 100 + 1, 100)").cast("binary").alias("payload"),
+    )
+    folder = scratch_dir(x.spark, "responses")
+    table.write.parquet(folder)
+    # small blocks, so that bodies go over their borders
+    return carried_files(reassemble(x.spark.read.schema(table.schema).parquet(folder), 256, 128), 128)
+
+
+@query(
+    "i5_carried_files",
+    sql=f"""WITH {_FILES} SELECT event_id, CASE WHEN sized THEN 'length' ELSE 'chunked' END AS framing, ok AS complete,
+  CASE WHEN ok THEN size END AS body_bytes, CASE WHEN ok THEN md5(body) END AS md5,
+  CASE WHEN ok THEN sha256(body) END AS sha256 FROM f""",
+)
+def _(x: Inputs) -> DataFrame:
+    files = _carried(x).withColumn("event_id", F.expr("cast(substring(capture, 2) as bigint)"))
+    size = F.when(F.col("complete"), F.col("body_bytes").cast("int")).alias("body_bytes")
+    return files.select("event_id", "framing", "complete", size, "md5", "sha256")
+
+
+@query(
+    "i5_carried_file_hashes",
+    sql=f"""WITH {_FILES} SELECT 'hash' AS type, md5(body) AS value, 'md5 of a carried file' AS context FROM f WHERE ok
+UNION ALL SELECT 'hash', sha256(body), 'sha256 of a carried file' FROM f WHERE ok""",
+)
+def _(x: Inputs) -> DataFrame:
+    return ioc.file_hash_iocs(_carried(x)).select("type", "value", "context")
+
+
 @query(
     "k7_dns",
     P,

@@ -160,6 +160,15 @@ def hash_iocs(texts: DataFrame, text: str = "text", dedup: bool = False) -> Data
     return _deduplicated(rows.select(*_hash_ioc(F.col("token"), F.col("ts"))), dedup)
 
 
+def file_hash_iocs(files: DataFrame, dedup: bool = False) -> DataFrame:
+    """The md5 and sha256 of every file of ``carried_files`` that is complete."""
+    kinds = [
+        F.struct(*_ioc("hash", F.col(kind), F.lit(f"{kind} of a carried file"), F.col("ts"), F.col("ts"), F.lit(0)))
+        for kind in ("md5", "sha256")
+    ]
+    return _deduplicated(files.filter("complete").select(F.inline(F.array(*kinds))), dedup)
+
+
 def _token_iocs(text: Column) -> list[Column]:
     """Arrays of the indicators in a text; a cheap test goes before either pattern."""
 
