@@ -270,15 +270,27 @@ def _pair_entries(row: np.ndarray, feature: np.ndarray, pairs: np.ndarray) -> tu
     return np.concatenate([r for r, _ in found]), np.concatenate([p for _, p in found])
 
 
+def _pairs_of_rows(feature: np.ndarray, border: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pairs that each row has, one row after the other, and the rows' borders."""
+    member = np.zeros(FEATURES, bool)
+    member[pairs.ravel()] = True
+    found, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    for low in range(0, len(border) - 1, 512):
+        borders = border[low : low + 513]
+        some = feature[borders[0] : borders[-1]]
+        at = np.flatnonzero(member[some])
+        row = np.searchsorted(borders - borders[0], at, side="right") - 1
+        both, pair = _pair_entries(row, some[at], pairs)
+        found.append(pair.astype(np.int32))
+        sizes.append(np.bincount(both, minlength=len(borders) - 1))
+    return np.concatenate(found), np.cumsum(np.concatenate(sizes))
+
+
 def learn(feature: np.ndarray, border: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
     """Fits a model to rows whose features are ``feature[border[i]:border[i + 1]]``."""
     rows = len(label)
     pairs = _tied_pairs(feature, border, label)
-    member = np.zeros(FEATURES, bool)
-    member[pairs.ravel()] = True
-    at = np.flatnonzero(member[feature])
-    both, pair = _pair_entries(np.searchsorted(border, at, side="right") - 1, feature[at], pairs)
-    pair_border = np.searchsorted(both, np.arange(rows + 1))
+    pair, pair_border = _pairs_of_rows(feature, border, pairs)
     pair_weight, pair_sum = np.zeros(len(pairs)), np.full(len(pairs), 1e-6)
     positive = float(label.sum())
     bias = float(np.log((positive + 0.5) / (rows - positive + 10.0)))
