@@ -132,3 +132,19 @@ def test_sure_rules_stay_whatever_the_verdicts_share(spark, allowed):
     rows += [("ftp://cold.org/c", "allow")] * allowed
     rules = {(tuple(r["tokens"]), r["verdict"]) for r in urls.mine(spark.createDataFrame(rows, "url string, verdict string")).collect()}
     assert {(("path:a",), "block"), (("path:b",), "block")} <= rules
+
+
+def test_shared_segments_and_keys_are_mined_as_one(spark):
+    """Thirty segments and keys that always come together would make 2**30 sets of them."""
+    deep = "/".join(f"s{chr(97 + i)}" for i in range(15)) + "/?" + "&".join(f"k{chr(97 + i)}=1" for i in range(15))
+    rows = [(f"https://deep.net/{deep}&{chr(97 + i % 26)}{chr(97 + i // 26)}=2", "block") for i in range(100)]
+    rows += [(f"https://flat.org/x{chr(97 + i % 26)}{chr(97 + i // 26)}", "allow") for i in range(100)]
+    rows += [(f"https://flat.org/sa/x{chr(97 + i % 26)}", "allow") for i in range(10)]
+    rules = urls.mine(spark.createDataFrame(rows, "url string, verdict string")).collect()
+    found = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in rules}
+    alone = {f"path:s{chr(97 + i)}" for i in range(1, 15)} | {f"query:k{chr(97 + i)}" for i in range(15)}
+    alone |= {"host0:net", "host1:deep"}
+    assert {k[0][0] for k in found if len(k[0]) == 1 and k[1] == "block" and found[k] == 1} == alone
+    assert {k[0][0] for k in found if len(k[0]) == 1 and k[1] == "allow"} == {"host0:org", "host1:flat"}
+    assert found[("path:sa",), "block"] == pytest.approx(100 / 110)
+    assert len(found) == len(alone) + 3

@@ -100,11 +100,16 @@ def mine(
     """Rules (tokens, verdict, confidence, support) of ``labelled`` (url, verdict).
 
     A rule stays unless one without one of its tokens says the same with no less
-    confidence. Tokens that all labelled URLs have are left out. Rows without url or verdict are not looked at; without labelled
+    confidence. Tokens that all labelled URLs have are left out, and tokens that stand in
+    exactly the same URLs are mined as one: a rule has one of them, and there is a rule for
+    each. Rows without url or verdict are not looked at; without labelled
     rows there are no rules.
     """
     rows = labelled.filter("url is not null and verdict is not null")
-    items = rows.select(F.concat(tokens(F.col("url")), F.array(F.concat(F.lit(_VERDICT), "verdict"))).alias("items"))
+    items = rows.select(
+        F.concat(tokens(F.col("url")), F.array(F.concat(F.lit(_VERDICT), "verdict"))).alias("items"),
+        *[F.xxhash64("url", F.lit(k)).cast("decimal(38,0)").alias(f"mark{k}") for k in (1, 2)],
+    )
     items = stored(items, "items")
     none = items.sparkSession.createDataFrame(
         [], "tokens array<string>, verdict string, confidence double, support double"
@@ -112,10 +117,18 @@ def mine(
     total = items.count()
     if total < least_urls:
         return none
-    counts = items.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"))
-    common = [r[0] for r in counts.filter((F.col("n") == total) & ~F.col("item").startswith(_VERDICT)).collect()]  # at most one URL's tokens
-    items = items.select(F.array_except("items", F.array(*map(F.lit, common)).cast("array<string>")).alias("items"))
     support = max(least_support, least_urls / total)
+    counts = items.select(F.explode("items").alias("item"), "mark1", "mark2").groupBy("item").agg(
+        F.count("*").alias("n"), F.sum("mark1").alias("mark1"), F.sum("mark2").alias("mark2")
+    )
+    often = counts.filter((F.col("n") >= support * total) & ~F.col("item").startswith(_VERDICT))
+    # tokens with equal sums of two hashes of their URLs stand in the same ones
+    groups = often.groupBy("n", "mark1", "mark2").agg(F.array_sort(F.collect_list("item")).alias("all"))
+    groups = stored(groups.select("n", F.col("all")[0].alias("token"), "all"), "groups")
+    # of frequent tokens there are no more than an URL has on average, by the support
+    needless = F.when(F.col("n") == total, F.col("all")).otherwise(F.slice("all", 2, F.size("all")))
+    left_out = [r[0] for r in groups.select(F.explode(needless)).collect()]
+    items = items.select(F.array_except("items", F.array(*map(F.lit, left_out)).cast("array<string>")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(items)
     said = F.col("consequent")[0]
     rules = model.associationRules.filter(said.startswith(_VERDICT) & ((F.col("lift") >= least_lift) | (F.col("confidence") >= 1))).select(
@@ -125,7 +138,18 @@ def mine(
         "support",
     )
     rules = stored(rules, "rules")
-    return stored(_shortest(rules), "rules")
+    return stored(_with_equal_tokens(_shortest(rules), groups), "rules")
+
+
+def _with_equal_tokens(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """A rule for each choice of one of ``all`` the tokens that each token stands for."""
+    each = rules.select("*", F.explode("tokens").alias("token")).join(groups.select("token", "all"), "token")
+    each = each.groupBy("tokens", "verdict", "confidence", "support").agg(F.collect_list("all").alias("choices"))
+    empty = F.array(F.array().cast("array<string>"))
+    more = lambda made, some: F.flatten(F.transform(made, lambda x: F.transform(some, lambda y: F.concat(x, F.array(y)))))
+    chosen = F.aggregate("choices", empty, more)
+    made = each.select(F.explode(chosen).alias("tokens"), "verdict", "confidence", "support")
+    return made.withColumn("tokens", F.array_sort("tokens"))
 
 
 def _shortest(rules: DataFrame) -> DataFrame:
