@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from watchfold.llm import quality
 
@@ -91,13 +92,32 @@ def test_junk_goes_and_prose_stays(spark):
     assert kept[(0, False)] >= kept.get((0, True), 0)
 
 
-def test_rare_languages_share_a_reference(spark, monkeypatch):
-    monkeypatch.setattr(quality, "MOST_LANGUAGES", 3)
-    rows = [(i, "some words in a row", "en") for i in range(20)] + [(50, "und so weiter", "de"), (51, "x y", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    known = quality.references(docs)
-    assert list(known.languages) == ["en"] and known.number("de") == known.number(None) == 1
-    assert quality.quality(docs, known).count() == 22
+def test_rare_languages_have_their_own_reference(spark):
+    english = [(i, f"some words in row {i % 7} of a common language, " * 20, "en") for i in range(3000)]
+    foreign = [(9000 + i, f"мало слов на {i % 2} языке, " * 20, "ru") for i in range(2)] + [(9100, "ΩΨ " * 100, None)]
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame(english + foreign, schema)
+    alone = spark.createDataFrame(foreign, schema)
+    found = {r["doc_id"]: r for r in quality.quality(docs, quality.references(docs)).filter("doc_id >= 9000").collect()}
+    own = {r["doc_id"]: r for r in quality.quality(alone, quality.references(alone)).collect()}
+    assert found == own and len(own) == 3
+    assert all(r["character_distance"] < 0.1 for r in own.values())
+
+
+def test_unknown_languages_are_judged_by_the_base_rules(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(90)), "xx"), (2, "too few", "xx")], "doc_id long, text string, lang string")
+    known = quality.references(docs.withColumn("lang", F.lit("en")))
+    rows = {r["doc_id"]: r for r in quality.quality(docs, known).collect()}
+    assert rows[1]["kept"] and not rows[2]["kept"]
+    assert rows[1]["character_distance"] is None and rows[1]["word_distance"] is None
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MOST_LANGUAGES", 2)
+    docs = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", None)], "text string, lang string")
+    assert len(quality.references(docs.filter("lang is not null")).languages) == 2
+    with pytest.raises(ValueError, match="languages"):
+        quality.references(docs)
 
 
 def test_no_rows(none):

@@ -7,8 +7,10 @@ document is kept if neither distance is above its limit, which is wider for shor
 as these scatter: a limit plus a slack over the root of the number of characters or words.
 A histogram of fewer characters or words than its minimum says nothing and is not compared.
 
-Languages with less than one in ``MOST_LANGUAGES`` of all documents share one reference,
-so that the table of references is bounded.
+Every language has a reference of its own, however few documents it has, so that what a
+document is judged by does not depend on other languages. A reference is 79 numbers; more than
+``MOST_LANGUAGES`` languages are refused. Documents in a language without a reference are judged
+by the base rules alone.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from watchfold.llm import words
 from watchfold.llm.graphs import stored
 from watchfold.session import ship
 
-MOST_LANGUAGES = 1000
+#: Languages that may have a reference (5 MB of references and 8 MB of common words).
+MOST_LANGUAGES = 8192
 COMMON_WORDS = 64
 #: Fewer characters or words make no histogram.
 LEAST_CHARACTERS = 200
@@ -88,7 +91,7 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 @dataclass
 class References:
-    """Histograms of the languages; the last one stands for all rare languages."""
+    """Histograms of the languages; the last one is empty and stands for unknown languages."""
 
     languages: dict[str | None, int]
     characters: np.ndarray
@@ -145,29 +148,33 @@ def _counts(batches: Iterator[pa.RecordBatch], languages: dict[str | None, int])
 
 
 def references(docs: DataFrame) -> References:
-    """References of the languages of ``docs`` (text, lang) from all its documents."""
+    """References of the languages of ``docs`` (text, lang) from all its documents.
+
+    A null language is one like any other. More than ``MOST_LANGUAGES`` are an error.
+    """
     ship(docs.sparkSession, "watchfold")
     docs = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    sizes = stored(docs.groupBy("lang").agg(F.count("*").alias("n")), "languages")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    often = sizes.filter(F.col("n") * MOST_LANGUAGES >= total).select("lang").collect()
-    languages = {name: k for k, name in enumerate(sorted((r[0] for r in often), key=lambda x: (x is None, x or "")))}
+    names = docs.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = {name: k for k, name in enumerate(sorted((r[0] for r in names), key=lambda x: (x is None, x or "")))}
     counted = docs.mapInArrow(
         partial(_counts, languages=languages), "language int, class int, word binary, n long"
     ).groupBy("language", "class", "word").agg(F.sum("n").alias("n"))
     counted = stored(counted, "counts")
     ranked = Window.partitionBy("language").orderBy(F.desc("n"), "word")
     spoken = counted.filter("word is not null")
-    top = spoken.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= COMMON_WORDS).collect()
+    top = spoken.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= COMMON_WORDS)
+    top = top.select("language", "word", "n", "rank").toArrow()
     all_words = {r[0]: r[1] for r in spoken.groupBy("language").agg(F.sum("n")).collect()}
     rows = len(languages) + 1
     characters, spread = np.zeros((rows, CLASSES)), np.zeros((rows, COMMON_WORDS + 1))
-    for r in counted.filter("word is null").collect():
-        characters[r["language"], r["class"]] = r["n"]
+    plain = counted.filter("word is null").select("language", "class", "n").toArrow()
+    characters[plain.column("language").to_numpy(), plain.column("class").to_numpy()] = plain.column("n").to_numpy()
     characters[:, 0] = 0  # bytes that continue a character
     keys, bins = [], []
-    for r in top:
-        k, word = r["language"], bytes(r["word"])
+    for r in (r for batch in top.to_batches() for r in batch.to_pylist()):
+        k, word = r["language"], r["word"]
         spread[k, r["rank"] - 1] = r["n"]
         data = np.frombuffer(word, np.uint8)
         value = words.hash_words(data, words.split(data, np.array([0, len(data)])))
@@ -236,6 +243,7 @@ def measures(data: np.ndarray, offsets: np.ndarray, language: np.ndarray, known:
     n_chars = plain.sum(1)
     character = jensen_shannon(plain / np.maximum(n_chars, 1)[:, None], known.characters[language])
     word = jensen_shannon(spread / np.maximum(n_words, 1)[:, None], known.words[language])
+    compared = known.characters.sum(1)[language] > 0
     return {
         "n_words": n_words,
         "word_chars": word_chars,
@@ -243,8 +251,8 @@ def measures(data: np.ndarray, offsets: np.ndarray, language: np.ndarray, known:
         "n_dup_lines": n_dup,
         "n_repeat_words": n_repeat,
         "n_characters": n_chars.astype(np.int64),
-        "character_distance": np.where(n_chars >= LEAST_CHARACTERS, character, np.nan),
-        "word_distance": np.where(n_words >= LEAST_WORDS, word, np.nan),
+        "character_distance": np.where(compared & (n_chars >= LEAST_CHARACTERS), character, np.nan),
+        "word_distance": np.where(compared & (n_words >= LEAST_WORDS), word, np.nan),
     }
 
 
@@ -268,8 +276,9 @@ def quality(
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, n_characters,
-    character_distance and word_distance; a distance is null where the text is too short. Null texts count as empty: no words, base_failed. A null or
-    unknown language is one like any other, or a rare one. Equal rows get equal results;
+    character_distance and word_distance; a distance is null where
+    the text is too short. Null texts count as empty: no words, base_failed. A null
+    language is one like any other; one that ``known`` lacks has no distances. Equal rows get equal results;
     extra columns are not looked at.
     """
     ship(docs.sparkSession, "watchfold")
