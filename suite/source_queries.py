@@ -322,7 +322,7 @@ m AS (SELECT *, CASE WHEN sized THEN 79 - 2 + length(CAST(size AS VARCHAR)) + si
 f AS (SELECT *, NOT (event_id % 13 = 0 AND total > 100) AS ok FROM m)"""
 
 
-def _carried(x: Inputs):
+def _responses(x: Inputs) -> DataFrame:
     """One connection per event, its response in segments of 100 bytes, some lost or sent again."""
     body = F.expr(_BODY)
     rows = x.table("events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), body.alias("body"))
@@ -366,7 +366,7 @@ def _carried(x: Inputs):
   CASE WHEN ok THEN sha256(body) END AS sha256 FROM f""",
 )
 def _(x: Inputs) -> DataFrame:
-    files = _carried(x).withColumn("event_id", F.expr("cast(substring(capture, 2) as bigint)"))
+    files = _responses(x).withColumn("event_id", F.expr("cast(substring(capture, 2) as bigint)"))
     size = F.when(F.col("complete"), F.col("body_bytes").cast("int")).alias("body_bytes")
     return files.select("event_id", "framing", "complete", size, "md5", "sha256")
 
@@ -377,7 +377,7 @@ def _(x: Inputs) -> DataFrame:
 UNION ALL SELECT 'hash', sha256(body), 'sha256 of a carried file' FROM f WHERE ok""",
 )
 def _(x: Inputs) -> DataFrame:
-    return ioc.file_hash_iocs(_carried(x)).select("type", "value", "context")
+    return ioc.file_hash_iocs(_responses(x)).select("type", "value", "context")
 
 
 @query(
