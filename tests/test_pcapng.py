@@ -100,6 +100,27 @@ def test_ranges_read_what_one_task_reads(spark, tmp_path):
     assert [r.ts for r in got] == [datetime.fromtimestamp((MICROS + i) // 10**6).replace(microsecond=(MICROS + i) % 10**6) for i in range(4000)]
 
 
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_ranges_within_one_section_of_either_byte_order(spark, tmp_path, order):
+    rows = frames(6000)
+    data = section(order) + interface(order=order)
+    data += b"".join(packet_block(0, MICROS + i, frame, order) for i, frame in enumerate(rows))
+    assert len(data) > 2 * 4 * captures.MAX_RECORD
+    parts = read_frames(spark, written(tmp_path, a=data), chunk_bytes=4 * captures.MAX_RECORD)
+    assert [bytes(r.frame) for r in parts.orderBy("packet_id").collect()] == rows
+
+
+def test_damage_in_a_later_range_is_told_where_it_is(tmp_path, monkeypatch):
+    monkeypatch.setattr(captures, "MAX_RECORD", 2000)
+    made = [packet_block(0, MICROS + i, frame, ">") for i, frame in enumerate(frames(60))]
+    head = section(">") + interface(order=">")
+    start, bad = len(head) + len(made[0]), len(head) + sum(map(len, made[:40]))
+    data = bytearray(head + b"".join(made))
+    data[bad + 4] ^= 0x70  # the length of a packet behind forty others
+    with pytest.raises(ValueError, match=f"damaged record at byte {bad} "):
+        opened(tmp_path, bytes(data)).descriptions(start, len(data))
+
+
 @pytest.mark.parametrize("order", ["<", ">"])
 @pytest.mark.parametrize(("resolution", "per_second"), [(None, 10**6), (3, 10**3), (9, 10**9), (0x80 | 20, 1 << 20)])
 def test_clocks(spark, tmp_path, order, resolution, per_second):

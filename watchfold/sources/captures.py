@@ -209,8 +209,8 @@ class _Interface(NamedTuple):
 class _Section:
     """Byte order and interfaces in force at some place of a pcapng file."""
 
-    def __init__(self):
-        self.order = "<"
+    def __init__(self, order: str = "<"):
+        self.order = order
         self.interfaces: list[_Interface] = []
 
     def describe(self, block: bytes) -> None:
@@ -324,13 +324,25 @@ class _Blocks(_File):
             yield _Record(at, end, micros, original, frame, interface.link)
 
     def descriptions(self, first: int, stop: int) -> list[bytes]:
-        """The blocks that open the last section of a range or describe interfaces in it."""
-        out: list[bytes] = []
-        for kind, at, size, end in self._walk(first, stop, _Section(), "fail"):
-            if kind in (SECTION, INTERFACE) and end == at + size:
-                block = self.bytes_at(at, size)
-                out = [block] if kind == SECTION else [*out, block]
-        return out
+        """The blocks that open the last section of a range or describe interfaces in it.
+
+        A range may begin within a section whose byte order only an earlier one tells: it
+        is the one in which the blocks chain on.
+        """
+        failed: list[tuple[int, ValueError]] = []
+        for order in "<>":
+            out: list[bytes] = []
+            blocks = 0
+            try:
+                for kind, at, size, end in self._walk(first, stop, _Section(order), "fail"):
+                    blocks += 1
+                    if kind in (SECTION, INTERFACE) and end == at + size:
+                        block = self.bytes_at(at, size)
+                        out = [block] if kind == SECTION else [*out, block]
+                return out
+            except ValueError as damage:
+                failed.append((blocks, damage))
+        raise max(failed, key=lambda f: f[0])[1]
 
 
 def _open(path: str, length: int) -> _Classic | _Blocks:
