@@ -78,3 +78,10 @@ def test_hashes_become_indicators(spark):
         ("hash", hashlib.md5(b"abc").hexdigest(), "md5 of a carried file"),
         ("hash", hashlib.sha256(b"abc").hexdigest(), "sha256 of a carried file"),
     ]
+
+
+def test_streams_are_put_together_once(spark):
+    """Only the hashing runs in Python behind the stored streams."""
+    files = carried_files(reassemble(table(spark, [row(1, 0, b"", flags=2), row(2, 1, sized(b"abc"))])))
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "_hashed" in plan

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from watchfold.operators.packets import HTTP_METHODS
 from watchfold.operators.tcp_streams import CARRY, KEY
-from watchfold.session import ship
+from watchfold.session import scratch_dir, ship
 
 _FIRST_LINE = rf"^(?:(?:{'|'.join(HTTP_METHODS)}) [^\r\n]+ HTTP/1\.[01]\r\n|HTTP/1\.[01] [0-9]{{3}})"
 #: Responses that have no body whatever their headers say.
@@ -42,10 +42,10 @@ _KINDS = [
 class _Body:
     """Hashes of a body whose bytes come in pieces."""
 
-    def __init__(self, row: dict):
-        self.framing, self.skip = row["framing"], row["skip"]
-        self.left = row["length"] if self.framing == "length" else 0
-        self.next = row["place"]
+    def __init__(self, place: int, skip: int, framing: str, length: int | None):
+        self.framing, self.skip = framing, skip
+        self.left = length if framing == "length" else 0
+        self.next = place
         self.size, self.line = 0, bytearray()
         self.after = self.last = self.broken = False
         self.done = self.framing == "length" and self.left == 0
@@ -128,14 +128,18 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((*key, *head, *found))
 
     for batch in batches:
-        for i in range(len(batch)):
-            row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            here = (*(row[k] for k in KEY), row["stream"], row["message"])
+        # bytes one by one: pieces may be large
+        data = batch.column("bytes")
+        keys = zip(*(batch.column(k).to_pylist() for k in (*KEY, "stream", "message")), strict=True)
+        heads = zip(*(batch.column(k).to_pylist() for k in ("skip", "framing", "length")), strict=True)
+        places, ids = (batch.column(k).to_pylist() for k in ("place", "packet_id"))
+        stamps = batch.column("ts").cast(pa.int64()).to_pylist()
+        for i, (here, framed) in enumerate(zip(keys, heads, strict=True)):
             if here != key:
                 if body is not None:
                     finish()
-                key, body, head = here, _Body(row | {"place": row["message"]}), (row["packet_id"], row["ts"])
-            body.add(row["place"], row["bytes"])
+                key, body, head = here, _Body(here[-1], *framed), (ids[i], stamps[i])
+            body.add(places[i], data[i].as_py())
         if len(out) >= 10_000:
             yield batch_of(out)
             out = []
@@ -164,7 +168,13 @@ def carried_files(streams: DataFrame, carry: int = CARRY) -> DataFrame:
     text = F.decode(F.substring("payload", 1, carry), "ISO-8859-1")
     # only rows that do not go on with another one can begin a message
     text = F.when(~F.col("continued") & text.rlike(_FIRST_LINE), text)
-    light = streams.select(*KEY, "stream", "place", "packet_id", "ts", text.alias("_text"))
+    own = F.substring(F.col("payload"), F.lit(1), F.col("own").cast("int"))
+    # Heads and bodies go separate ways: the streams are put together once, not for each.
+    streams = streams.select(*KEY, "stream", "place", "packet_id", "ts", text.alias("_text"), own.alias("bytes"))
+    folder = scratch_dir(streams.sparkSession, "streams")
+    streams.write.parquet(folder)
+    streams = streams.sparkSession.read.schema(streams.schema).parquet(folder)
+    light = streams.drop("bytes")
     ended = F.instr("_text", "\r\n\r\n") > 0
     header = F.when(ended, F.substring_index("_text", "\r\n\r\n", 1))
     length = F.nullif(F.regexp_extract(header, _LENGTH, 1), F.lit("")).cast("bigint")
@@ -189,7 +199,7 @@ def carried_files(streams: DataFrame, carry: int = CARRY) -> DataFrame:
     same = F.lit(True)
     for k in [*KEY, "stream", "place"]:
         same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    pieces = streams.select(*KEY, "stream", "place", F.substring(F.col("payload"), F.lit(1), F.col("own").cast("int")).alias("bytes"))
+    pieces = streams.select(*KEY, "stream", "place", "bytes")
     met = light.alias("a").join(pieces.alias("b"), same).select("a.*", "b.bytes")
     order = [*KEY, "stream", "message"]
     return met.repartition(*order).sortWithinPartitions(*order, "place").mapInArrow(_hashed, _OUT)

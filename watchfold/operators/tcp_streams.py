@@ -99,9 +99,17 @@ class _Block:
         self.data, self.filled = bytearray(), bytearray()
         self.marks: list[tuple[int, int, object]] = []
 
-    def add(self, row: dict) -> None:
-        data, at = row["payload"], row["place"] - self.base
+    def add(self, place: int, data: bytes, packet_id: int, ts: int | None) -> None:
+        at = place - self.base
         low, high = max(at, 0), min(at + len(data), self.size)
+        if len(self.data) <= low < high:  # beyond all that has come
+            gap = bytes(low - len(self.data))
+            self.data += gap
+            self.filled += gap
+            self.data += data[low - at : high - at]
+            self.filled += b"\1" * (high - low)
+            self.marks.append((low, packet_id, ts))
+            return
         if high > len(self.data):
             self.filled.extend(bytes(high - len(self.data)))
             self.data.extend(bytes(high - len(self.data)))
@@ -113,7 +121,7 @@ class _Block:
             end = high if end < 0 else end
             self.data[low:end] = data[low - at : end - at]
             self.filled[low:end] = b"\1" * (end - low)
-            self.marks.append((low, row["packet_id"], row["ts"]))
+            self.marks.append((low, packet_id, ts))
             low = end
 
     def runs(self, own: int) -> Iterator[tuple[int, int]]:
@@ -132,9 +140,11 @@ def _pieces(block: _Block, key: tuple, own: int) -> Iterator[tuple]:
     The first byte of the buffer is the last one of the block before.
     """
     capture, src_ip, src_port, dst_ip, dst_port, stream, _ = key
-    marks = sorted(block.marks, key=lambda m: m[0])
     own += 1
     mark, runs = 0, list(block.runs(own))
+    if not runs or runs == [(0, 1)]:  # nothing but the bytes of its neighbours
+        return
+    marks = sorted(block.marks, key=lambda m: m[0])
     for i, (low, high) in enumerate(runs):
         continued = low == 0
         low = max(low, 1)
@@ -166,15 +176,17 @@ def _filled(batches: Iterator[pa.RecordBatch], size: int, carry: int) -> Iterato
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS, strict=True)], names=names)
 
     for batch in batches:
-        for row in batch.to_pylist():
-            here = (*(row[k] for k in KEY), row["stream"], row["block"])
+        keys = zip(*(batch.column(k).to_pylist() for k in (*KEY, "stream", "block")), strict=True)
+        places, payloads, ids = (batch.column(k).to_pylist() for k in ("place", "payload", "packet_id"))
+        stamps = batch.column("ts").cast(pa.int64()).to_pylist()
+        for here, place, payload, packet_id, ts in zip(keys, places, payloads, ids, stamps, strict=True):
             if here != key:
                 if block is not None:
                     found = list(_pieces(block, key, size))
                     out += found
                     held += sum(r[8] for r in found)
-                key, block = here, _Block(row["block"] * size - 1, 1 + size + carry)
-            block.add(row)
+                key, block = here, _Block(here[-1] * size - 1, 1 + size + carry)
+            block.add(place, payload, packet_id, ts)
             if held > (8 << 20):
                 yield batch_of(out)
                 out, held = [], 0
