@@ -73,6 +73,19 @@ def test_mixed_rows(small):
     assert abs(mixed.count() - copies) <= 2
 
 
+def test_few_texts_meet_the_table_of_copies(small, odd, monkeypatch):
+    sure, held = mixing._with_copies(small, "copy")
+    assert sure.count() > 0.8 * small.count() and sure.count() + held.count() == small.count()
+    expected = [sorted(map(str, mixing.mixed(x).collect())) for x in (small, odd)]
+    taken = {(r["doc_id"], r["row_hash"]): round(r["taken"] / r["size"]) if r["size"] else 0 for r in mixing.mix(small).collect()}
+    assert len(expected[0]) == sum(taken.values())
+    for marks in (1, 16):  # nearly all places are shared
+        monkeypatch.setattr(mixing, "MARKS", marks)
+        sure, held = mixing._with_copies(small, "copy")
+        assert held.count() > sure.count()
+        assert [sorted(map(str, mixing.mixed(x).collect())) for x in (small, odd)] == expected
+
+
 def test_odd_rows(odd, none):
     rows = mixing.mix(odd).collect()
     assert len(rows) == 13

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from watchfold.session import scratch_dir
@@ -52,6 +52,12 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+def marked(bits: Column, at: Column) -> Column:
+    """Whether bit ``at`` of a bitmap of ``bitmap_construct_agg`` is set; not, where there is none."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1, F.lit(False))
+
+
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     """The rows of ``counts`` (n) with the largest n, at most ``most`` of them.
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from watchfold.llm.graphs import stored
+from watchfold.llm.graphs import fresh, marked, stored
 from watchfold.session import ship
 
 BLOCK_WORDS = 1024
@@ -32,6 +32,9 @@ MOST_REPEATS = 3
 #: Sources beyond this number are refused: their table goes to the driver and all tasks.
 MOST_SOURCES = 1_000_000
 _BITS = 52
+#: Places of a bitmap that tells a document's copies, at most (16 MB), and for each document.
+MARKS = 1 << 27
+_PLACES = 16
 #: Documents of a bucket of the shuffled order, on average.
 _BUCKET_ROWS = 1 << 14
 
@@ -219,17 +222,42 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Only the document that a target cuts off is rounded, one or two per source.
     """
+    number = fresh(docs.columns, "copy")
+    sure, held = _with_copies(docs, number)
+    every = sure.unionByName(held).filter(F.col(number) > 0)
+    return every.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(number)))).drop(number)
+
+
+def _with_copies(docs: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the copies that the mix takes of each row as column ``number``, in two parts.
+
+    There is a bitmap for each number of copies. Rows whose place is marked in one of them
+    only have that number and are not shuffled; the others, few, meet the table of copies.
+    """
     names = docs.columns
-    taken = mix(docs).filter("size > 0").groupBy("doc_id", "row_hash").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("copies")
+    copies = F.coalesce(F.round(F.sum("taken") / F.nullif(F.sum("size"), F.lit(0))), F.lit(0.0)).cast("int")
+    taken = mix(docs).groupBy("doc_id", "row_hash").agg(copies.alias("copies"), F.count("*").alias("n"))
+    taken = stored(taken, "taken")
+    total = taken.agg(F.sum("n")).first()[0] or 0
+    places = min(MARKS, 1 << max(15, (total * _PLACES).bit_length()))
+    bucket, key = fresh([*names, number], "bucket"), fresh([*names, number], "key")
+    bits = [fresh([*names, number], f"bits_{k}") for k in range(MOST_REPEATS + 1)]
+
+    def place(of: str) -> Column:
+        return F.pmod(F.col(of), F.lit(places)) + 1
+
+    at = F.bitmap_bit_position(place("row_hash"))
+    marks = taken.groupBy(F.bitmap_bucket_number(place("row_hash")).alias(bucket)).agg(
+        *(F.bitmap_construct_agg(F.when(F.col("copies") == k, at)).alias(b) for k, b in enumerate(bits))
     )
-    taken = taken.filter("copies > 0").alias("t")
-    key = row_hash(F.col("d.doc_id"), F.col("d.text").cast("string"))
-    joined = docs.alias("d").join(
-        taken, F.col("d.doc_id").cast("long").eqNullSafe(F.col("t.doc_id")) & (key == F.col("t.row_hash"))
+    keyed = docs.withColumn(key, row_hash(F.col("doc_id"), F.col("text").cast("string")))
+    dealt = keyed.withColumn(bucket, F.bitmap_bucket_number(place(key))).join(F.broadcast(marks), bucket, "left")
+    at = F.bitmap_bit_position(place(key))
+    found = F.array_compact(F.array(*(F.when(marked(F.col(b), at), k) for k, b in enumerate(bits))))
+    dealt = dealt.withColumn(number, found).drop(bucket, *bits)
+    sure = dealt.filter(F.size(number) == 1).withColumn(number, F.col(number)[0]).drop(key)
+    held = dealt.filter(F.size(number) != 1).drop(number).alias("d").join(
+        taken.alias("t"),
+        F.col("d.doc_id").cast("long").eqNullSafe(F.col("t.doc_id")) & (F.col(f"d.{key}") == F.col("t.row_hash")),
     )
-    copy = F.explode(F.sequence(F.lit(1), F.col("t.copies")))
-    number = "copy"
-    while number.lower() in {n.lower() for n in names}:
-        number += "_"
-    return joined.select(*[F.col(f"d.`{n}`") for n in names], copy.alias(number)).drop(number)
+    return sure, held.select(*[F.col(f"d.`{n}`") for n in names], F.col("t.copies").alias(number))

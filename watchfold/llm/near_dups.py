@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from watchfold.llm import words
-from watchfold.llm.graphs import components, fresh, stored
+from watchfold.llm.graphs import components, fresh, marked, stored
 from watchfold.session import ship
 
 REGISTERS = 128
@@ -423,10 +423,8 @@ def without_near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFra
     marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bits))
     # MARKS / 32768 rows of 4096 bytes at most
     dealt = docs.withColumn(bucket, F.bitmap_bucket_number(place)).join(F.broadcast(marks), bucket, "left")
-    at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    marked = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1, F.lit(False))
-    free = dealt.filter(id_.isNull() | ~marked)
+    mark = marked(F.col(bits), F.bitmap_bit_position(place))
+    free = dealt.filter(id_.isNull() | ~mark)
     # the join puts equal ids together, so that dropping repeated ones moves nothing
-    held = dealt.filter(id_.isNotNull() & marked).join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi")
+    held = dealt.filter(id_.isNotNull() & mark).join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi")
     return free.select(docs.columns).unionByName(held.dropDuplicates(["doc_id"]).select(docs.columns))
