@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -157,3 +158,64 @@ def test_small_weights_travel_beside_large_ones():
     used = np.zeros(lm._BLOCK_ROWS, np.float32)
     used[5] = 1
     assert (lm._used_weights(lm._packed(weight, used)).reshape(lm._BLOCK_ROWS, -1)[5, :-1] == weight[5]).all()
+
+
+def test_gains_leave_each_token_out_of_its_counts():
+    rng = np.random.default_rng(12)
+    total = rng.integers(1, 40, 300)
+    n, p = rng.integers(1, total + 1), rng.random(300)
+    got = lm.gains(p, n, total)
+    for k in range(lm._SIZES):
+        some = [(q, a - 1, b - 1) for q, a, b in zip(p, n, total, strict=True) if b > 1 and int(math.log2(b - 1)) == k]
+        assert got[k, -1] == len(some)
+        for strength, gain in zip(lm._STRENGTHS, got[k, :-1], strict=True):
+            each = [math.log(q if np.isinf(strength) else (a + strength * q) / (b + strength)) for q, a, b in some]
+            assert gain / lm._GAIN_STEPS == pytest.approx(sum(each), rel=1e-4, abs=1e-3)
+
+
+def test_all_training_tokens_decide_what_counts_weigh(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 500) % 9000)) for i in range(700)]
+    seen, strengths = [], lm.strengths
+    monkeypatch.setattr(lm, "strengths", lambda *args: seen.append(args) or strengths(*args))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lm.score(docs, ~lm.held_out(F.col("doc_id")))
+    one, two = Counter(), Counter()
+    for doc_id, text in rows:
+        own = [None, None, *text.split()]
+        if not is_held_out(doc_id):
+            one.update(own[1:])
+            two.update(zip(own, own[1:], strict=False))
+    for (gain,), context in zip(seen, (one, two), strict=True):
+        assert sum(context.values()) > 270_000  # more than a sample of 2**18
+        assert gain[:, -1].sum() == sum(n for n in context.values() if n > 1)
+
+
+def test_packed_tokens_come_back():
+    rng = np.random.default_rng(14)
+    chunk, expected = lm._Chunk(), Counter()
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 20, size)) for size in (0, 50, 3, 400)]
+    frequent = words.Words(np.arange(0, 8, 2), np.arange(2, 10, 2), np.array([0, 4]))
+    head = np.unique(words.hash_words(np.frombuffer(b"w1w2w3w4", np.uint8), frequent))
+    vocabulary = lm.Vocabulary(head, np.arange(4) + 1, np.full(1 << 16, 30), np.empty(0, np.uint64))
+    for piece, data in lm._pieces(pa.record_batch({"text": pa.array(texts)})):
+        t = lm.tokens(data, piece.offsets, vocabulary)
+        c = lm.contexts(t, vocabulary)
+        c.two_place = np.where((c.one_place >= 0) & (c.two % np.uint64(2) == 0), 5, -1)
+        logs = -rng.integers(1, 2048 * 20, len(t.cls)) / 2048
+        learn = np.array([True, False, True, True])
+        chunk.add(pa.array([7, None, 9, 10]), np.arange(4), learn, t, c, logs)
+        for x in zip(t.row, t.cls, learn[t.row], logs, c.one_place, strict=True):
+            expected[tuple(float(y) for y in x)] += 1
+    rows = [SimpleNamespace(**r) for b in chunk.packed("a", 5) for r in b.to_pylist()]
+    got = Counter()
+    for part in range(5):
+        tokens, _ = lm._in_order(r for r in rows if r.part == part)
+        kinds, slots = lm._kinds(tokens)
+        doc = np.concatenate([d for _, d in slots] or [np.empty(0)])
+        for t in kinds:
+            for x in zip(doc[t.slot], t.cls, t.learn, np.log(t.p), t.cls * 0 - 1 if t.one is None else t.one, strict=True):
+                got[tuple(round(float(y) * 2048) / 2048 for y in x)] += 1
+    assert got == expected
+    (docs,) = [r for r in rows if r.kind == 3]
+    assert docs.n == sum(expected.values()) and np.frombuffer(docs.keys, np.int64).tolist() == [7, 0, 9, 10]

@@ -11,36 +11,41 @@ The table of hashed features has a fixed size and is only where evidence starts
 classes that follow each single word and each pair of words in the training texts are
 counted exactly, however many there are, and draw the probabilities of the table towards
 what has followed the word before, and then the two words before. How much so many
-occurrences weigh is chosen by training tokens whose own occurrence is left out.
+occurrences weigh is chosen by all training tokens, each with its own occurrence left out.
 
 Everything is gathered from all texts that may be learned from:
 
 1. a survey: frequent words, and which endings follow which;
 2. training: each task takes gradient steps over its texts in small batches, and the
    weights of a row are averaged over the tasks by how often each has used it; two rounds
-   see one half of the texts each. The same pass counts the frequent words exactly;
-3. what follows frequent words and pairs, which all tasks get, and a sample of tokens for
-   the weight of such counts. Tokens after other words and pairs meet in one shuffle by the
-   word or pair before them, where their counts arise;
-4. scoring in sparse numpy batches. Words among the ``HEAD`` most frequent have their
+   see one half of the texts each. The same pass counts the frequent words exactly, and
+   what follows frequent words and pairs, which all tasks get;
+3. base scores in sparse numpy batches. Words among the ``HEAD`` most frequent have their
    counts at hand. Occurrences of all others, which are none too frequent each, meet in
-   one shuffle by word, where their counts arise, and come back as sums per document.
+   one shuffle by word, where their counts arise, and come back as sums per document;
+4. classes. All tokens go to one shuffle by the word or pair before them, as arrays per
+   part of the contexts and chunk of documents. It is read three times: for what counts
+   after single words weigh, for what those after pairs weigh, and for the sums per document
+   that both then give. Tokens after frequent pairs have their counts at hand and are spread.
 
-Words are known by 64-bit hashes.
+Words are known by 64-bit hashes, and contexts in that shuffle by parts of them.
 """
 
 from __future__ import annotations
 
+import contextlib
+import gc
+import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, SparkContext, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchfold.llm import words
@@ -59,8 +64,10 @@ ROUNDS = 2
 #: Most words and pairs of words whose followers' classes are sent to all tasks.
 HEAD_ONE = 1 << 13
 HEAD_TWO = 1 << 15
-#: About as many tokens after single words, and after pairs, decide what counts weigh.
-SAMPLE = 1 << 18
+#: Tokens that a task of the shuffle by contexts gets, on average.
+PART_TOKENS = 1 << 20
+#: Tokens of the documents that go to the shuffle together.
+CHUNK_TOKENS = 1 << 20
 
 _FEATURES = 4
 _MINIBATCH = 4096
@@ -68,13 +75,20 @@ _RATE = 1.0
 _ENDINGS = 1 << 16
 _SIGNS = 64
 _HELD = 1 << 20
+_HELD_PAIRS = 1 << 18
 #: Least tokens of a training task: each sends the rows of the table that it has used.
-_TASK_TOKENS = 1 << 22
-_LEAST_SAMPLE = 100
+_TASK_TOKENS = 1 << 23
+_LEAST_TOKENS = 100
 _STRENGTHS = np.append(2.0 ** np.arange(-3, 25), np.inf)
 _SIZES = 40
 _BLOCK_ROWS = 1024
 _COUNT_BLOCK = 1 << 14
+#: Logarithms of probabilities travel in steps of 1/2048, down to -32.
+_LOG_STEPS = 2048
+#: Tokens after frequent pairs that travel as one row.
+_SPREAD = 1 << 16
+#: Sums of logarithms are added up as whole numbers, in whatever order.
+_GAIN_STEPS = 2.0**20
 _END = np.uint64(0x5851F42D4C957F2D)
 _BEGIN = np.uint64(0x14057B7EF767814F)
 
@@ -136,6 +150,15 @@ class Vocabulary:
         self.index = Index(self.head)
         self.pair_index = Index(self.pairs)
 
+    def __reduce__(self) -> tuple:
+        # every machine holds a copy on disk: indexes are built where they are needed
+        classes = (x.astype(np.uint8) for x in (self.head_class, self.ending_class))
+        return _vocabulary, (self.head, *classes, self.pairs)
+
+
+def _vocabulary(head: np.ndarray, head_class: np.ndarray, ending_class: np.ndarray, pairs: np.ndarray) -> Vocabulary:
+    return Vocabulary(head, head_class.astype(np.int64), ending_class.astype(np.int64), pairs)
+
 
 @dataclass
 class Tokens:
@@ -222,17 +245,34 @@ def blended(p: np.ndarray, n: np.ndarray, total: np.ndarray, strength: np.ndarra
     return np.where(some, (n + weight * p) / (total + weight), p)
 
 
-def strengths(p: np.ndarray, n: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """The best strength for each size of total, by tokens that are among their own counts
-    and are left out of them. Sizes that few tokens have take that of the next smaller."""
+def gains(p: np.ndarray, n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """For each size of total and each strength the log likelihood of the tokens, and their
+    number at the end: they are among their own counts and are left out of them."""
     n, total = n - 1, total - 1
-    size = np.where(total > 0, _size(total), -1)
+    out = np.zeros((_SIZES, len(_STRENGTHS) + 1), np.int64)
+    some = np.flatnonzero(total > 0)
+    size = _size(total[some])
+    for k in np.flatnonzero(np.bincount(size, minlength=_SIZES)):
+        at = some[size == k]
+        own, seen = p[at].astype(np.float32), n[at].astype(np.float32)
+        totals, times = np.unique(total[at], return_counts=True)
+        for j, a in enumerate(_STRENGTHS):
+            if np.isfinite(a):
+                gain = np.log(seen + np.float32(a) * own).sum(dtype=np.float64) - times @ np.log(totals + a)
+            else:
+                gain = np.log(own).sum(dtype=np.float64)
+            out[k, j] = np.rint(gain * _GAIN_STEPS)
+        out[k, -1] = len(at)
+    return out
+
+
+def strengths(gain: np.ndarray) -> np.ndarray:
+    """The best strength for each size of total. Sizes that few tokens have take that of the
+    next smaller."""
     out, last = np.full(_SIZES, np.inf), None
     for k in range(_SIZES):
-        some = size == k
-        if some.sum() >= _LEAST_SAMPLE:
-            gain = [np.log(blended(p[some], n[some], total[some], np.full(_SIZES, a))).sum() for a in _STRENGTHS]
-            best = _STRENGTHS[int(np.argmax(gain))]
+        if gain[k, -1] >= _LEAST_TOKENS:
+            best = _STRENGTHS[int(np.argmax(gain[k, :-1]))]
             if last is None:
                 out[:k] = best
             last = best
@@ -312,7 +352,9 @@ class Learner:
             used, times, slope = _row_sums(p, some)
             self.used[used] += times
             slope *= (_RATE / np.sqrt(self.used[used] * times)).astype(np.float32)[:, None]
-            self.weight[used] = self.weight.take(used, axis=0) - slope
+            moved = self.weight.take(used, axis=0)
+            moved -= slope
+            self.weight[used] = moved
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[words.Piece, np.ndarray]]:
@@ -347,8 +389,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, key, _, at = _with_ends(found, hashes)
             some, n = np.unique(_pair_keys(key, at)[1], return_counts=True) if len(key) else (pairs[:0], counts[:0])
             pairs, pair_counts = np.concatenate([pairs, some]), np.concatenate([pair_counts, n])
-            if len(pairs) > 2 * _HELD:
-                pairs, _, pair_counts = _trimmed(pairs, pair_counts, pair_counts)
+            if len(pairs) > 2 * _HELD_PAIRS:
+                pairs, _, pair_counts = _trimmed(pairs, pair_counts, pair_counts, _HELD_PAIRS)
     keys, codes, counts = _summed(keys, codes, counts)
     pairs, _, pair_counts = _summed(pairs, pair_counts, pair_counts)
     # what is rarer in every task is not among the frequent ones, or just so
@@ -383,11 +425,11 @@ def _summed(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np
     return some, codes[at], np.bincount(place, counts, len(some)).astype(np.int64)
 
 
-def _trimmed(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _trimmed(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray, most: int = _HELD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sums, without the rarest of too many keys: they can't be among the frequent ones."""
     keys, codes, counts = _summed(keys, codes, counts)
-    if len(keys) > _HELD:
-        floor = np.partition(counts, len(counts) - _HELD)[len(counts) - _HELD]
+    if len(keys) > most:
+        floor = np.partition(counts, len(counts) - most)[len(counts) - most]
         keep = counts >= max(floor, 2)
         keys, codes, counts = keys[keep], codes[keep], counts[keep]
     return keys, codes, counts
@@ -439,7 +481,9 @@ def _packed(weight: np.ndarray, used: np.ndarray) -> bytes:
 
 
 #: How each kind of array is read where it arises, and once it is a sum.
-_FIRST = {"weights": _used_weights, "bias": _doubles, "counts": _longs, "classes": _longs, "ending": _longs}
+_FIRST = {
+    "weights": _used_weights, "bias": _doubles, "counts": _longs, "classes": _longs, "ending": _longs, "one": _longs, "two": _longs
+}
 _SUMS = _FIRST | {"weights": _doubles}
 
 
@@ -501,21 +545,25 @@ def survey(texts: DataFrame) -> tuple[Vocabulary, np.ndarray, int, int]:
 
 
 def _trained(
-    batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, model: Broadcast, part: int
+    batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, model: Broadcast
 ) -> Iterator[pa.RecordBatch]:
-    """The task's weights times their use, and its counts of frequent words and classes."""
+    """The task's weights times their use, and its counts of frequent words and classes, and
+    of classes after frequent words and pairs."""
     weight, bias = model.value
     known = vocabulary.value
     learner = Learner(weight, bias)
     counts = np.zeros(len(known.head), np.int64)
     classes = np.zeros(CLASSES, np.int64)
+    after = {"one": np.zeros((HEAD_ONE + 1) * CLASSES, np.int64), "two": np.zeros(len(known.pairs) * CLASSES, np.int64)}
     seen = 0
     for batch in batches:
-        batch = batch.filter(pc.equal(batch.column("part"), part))
         for piece, data in _pieces(batch):
             t = tokens(data, piece.offsets, known)
             counts += np.bincount(t.head[t.head >= 0], minlength=len(counts))
             classes += np.bincount(t.cls, minlength=CLASSES)
+            c = contexts(t, known)
+            for sums, place in zip(after.values(), (c.one_place, c.two_place), strict=True):
+                np.add.at(sums, (place * CLASSES + t.cls)[place >= 0], 1)
             rows = features(t)
             for low in range(0, len(t.cls), _MINIBATCH):
                 learner.step(rows[:, low : low + _MINIBATCH], t.cls[low : low + _MINIBATCH])
@@ -526,8 +574,10 @@ def _trained(
         ("bias", 0, np.concatenate([learner.bias * seen, [seen]]).astype(np.float64).tobytes()),
         ("classes", 0, classes.tobytes()),
     ]
-    for low in range(0, len(counts), _COUNT_BLOCK):
-        out.append(("counts", low, counts[low : low + _COUNT_BLOCK].tobytes()))
+    for kind, sums in ({"counts": counts} | after).items():
+        for low in range(0, len(sums), _COUNT_BLOCK):
+            if sums[low : low + _COUNT_BLOCK].any():
+                out.append((kind, low, sums[low : low + _COUNT_BLOCK].tobytes()))
     for low in range(0, CONTEXTS, _BLOCK_ROWS):
         some = slice(low, low + _BLOCK_ROWS)
         out.append(("weights", low, _packed(learner.weight[some], learner.used[some])))
@@ -536,118 +586,35 @@ def _trained(
         yield pa.record_batch({"kind": pa.array(kinds), "key": pa.array(keys, pa.int64()), "data": pa.array(data, pa.binary())})
 
 
-_GATHERED = "kind int, key long, cls int, n long, one int, p double"
-
-
-def _gathered(
-    batches: Iterator[pa.RecordBatch], vocabulary: Broadcast, model: Broadcast, rate: float
-) -> Iterator[pa.RecordBatch]:
-    """Classes after frequent words (kind 1) and pairs (2), and a sample of tokens with their
-    probabilities: all after some other words (3) and pairs (4), some after frequent ones (5, 6)."""
-    known, (weight, bias) = vocabulary.value, model.value
-    counts = [np.zeros((HEAD_ONE + 1) * CLASSES, np.int64), np.zeros(len(known.pairs) * CLASSES, np.int64)]
-    limit, salt = np.uint64(min(rate, 1.0) * (2**64 - 2048)), np.uint64(0x2545F4914F6CDD1D)
-    for batch in batches:
-        for piece, data in _pieces(batch):
-            t = tokens(data, piece.offsets, known)
-            if not len(t.key):
-                continue
-            c = contexts(t, known)
-            for sums, place in zip(counts, (c.one_place, c.two_place), strict=True):
-                code, n = np.unique((place * CLASSES + t.cls)[place >= 0], return_counts=True)
-                sums[code] += n
-            thin = words.mix(c.two + t.key + t.at.astype(np.uint64)) < limit
-            chosen = (
-                (3, words.signed(c.one), (c.one_place < 0) & (words.mix(c.one + salt) < limit)),
-                (4, words.signed(c.two), (c.one_place >= 0) & (c.two_place < 0) & (words.mix(c.two + salt) < limit)),
-                (5, c.one_place, (c.one_place >= 0) & thin),
-                (6, c.two_place, (c.two_place >= 0) & thin),
-            )
-            context = features(t)
-            for kind, key, mask in chosen:
-                at = np.flatnonzero(mask)
-                for low in range(0, len(at), _MINIBATCH):
-                    some = at[low : low + _MINIBATCH]
-                    logs = class_log_probabilities(weight, bias, context[:, some], t.cls[some])
-                    yield _gathered_rows(kind, key[some], t.cls[some], np.ones(len(some), np.int64), c.one_place[some], np.exp(logs))
-    for kind, sums in enumerate(counts, 1):
-        seen = np.flatnonzero(sums)
-        for low in range(0, len(seen), 100_000):
-            some = seen[low : low + 100_000]
-            yield _gathered_rows(kind, some // CLASSES, some % CLASSES, sums[some], np.zeros(len(some)), np.zeros(len(some)))
-
-
-def _gathered_rows(kind: int, key: np.ndarray, cls: np.ndarray, n: np.ndarray, one: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
-    columns = (np.full(len(key), kind), key, cls, n, one, p)
-    names = [c.split()[0] for c in _GATHERED.split(", ")]
-    kinds = (np.int32, np.int64, np.int32, np.int64, np.int32, np.float64)
-    return pa.record_batch([pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-
 @dataclass
 class Evidence:
     """Counts of the classes after frequent words (the first row: after a text's begin) and
-    pairs, and what counts after words and pairs weigh."""
+    pairs."""
 
     one: np.ndarray
     two: np.ndarray
-    one_strength: np.ndarray
-    two_strength: np.ndarray
 
     def __post_init__(self):
         self.one_total, self.two_total = self.one.sum(1), self.two.sum(1)
 
-    def after_one(self, p: np.ndarray, place: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return blended(p, self.one[place, cls], self.one_total[place], self.one_strength)
+    def __reduce__(self) -> tuple:
+        counts = (self.one, self.two)
+        small = all(x.max(initial=0) < 1 << 31 for x in counts)
+        return _evidence, tuple(x.astype(np.int32) if small else x for x in counts)
+
 
-    def after_two(self, p: np.ndarray, place: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return blended(p, self.two[place, cls], self.two_total[place], self.two_strength)
+def _evidence(one: np.ndarray, two: np.ndarray) -> Evidence:
+    return Evidence(one.astype(np.int64), two.astype(np.int64))
 
 
 def _run_counts(run: np.ndarray, cls: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token, how many counted ones of its run have its class, and how many there are."""
     total = np.bincount(run, counted)[run]
-    _, place = np.unique(run * CLASSES + cls, return_inverse=True)
+    code = run * CLASSES + cls
+    place = _runs(code) if (code[1:] >= code[:-1]).all() else np.unique(code, return_inverse=True)[1]
     return np.bincount(place, counted)[place], total
 
 
-def _sample_counts(key: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    _, run = np.unique(key, return_inverse=True)
-    return _run_counts(run, cls, np.ones(len(run)))
-
-
-def gather(texts: DataFrame, vocabulary: Broadcast, model: Broadcast, total: int) -> Evidence:
-    """What follows words and pairs in ``texts`` (text) of about ``total`` tokens."""
-    step = partial(_gathered, vocabulary=vocabulary, model=model, rate=SAMPLE / max(total, 1))
-    rows = stored(texts.select("text").mapInArrow(step, _GATHERED), "gathered")
-    sums = rows.filter("kind < 3").groupBy("kind", "key", "cls").agg(F.sum("n").alias("n")).toArrow()
-    kind, key, cls, n = (sums.column(i).to_numpy() for i in range(4))
-    one, two = (np.zeros((size, CLASSES), np.int64) for size in (HEAD_ONE + 1, len(vocabulary.value.pairs)))
-    for k, table in ((1, one), (2, two)):
-        some = kind == k
-        table[key[some], cls[some]] = n[some]
-    sample = rows.filter("kind > 2").select("kind", "key", "cls", "one", "p").toArrow()  # about 4 * SAMPLE rows
-    kind, key, cls, place, p = (sample.column(i).to_numpy() for i in range(5))
-    found = Evidence(one, two, np.full(_SIZES, np.inf), np.full(_SIZES, np.inf))
-
-    def parts(rare: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        tail, head = np.flatnonzero(kind == rare), np.flatnonzero(kind == rare + 2)
-        n, all_ = _sample_counts(key[tail], cls[tail])
-        return (
-            np.concatenate([tail, head]),
-            np.concatenate([n, table[key[head], cls[head]]]),
-            np.concatenate([all_, table.sum(1)[key[head]]]),
-        )
-
-    at, n, all_ = parts(3, one)
-    found.one_strength = strengths(p[at], n, all_)
-    at, n, all_ = parts(4, two)
-    # these tokens' own occurrences are left out of both counts
-    base = blended(p[at], one[place[at], cls[at]] - 1, found.one_total[place[at]] - 1, found.one_strength)
-    found.two_strength = strengths(base, n, all_)
-    return found
-
-
 @dataclass
 class Model:
     """What scoring needs: the vocabulary, weights, and exact counts of the training texts."""
@@ -655,7 +622,7 @@ class Model:
     vocabulary: Vocabulary
     weight: np.ndarray
     bias: np.ndarray
-    evidence: Evidence
+    evidence: Evidence | None
     head_counts: np.ndarray
     class_counts: np.ndarray
     n_texts: int
@@ -665,6 +632,12 @@ class Model:
         return int(self.class_counts.sum())
 
 
+def _release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of tables that are not in use any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fit(texts: DataFrame) -> Model:
     """A model of ``texts`` (text); every one of them is learned from."""
     spark = texts.sparkSession
@@ -677,10 +650,12 @@ def fit(texts: DataFrame) -> Model:
     weight = np.zeros((CONTEXTS, CLASSES), np.float32)
     bias = np.log(sizes / sizes.sum()).astype(np.float32)
     head, classes = np.zeros(len(vocabulary.head), np.int64), np.zeros(CLASSES, np.int64)
+    after = {"one": np.zeros((HEAD_ONE + 1) * CLASSES, np.int64), "two": np.zeros(len(vocabulary.pairs) * CLASSES, np.int64)}
     for part in range(ROUNDS):
         now = spark.sparkContext.broadcast((weight, bias))
-        step = partial(_trained, vocabulary=sent, model=now, part=part)
-        for (kind, low), some in _total(parts.mapInArrow(step, "kind string, key long, data binary")).items():
+        step = partial(_trained, vocabulary=sent, model=now)
+        half = parts.filter(F.col("part") == part).select("text")
+        for (kind, low), some in _total(half.mapInArrow(step, "kind string, key long, data binary")).items():
             if kind == "weights":
                 block = some.reshape(_BLOCK_ROWS, CLASSES + 1)
                 used = block[:, -1] > 0
@@ -689,14 +664,14 @@ def fit(texts: DataFrame) -> Model:
                 head[low : low + len(some)] += some
             elif kind == "classes":
                 classes += some
+            elif kind in after:
+                after[kind][low : low + len(some)] += some
             else:
                 bias = (some[:-1] / some[-1]).astype(np.float32)
         now.destroy()
-        spark.sparkContext._jvm.System.gc()  # Spark then deletes the round's shuffle files
-    now = spark.sparkContext.broadcast((weight, bias))
-    evidence = gather(texts, sent, now, total + documents)
-    now.destroy()
-    spark.sparkContext._jvm.System.gc()
+        _release(spark)
+    sent.destroy()
+    evidence = Evidence(*(sums.reshape(-1, CLASSES) for sums in after.values()))
     return Model(vocabulary, weight, bias, evidence, head, classes, documents)
 
 
@@ -777,44 +752,192 @@ def _record(**columns: pa.Array) -> pa.RecordBatch:
     return pa.record_batch(arrays, names=names)
 
 
-_CLASSED = "route long, pair long, doc_id long, text_hash long, learn boolean, cls int, log_p double"
+#: Types of the keys and of what is beside them, by kind.
+_WIDTHS = ((np.int64, np.uint32), (np.int64, np.uint16), (np.uint32, np.uint16))
+_PACKED = "part int, chunk long, kind int, place int, n int, docs binary, logs binary, keys binary, others binary"
+
+
+def _deltas(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as bytes, each but the first by its distance to the one before."""
+    gaps = np.diff(numbers, prepend=0)
+    most = gaps.max(initial=0)
+    return gaps.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
 
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, f"u{len(data) // n}"), dtype=np.int64) if n else np.empty(0, np.int64)
 
-def _classed(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Log probabilities of classes: sums per text over the tokens after frequent pairs (cls
-    -1), and a row for each other token, under the word before it if that is rare (its route
-    is no pair then), else, with the word's counts blended in, under the pair."""
+
+class _Chunk:
+    """Documents whose tokens go to the shuffle together, as arrays per part and kind.
+
+    A token is its document, the logarithm, and a key of context, class and whether it is
+    learned from. The context is the word's hash (57 bits), beside which 32 bits of the
+    pair's travel, for tokens after rare words (kind 0), the word's place and 42 bits of the
+    pair's hash after other rare pairs (1), and the pair's place, beside which the word's
+    travels, after frequent pairs (2). The documents are rows of kind 3.
+    """
+
+    def __init__(self):
+        self.rows = self.size = 0
+        self.docs: list[tuple] = []
+        self.tokens: list[tuple] = []
+
+    def add(self, ids: pa.Array, hashes: np.ndarray, learn: np.ndarray, t: Tokens, c: Contexts, logs: np.ndarray) -> None:
+        self.docs.append((pc.fill_null(ids, 0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), hashes, learn))
+        steps = np.minimum(np.rint(-_LOG_STEPS * logs), 0xFFFF).astype(np.uint16)
+        kind = np.where(c.one_place < 0, 0, np.where(c.two_place < 0, 1, 2)).astype(np.uint8)
+        one_place, two_place = c.one_place.astype(np.uint64), c.two_place.astype(np.uint64)
+        after_word = one_place << np.uint64(42) | c.two >> np.uint64(22)
+        context = np.where(kind == 0, c.one >> np.uint64(7), np.where(kind == 1, after_word, two_place))
+        key = context << np.uint64(7) | (2 * t.cls + learn[t.row]).astype(np.uint64)
+        other = np.where(kind == 0, c.two >> np.uint64(32), one_place).astype(np.uint32)
+        dealt = (np.where(kind == 0, c.one, c.two) >> np.uint64(32)).astype(np.uint32)
+        self.tokens.append(((t.row + self.rows).astype(np.uint32), steps, kind, key, other, dealt))
+        self.rows, self.size = self.rows + len(hashes), self.size + len(t.cls)
+
+    def packed(self, name: str, parts: int) -> Iterator[pa.RecordBatch]:
+        doc, logs, kinds, keys, others, dealt = (np.concatenate(x) for x in zip(*self.tokens, strict=True))
+        ids, valid, hashes, learn = (np.concatenate(x) for x in zip(*self.docs, strict=True))
+        name = xxhash.xxh3_64(name)
+        for column in (ids, valid, hashes, learn):
+            name.update(column.tobytes())
+        chunk = int(words.signed(np.array([name.intdigest()], np.uint64))[0])
+        rows = [(chunk % parts, 3, 0, len(doc), learn.tobytes(), valid.tobytes(), ids.tobytes(), hashes.tobytes())]
+        for kind in range(3):
+            at = np.flatnonzero(kinds == kind)
+            if kind == 2:
+                cuts = [(low // _SPREAD, at[low : low + _SPREAD]) for low in range(0, len(at), _SPREAD)]
+            else:
+                part = dealt[at] % np.uint32(parts)
+                order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+                at = at[order]
+                cuts = [(k, at[a:b]) for k, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+            for k, some in cuts:
+                part, place = ((chunk + k) % parts, k) if kind == 2 else (k, 0)
+                key, other = (x[some].astype(y) for x, y in zip((keys, others), _WIDTHS[kind], strict=True))
+                columns = (logs[some], key) if kind == 1 else (logs[some], key, other)
+                data = [_deltas(doc[some].astype(np.int64)), *(x.tobytes() for x in columns)]
+                rows.append((part, kind, place, len(some), *data, *[None] * (4 - len(data))))
+                if len(rows) == 16:
+                    yield self._batch(chunk, rows)
+                    rows = []
+        if rows:
+            yield self._batch(chunk, rows)
+
+    def _batch(self, chunk: int, rows: list[tuple]) -> pa.RecordBatch:
+        part, kind, place, n, *data = zip(*rows, strict=True)
+        columns = [pa.array(x, pa.int32()) for x in (part, kind, place, n)]
+        columns.insert(1, pa.array([chunk] * len(rows), pa.int64()))
+        columns += [pa.array(x, pa.binary()) for x in data]
+        return pa.record_batch(columns, names=[c.split()[0] for c in _PACKED.split(", ")])
+
+
+def _classed(batches: Iterator[pa.RecordBatch], model: Broadcast, parts: int) -> Iterator[pa.RecordBatch]:
+    """All tokens with the log probabilities of their classes by the table."""
     known: Model = model.value
-    names = [c.split()[0] for c in _CLASSED.split(", ")]
+    chunk, number, source = _Chunk(), 0, TaskContext.get().partitionId()
     for batch in batches:
-        hashes = words.signed(_text_hashes(batch.column("text")))
+        hashes = _text_hashes(batch.column("text"))
+        learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
         for piece, data in _pieces(batch):
-            rows = piece.last - piece.first
             t = tokens(data, piece.offsets, known.vocabulary)
-            p = np.empty(len(t.cls), np.float64)
-            context, c = features(t), contexts(t, known.vocabulary)
+            logs, context = np.empty(len(t.cls), np.float64), features(t)
             for low in range(0, len(t.cls), _MINIBATCH):
                 some = slice(low, low + _MINIBATCH)
-                p[some] = class_log_probabilities(known.weight, known.bias, context[:, some], t.cls[some])
-            p = np.exp(p)
-            some = c.one_place >= 0
-            p[some] = known.evidence.after_one(p[some], c.one_place[some], t.cls[some])
-            done = c.two_place >= 0
-            p[done] = known.evidence.after_two(p[done], c.two_place[done], t.cls[done])
-            logs = np.log(p)
-            ids, learn = (batch.column(x).slice(piece.first, rows) for x in ("doc_id", "learn"))
-            own = pa.array(hashes[piece.first : piece.last])
-            none = pa.array(np.full(rows, -1), pa.int32())
-            yield pa.record_batch([own, own, ids, own, learn, none, pa.array(np.bincount(t.row[done], logs[done], rows), pa.float64())], names=names)
-            route = words.signed(np.where(c.one_place >= 0, c.two, c.one))
-            pair = words.signed(c.two)
-            left = np.flatnonzero(~done)
-            for low in range(0, len(left), 50_000):
-                some = left[low : low + 50_000]
-                place = pa.array(t.row[some])
-                columns = [pa.array(route[some]), pa.array(pair[some]), ids.take(place), own.take(place), learn.take(place)]
-                columns += [pa.array(t.cls[some], pa.int32()), pa.array(logs[some].astype(np.float32).astype(np.float64))]
-                yield pa.record_batch(columns, names=names)
+                logs[some] = class_log_probabilities(known.weight, known.bias, context[:, some], t.cls[some])
+            some = slice(piece.first, piece.last)
+            ids = batch.column("doc_id").slice(piece.first, piece.last - piece.first)
+            chunk.add(ids, hashes[some], learn[some], t, contexts(t, known.vocabulary), logs)
+            if chunk.size >= CHUNK_TOKENS:
+                yield from chunk.packed(f"{source} {number}", parts)
+                chunk, number = _Chunk(), number + 1
+    if chunk.rows:
+        yield from chunk.packed(f"{source} {number}", parts)
+
+
+_CLASSED = "route long, pair long, slot long, kind int, learn boolean, cls int, log_p double"
+
+
+@dataclass
+class _Kind:
+    """The tokens of one kind of a part, sorted by route, pair and class. Where the word or
+    the pair before them is frequent, they have its place."""
+
+    kind: int
+    cls: np.ndarray
+    learn: np.ndarray
+    p: np.ndarray
+    slot: np.ndarray
+    route: np.ndarray
+    pair: np.ndarray
+    one: np.ndarray | None
+    two: np.ndarray | None
+
+    def after_one(self, evidence: Evidence) -> tuple[np.ndarray, np.ndarray]:
+        """For each token, how often its class follows the word before in training, and how
+        many tokens do."""
+        if self.one is None:
+            return _run_counts(_runs(self.route), self.cls, self.learn)
+        return evidence.one[self.one, self.cls], evidence.one_total[self.one]
+
+    def after_two(self, evidence: Evidence) -> tuple[np.ndarray, np.ndarray]:
+        if self.two is None:
+            return _run_counts(_runs(self.pair), self.cls, self.learn)
+        return evidence.two[self.two, self.cls], evidence.two_total[self.two]
+
+
+def _kinds(rows: list, pairs: bool = True) -> tuple[list[_Kind], list[tuple[int, np.ndarray]]]:
+    """A part's tokens by kind, and for each row its chunk and documents, whose sums have
+    slots of their own, one after the other. Without ``pairs`` only routes are sorted."""
+    found: dict[int, list[tuple]] = {}
+    slots, end = [], 0
+    for r in rows:
+        doc = _numbers(r.docs, r.n)
+        first = np.diff(doc, prepend=-1) > 0
+        slots.append((r.chunk, doc[first]))
+        key, other = (np.frombuffer(x or b"", y) for x, y in zip((r.keys, r.others), _WIDTHS[r.kind], strict=True))
+        found.setdefault(r.kind, []).append((np.frombuffer(r.logs, np.uint16), end - 1 + np.cumsum(first), key, other))
+        end += len(slots[-1][1])
+    kinds = []
+    for kind, parts in found.items():
+        logs, slot, key, other = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, other = key.astype(np.int64), other.astype(np.int64)
+        if kind == 0:
+            order = np.lexsort((other << 7 | key & 127, key >> 7)) if pairs else np.argsort(key)
+            logs, slot, key, other = (x[order] for x in (logs, slot, key, other))
+        elif kind == 1 and pairs:
+            order = np.argsort(key)
+            logs, slot, key = (x[order] for x in (logs, slot, key))
+        learn, cls, context = (key & 1).astype(bool), key >> 1 & CLASSES - 1, key >> 7
+        p = np.exp(logs.astype(np.float64) / -_LOG_STEPS)
+        # a pair is known by its word and its own hash
+        pair = words.signed(words.mix(context.view(np.uint64)) + other.view(np.uint64)) if kind == 0 else context
+        one = (None, context >> 42, other)[kind]
+        kinds.append(_Kind(kind, cls, learn, p, slot, context, pair, one, context if kind == 2 else None))
+    return kinds, slots
+
+
+def _in_order(rows: Iterator) -> tuple[list, list]:
+    """A part's rows of tokens, in an order that does not depend on their way, and of documents."""
+    rows = sorted(rows, key=lambda r: (r.chunk, r.kind, r.place))
+    return [r for r in rows if r.kind < 3], [r for r in rows if r.kind == 3]
+
+
+def _gained(rows: Iterator, evidence: Broadcast, one_strength: np.ndarray | None) -> Iterator[np.ndarray]:
+    """Gains by counts after the word before, or, once their strengths are known, by those
+    after the two words before, of all training tokens of a part."""
+    known: Evidence = evidence.value
+    out = np.zeros((_SIZES, len(_STRENGTHS) + 1), np.int64)
+    for t in _kinds(_in_order(rows)[0], one_strength is not None)[0]:
+        p, (n, total) = t.p[t.learn], (x[t.learn] for x in t.after_one(known))
+        if one_strength is not None:
+            # these tokens' own occurrences are left out of both counts
+            p = blended(p, n - 1, total - 1, one_strength)
+            n, total = (x[t.learn] for x in t.after_two(known))
+        out += gains(p, n, total)
+    yield out
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -836,7 +959,7 @@ def _weighed(
         p = np.where(route != pair, blended(p, *_run_counts(_runs(route), cls, counted), one_strength), p)
         # a pair has one route
         p = blended(p, *_run_counts(_runs(pair), cls, counted), two_strength)
-        out = rows.select(["doc_id", "text_hash", "learn"]).combine_chunks().to_batches()[0]
+        out = rows.select(["slot"]).combine_chunks().to_batches()[0]
         return out.append_column("class_score", pa.array(np.where(token, np.log(p), logs)))
 
     for batch in batches:
@@ -852,6 +975,64 @@ def _weighed(
         yield weighed(held)
 
 
+_SUMMED = "chunk long, n long, docs binary, sums binary, learn binary, valid binary, ids binary, hashes binary"
+
+
+def _class_sums(
+    rows: Iterator, evidence: Broadcast, one_strength: np.ndarray, two_strength: np.ndarray
+) -> Iterator[tuple]:
+    """Sums per chunk and document over a part's tokens, and the chunks' documents."""
+    known: Evidence = evidence.value
+    rows, documents = _in_order(rows)
+    kinds, slots = _kinds(rows)
+    sums = np.zeros(sum(len(docs) for _, docs in slots))
+    names = [c.split()[0] for c in _CLASSED.split(", ")]
+    for t in kinds:
+        p = t.p if t.one is None else blended(t.p, *t.after_one(known), one_strength)
+        if t.two is not None:
+            sums += np.bincount(t.slot, np.log(blended(p, *t.after_two(known), two_strength)), len(sums))
+            continue
+        columns = (t.route, t.pair, t.slot, np.full(len(p), t.kind), t.learn, t.cls, np.log(p))
+        table = pa.record_batch([pa.array(c) for c in columns], names=names)
+        for batch in _weighed(iter([table]), one_strength, two_strength):
+            sums += np.bincount(batch.column("slot").to_numpy(), batch.column("class_score").to_numpy(), len(sums))
+    end = 0
+    for r, (chunk, docs) in zip(rows, slots, strict=True):
+        own = sums[end : end + len(docs)].astype(np.float32)
+        end += len(docs)
+        yield chunk, r.n, _deltas(docs), own.tobytes(), None, None, None, None
+    for r in documents:
+        yield r.chunk, -r.n, None, None, r.docs, r.logs, r.keys, r.others
+
+
+def _closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per document. Rows come sorted by chunk, its documents before their sums."""
+    rows = itertools.chain.from_iterable(b.to_pylist() for b in batches)
+    for _, group in itertools.groupby(rows, key=lambda r: r["chunk"]):
+        head = next(group)
+        if head["ids"] is None:
+            raise RuntimeError("sums without their documents")
+        ids, valid, hashes, learn = (
+            np.frombuffer(head[c], kind)
+            for c, kind in (("ids", np.int64), ("valid", bool), ("hashes", np.int64), ("learn", bool))
+        )
+        sums, left = np.zeros(len(ids)), -head["n"]
+        for r in group:
+            own = np.frombuffer(r["sums"], np.float32)
+            sums[_numbers(r["docs"], len(own))] += own
+            left -= r["n"]
+        if left:
+            raise RuntimeError("documents without some of their sums")
+        yield pa.record_batch(
+            {
+                "doc_id": pa.array(ids, mask=~valid),
+                "text_hash": pa.array(hashes),
+                "learn": pa.array(learn),
+                "class_score": pa.array(sums),
+            }
+        )
+
+
 _RARE = "kind int, doc_id long, text_hash long, log_sum double, known long, distinct long"
 
 
@@ -905,6 +1086,22 @@ def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@contextlib.contextmanager
+def _shared_workers(context: SparkContext) -> Iterator[None]:
+    """Functions over RDDs run in the Python workers of those over DataFrames, which have this
+    setting of the environment; another set of workers would keep its memory beside them."""
+    name = "SPARK_SIMPLIFIED_TRACEBACK"
+    before = context.environment.get(name)
+    context.environment[name] = "1"
+    try:
+        yield
+    finally:
+        if before is None:
+            del context.environment[name]
+        else:
+            context.environment[name] = before
+
+
 def score(docs: DataFrame, learn: Column) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text) by a model of the rows for which
     ``learn`` holds.
@@ -924,7 +1121,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         F.coalesce(learn, F.lit(False)).alias("learn"),
     )
     model = fit(rows.filter("learn"))
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(replace(model, evidence=None))
     scored = stored(rows.mapInArrow(partial(_scored, model=sent), _SCORED), "scores")
     rare = scored.filter("word is not null").select("doc_id", "text_hash", "learn", "word", "n", "cls")
     rare = rare.repartition("word").sortWithinPartitions("word").mapInArrow(_rare, _RARE)
@@ -941,10 +1138,22 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     base = float(np.log10(model.n_tokens + 0.5 * (distinct.sum() + 1)))
     inner = np.log10(model.class_counts + 0.5 * (distinct + 1))[SINGLES:]
 
-    classed = rows.mapInArrow(partial(_classed, model=sent), _CLASSED)
-    weigh = partial(_weighed, one_strength=model.evidence.one_strength, two_strength=model.evidence.two_strength)
-    classed = classed.repartition("route").sortWithinPartitions("route", "pair").mapInArrow(
-        weigh, "doc_id long, text_hash long, learn boolean, class_score double"
+    tokens_of_all = scored.agg(F.sum("n_tokens")).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, tokens_of_all // PART_TOKENS + 1)
+    packed = rows.mapInArrow(partial(_classed, model=sent, parts=parts), _PACKED)
+    packed = packed.repartitionById(parts, F.col("part")).rdd  # its shuffle is kept while it is in use
+    counts = spark.sparkContext.broadcast(model.evidence)
+    _release(spark)
+    with _shared_workers(spark.sparkContext):
+        one = packed.mapPartitions(partial(_gained, evidence=counts, one_strength=None)).treeReduce(np.add)
+        one = strengths(one)
+        two = packed.mapPartitions(partial(_gained, evidence=counts, one_strength=one)).treeReduce(np.add)
+        two = strengths(two)
+        classed = packed.mapPartitions(partial(_class_sums, evidence=counts, one_strength=one, two_strength=two))
+        classed = spark.createDataFrame(classed, _SUMMED)
+    classed = classed.repartition("chunk")
+    classed = classed.sortWithinPartitions("chunk", F.col("ids").isNull()).mapInArrow(
+        _closed, "doc_id long, text_hash long, learn boolean, class_score double"
     )
     classed = classed.groupBy("doc_id", "text_hash", "learn").agg(F.sum("class_score").alias("class_score"))
     texts = scored.filter("word is null").groupBy("doc_id", "text_hash", "learn").agg(
