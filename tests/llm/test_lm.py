@@ -8,6 +8,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from watchfold.llm import lm, words
@@ -219,3 +220,52 @@ def test_packed_tokens_come_back():
     assert got == expected
     (docs,) = [r for r in rows if r.kind == 3]
     assert docs.n == sum(expected.values()) and np.frombuffer(docs.keys, np.int64).tolist() == [7, 0, 9, 10]
+
+
+def test_tokens_stay_as_python_packed_them(spark, monkeypatch):
+    """The shuffle of tokens, which is read three times, has what Python wrote; texts may be no valid UTF-8."""
+    seen, plain_shuffle = [], RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n, *args: seen.append(n) or plain_shuffle(self, n, *args))
+    texts = [b"a b c \xff\xfe b", b"\xc3 a b", b"", b"a b a b", b"c \xff\xfe"]
+    docs = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts * 4)], "doc_id long, text binary")
+    rows = lm.score(docs.withColumn("text", F.col("text").cast("string")), ~lm.held_out(F.col("doc_id"))).collect()
+    assert seen[0] == spark.sparkContext.defaultParallelism
+    tokens = {i: [*t.split(), None] for i, t in enumerate(texts * 4)}
+    counts = Counter(t for i, own in tokens.items() if not is_held_out(i) for t in own)
+    total, distinct = sum(counts.values()), len(counts)
+    assert len(rows) == len(tokens) and all(r["score"] < 0 for r in rows)
+    for r in rows:
+        own = tokens[r["doc_id"]]
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in own)
+        assert (r["n_tokens"], r["base_score"]) == (len(own), pytest.approx(base, rel=1e-9))
+
+
+def test_batches_have_all_rows(monkeypatch):
+    monkeypatch.setattr(lm, "_BATCH_BYTES", 40)
+    monkeypatch.setattr(lm, "_BATCH_ROWS", 3)
+    rows = [(None if i == 4 else i, b"x" * (i * i % 50), i % 2 == 0) for i in range(30)]
+    batches = list(lm._batches(iter(rows)))
+    got = [(a, b.encode(), c) for x in batches for a, b, c in zip(*(c.to_pylist() for c in x.columns), strict=True)]
+    assert got == rows and max(len(b) for b in batches) == 3 and min(len(b) for b in batches) < 3
+
+
+def test_a_step_follows_the_gradient():
+    """Over more tokens and rows than are worked on at once."""
+    rng = np.random.default_rng(15)
+    n = 2 * lm._CACHED + 100
+    weight, bias = (rng.normal(size=s).astype(np.float32) for s in ((lm.CONTEXTS, lm.CLASSES), lm.CLASSES))
+    rows = np.stack([np.where(rng.random(n) < 0.5, rng.integers(0, 9, n), rng.integers(9, 9000, n)) + 10_000 * k for k in range(4)])
+    cls = rng.integers(0, lm.CLASSES, n)
+    learner = lm.Learner(weight, bias)
+    learner.step(rows.astype(np.uint16), cls)
+    z = weight[rows].sum(0, dtype=np.float64) + bias
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    assert lm.class_log_probabilities(weight, bias, rows.astype(np.uint16), cls) == pytest.approx(np.log(p[np.arange(n), cls]), abs=1e-4)
+    p[np.arange(n), cls] -= 1
+    for own in rows:
+        used, times = np.unique(own, return_counts=True)
+        slope = np.zeros((lm.CONTEXTS, lm.CLASSES))
+        np.add.at(slope, own, p)
+        assert np.abs(learner.weight[used] - (weight[used] - slope[used] / times[:, None])).max() < 1e-4
+        assert (learner.used[used] == times).all()

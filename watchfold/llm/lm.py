@@ -26,7 +26,8 @@ Everything is gathered from all texts that may be learned from:
 4. classes. All tokens go to one shuffle by the word or pair before them, as arrays per
    part of the contexts and chunk of documents. It is read three times: for what counts
    after single words weigh, for what those after pairs weigh, and for the sums per document
-   that both then give. Tokens after frequent pairs have their counts at hand and are spread.
+   that both then give. It is one of Python's pairs, which come back as they were packed: rows
+   of a DataFrame would be packed anew by the JVM, byte by byte, each time. Tokens after frequent pairs have their counts at hand and are spread.
 
 Words are known by 64-bit hashes, and contexts in that shuffle by parts of them.
 """
@@ -36,9 +37,10 @@ from __future__ import annotations
 import contextlib
 import gc
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +73,8 @@ CHUNK_TOKENS = 1 << 20
 
 _FEATURES = 4
 _MINIBATCH = 4096
+#: Rows of floats that are worked on at once, so that they stay in a core's cache.
+_CACHED = 1024
 _RATE = 1.0
 _ENDINGS = 1 << 16
 _SIGNS = 64
@@ -303,33 +307,44 @@ def _logits(weight: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarra
     for some in rows[1:]:
         z += weight.take(some, axis=0)
     z += bias
-    z -= z.max(1, keepdims=True)
+    # the maximum by its place, which numpy finds faster than the maximum
+    z -= z.reshape(-1).take(z.argmax(1) + np.arange(len(z)) * CLASSES)[:, None]
     return z
 
 
 def class_log_probabilities(weight: np.ndarray, bias: np.ndarray, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """Log (base e) of the probability of each token's class, given its feature rows."""
-    z = _logits(weight, bias, rows)
-    chosen = z[np.arange(len(cls)), cls]
-    return chosen.astype(np.float64) - np.log((np.exp(z, out=z) @ _ONES)[:, 0].astype(np.float64))
+    out = np.empty(len(cls), np.float64)
+    for low in range(0, len(cls), _CACHED):
+        some = slice(low, low + _CACHED)
+        z = _logits(weight, bias, rows[:, some])
+        chosen = z.reshape(-1).take(cls[some] + np.arange(len(z)) * CLASSES)
+        out[some] = chosen.astype(np.float64) - np.log((np.exp(z, out=z) @ _ONES)[:, 0].astype(np.float64))
+    return out
 
 
 def _row_sums(values: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, how often they occur, and the sums of their rows of ``values``.
 
-    Most keys of a batch occur once or a few times: their rows are added place by place,
-    and only keys beyond eight rows are summed one by one.
+    Most keys of a batch occur once. Those that occur more often are lined up by how often,
+    and their first eight rows are added place by place; only keys beyond that are summed
+    one by one.
     """
     order = np.argsort(key, kind="stable")
     ordered = key[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     times = np.diff(np.concatenate([first, [len(ordered)]]))
     sums = values.take(order[first], axis=0)
+    many = np.flatnonzero(times > 1)
+    many = many[np.argsort(-times[many], kind="stable")]
+    begin, n = first[many], times[many]
+    more = sums.take(many, axis=0)
     for place in range(1, min(8, int(times.max()))):
-        some = np.flatnonzero(times > place)
-        sums[some] += values.take(order[first[some] + place], axis=0)
-    for k in np.flatnonzero(times > 8):
-        sums[k] += values.take(order[first[k] + 8 : first[k] + times[k]], axis=0).sum(0)
+        some = np.count_nonzero(n > place)
+        more[:some] += values.take(order[begin[:some] + place], axis=0)
+    for k in range(np.count_nonzero(n > 8)):
+        more[k] += np.add.reduce(values.take(order[begin[k] + 8 : begin[k] + n[k]], axis=0), axis=0)
+    sums[many] = more
     return ordered[first].astype(np.int64), times, sums
 
 
@@ -342,19 +357,25 @@ class Learner:
         self.steps = 0
 
     def step(self, rows: np.ndarray, cls: np.ndarray) -> None:
-        p = _logits(self.weight, self.bias, rows)
-        np.exp(p, out=p)
-        p /= p @ _ONES
-        p[np.arange(len(cls)), cls] -= 1  # the gradient per token
+        p = np.empty((len(cls), CLASSES), np.float32)
+        for low in range(0, len(cls), _CACHED):
+            some = slice(low, low + _CACHED)
+            z = _logits(self.weight, self.bias, rows[:, some])
+            np.exp(z, out=z)
+            np.divide(z, z @ _ONES, out=p[some])
+        p.reshape(-1)[cls + np.arange(len(cls)) * CLASSES] -= 1  # the gradient per token
         self.steps += 1
         self.bias -= 0.1 * _RATE * p.mean(0) / np.float32(np.sqrt(self.steps))
         for some in rows:
             used, times, slope = _row_sums(p, some)
             self.used[used] += times
-            slope *= (_RATE / np.sqrt(self.used[used] * times)).astype(np.float32)[:, None]
-            moved = self.weight.take(used, axis=0)
-            moved -= slope
-            self.weight[used] = moved
+            rate = (_RATE / np.sqrt(self.used[used] * times)).astype(np.float32)[:, None]
+            for low in range(0, len(used), _CACHED):
+                own = slice(low, low + _CACHED)
+                slope[own] *= rate[own]
+                moved = self.weight.take(used[own], axis=0)
+                moved -= slope[own]
+                self.weight[used[own]] = moved
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[words.Piece, np.ndarray]]:
@@ -754,7 +775,22 @@ def _record(**columns: pa.Array) -> pa.RecordBatch:
 
 #: Types of the keys and of what is beside them, by kind.
 _WIDTHS = ((np.int64, np.uint32), (np.int64, np.uint16), (np.uint32, np.uint16))
-_PACKED = "part int, chunk long, kind int, place int, n int, docs binary, logs binary, keys binary, others binary"
+_BATCH_BYTES = 1 << 24
+_BATCH_ROWS = 10_000
+
+
+class _Packed(NamedTuple):
+    """Tokens of a chunk that go to a part, or the chunk's documents."""
+
+    part: int
+    chunk: int
+    kind: int
+    place: int
+    n: int
+    docs: bytes
+    logs: bytes
+    keys: bytes | None
+    others: bytes | None
 
 
 def _deltas(numbers: np.ndarray) -> bytes:
@@ -831,7 +867,29 @@ class _Chunk:
         columns = [pa.array(x, pa.int32()) for x in (part, kind, place, n)]
         columns.insert(1, pa.array([chunk] * len(rows), pa.int64()))
         columns += [pa.array(x, pa.binary()) for x in data]
-        return pa.record_batch(columns, names=[c.split()[0] for c in _PACKED.split(", ")])
+        return pa.record_batch(columns, names=_Packed._fields)
+
+
+def _batches(rows: Iterator) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text as its bytes, learn) as batches."""
+    held, size = [], 0
+    for row in itertools.chain(rows, [None]):
+        if held and (row is None or size >= _BATCH_BYTES or len(held) == _BATCH_ROWS):
+            ids, texts, learn = zip(*held, strict=True)
+            # a view, since texts may be no valid UTF-8
+            texts = pa.array(texts, pa.large_binary()).view(pa.large_string())
+            yield pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "text": texts, "learn": pa.array(learn, pa.bool_())})
+            held, size = [], 0
+        if row is not None:
+            held.append(row)
+            size += len(row[1])
+
+
+def _dealt(rows: Iterator, model: Broadcast, parts: int) -> Iterator[tuple[int, tuple]]:
+    """All tokens of rows (doc_id, text as its bytes, learn), packed, by part."""
+    for batch in _classed(_batches(rows), model, parts):
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield row[0], row
 
 
 def _classed(batches: Iterator[pa.RecordBatch], model: Broadcast, parts: int) -> Iterator[pa.RecordBatch]:
@@ -919,6 +977,10 @@ def _kinds(rows: list, pairs: bool = True) -> tuple[list[_Kind], list[tuple[int,
     return kinds, slots
 
 
+def _of_part(rows: Iterator[tuple[int, tuple]], work: Callable[[Iterator[_Packed]], Iterator]) -> Iterator:
+    return work(_Packed(*row) for _, row in rows)
+
+
 def _in_order(rows: Iterator) -> tuple[list, list]:
     """A part's rows of tokens, in an order that does not depend on their way, and of documents."""
     rows = sorted(rows, key=lambda r: (r.chunk, r.kind, r.place))
@@ -1140,16 +1202,20 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
 
     tokens_of_all = scored.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, tokens_of_all // PART_TOKENS + 1)
-    packed = rows.mapInArrow(partial(_classed, model=sent, parts=parts), _PACKED)
-    packed = packed.repartitionById(parts, F.col("part")).rdd  # its shuffle is kept while it is in use
     counts = spark.sparkContext.broadcast(model.evidence)
     _release(spark)
     with _shared_workers(spark.sparkContext):
-        one = packed.mapPartitions(partial(_gained, evidence=counts, one_strength=None)).treeReduce(np.add)
+        # pairs of an RDD of Python stay as Python has packed them on their way to each reading,
+        # and their shuffle is kept while it is in use
+        packed = rows.withColumn("text", F.col("text").cast("binary")).rdd
+        packed = packed.mapPartitions(partial(_dealt, model=sent, parts=parts)).partitionBy(parts, int)
+        gained = partial(_gained, evidence=counts)
+        one = packed.mapPartitions(partial(_of_part, work=partial(gained, one_strength=None))).treeReduce(np.add)
         one = strengths(one)
-        two = packed.mapPartitions(partial(_gained, evidence=counts, one_strength=one)).treeReduce(np.add)
+        two = packed.mapPartitions(partial(_of_part, work=partial(gained, one_strength=one))).treeReduce(np.add)
         two = strengths(two)
-        classed = packed.mapPartitions(partial(_class_sums, evidence=counts, one_strength=one, two_strength=two))
+        added = partial(_class_sums, evidence=counts, one_strength=one, two_strength=two)
+        classed = packed.mapPartitions(partial(_of_part, work=added))
         classed = spark.createDataFrame(classed, _SUMMED)
     classed = classed.repartition("chunk")
     classed = classed.sortWithinPartitions("chunk", F.col("ids").isNull()).mapInArrow(
