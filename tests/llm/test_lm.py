@@ -269,3 +269,17 @@ def test_a_step_follows_the_gradient():
         np.add.at(slope, own, p)
         assert np.abs(learner.weight[used] - (weight[used] - slope[used] / times[:, None])).max() < 1e-4
         assert (learner.used[used] == times).all()
+
+
+def test_sorts_of_single_numbers():
+    rng = np.random.default_rng(16)
+    route, other, rest = rng.integers(-50, 50, 3000) << 40, rng.integers(0, 1 << 32, 40)[rng.integers(0, 40, 3000)], rng.integers(0, 128, 3000)
+    key = route << 7 | rest
+    order = lm._by_route(key, other)
+    assert sorted(order.tolist()) == list(range(3000))
+    rows = list(zip(key[order] >> 7, other[order], key[order] & 127, strict=True))
+    assert rows == sorted(rows)
+    keys = rng.integers(0, 500, 2000).astype(np.uint64)
+    some, at, n = lm._distinct(keys)
+    assert (some == np.unique(keys)).all() and (keys[at] == some).all() and (n == np.unique(keys, return_counts=True)[1]).all()
+    assert [len(x) for x in lm._distinct(keys[:0])] == [0, 0, 0]

@@ -27,7 +27,8 @@ Everything is gathered from all texts that may be learned from:
    part of the contexts and chunk of documents. It is read three times: for what counts
    after single words weigh, for what those after pairs weigh, and for the sums per document
    that both then give. It is one of Python's pairs, which come back as they were packed: rows
-   of a DataFrame would be packed anew by the JVM, byte by byte, each time. Tokens after frequent pairs have their counts at hand and are spread.
+   of a DataFrame would be packed anew by the JVM, byte by byte, each time. Tokens after
+   frequent pairs have their counts at hand and are spread.
 
 Words are known by 64-bit hashes, and contexts in that shuffle by parts of them.
 """
@@ -402,7 +403,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 same = found.row[1:] == found.row[:-1]
                 sign = (words.mix(code[:-1].astype(np.uint64)) & np.uint64(_SIGNS - 1)).astype(np.int64)
                 np.add.at(signs, (code[1:] * _SIGNS + sign)[same], 1)
-            some, at, n = np.unique(hashes, return_index=True, return_counts=True)
+            some, at, n = _distinct(hashes)
             keys, codes = np.concatenate([keys, some]), np.concatenate([codes, code[at]])
             counts = np.concatenate([counts, n])
             if len(keys) > 2 * _HELD:
@@ -441,6 +442,14 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, a place of each, and how often they occur."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(keys)])
+    return ordered[first], order[first], np.diff(first, append=len(keys))
+
+
 def _summed(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     some, at, place = np.unique(keys, return_index=True, return_inverse=True)
     return some, codes[at], np.bincount(place, counts, len(some)).astype(np.int64)
@@ -963,7 +972,7 @@ def _kinds(rows: list, pairs: bool = True) -> tuple[list[_Kind], list[tuple[int,
         logs, slot, key, other = (np.concatenate(x) for x in zip(*parts, strict=True))
         key, other = key.astype(np.int64), other.astype(np.int64)
         if kind == 0:
-            order = np.lexsort((other << 7 | key & 127, key >> 7)) if pairs else np.argsort(key)
+            order = _by_route(key, other) if pairs else np.argsort(key)
             logs, slot, key, other = (x[order] for x in (logs, slot, key, other))
         elif kind == 1 and pairs:
             order = np.argsort(key)
@@ -977,6 +986,17 @@ def _kinds(rows: list, pairs: bool = True) -> tuple[list[_Kind], list[tuple[int,
     return kinds, slots
 
 
+def _by_route(key: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Order by route, then by what is beside it, then by class. Two sorts of one number each
+    are faster than one of two."""
+    order = np.argsort(key)
+    number = _runs(key[order] >> 7)
+    rest = other << 7 | key & 127  # 39 bits
+    if len(number) and number[-1] >> 24:
+        return np.lexsort((rest, key >> 7))
+    return order[np.argsort(number.astype(np.int64) << 39 | rest[order])]
+
+
 def _of_part(rows: Iterator[tuple[int, tuple]], work: Callable[[Iterator[_Packed]], Iterator]) -> Iterator:
     return work(_Packed(*row) for _, row in rows)
 
