@@ -110,6 +110,54 @@ def test_ranges_within_one_section_of_either_byte_order(spark, tmp_path, order):
     assert [bytes(r.frame) for r in parts.orderBy("packet_id").collect()] == rows
 
 
+def borders_within(data, capture):
+    """For places a little behind each block's begin: where they are, and the block that follows."""
+    ends = [end for _, _, _, end in capture._walk(0, len(data), captures._Section(), "fail")]
+    return [(start + late, end) for start, end in zip([0, *ends], ends) for late in (4, 28, 48) if start + late <= end]
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_equal_words_far_apart_are_no_block(tmp_path, monkeypatch, order):
+    monkeypatch.setattr(captures, "MAX_RECORD", 2000)
+    word = struct.pack(order + "I", 4096)  # longer than a usual record
+    data = section(order) + interface(order=order)
+    data += b"".join(packet_block(0, MICROS + i, word * 50, order) for i in range(100))
+    capture = opened(tmp_path, data)
+    assert [x for x in borders_within(data, capture) if capture.first_record(x[0]) != x[1]] == []
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_lengths_read_in_the_other_byte_order_are_no_block(tmp_path, monkeypatch, order):
+    monkeypatch.setattr(captures, "MAX_RECORD", 20_000)
+    made, data = random.Random(3), section(order) + interface(order=order)
+    for i in range(1500):  # every second block is of 256 bytes, which read the other way are 65536
+        frame = made.randbytes(224 if i % 2 else 4 * made.randrange(12, 40))
+        data += packet_block(0, MICROS + i, frame[:36] + struct.pack(order + "I", 256) + frame[40:], order)
+    capture = opened(tmp_path, data)
+    assert [x for x in borders_within(data, capture) if capture.first_record(x[0]) != x[1]] == []
+
+
+def test_blocks_of_other_kinds_and_long_ones_are_borders(tmp_path, monkeypatch):
+    monkeypatch.setattr(captures, "MAX_RECORD", 2000)
+    made = random.Random(4)
+    data = section() + b"".join(block(0x80000001, made.randbytes(4 * made.randrange(9, 200))) for _ in range(80))
+    data += interface() + b"".join(packet_block(0, MICROS, made.randbytes(7000)) for _ in range(40))
+    capture = opened(tmp_path, data)
+    starts = {at for _, at, _, _ in capture._walk(0, len(data), captures._Section(), "fail")} | {len(data)}
+    assert {capture.first_record(border) for border in range(0, len(data), 97)} <= starts
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_ranges_over_packets_of_equal_words(spark, tmp_path, order):
+    word = struct.pack(order + "I", 655_360)
+    rows = [word * (10 + i % 40) for i in range(20_000)]
+    data = section(order) + interface(order=order)
+    data += b"".join(packet_block(0, MICROS + i, frame, order) for i, frame in enumerate(rows))
+    assert len(data) > 2 * 4 * captures.MAX_RECORD
+    parts = read_frames(spark, written(tmp_path, a=data), chunk_bytes=4 * captures.MAX_RECORD)
+    assert [bytes(r.frame) for r in parts.orderBy("packet_id").collect()] == rows
+
+
 def test_damage_in_a_later_range_is_told_where_it_is(tmp_path, monkeypatch):
     monkeypatch.setattr(captures, "MAX_RECORD", 2000)
     made = [packet_block(0, MICROS + i, frame, ">") for i, frame in enumerate(frames(60))]

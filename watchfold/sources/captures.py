@@ -40,9 +40,12 @@ MAGICS = {
 # Types, options and byte-order mark of pcapng blocks.
 SECTION, INTERFACE, OLD_PACKET, SIMPLE_PACKET, PACKET = 0x0A0D0D0A, 1, 2, 3, 6
 SECTION_MAGIC, BYTE_ORDERS = b"\x0a\x0d\x0d\x0a", {b"\x4d\x3c\x2b\x1a": "<", b"\x1a\x2b\x3c\x4d": ">"}
+ORDER_MARK, KNOWN = 0x1A2B3C4D, (SECTION, *range(1, 11), 0x0BAD, 0x40000BAD)
 END_OPTION, RESOLUTION_OPTION, OFFSET_OPTION = 0, 9, 14
 # What a header's record limit of 0, or one beyond a file's size, stands for at least.
 MAX_RECORD = 262_144
+#: Blocks of a pcapng file that show where one begins, at least.
+LEAST_BLOCKS = 8
 
 CHUNK_BYTES = 64 << 20
 _BATCH_BYTES = 8 << 20
@@ -238,30 +241,61 @@ class _Blocks(_File):
 
     first = 0
 
+    def _steps(self, words: np.ndarray, order: str) -> tuple[np.ndarray, np.ndarray]:
+        """Words from each place on to the end of the block that begins there, 0 if none does.
+
+        First for blocks that keep the format's law, then for all whose length stands at
+        both ends.
+        """
+        numbers = words if order == "<" else words.byteswap()
+        sizes = numbers[1:-1]
+        good = np.flatnonzero((sizes >= 12) & (sizes & 3 == 0) & (sizes <= 4 * len(words)))
+        good = good[good + sizes[good] // 4 <= len(words)]
+        good = good[sizes[good] == numbers[good + sizes[good] // 4 - 1]]
+        # a section tells its order itself
+        good = good[(numbers[good] != SECTION) | (numbers[good + 2] == ORDER_MARK)]
+        kinds, length = numbers[good], sizes[good]
+        kept = numbers[np.minimum(good + 5, len(words) - 1)]
+        lawful = np.isin(kinds, KNOWN)
+        lawful &= ~np.isin(kinds, (OLD_PACKET, PACKET)) | ((length >= 32) & (kept <= np.maximum(length, 32) - 32))
+        steps = np.zeros((2, len(words)), np.int32)
+        steps[0][good[lawful]] = length[lawful] // 4
+        steps[1][good] = length // 4
+        return steps[0], steps[1]
+
     def _boundary(self, start: int, size: int, reach: int) -> int | None:
         """The first boundary within ``size`` bytes, None if that is not enough to tell.
 
-        Blocks begin at multiples of four and have their length at both ends.
+        Blocks begin at multiples of four and have their length at both ends. So do any
+        two equal words of packets that lie as far apart as they say: one long step
+        proves nothing, and a chain has several blocks. It keeps to one byte order until
+        a section tells another, as only in the other order a false block can end where
+        a true one does. Chains of blocks that the format knows come before others.
         """
         start += -start % 4
         window = self.file.read_at(max(min(size, self.length - start), 0), start)
         at_end = start + len(window) >= self.length
-        places = len(window) - 8 + 1
-        if places <= 0:
+        words = np.frombuffer(window, "<u4", len(window) // 4)
+        if len(words) < 3:
             return self.length
-        raw = np.frombuffer(window, dtype=np.uint8).astype(np.uint32)
-        grid = np.arange(places) % 4 == 0
-        steps = np.zeros(places, np.int64)
-        for order in "<>":
-            length = _fields(raw, 4, places, order).astype(np.int64)
-            good = np.flatnonzero(grid & (length >= 12) & (length % 4 == 0) & (np.arange(places) + length <= len(window)))
-            last = good + length[good] - 4
-            # both ends are equal bytes, whatever their order
-            same = np.logical_and.reduce([raw[good + 4 + i] == raw[last + i] for i in range(4)]) if len(good) else good > 0
-            # a length is plausible in one order only, but for tiny files
-            steps[good[same]] = np.where(steps[good[same]] > 0, np.minimum(steps[good[same]], length[good[same]]), length[good[same]])
-        found = self._chained(start, window, steps, 0, reach)
-        return found if found is not None else (self.length if at_end else None)
+        sections = words == SECTION
+        for steps in zip(self._steps(words, "<"), self._steps(words, ">")):
+            tried: set[tuple[int, int]] = set()
+            for candidate in np.flatnonzero(steps[0] + steps[1]).tolist():
+                for order in (0, 1):
+                    at, blocks = candidate, 0
+                    while at < len(words) and (4 * (at - candidate) <= reach or blocks < LEAST_BLOCKS):
+                        if sections[at] and not steps[order][at]:
+                            order = 1 - order
+                        # what a chain that broke has been through leads nowhere
+                        if not steps[order][at] or (at, order) in tried:
+                            break
+                        tried.add((at, order))
+                        at, blocks = at + int(steps[order][at]), blocks + 1
+                    far = 4 * (at - candidate) > reach and blocks >= LEAST_BLOCKS
+                    if far or (at_end and 4 * at == len(window)):
+                        return start + 4 * candidate
+        return self.length if at_end else None
 
     def _walk(self, first: int, stop: int, section: _Section, on_damage: str) -> Iterator[tuple[int, int, int, int]]:
         """Type, offset, length and end of each block; sections are opened on the way."""
